@@ -67,11 +67,11 @@ def tangent_offsets_deg(ra, dec, ra0, dec0) -> tuple[Column, Column]:
 
 
 def sexagesimal_to_deg(text, hours: bool = False) -> Column:
-    """``hh:mm:ss`` or ``dd:mm:ss`` to degrees; the sign is read from the text so that -00 keeps it."""
+    """``hh:mm:ss`` or ``dd:mm:ss`` to degrees; the sign is read from the text so that -00 keeps it, other text gives null."""
     text = F.trim(as_column(text))
     parts = F.split(F.regexp_replace(text, "^[+-]", ""), ":")
     size = (
-        parts[0].cast("double") + parts[1].cast("double") / 60.0 + parts[2].cast("double") / 3600.0
+        F.get(parts, F.lit(0)).try_cast("double") + F.get(parts, F.lit(1)).try_cast("double") / 60.0 + F.get(parts, F.lit(2)).try_cast("double") / 3600.0
     ) * (15.0 if hours else 1.0)
     return F.when(text.startswith("-"), -size).otherwise(size)
 
