@@ -9,10 +9,23 @@ from skyloom.functions.common import as_column, num
 UNIX_EPOCH_JD = 2440587.5
 
 
+def micros_since_epoch(ts) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_column(ts).cast("timestamp_ntz"))
+
+
 def seconds_since_epoch(ts) -> Column:
     """Seconds of a timestamp without time zone (UTC) since 1970."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_column(ts).cast("timestamp_ntz"))
-    return micros / num(1e6)
+    return micros_since_epoch(ts) / num(1e6)
+
+
+def as_instant(ts) -> Column:
+    """Timestamp without zone, taken as UTC, as an instant; does not depend on the session zone."""
+    return F.timestamp_micros(micros_since_epoch(ts))
+
+
+def as_utc_clock(ts) -> Column:
+    """Instant as the UTC clock time, without zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_column(ts)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def julian_date(ts) -> Column:

@@ -178,9 +178,10 @@ def star_offsets(residuals: DataFrame, keys: list[str], threshold: float = 0.1,
     Deterministic instead of a random consensus search. The error is the weighted mean deviation
     of the kept bins; groups with ``min_bins`` bins or fewer get 0 and 0.
     """
-    start = aggregate_with_quantiles(residuals, keys, [F.count("*").alias("n_bins")], {"_q": ("delta", [0.5])})
+    # the residuals are read five times: write the short table instead of binning the photometry again
+    rows = cut_lineage(residuals.select(*keys, "delta", "delta_err"))
+    start = aggregate_with_quantiles(rows, keys, [F.count("*").alias("n_bins")], {"_q": ("delta", [0.5])})
     state = start.select(*keys, "n_bins", F.col("_q")[0].alias("offset"))
-    rows = residuals.select(*keys, "delta", "delta_err")
     near = F.abs(F.col("delta") - F.col("offset")) <= threshold
     for _ in range(2):
         better = rows.join(state, keys).where(near).groupBy(*keys).agg(F.avg("delta").alias("_better"))

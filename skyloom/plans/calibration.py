@@ -198,14 +198,14 @@ def source_colour_fit_two_errors(t: Tables):
     return out.select("star_id", "n", settled("slope", 4).alias("slope"), settled("intercept", 2).alias("blend_flux"), settled("slope_err", 4).alias("slope_err"), settled(p.with_sentinel("colour"), 3).alias("colour"))
 
 
-@query("align_trios", with_views("valid", "images", extra="tr AS (SELECT image_id, fwhm FROM images WHERE fwhm <= 2e0), lq AS (SELECT image_id, arg_min(hjd, (seq, star_id)) AS hjd, arg_min(mag, (seq, star_id)) AS mag FROM valid WHERE filter = 'ip' GROUP BY image_id)")
+@query("align_trios", with_views("valid", "images", extra="tr AS (SELECT image_id, fwhm FROM images WHERE fwhm <= 2e0), lq AS (SELECT image_id, arg_min(hjd, (seq, star_id, hjd, mag)) AS hjd, arg_min(mag, (seq, star_id, hjd, mag)) AS mag FROM valid WHERE filter = 'ip' GROUP BY image_id)")
     + f"SELECT image_id, {r6('coalesce(hjd, 9999999.999e0)')} AS hjd, {r6('coalesce(mag, 99.999e0)')} AS mag, {r6('coalesce(pow(1e1, (mag-27.4e0)/-2.5e0), 9999999.999e0)', 4)} AS flux FROM tr LEFT JOIN lq USING (image_id)")
 def align_trios(t: Tables):
     """Light curve on the list of good images, sentinels where an image is missing."""
     from skyloom.operators.skew import pick_first
 
     trios = t.images.where("fwhm <= 2e0").select("image_id")
-    one = pick_first(t.valid.where("filter = 'ip'"), ["image_id"], [F.col("seq"), F.col("star_id")], ["hjd", "mag", "mag_err"])
+    one = pick_first(t.valid.where("filter = 'ip'"), ["image_id"], [F.col(c) for c in ("seq", "star_id", "hjd", "mag")], ["hjd", "mag", "mag_err"])
     out = lc.align_on_trios(trios, one, ["image_id"])
     big = F.lit(9999999.999)
     return out.select("image_id", settled(F.coalesce("hjd", big)).alias("hjd"), settled(F.coalesce("mag", F.lit(99.999))).alias("mag"), settled(F.coalesce("flux", big), 4).alias("flux"))

@@ -27,32 +27,44 @@ LIGHTCURVE_FIELDS = {
 }
 
 
-def read_lightcurves(spark: SparkSession, path: str, skip_empty_time: bool = True) -> DataFrame:
-    """Light-curve files of many stars; star and dataset come from the folder names."""
+def read_lightcurves(spark: SparkSession, path: str, skip_empty_time: bool = True, per_star: bool = False) -> DataFrame:
+    """Light-curve files of many stars.
+
+    Star and dataset are the first two fields of a line or, in the layout of one folder per star,
+    part of the folder names.
+    """
     fields = split_fields()
     lines = spark.read.option("recursiveFileLookup", "true").text(path).withColumn("_file", F.col("_metadata.file_path"))
+    if per_star:
+        shift = 0
+        star = F.regexp_extract("_file", r"star_id=(\d+)", 1).try_cast("bigint")
+        dataset = F.regexp_extract("_file", r"dataset=([^/]+)", 1)
+    else:
+        shift, star, dataset = 2, F.get(fields, F.lit(0)).try_cast("bigint"), F.get(fields, F.lit(1))
     rows = lines.where(~F.trim("value").startswith("#") & (F.trim("value") != "")).select(
-        F.regexp_extract("_file", r"star_id=(\d+)", 1).try_cast("bigint").alias("star_id"),
-        F.regexp_extract("_file", r"dataset=([^/]+)", 1).alias("dataset"),
-        *[F.get(fields, F.lit(n)).try_cast(kind).alias(name) for name, (n, kind) in LIGHTCURVE_FIELDS.items()],
+        star.alias("star_id"), dataset.alias("dataset"),
+        *[F.get(fields, F.lit(n + shift)).try_cast(kind).alias(name) for name, (n, kind) in LIGHTCURVE_FIELDS.items()],
     )
     return rows.where("hjd > 0") if skip_empty_time else rows
 
 
-def write_lightcurves(rows: DataFrame, path: str, fmt: str = "dat") -> str:
-    """One folder per star and dataset, rows in time order.
+def write_lightcurves(rows: DataFrame, path: str, fmt: str = "dat", per_star: bool = False) -> str:
+    """Light curves in time order as ``.dat`` text or CSV.
 
     Rows are ranged by star, dataset and time, so a star with very many points is written by
-    several tasks as several ordered files.
+    several tasks. ``per_star`` writes one folder per star and dataset, for a selection of stars;
+    a whole survey goes into few large files with the ids on every line.
     """
-    placed = rows.repartitionByRange("star_id", "dataset", "hjd").sortWithinPartitions("star_id", "dataset", "hjd")
+    ids = ["star_id", "dataset"]
+    placed = rows.repartitionByRange(*ids, "hjd").sortWithinPartitions(*ids, "hjd")
     if fmt == "csv":
-        placed.select("star_id", "dataset", F.col("hjd").alias("time"), "filter", F.col("cal_mag").alias("magnitude"), F.col("cal_mag_err").alias("error")).write.partitionBy(
-            "star_id", "dataset"
-        ).option("header", True).csv(path)
+        out = placed.select(*ids, F.col("hjd").alias("time"), "filter", F.col("cal_mag").alias("magnitude"), F.col("cal_mag_err").alias("error"))
     else:
-        line = F.concat_ws(" ", *[F.col(c).cast("string") for c in LIGHTCURVE_FIELDS])
-        placed.select("star_id", "dataset", line.alias("value")).write.partitionBy("star_id", "dataset").text(path)
+        fields = [F.col(c).cast("string") for c in LIGHTCURVE_FIELDS]
+        named = [] if per_star else [F.col(c).cast("string") for c in ids]
+        out = placed.select(*(ids if per_star else []), F.concat_ws(" ", *named, *fields).alias("value"))
+    writer = out.write.partitionBy(*ids) if per_star else out.write
+    (writer.option("header", True).csv(path) if fmt == "csv" else writer.text(path))
     return path
 
 
