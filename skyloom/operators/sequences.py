@@ -48,7 +48,7 @@ def rank_slice(df: DataFrame, order: list, low: float, high: float) -> DataFrame
 
 def hash_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     """``size`` rows in the order of a seeded hash of the key: random, and the same in every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(size)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(key).cast("string"))), key).limit(size)
 
 
 def central_region(stars: DataFrame, half_widths: list[float], fewest: int, most: int) -> DataFrame:

@@ -61,7 +61,7 @@ def time_order(t: Tables):
     return rounded(d, ["star_id", "filter", "image_id", "seq", "point"], {"hjd": "hjd"})
 
 
-@query("random_star_sample")
+@query("random_star_sample", with_views("stars") + "SELECT star_id, gaia_source_id FROM stars WHERE gaia_source_id <> 'None' ORDER BY md5(concat('42:', CAST(star_id AS varchar))), star_id LIMIT 500")
 def random_star_sample(t: Tables):
     """Reproducible sample of 500 stars that have a catalogue id."""
     return seq.hash_sample(t.stars.where("gaia_source_id != 'None'").select("star_id", "gaia_source_id"), "star_id", 500, seed=42)
