@@ -68,6 +68,17 @@ def _cell_limit(df: DataFrame) -> int:
     return hot_limit(df.sparkSession, HOT_CELL_ROWS)
 
 
+def _may_be_crowded(df: DataFrame, metric: Metric, radius: float, limit: int) -> bool:
+    """Cheap test for hot cells: counts in cells 64 times as wide.
+
+    The copies in one cell come from a block that touches at most four wide cells, so if no wide
+    cell holds a quarter of the limit no cell can be hot. Wide cells are few, so the count
+    combines before the shuffle, which a count per narrow cell would not.
+    """
+    wide = metric.home(df.select(metric.a, metric.b), 64 * radius).groupBy(*CELL).agg(F.count("*").alias("_n"))
+    return not wide.where(F.col("_n") > limit / 4).isEmpty()
+
+
 def _within(pairs: DataFrame, metric: Metric, radius: float, strict: bool) -> DataFrame:
     near = F.abs(F.col(f"l.{metric.b}") - F.col(f"r.{metric.b}")) <= radius
     sep = pairs.where(near).withColumn("sep", metric.distance("l", "r"))
@@ -85,10 +96,10 @@ def pairs_within(
     l = metric.home(left, radius)
     r = metric.spread(right, radius)
     limit = _cell_limit(left)
-    load = l.groupBy(*CELL).agg(F.count("*").alias("_load")).where(F.col("_load") > limit)
     ls = l.select(F.struct(*left.columns).alias("l"), *CELL)
     rs = r.select(F.struct(*right.columns).alias("r"), *CELL)
-    if load.isEmpty():
+    load = l.groupBy(*CELL).agg(F.count("*").alias("_load")).where(F.col("_load") > limit)
+    if not _may_be_crowded(left, metric, radius, limit) or load.isEmpty():
         return _within(ls.join(rs, CELL).select("l", "r"), metric, radius, strict)
     salts = cut_lineage(load.select(*CELL, F.ceil(F.col("_load") / limit).cast("int").alias("_salts")))
     ls = ls.join(salts, CELL, "left").withColumn(
@@ -127,7 +138,7 @@ def nearest_within(
         metric.spread(right, radius).groupBy(*CELL).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
         .drop("_n")
     )
-    if crowded.isEmpty():
+    if not _may_be_crowded(right, metric, radius, limit) or crowded.isEmpty():
         return _closest(pairs_within(left, right, radius, metric, strict), left_id, right_id)
     crowded = cut_lineage(crowded)
     homed = metric.home(left, radius)

@@ -34,12 +34,21 @@ def with_group_index(df: DataFrame, keys: list[str], order: list, index: str = "
     return numbered.join(first, keys).select(*df.columns, (F.col("_global") - F.col("_first")).alias(index))
 
 
-def with_neighbour(indexed: DataFrame, columns: list[str], step: int, suffix: str, index: str = "idx") -> DataFrame:
-    """Columns of the row ``step`` places later (null past the end), by an equi-join on the row number."""
-    other = indexed.select(
-        (F.col(index) - step).alias(index), *[F.col(c).alias(f"{c}{suffix}") for c in columns]
-    )
-    return indexed.join(other, index, "left")
+CHUNK_ROWS = 50_000
+
+
+def with_following(indexed: DataFrame, columns: list[str], ahead: int, index: str = "idx", chunk: int = CHUNK_ROWS) -> DataFrame:
+    """Columns of the next ``ahead`` rows as ``name1``, ``name2``, … (null past the end).
+
+    Windows run over chunks of row numbers, not over keys, so their size is fixed; the first rows
+    of a chunk are also copied to the end of the one before.
+    """
+    own = F.floor(F.col(index) / chunk)
+    halo = (F.col(index) % chunk < ahead) & (own > 0)
+    placed = indexed.select("*", F.explode(F.when(halo, F.array(own, own - 1)).otherwise(F.array(own))).alias("_chunk"))
+    order = Window.partitionBy("_chunk").orderBy(index)
+    led = [F.lead(c, n).over(order).alias(f"{c}{n}") for n in range(1, ahead + 1) for c in columns]
+    return placed.select("*", *led).where(F.col("_chunk") == own).drop("_chunk")
 
 
 def contiguous_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions.common import num
 from skyloom.operators.match import Metric, nearest_within, pairs_within
-from skyloom.operators.ordering import with_neighbour, with_row_index
+from skyloom.operators.ordering import with_following, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles
 from skyloom.operators.skew import pick_first
 from skyloom.operators.stats import attach_row
@@ -25,7 +25,7 @@ def image_trios(images: DataFrame, max_fwhm: float, max_sky: float) -> DataFrame
         "name", "filter", parts[2].cast("bigint").alias("date"), parts[3].cast("bigint").alias("number"), F.coalesce(good & clean, F.lit(False)).alias("good")
     )
     cols = ["name", "filter", "date", "number", "good"]
-    rows = with_neighbour(with_neighbour(with_row_index(base, ["name"]), cols, 1, "1"), cols, 2, "2")
+    rows = with_following(with_row_index(base, ["name"]), cols, 2)
     trio = (
         (F.col("date") == F.col("date1")) & (F.col("date") == F.col("date2"))
         & (F.col("number1") == F.col("number") + 1) & (F.col("number2") == F.col("number") + 2)

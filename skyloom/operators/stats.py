@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions import weights as w
 from skyloom.functions.common import as_column, num
-from skyloom.operators.ordering import with_group_index
+from skyloom.operators.ordering import with_following, with_group_index, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
+from skyloom.session import cut_lineage
 
 # (magnitude, error) column names per photometry kind
 PHOT_COLUMNS = {
@@ -146,23 +147,29 @@ def background_peak(df: DataFrame, keys: list[str], value: str, bins: int = 100)
 def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str = "mag", err: str = "mag_err") -> DataFrame:
     """Variability features per light curve from their published definitions.
 
-    Order-dependent features compare a row with the next one, which is found by an equi-join on
-    the row number in the whole time-ordered table: no light curve has to fit into one task.
+    Order-dependent features compare a row with the next two in the whole time-ordered table, found
+    in chunks of row numbers: no light curve has to fit into one task.
     Sample entropy needs all pairs of a light curve and is left out.
     """
-    rows = with_group_index(df.select(*keys, time, mag, err), keys, [time, mag])
-    level = aggregate_with_quantiles(
-        rows, keys,
-        [F.count("*").alias("n"), F.avg(mag).alias("mean_mag"), F.stddev_samp(mag).alias("rms"),
-         w.weighted_mean(mag, err).alias("_wm"), F.min(mag).alias("_min"), F.max(mag).alias("_max"),
-         F.min("idx").alias("_i0")],
-        {"_q": (mag, [0.5])},
-    ).withColumn("median_mag", F.col("_q")[0]).drop("_q")
-    following = rows.select(
-        *keys, (F.col("idx") - 1).alias("idx"), F.col(mag).alias("_m1"), F.col(err).alias("_e1"), F.col(time).alias("_t1")
+    rows = with_row_index(df.select(*keys, time, mag, err), [*keys, time, mag])
+    level = cut_lineage(
+        aggregate_with_quantiles(
+            rows, keys,
+            [F.count("*").alias("n"), F.avg(mag).alias("mean_mag"), F.stddev_samp(mag).alias("rms"),
+             w.weighted_mean(mag, err).alias("_wm"), F.min(mag).alias("_min"), F.max(mag).alias("_max"), F.min("idx").alias("_i0")],
+            {"_q": (mag, [0.5])},
+        ).withColumn("median_mag", F.col("_q")[0]).drop("_q")
     )
-    third = rows.select(*keys, (F.col("idx") - 2).alias("idx"), F.col(mag).alias("_m2"))
-    full = rows.join(following, [*keys, "idx"], "left").join(third, [*keys, "idx"], "left").join(level, keys)
+    # a following row counts only if it belongs to the same light curve
+    led = with_following(rows, [*keys, mag, err, time], 2)
+    same1, same2 = F.lit(True), F.lit(True)
+    for k in keys:
+        same1, same2 = same1 & (F.col(k) == F.col(k + "1")), same2 & (F.col(k) == F.col(k + "2"))
+    ordered = led.select(
+        *keys, time, mag, err, "idx", F.when(same1, F.col(mag + "1")).alias("_m1"), F.when(same1, F.col(err + "1")).alias("_e1"),
+        F.when(same1, F.col(time + "1")).alias("_t1"), F.when(same2, F.col(mag + "2")).alias("_m2"),
+    )
+    full = ordered.join(level, keys).withColumn("idx", F.col("idx") - F.col("_i0"))
     m, e, mean = F.col(mag), F.col(err), F.col("mean_mag")
     z = (m - mean) / F.col("rms")
     bias = F.sqrt(F.col("n") / (F.col("n") - 1.0))
