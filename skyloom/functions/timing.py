@@ -10,7 +10,11 @@ UNIX_EPOCH_JD = 2440587.5
 
 
 def micros_since_epoch(ts) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_column(ts).cast("timestamp_ntz"))
+    """Microseconds of a clock time without zone since 1970, from its parts, so that no zone is applied."""
+    ts = as_column(ts).cast("timestamp_ntz")
+    day = F.unix_date(ts.cast("date")).cast("bigint")
+    second = (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("bigint")
+    return (day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60) * 1000000 + second
 
 
 def seconds_since_epoch(ts) -> Column:
@@ -25,7 +29,9 @@ def as_instant(ts) -> Column:
 
 def as_utc_clock(ts) -> Column:
     """Instant as the UTC clock time, without zone."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(as_column(ts)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    seconds = (F.unix_micros(as_column(ts)).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def julian_date(ts) -> Column:

@@ -12,7 +12,7 @@ from skyloom.functions import phot as p, weights as w
 from skyloom.functions.common import num, quadrature
 from skyloom.operators import stats
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
-from skyloom.session import cut_lineage
+from skyloom.session import stored
 
 # fixed values: calibration limits per filter: brightest and faintest magnitude, largest catalogue error
 LIMITS_GAIA = {
@@ -179,7 +179,7 @@ def star_offsets(residuals: DataFrame, keys: list[str], threshold: float = 0.1,
     of the kept bins; groups with ``min_bins`` bins or fewer get 0 and 0.
     """
     # the residuals are read five times: write the short table instead of binning the photometry again
-    rows = cut_lineage(residuals.select(*keys, "delta", "delta_err"))
+    rows = stored(residuals.select(*keys, "delta", "delta_err"))
     start = aggregate_with_quantiles(rows, keys, [F.count("*").alias("n_bins")], {"_q": ("delta", [0.5])})
     state = start.select(*keys, "n_bins", F.col("_q")[0].alias("offset"))
     near = F.abs(F.col("delta") - F.col("offset")) <= threshold
@@ -208,11 +208,11 @@ def merge_offset(pairs: DataFrame, keys: list[str], rounds: int = 3) -> DataFram
     start = aggregate_with_quantiles(
         pairs, keys, [F.count("*").alias("n"), ((F.max("delta") - F.min("delta")) / 100.0).alias("width")], {"_q": ("delta", [0.5])}
     )
-    state = cut_lineage(start.select(*keys, "n", "width", F.col("_q")[0].alias("offset")))
+    state = stored(start.select(*keys, "n", "width", F.col("_q")[0].alias("offset")))
     for _ in range(rounds):
         inside = pairs.join(state, keys).where(F.abs(F.col("delta") - F.col("offset")) <= 5.0 * F.col("width"))
         better = grouped_quantiles(inside, keys, "delta", [0.5], "_q").select(*keys, F.col("_q")[0].alias("_better"))
-        state = cut_lineage(state.join(better, keys, "left").select(*keys, "n", "width", F.coalesce("_better", "offset").alias("offset")))
+        state = stored(state.join(better, keys, "left").select(*keys, "n", "width", F.coalesce("_better", "offset").alias("offset")))
     return state.select(*keys, "n", F.col("offset").alias("delta_mag"), (1.0 / F.col("n")).alias("delta_mag_err"))
 
 
@@ -232,7 +232,7 @@ def line_with_two_errors(points: DataFrame, keys: list[str], x: str, y: str, x_e
         u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
         beta = weight * (u * vy + F.col("slope") * v * vx)
         step = rows.join(centre, keys).groupBy(*keys).agg((F.sum(weight * beta * v) / F.sum(weight * beta * u)).alias("slope"))
-        state = cut_lineage(step)
+        state = stored(step)
     centre = rows.join(state, keys).groupBy(*keys).agg(*centre_cols)
     u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
     adjusted = F.col("_mx") + weight * (u * vy + F.col("slope") * v * vx)

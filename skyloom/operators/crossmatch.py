@@ -12,7 +12,7 @@ from skyloom.operators.ordering import with_group_index, with_row_index
 from skyloom.operators.quantiles import grouped_quantiles
 from skyloom.operators.skew import pick_first
 from skyloom.operators.stats import attach_row
-from skyloom.session import cut_lineage
+from skyloom.session import stored
 
 
 @dataclass
@@ -39,12 +39,12 @@ class FieldIndex:
         must not grow one plan.
         """
         pairs = match_one_to_one(stars, self.stars, radius, "star_id", "field_id")
-        matched = cut_lineage(
+        matched = stored(
             pairs.select(F.col("r.field_id").alias("field_id"), F.col("l.star_id").alias("dataset_star_id"), F.col("sep").alias("separation"))
         )
         orphans = stars.join(matched.select(F.col("dataset_star_id").alias("star_id")), "star_id", "left_anti")
         highest = self.stars.agg(F.coalesce(F.max("field_id"), F.lit(0)).alias("highest"))
-        numbered = cut_lineage(
+        numbered = stored(
             attach_row(with_row_index(orphans.select("star_id", "ra", "dec"), ["star_id"]), highest)
             .select((F.col("highest") + 1 + F.col("idx")).alias("field_id"), "star_id", "ra", "dec")
         )
@@ -52,8 +52,8 @@ class FieldIndex:
             numbered.select("field_id", F.lit(code).alias("dataset"), F.col("star_id").alias("dataset_star_id"), F.lit(-1.0).alias("separation"))
         )
         return FieldIndex(
-            cut_lineage(self.stars.unionByName(numbered.select("field_id", "ra", "dec"))),
-            cut_lineage(self.members.unionByName(new_members)),
+            stored(self.stars.unionByName(numbered.select("field_id", "ra", "dec"))),
+            stored(self.members.unionByName(new_members)),
         )
 
 
@@ -79,12 +79,12 @@ def match_by_identifier(dataset: DataFrame, primary: DataFrame, identifier: str,
 
 def two_pass_match(left: DataFrame, right: DataFrame, radius: float, left_id: str, right_id: str) -> DataFrame:
     """One-to-one match, then a second round among those left over on both sides."""
-    first = cut_lineage(
+    first = stored(
         match_one_to_one(left, right, radius, left_id, right_id)
         .select(F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias("_rid"), "sep", F.lit(1).alias("round"))
     )
-    rest_left = cut_lineage(left.join(first.select(left_id), left_id, "left_anti").select(*left.columns))
-    rest_right = cut_lineage(
+    rest_left = stored(left.join(first.select(left_id), left_id, "left_anti").select(*left.columns))
+    rest_right = stored(
         right.join(first.select(F.col("_rid").alias(right_id)), right_id, "left_anti").select(*right.columns)
     )
     second = match_one_to_one(rest_left, rest_right, radius, left_id, right_id).select(
@@ -205,7 +205,7 @@ def isolation_filter(detections: DataFrame, image: str, det_id: str, radius: flo
     from pyspark.sql import Window
 
     rank = Window.partitionBy(image).orderBy(F.col("flux").desc(), F.col(det_id))
-    bright = cut_lineage(detections.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= before))
+    bright = stored(detections.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= before))
     # at most ``before`` rows per image on both sides of this join
     later = bright.select(image, F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("rank").alias("_rank"))
     disturbed = bright.join(later, image).where(

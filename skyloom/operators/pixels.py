@@ -8,7 +8,7 @@ from skyloom.functions.common import num
 from skyloom.functions.weights import centroid
 from skyloom.operators.quantiles import aggregate_with_quantiles
 from skyloom.operators.skew import pick_first
-from skyloom.session import cut_lineage
+from skyloom.session import stored
 
 
 def stack(pixels: DataFrame) -> DataFrame:
@@ -94,39 +94,38 @@ def mask_radius(pixels: DataFrame, keys: list[str], radius: str, value: str, sat
     return pixels.where((F.col(value) < saturation) & (F.col(value) < threshold)).groupBy(*keys).agg(F.min(radius).alias("mask_radius"))
 
 
-def connected_pixels(pixels: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_pixels(pixels: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Clusters of touching pixels (8 neighbours) per image with their pixel ranges.
 
-    Labels are rooted trees: every round a pixel takes the smallest label among its neighbours'
-    labels, then the label of its label (pointer jumping), so the number of rounds grows with the
-    logarithm of a cluster's length. Each round is one equi-join on neighbour cells; state is
-    written out between rounds and the loop ends when no label changes.
+    Each round every cluster takes the smallest label next to any of its pixels as its parent, and
+    parents are followed eight steps, so clusters merge many at a time and the number of rounds
+    grows with the logarithm of a cluster's length. A round is one equi-join on pixel positions;
+    labels are written out between rounds and the loop ends when no cluster has a new parent.
     """
     steps = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (dx, dy) != (0, 0)]
-    cell = F.struct(F.col("y"), F.col("x"))
-    nodes = cut_lineage(pixels.select("image_id", "x", "y").distinct().withColumn("label", cell))
+    at = ["image_id", "x", "y"]
+    labels = stored(pixels.select(*at).distinct().withColumn("label", F.struct("y", "x")))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in steps])
-    around = nodes.select("image_id", "x", "y", F.explode(offsets).alias("o")).select(
-        "image_id", "x", "y", (F.col("x") + F.col("o.dx")).alias("nx"), (F.col("y") + F.col("o.dy")).alias("ny")
-    )
-    present = nodes.select("image_id", F.col("x").alias("nx"), F.col("y").alias("ny"))
-    edges = cut_lineage(around.join(present, ["image_id", "nx", "ny"], "left_semi"))
     for _ in range(max_rounds):
-        seen = nodes.select("image_id", F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("label").alias("nl"))
-        lowest = edges.join(seen, ["image_id", "nx", "ny"]).groupBy("image_id", "x", "y").agg(F.min("nl").alias("nl"))
-        hooked = nodes.join(lowest, ["image_id", "x", "y"], "left").select(
-            "image_id", "x", "y", F.col("label").alias("old"), F.least("label", F.coalesce("nl", "label")).alias("label")
+        # every pixel sends its label to the eight positions around it
+        sent = labels.select("image_id", "label", "x", "y", F.explode(offsets).alias("o")).select(
+            "image_id", (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"), F.col("label").alias("near")
         )
-        hooked = cut_lineage(hooked)
-        parents = hooked.select("image_id", F.struct(F.col("y"), F.col("x")).alias("label"), F.col("label").alias("up"))
-        jumped = cut_lineage(
-            hooked.join(parents, ["image_id", "label"], "left").select("image_id", "x", "y", "old", F.least("label", F.coalesce("up", "label")).alias("label"))
+        lowest = sent.groupBy(*at).agg(F.min("near").alias("near"))
+        parents = stored(
+            labels.join(lowest, at, "left").groupBy("image_id", "label")
+            .agg(F.min(F.least("label", F.coalesce("near", "label"))).alias("up")).where("up != label")
         )
-        nodes = jumped.select("image_id", "x", "y", "label")
-        if jumped.where("old != label").isEmpty():
+        if parents.isEmpty():
             break
+        for _ in range(3):
+            further = parents.select("image_id", F.col("label").alias("up"), F.col("up").alias("upper"))
+            parents = parents.join(further, ["image_id", "up"], "left").select("image_id", "label", F.coalesce("upper", "up").alias("up"))
+        labels = stored(
+            labels.join(parents, ["image_id", "label"], "left").select(*at, F.coalesce("up", "label").alias("label"))
+        )
     else:
         raise RuntimeError("labels did not settle; raise max_rounds")
-    return nodes.groupBy("image_id", "label").agg(
+    return labels.groupBy("image_id", "label").agg(
         F.count("*").alias("n_pixels"), F.min("x").alias("x_min"), F.max("x").alias("x_max"), F.min("y").alias("y_min"), F.max("y").alias("y_max")
     ).select("image_id", F.col("label.y").alias("label_y"), F.col("label.x").alias("label_x"), "n_pixels", "x_min", "x_max", "y_min", "y_max")

@@ -10,7 +10,7 @@ from skyloom.operators.ordering import with_following, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles
 from skyloom.operators.skew import pick_first
 from skyloom.operators.stats import attach_row
-from skyloom.session import cut_lineage
+from skyloom.session import stored
 
 
 def image_trios(images: DataFrame, max_fwhm: float, max_sky: float) -> DataFrame:
@@ -75,21 +75,21 @@ def nearest_isochrone(targets: DataFrame, rows: DataFrame, target_id: str, toler
     plane = Metric("gr", "ri", False)
     if min_age is not None:
         rows = rows.where(F.col("age") > min_age)
-    numbered = cut_lineage(rows.withColumn("row_id", F.xxhash64(*rows.columns)).withColumn("teff", F.pow(num(10.0), "log_teff")))
-    colours = cut_lineage(targets.select("gr", "ri").distinct().withColumn("colour_id", F.xxhash64("gr", "ri")))
+    numbered = stored(rows.withColumn("row_id", F.xxhash64(*rows.columns)).withColumn("teff", F.pow(num(10.0), "log_teff")))
+    colours = stored(targets.select("gr", "ri").distinct().withColumn("colour_id", F.xxhash64("gr", "ri")))
     todo, found, radius = colours, None, 4 * tolerance
     while not todo.isEmpty():
         best = nearest_within(todo, numbered, radius, "colour_id", "row_id", plane, strict=False).select(
             F.col("l.colour_id").alias("colour_id"), F.col("sep").alias("closest")
         )
-        near = cut_lineage(best)
-        reach = cut_lineage(
+        near = stored(best)
+        reach = stored(
             pairs_within(todo.join(near, "colour_id", "left_semi"), numbered, radius + tolerance, plane)
             .select(F.col("l.colour_id").alias("colour_id"), "r.mass", "r.teff", "r.logg", "sep")
             .join(near, "colour_id").where(F.col("sep") <= F.col("closest") + tolerance)
         )
         found = reach if found is None else found.unionByName(reach)
-        todo = cut_lineage(todo.join(near, "colour_id", "left_anti").select(*colours.columns))
+        todo = stored(todo.join(near, "colour_id", "left_anti").select(*colours.columns))
         radius *= 4
         if radius > 1e3:
             raise ValueError("targets without any isochrone row")

@@ -156,7 +156,7 @@ def sink_normalizations(t: Tables):
 MERGE = """pm AS (SELECT star_id, site, filter, sum(mag/(mag_err*mag_err))/sum(1/(mag_err*mag_err)) AS m FROM valid GROUP BY ALL),
     pd AS (SELECT a.site, a.filter, r.m - a.m AS d FROM pm a JOIN pm r ON r.star_id = a.star_id AND r.filter = a.filter AND r.site = 'lsc-doma' WHERE a.site <> 'lsc-doma'),
     s0 AS (SELECT site, filter, count(*) AS n, (max(d)-min(d))/100 AS wd, quantile_cont(d, 0.5) AS o FROM pd GROUP BY ALL)""" + "".join(
-    f", s{i} AS (SELECT s.site, s.filter, any_value(n) AS n, any_value(wd) AS wd, quantile_cont(d, 0.5) AS o FROM s{i-1} s JOIN pd ON pd.site = s.site AND pd.filter = s.filter AND abs(d-s.o) <= 5*s.wd GROUP BY s.site, s.filter)" for i in (1, 2, 3))
+    f", s{i} AS (SELECT s.site, s.filter, any_value(n) AS n, any_value(wd) AS wd, coalesce(quantile_cont(d, 0.5), any_value(s.o)) AS o FROM s{i-1} s LEFT JOIN pd ON pd.site = s.site AND pd.filter = s.filter AND abs(d-s.o) <= 5*s.wd GROUP BY s.site, s.filter)" for i in (1, 2, 3))
 
 
 @query("merge_offset", with_views("valid", extra=MERGE) + f"SELECT site, filter, n, {r6('o')} AS delta_mag, {r6('1e0/n')} AS delta_mag_err FROM s3")

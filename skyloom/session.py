@@ -52,3 +52,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and keeps the partitions as they were written."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written to a table of the shared folder and read back: for state carried through loops.
+
+    A checkpoint keeps the constraints that the optimizer derived from the old plan, and in a loop
+    they multiply; a table read back carries nothing but its rows.
+    """
+    path = scratch_path(df.sparkSession, "state")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

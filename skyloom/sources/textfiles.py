@@ -98,7 +98,7 @@ def parse_config(texts: DataFrame, column: str = "value", keep: list[str] | None
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
-    return parse_config(spark.read.option("wholetext", True).text(path))
+    return parse_config(spark.read.text(path, wholetext=True))
 
 
 def boolean_value(column: str = "value") -> Column:
@@ -108,7 +108,7 @@ def boolean_value(column: str = "value") -> Column:
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """Target list: name → {RA, Dec, radius}."""
     entry = T.MapType(T.StringType(), T.StructType([T.StructField("ra", T.DoubleType()), T.StructField("dec", T.DoubleType()), T.StructField("radius", T.DoubleType())]))
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.explode(F.from_json("value", entry)).alias("name", "t")).select("name", "t.ra", "t.dec", "t.radius")
 
 
