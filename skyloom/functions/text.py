@@ -54,7 +54,8 @@ def instrument_class(instrument) -> Column:
 
 def fixed_decimals(x, digits: int) -> Column:
     """Number with a fixed count of decimals, ``None`` for null."""
-    return F.coalesce(F.format_string(f"%.{digits}f", as_column(x)), F.lit("None"))
+    x = as_column(x)
+    return F.when(x.isNull(), "None").otherwise(F.format_string(f"%.{digits}f", x))
 
 
 def value_and_error(value, err) -> Column:

@@ -141,7 +141,7 @@ def warp_outlier(array: str, limit: float) -> Column:
 
 def bad_images_by_residual(phot: DataFrame, star: list[str], image: list[str], limit: float) -> DataFrame:
     """Images whose weighted mean residual is beyond the limit."""
-    out = stats.image_residuals(stats.residuals(phot, star), image)
+    out = stats.image_residuals(stats.residuals(phot, star), image, None)
     return out.where(F.abs("mean_residual") > limit).select(*image)
 
 

@@ -61,14 +61,14 @@ def residuals(df: DataFrame, keys: list[str], mag: str = "mag", err: str = "mag_
     )
 
 
-def image_residuals(res: DataFrame, keys: list[str], time: str = "hjd") -> DataFrame:
-    """Weighted mean residual per image, scatter about that mean, and mean time."""
+def image_residuals(res: DataFrame, keys: list[str], time: str | None = "hjd") -> DataFrame:
+    """Weighted mean residual per image, scatter about that mean, and mean time if there is a time column."""
     return res.groupBy(*keys).agg(
         F.count("*").alias("n"),
         w.weighted_mean("residual", "residual_err").alias("mean_residual"),
         w.weighted_rms("residual", "residual_err", 0.0).alias("rms"),
         w.weighted_error("residual_err").alias("std_error"),
-        F.avg(time).alias("mean_time"),
+        *([F.avg(time).alias("mean_time")] if time else []),
     )
 
 
