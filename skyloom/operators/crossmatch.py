@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyloom.functions.common import as_column, num
 from skyloom.operators.match import PIXEL, SKY, Metric, match_one_to_one, nearest_within, pairs_within
@@ -173,7 +173,7 @@ def assign_stamps(stars: DataFrame, stamps: DataFrame, cell: int = 256) -> DataF
 def crowding_filter(
     stars: DataFrame, star_id: str, radius: float, flux_ratio: float, edge_percent: float = 10.0, max_stars: int | None = None, flux: str = "flux"
 ) -> DataFrame:
-    """Stars without a close companion, away from the edge, at most ``max_stars`` of the faintest magnitudes' order.
+    """Stars without a close companion and away from the edge; with ``max_stars`` that many, faintest first.
 
     A star falls out if its flux is at least ``flux_ratio`` times that of a neighbour: the ratio is
     star over neighbour as defined, although the text describes the opposite.
@@ -202,8 +202,6 @@ def isolation_filter(detections: DataFrame, image: str, det_id: str, radius: flo
     The ``before`` brightest of each image are looked at; one with a fainter-ranked detection within
     ``radius`` in both axes falls out; the ``after`` brightest that are away from the edge remain.
     """
-    from pyspark.sql import Window
-
     rank = Window.partitionBy(image).orderBy(F.col("flux").desc(), F.col(det_id))
     bright = stored(detections.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= before))
     # at most ``before`` rows per image on both sides of this join

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.common import settled
 from skyloom.operators import sequences as seq
-from skyloom.operators.ordering import contiguous_runs as runs
+from skyloom.operators.ordering import contiguous_runs as runs, with_group_index
 from skyloom.operators.skew import pick_first
 from skyloom.plans.base import Tables, query, r6, with_views
 from skyloom.plans.expressions import rounded
@@ -55,8 +55,6 @@ def dedupe_window(t: Tables):
 @query("time_order", with_views("valid") + f"SELECT star_id, filter, image_id, seq, {r6('hjd')} AS hjd, row_number() OVER (PARTITION BY star_id, filter ORDER BY hjd, image_id, seq) - 1 AS point FROM valid")
 def time_order(t: Tables):
     """Datasets of one filter joined and numbered in time."""
-    from skyloom.operators.ordering import with_group_index
-
     d = with_group_index(t.valid.select("star_id", "filter", "image_id", "seq", "hjd"), ["star_id", "filter"], ["hjd", "image_id", "seq"], "point")
     return rounded(d, ["star_id", "filter", "image_id", "seq", "point"], {"hjd": "hjd"})
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyloom.functions import weights as w
 from skyloom.functions.common import num, settled
-from skyloom.operators import crossmatch, match, quality, stats
+from skyloom.operators import crossmatch, lightcurves, quality, stats
 from skyloom.plans.base import Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import SEXA_SQL, rounded, sexagesimal_texts
 from skyloom.plans.matching import FULL_STAMPS
@@ -105,16 +106,10 @@ def sort_with_defaults(t: Tables):
 def star_selection(t: Tables):
     """All cuts of the definition, also the g and r limits and the proper-motion range."""
     d = t.star_mags.join(t.stars, "star_id").withColumn("parallax", (F.col("star_id") % 100) / 10.0).withColumn("pm", (F.col("star_id") % 77) / 10.0)
-    out = select_stars(d, {"g": 0.03, "r": 0.02, "i": 0.01, "gi": 0.032, "gr": 0.035, "ri": 0.025}, (267.5, -29.5, 0.4), (1.0, 8.0), (0.0, 6.0))
+    out = lightcurves.select_stars(d, {"g": 0.03, "r": 0.02, "i": 0.01, "gi": 0.032, "gr": 0.035, "ri": 0.025}, (267.5, -29.5, 0.4), (1.0, 8.0), (0.0, 6.0))
     return out.select("star_id", "gaia_source_id")
 
 
-def select_stars(d, error_limits, where, parallax, motion):
-    from skyloom.operators.lightcurves import select_stars as run
-
-    return run(d, error_limits, where, parallax, motion)
-
-
 @query("magnitude_colour_box", with_views("star_mags") + f"SELECT star_id, {r6('i')} AS i, {r6('r-i')} AS ri FROM star_mags WHERE r > 0 AND i > 0 AND i BETWEEN 14e0 AND 15e0 AND r-i BETWEEN 0e0 AND 5e-1")
 def magnitude_colour_box(t: Tables):
     d = t.star_mags.where("r > 0 AND i > 0").withColumn("ri", F.col("r") - F.col("i"))
@@ -176,8 +171,6 @@ def image_correction(t: Tables):
     rows = t.valid.withColumn("night", night())
     per_image = stats.image_residuals(stats.residuals(rows, keys), ["night"])
     corrected = quality.correct_by_image(rows, per_image, ["night"])
-    from skyloom.functions import weights as w
-
     means = t.valid.groupBy(*keys).agg(w.weighted_mean("mag", "mag_err").alias("wmean"))
     out = quality.flag_large_errors(corrected, means, keys)
     return out.select("image_id", "seq", "star_id", settled("corr_mag").alias("corr_mag"), settled("corr_mag_err", 4).alias("corr_mag_err"), "error_flag")
