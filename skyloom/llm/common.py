@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import array
 import functools
+import sys
 import zlib
 from collections.abc import Callable
 
@@ -62,23 +64,28 @@ class WordCache(dict):
     LIMIT = 400_000
 
     def __init__(self, path: str, lead: str):
-        self.tokenizer, self.lead = _tokenizer(path), lead
+        self.tokenizer, self.lead, self.older = _tokenizer(path), lead, {}
 
     def whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __missing__(self, piece: str):
-        # an empty piece or one that starts with white space may continue a run of white space
-        safe = not self.lead or (piece and not piece[0].isspace())
-        out = self.whole(self.lead + piece) if safe else None
+        if piece in self.older:
+            out = self.older[piece]
+        else:
+            # an empty piece or one that starts with white space may continue a run of white space
+            safe = not self.lead or (piece and not piece[0].isspace())
+            out = self.whole(self.lead + piece) if safe else None
         if len(piece) <= 40:
             self[piece] = out
         return out
 
     def encode(self, text: str) -> bytes:
         if len(self) > self.LIMIT:
+            self.older = dict(self)
             self.clear()
         first, *rest = text.split(" ")
         try:
@@ -89,7 +96,7 @@ class WordCache(dict):
 
 @functools.lru_cache(maxsize=4)
 def word_cache(path: str, lead: str) -> WordCache:
-    """One cache per Python worker; it outlives a task and is emptied at its limit."""
+    """One cache per Python worker; it outlives a task and forgets what it has not used for long."""
     return WordCache(path, lead)
 
 
