@@ -52,6 +52,23 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordCache(dict):
     """Ids of space-separated pieces as little-endian uint32 bytes, encoded once by the tokenizers library.
 
@@ -61,20 +78,31 @@ class WordCache(dict):
     belongs to a piece (byte-level vocabularies) or empty (vocabularies that drop white space).
     """
 
-    LIMIT = 400_000
+    LIMIT = 600_000
 
     def __init__(self, path: str, lead: str):
         self.tokenizer, self.lead, self.older = _tokenizer(path), lead, {}
+        self.model = self.tokenizer.model
+        self.marks = functools.lru_cache(maxsize=1_000)(self.whole)
 
     def whole(self, text: str) -> bytes:
-        ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, piece: str) -> bytes:
+        """Ids of a piece that is one word of Latin letters: one pre-token, which the model takes as it is."""
+        piece = self.lead + piece if self.lead else piece.lower()
+        return _as_bytes([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_LETTERS))])
 
     def __missing__(self, piece: str):
+        stem = piece.rstrip(".,;:!?")
         if piece in self.older:
             out = self.older[piece]
+        elif piece.isalpha() and max(piece) < "\u0180" and "\u0130" not in piece:
+            out = self.word(piece)
+        elif stem and stem != piece and stem[-1].isascii() and stem[-1].isalpha():
+            # a pre-token of letters ends before punctuation, so a word and its marks are encoded apart
+            out = self[stem]
+            out = None if out is None else out + self.marks(piece[len(stem):])
         else:
             # an empty piece or one that starts with white space may continue a run of white space
             safe = not self.lead or (piece and not piece[0].isspace())
