@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from skyloom.session import stored
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,6 +37,25 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def text_digest(column: str = "text") -> Column:
+    """SHA-256 of the text as 32 bytes."""
+    return F.unhex(F.sha2(text_of(column).cast("binary"), 256))
+
+
+def rows_that_stay(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (doc_id, digest), with all their columns.
+
+    Of rows that repeat a doc_id and a text one stays; the pass that drops the others runs only if a
+    doc_id repeats at all.
+    """
+    marked = docs.withColumn("_own", text_digest())
+    names = stored(kept.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")))
+    left = marked.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates(["doc_id", "_own"])
+    return left.drop("_own")
+
+
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """Number of partitions that keeps each at about ``per_part`` rows, however many rows there are."""
     return max(least, -(-rows // per_part))

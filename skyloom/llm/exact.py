@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyloom.llm import fuse
-from skyloom.llm.common import parts_for, read_table, register, text_of
+from skyloom.llm.common import parts_for, read_table, register, rows_that_stay, text_of
 from skyloom.session import stored
 
 KEYS_PER_FILTER = 200_000
@@ -108,14 +108,8 @@ def newest_batch(column: str = "doc_id") -> Column:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of :func:`exact_groups` that stay, with all columns of ``docs``."""
-    groups = exact_groups(docs, newest_batch())
-    kept = stored(groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    marked = docs.withColumn("_own", F.sha2(text_of().cast("binary"), 256))
-    left = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        left = left.dropDuplicates(["doc_id", "_own"])
-    return left.drop("_own")
+    kept = exact_groups(docs, newest_batch()).where("kept")
+    return rows_that_stay(docs, kept.select("doc_id", F.unhex("text_sha256").alias("digest")))
 
 
 SQL = """
