@@ -1,4 +1,4 @@
 """Operators for training-data corpora. Nothing else in the library imports this package."""
 
-from skyloom.llm import exact, leaks, near, packing, secrets, toxicity, urls  # noqa: F401  (registration happens on import)
+from skyloom.llm import exact, leaks, near, packing, repeats, secrets, toxicity, urls  # noqa: F401  (registration happens on import)
 from skyloom.llm.common import ORACLES, QUERIES  # noqa: F401
