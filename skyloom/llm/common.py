@@ -48,12 +48,21 @@ def rows_that_stay(docs: DataFrame, kept: DataFrame) -> DataFrame:
     Of rows that repeat a doc_id and a text one stays; the pass that drops the others runs only if a
     doc_id repeats at all.
     """
-    marked = docs.withColumn("_own", text_digest())
-    names = stored(kept.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")))
-    left = marked.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    own, doc_id, digest = (unused(docs, c) for c in ("own", "id", "digest"))
+    marked = docs.withColumn(own, text_digest())
+    names = stored(kept.select(F.col("doc_id").alias(doc_id), F.col("digest").alias(digest)))
+    left = marked.join(names, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(digest)), "left_semi")
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates(["doc_id", "_own"])
-    return left.drop("_own")
+        left = left.dropDuplicates(["doc_id", own])
+    return left.drop(own)
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:

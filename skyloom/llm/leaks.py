@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm.common import parts_for, read_table, register, text_of
+from skyloom.llm.common import parts_for, read_table, register, text_of, unused
 
 EDITS = 0.2  # edits allowed for each word of an item: similarity of 0.8 or more
 WALKS, SAMPLES, COORDINATES = 8, 6, 4
@@ -228,8 +228,9 @@ def _searcher(index):
 
 def drop_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows that hold no item, with all columns. A null doc_id is kept only if no row with a null doc_id leaks."""
-    leaking = find_leaks(docs, items).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    name = unused(docs, "leaking")
+    leaking = find_leaks(docs, items).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 @register("op3_decontamination")

@@ -91,7 +91,7 @@ FEATURES = 1 << 16
 NEGATIVES = 2_000  # ordinary paragraphs that the model is trained on, at most
 NEGATIVE_CHARS = 400
 VARIANTS = 40  # altered copies of each template
-LONGEST, STRIDE = 40, 20  # words of a piece of a long paragraph, and the step between pieces
+LONGEST, STRIDE = 24, 8  # words of a piece of a long paragraph, and the step between pieces
 SURE, LIKE = 0.7, 0.5  # probability of a family, and share of a template's word pairs that confirms it
 MARKS = ".,;:!?|()\"'"
 FOUND = "doc_id long, first_word int, end_word int, family string, probability double, likeness double"

@@ -50,26 +50,30 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     return rows.mapInArrow(cut, schema)
 
 
-def fullest(available: dict[int, int], room: int) -> dict[int, int]:
+def fullest(available: dict[int, int], room: int, hot: int | None = None) -> dict[int, int]:
     """The combination of available lengths with the largest total up to ``room``: bitset subset sums.
 
     Bit s of the set says that total s can be reached. Counts are split into powers of two, so a
     length costs a few shifts; the sets before each step give the combination back. Longer lengths
-    come first, so among equal totals they are preferred.
+    come first, so among equal totals they are preferred; but most of all the length ``hot``.
     """
-    if room <= 0:
-        return {}
-    mask, reach, steps = (1 << (room + 1)) - 1, 1, []
-    for length in sorted((n for n, c in available.items() if c > 0 and n <= room), reverse=True):
+    most = min(available.get(hot, 0), room // hot) if hot else 0
+    mask, reach, steps = (1 << (max(room, 0) + 1)) - 1, 1, []
+    for length in sorted((n for n, c in available.items() if c > 0 and n <= room and n != hot), reverse=True):
         left, take = min(available[length], room // length), 1
         while left > 0:
             take = min(take, left)
             steps.append((length, take, reach))
             reach |= (reach << (length * take)) & mask
             left, take = left - take, take * 2
-        if reach >> room:
+        if reach >> (room - most * hot if hot else room) & 1:
             break
-    total, chosen = reach.bit_length() - 1, {}
+    best, total, chosen = -1, 0, {}
+    for times in range(most, -1, -1):
+        own = times * hot if hot else 0
+        beside = (reach & ((1 << (max(room, 0) - own + 1)) - 1)).bit_length() - 1
+        if own + beside > best:
+            best, total, chosen = own + beside, beside, {hot: times} if times else {}
     for length, take, before in reversed(steps):
         if not before >> total & 1:
             total -= length * take
@@ -82,14 +86,22 @@ def bin_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tu
 
     Each bin takes the longest length left and the fullest combination beside it. The same bin is
     repeated while its lengths last, so every step leaves too few of some length for another one: the
-    number of steps depends on ``capacity``, not on the number of pieces.
+    number of steps depends on ``capacity``, not on the number of pieces. A length that very many
+    pieces share must be used while there is something to go with it, so the bins are also made
+    with the length that fills most room preferred; the way that ends with fewer bins is kept.
     """
+    heavy = max(histogram, key=lambda n: (n * histogram[n], n), default=None)
+    ways = [_patterns(histogram, capacity, hot) for hot in (None, heavy)]
+    return min(ways, key=lambda way: sum(times for times, _ in way))
+
+
+def _patterns(histogram: dict[int, int], capacity: int, hot: int | None) -> list[tuple[int, dict[int, int]]]:
     left = {n: c for n, c in histogram.items() if c > 0}
     out = []
     while left:
         longest = max(left)
         rest = left | {longest: left[longest] - 1}
-        content = fullest(rest, capacity - longest)
+        content = fullest(rest, capacity - longest, hot)
         content[longest] = content.get(longest, 0) + 1
         times = min(left[n] // c for n, c in content.items())
         out.append((times, content))

@@ -69,20 +69,24 @@ def _at(char: Column) -> Column:
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(random, token): what the fixed patterns find are random strings, other identifiers are ordinary."""
+    """(random, token), each token once: what the fixed patterns find are random strings, identifiers of two or more documents are ordinary.
+
+    A random string that no pattern knows hardly ever recurs, so it does not pass for an identifier.
+    """
     text = text_of()
     base = base_spans(text)
     values = F.concat(
         F.transform(base["assign"], lambda s: F.regexp_extract(s["hit"], KINDS[0][1], 2)),
         F.transform(base["access"], lambda s: s["hit"]), F.transform(base["hex"], lambda s: s["hit"]),
     )
-    # identifiers count once for each document; a value is never its own counterexample
+    # identifiers count once for each document, and none that is part of a found value
     split = docs.select(values.alias("values"), F.array_distinct(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))).alias("words"))
     words = F.filter("words", lambda w: ~F.exists("values", lambda v: F.contains(v, w) | F.contains(w, v)))
-    return split.select(F.inline(F.concat(
+    tokens = split.select(F.inline(F.concat(
         F.transform("values", lambda v: F.struct(F.lit(True).alias("random"), v.alias("token"))),
         F.transform(words, lambda w: F.struct(F.lit(False).alias("random"), w.alias("token"))),
     )))
+    return tokens.groupBy("random", "token").agg(F.count("*").alias("n")).where("random or n > 1").drop("n")
 
 
 def train(samples: DataFrame) -> tuple[list[float], float]:
