@@ -16,6 +16,11 @@ def num(x: float) -> Column:
     return F.lit(float(x))
 
 
+def ratio(a, b) -> Column:
+    """a / b, null where b is 0: one odd row must not end a job under ANSI rules."""
+    return F.try_divide(as_column(a), as_column(b))
+
+
 def polynomial(x, coefficients: list[float]) -> Column:
     """Sum of c[n]·x^n, evaluated from the highest power down."""
     x = as_column(x)

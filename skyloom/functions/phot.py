@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-from skyloom.functions.common import as_column, num, polynomial, quadrature
+from skyloom.functions.common import as_column, num, polynomial, quadrature, ratio
 
 # fixed values: zero points of instrumental and model magnitudes
 INSTRUMENT_ZP = 25.0
@@ -37,9 +37,9 @@ COLOUR_SENTINEL = -99.999
 def flux_to_mag(flux, flux_err, zero_point: float = INSTRUMENT_ZP, exposure=None) -> tuple[Column, Column]:
     """Magnitude and error; 0 and 0 where the flux is not positive or its error negative."""
     flux, flux_err = as_column(flux), as_column(flux_err)
-    fraction = flux_err / flux
+    fraction = ratio(flux_err, flux)
     if exposure is not None:
-        flux = flux / as_column(exposure)
+        flux = ratio(flux, exposure)
     ok = (flux > 0) & (flux_err >= 0)
     mag = F.when(ok, num(zero_point) - 2.5 * F.log10(flux)).otherwise(num(0.0))
     return mag, F.when(ok, num(MAG_PER_LN) * fraction).otherwise(num(0.0))

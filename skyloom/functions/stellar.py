@@ -7,7 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, functions as F
 
-from skyloom.functions.common import as_column, num, polynomial, quadrature
+from skyloom.functions.common import as_column, num, polynomial, quadrature, ratio
 from skyloom.functions.sky import galactic_longitude_latitude
 
 # fixed values: SI constants
@@ -101,7 +101,7 @@ def red_clump_apparent(band: str, kpc) -> Column:
 
 def red_clump_apparent_i(kpc) -> Column:
     """Apparent I from the clump at the Galactic centre."""
-    return num(CLUMP_I) + 5.0 * F.log10(num(CENTRE_KPC) / as_column(kpc))
+    return num(CLUMP_I) + 5.0 * F.log10(ratio(num(CENTRE_KPC), kpc))
 
 
 def distance_pc(app, app_err, absolute, abs_err) -> tuple[Column, Column]:
@@ -127,7 +127,7 @@ def log_angular_diameter(table: tuple, mag, mag_err, colour, colour_err) -> tupl
 
 def angular_radius_muas(log_diameter, log_diameter_err) -> tuple[Column, Column]:
     diameter = F.pow(num(10.0), as_column(log_diameter)) * 1000.0
-    return diameter / 2.0, as_column(log_diameter_err) / F.abs(as_column(log_diameter)) * diameter / 2.0
+    return diameter / 2.0, ratio(log_diameter_err, F.abs(as_column(log_diameter))) * diameter / 2.0
 
 
 def muas_to_rad(x) -> Column:
@@ -141,7 +141,7 @@ def rad_to_muas(x) -> Column:
 def radius_at_distance(theta_muas, theta_err, pc) -> tuple[Column, Column]:
     """Radius in solar radii of an angular radius seen at a distance."""
     r = as_column(pc) * num(PARSEC) * F.sin(muas_to_rad(theta_muas)) / num(R_SUN)
-    return r, as_column(theta_err) / as_column(theta_muas) * r
+    return r, ratio(theta_err, theta_muas) * r
 
 
 def torres_radius(teff, logg, metallicity) -> tuple[Column, Column]:
@@ -149,7 +149,7 @@ def torres_radius(teff, logg, metallicity) -> tuple[Column, Column]:
     x, g = F.log10(as_column(teff)) - 4.1, as_column(logg)
     log_r = polynomial(x, [b1, b2, b3, b4]) + num(b5) * g * g + num(b6) * g * g * g + num(b7) * as_column(metallicity)
     r = F.pow(num(10.0), log_r)
-    return r, F.abs(num(TORRES_SCATTER) / log_r) * r
+    return r, F.abs(ratio(num(TORRES_SCATTER), log_r)) * r
 
 
 def distance_from_radius_pc(radius, radius_err, theta_muas, theta_err) -> tuple[Column, Column]:
@@ -157,8 +157,8 @@ def distance_from_radius_pc(radius, radius_err, theta_muas, theta_err) -> tuple[
 
     The published code mixes 1/σθ and 1/θ² in the second term; the documented meaning is built here.
     """
-    d = as_column(radius) * num(R_SUN) / F.tan(muas_to_rad(theta_muas)) / num(PARSEC)
-    fr, ft = as_column(radius_err) / as_column(radius), as_column(theta_err) / as_column(theta_muas)
+    d = ratio(as_column(radius) * num(R_SUN), F.tan(muas_to_rad(theta_muas))) / num(PARSEC)
+    fr, ft = ratio(radius_err, radius), ratio(theta_err, theta_muas)
     return d, F.sqrt(fr * fr + ft * ft) * d
 
 
@@ -224,4 +224,4 @@ def interpolate_spline(x, knots: list[float], values: list[float]) -> Column:
 def band_reddening(ebv, ebv_err, rv, band: str) -> tuple[Column, Column]:
     """Extinction in a band from E(B−V), with R_V interpolated in the table."""
     total = interpolate_linear(rv, RV_GRID, RV_TABLE[band]) * as_column(ebv)
-    return total, as_column(ebv_err) / as_column(ebv) * total
+    return total, ratio(ebv_err, ebv) * total

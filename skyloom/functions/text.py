@@ -11,16 +11,16 @@ SLOAN = {"gp": "g", "rp": "r", "ip": "i"}
 
 
 def dataset_parts(code) -> dict[str, Column]:
-    """Parts of ``FIELD_site-enclosure-telescope-n-instrument_filter``."""
+    """Parts of ``FIELD_site-enclosure-telescope-n-instrument_filter``; null for what a malformed code lacks."""
     pieces = F.split(as_column(code), "_")
-    place = F.split(pieces[1], "-")
+    place = F.split(F.get(pieces, F.lit(1)), "-")
     return {
-        "field": pieces[0],
-        "site": place[0],
-        "enclosure": place[1],
-        "telescope": place[2],
-        "instrument": F.element_at(place, -1),
-        "filter": F.element_at(pieces, -1),
+        "field": F.get(pieces, F.lit(0)),
+        "site": F.get(place, F.lit(0)),
+        "enclosure": F.get(place, F.lit(1)),
+        "telescope": F.get(place, F.lit(2)),
+        "instrument": F.try_element_at(place, F.lit(-1)),
+        "filter": F.try_element_at(pieces, F.lit(-1)),
     }
 
 
@@ -61,7 +61,7 @@ def fixed_decimals(x, digits: int) -> Column:
 def value_and_error(value, err) -> Column:
     """``value +/- error``, both rounded to the digit that the error-to-value ratio supports."""
     value, err = as_column(value), as_column(err)
-    digits = F.abs(F.log10(err / F.abs(value)).cast("int"))
+    digits = F.abs(F.log10(F.try_divide(err, F.abs(value))).cast("int"))
 
     def shown(x: Column) -> Column:
         scale = F.pow(F.lit(10.0), digits)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from skyloom.functions.common import as_column, num, quadrature
+from skyloom.functions.common import as_column, num, quadrature, ratio
 
 # fixed values: SDSS → Johnson-Cousins colours (Jester et al. 2005): output, input, slope, offset, scatter
 TO_JOHNSON_COLOURS = [
@@ -67,13 +67,13 @@ def johnson_to_sdss(values: dict[str, Column | str]) -> dict[str, Column]:
         if source in values:
             x = as_column(values[source])
             out[name] = num(slope) * x + num(offset)
-            out[name + "_err"] = quadrature(out[name] / x * as_column(values[source + "_err"]), scatter)
+            out[name + "_err"] = quadrature(ratio(out[name], x) * as_column(values[source + "_err"]), scatter)
     if "v" in values and "bv" in values:
         v, bv = as_column(values["v"]), as_column(values["bv"])
         for name, slope, offset, scatter in TO_SDSS_MAGS:
             m = v + num(slope) * bv + num(offset)
             out[name] = m
-            out[name + "_err"] = quadrature(m / v * as_column(values["v_err"]), m / bv * as_column(values["bv_err"]), scatter)
+            out[name + "_err"] = quadrature(ratio(m, v) * as_column(values["v_err"]), ratio(m, bv) * as_column(values["bv_err"]), scatter)
     return out
 
 

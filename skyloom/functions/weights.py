@@ -4,33 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from skyloom.functions.common import as_column, num
+from skyloom.functions.common import as_column, num, ratio
 
 
 def inverse_variance(err) -> Column:
     err = as_column(err)
-    return 1.0 / (err * err)
+    return ratio(num(1.0), err * err)
 
 
 def weighted_mean(value, err) -> Column:
     w = inverse_variance(err)
-    return F.sum(as_column(value) * w) / F.sum(w)
+    return ratio(F.sum(as_column(value) * w), F.sum(w))
 
 
 def weighted_error(err) -> Column:
-    return F.sqrt(1.0 / F.sum(inverse_variance(err)))
+    return F.sqrt(ratio(num(1.0), F.sum(inverse_variance(err))))
 
 
 def weighted_variance_of_mean(err) -> Column:
     """1/Σ(1/σ²): the variance, for callers that want no root."""
-    return 1.0 / F.sum(inverse_variance(err))
+    return ratio(num(1.0), F.sum(inverse_variance(err)))
 
 
 def weighted_rms(value, err, around: float = 17.0) -> Column:
     """Weighted scatter about the weighted mean in one pass; ``around`` keeps the sums small."""
     w, d = inverse_variance(err), as_column(value) - num(around)
-    mean = F.sum(w * d) / F.sum(w)
-    return F.sqrt(F.greatest(F.sum(w * d * d) / F.sum(w) - mean * mean, num(0.0)))
+    mean = ratio(F.sum(w * d), F.sum(w))
+    return F.sqrt(F.greatest(ratio(F.sum(w * d * d), F.sum(w)) - mean * mean, num(0.0)))
 
 
 def tls_slope(x, y) -> Column:
@@ -38,7 +38,7 @@ def tls_slope(x, y) -> Column:
     x, y = as_column(x), as_column(y)
     sxx, syy, sxy = F.var_pop(x), F.var_pop(y), F.covar_pop(x, y)
     d = syy - sxx
-    return F.when(F.abs(sxy) > num(1e-300), (d + F.sqrt(d * d + 4 * sxy * sxy)) / (2 * sxy))
+    return F.when(F.abs(sxy) > num(1e-300), ratio(d + F.sqrt(d * d + 4 * sxy * sxy), 2 * sxy))
 
 
 def tls_intercept(x, y) -> Column:
@@ -47,4 +47,4 @@ def tls_intercept(x, y) -> Column:
 
 def centroid(position, weight) -> Column:
     weight = as_column(weight)
-    return F.sum(as_column(position) * weight) / F.sum(weight)
+    return ratio(F.sum(as_column(position) * weight), F.sum(weight))

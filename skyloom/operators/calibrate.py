@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyloom.functions import phot as p, weights as w
-from skyloom.functions.common import num, quadrature
+from skyloom.functions.common import num, quadrature, ratio
 from skyloom.operators import stats
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
 from skyloom.session import stored
@@ -74,7 +74,7 @@ def fit_line(points: DataFrame, keys: list[str], x: str, y: str, weight: str | N
     total = F.sum("_w")
 
     def mean(c: Column) -> Column:
-        return F.sum(c * F.col("_w")) / total
+        return ratio(F.sum(c * F.col("_w")), total)
 
     centre = d.groupBy(*keys).agg(total.alias("_n"), mean(F.col("_x")).alias("_mx"), mean(F.col("_y")).alias("_my"))
     dx, dy = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
@@ -82,13 +82,13 @@ def fit_line(points: DataFrame, keys: list[str], x: str, y: str, weight: str | N
         F.max("_n").alias("_n"), F.max("_mx").alias("_mx"), F.max("_my").alias("_my"), mean(dx * dx).alias("_sxx"), mean(dy * dy).alias("_syy"), mean(dx * dy).alias("_sxy")
     )
     gap = F.col("_syy") - F.col("_sxx")
-    slope = F.when(F.abs("_sxy") > num(1e-300), (gap + F.sqrt(gap * gap + 4 * F.col("_sxy") * F.col("_sxy"))) / (2 * F.col("_sxy")))
+    slope = F.when(F.abs("_sxy") > num(1e-300), ratio(gap + F.sqrt(gap * gap + 4 * F.col("_sxy") * F.col("_sxy")), 2 * F.col("_sxy")))
     line = second.withColumn("a", slope).withColumn("b", F.col("_my") - F.col("a") * F.col("_mx"))
     # all moments of the residuals follow from the second moments
     variance = (F.col("_syy") - 2 * F.col("a") * F.col("_sxy") + F.col("a") * F.col("a") * F.col("_sxx")) * F.col("_n") / F.greatest(F.col("_n") - 2, num(1.0))
-    spread = F.greatest(variance, num(0.0)) / (F.col("_n") * F.col("_sxx"))
+    spread = ratio(F.greatest(variance, num(0.0)), F.col("_n") * F.col("_sxx"))
     out = line.withColumn("c00", spread).withColumn("c01", -F.col("_mx") * spread).withColumn(
-        "c11", F.greatest(variance, num(0.0)) / F.col("_n") + F.col("_mx") * F.col("_mx") * spread
+        "c11", ratio(F.greatest(variance, num(0.0)), F.col("_n")) + F.col("_mx") * F.col("_mx") * spread
     ).withColumn("scatter", F.sqrt(F.greatest(variance, num(0.0))))
     keep = [k for k in keys if k != "_all"]
     return out.select(*keep, F.col("_n").cast("bigint").alias("n_points"), "a", "b", "c00", "c01", "c11", "scatter")
@@ -225,13 +225,13 @@ def line_with_two_errors(points: DataFrame, keys: list[str], x: str, y: str, x_e
     rows = points.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"), F.col(x_err).alias("_sx"), F.col(y_err).alias("_sy"))
     state = rows.groupBy(*keys).agg(F.regr_slope("_y", "_x").alias("slope"))
     vx, vy = F.col("_sx") * F.col("_sx"), F.col("_sy") * F.col("_sy")
-    weight = 1.0 / (vy + F.col("slope") * F.col("slope") * vx)
+    weight = ratio(num(1.0), vy + F.col("slope") * F.col("slope") * vx)
     centre_cols = [w.centroid("_x", weight).alias("_mx"), w.centroid("_y", weight).alias("_my"), F.max("slope").alias("slope"), F.count("*").alias("n")]
     for _ in range(rounds):
         centre = rows.join(state, keys).groupBy(*keys).agg(*centre_cols)
         u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
         beta = weight * (u * vy + F.col("slope") * v * vx)
-        step = rows.join(centre, keys).groupBy(*keys).agg((F.sum(weight * beta * v) / F.sum(weight * beta * u)).alias("slope"))
+        step = rows.join(centre, keys).groupBy(*keys).agg(ratio(F.sum(weight * beta * v), F.sum(weight * beta * u)).alias("slope"))
         state = stored(step)
     centre = rows.join(state, keys).groupBy(*keys).agg(*centre_cols)
     u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
@@ -240,10 +240,10 @@ def line_with_two_errors(points: DataFrame, keys: list[str], x: str, y: str, x_e
         F.max("_mx").alias("_mx"), F.max("_my").alias("_my"), F.max("slope").alias("slope"), F.max("n").alias("n"),
         F.sum(weight).alias("_w"), w.centroid(adjusted, weight).alias("_ax"), F.sum(weight * adjusted * adjusted).alias("_axx"),
     )
-    var_slope = 1.0 / (F.col("_axx") - F.col("_w") * F.col("_ax") * F.col("_ax"))
+    var_slope = ratio(num(1.0), F.col("_axx") - F.col("_w") * F.col("_ax") * F.col("_ax"))
     return inner.select(
         *keys, "n", "slope", (F.col("_my") - F.col("slope") * F.col("_mx")).alias("intercept"), F.sqrt(var_slope).alias("slope_err"),
-        F.sqrt(1.0 / F.col("_w") + F.col("_ax") * F.col("_ax") * var_slope).alias("intercept_err"),
+        F.sqrt(ratio(num(1.0), F.col("_w")) + F.col("_ax") * F.col("_ax") * var_slope).alias("intercept_err"),
     )
 
 
@@ -251,7 +251,7 @@ def source_colour(fits: DataFrame) -> DataFrame:
     """Colour −2.5 log10(slope) with its relative error, blend flux = intercept; null for a negative slope."""
     ok = F.col("slope") > 0
     colour = F.when(ok, -2.5 * F.log10("slope"))
-    return fits.select("*", colour.alias("colour"), F.when(ok, F.abs(F.col("slope_err") / F.col("slope") * colour)).alias("colour_err"))
+    return fits.select("*", colour.alias("colour"), F.when(ok, F.abs(ratio(F.col("slope_err"), F.col("slope")) * colour)).alias("colour_err"))
 
 
 def plane_fit(pairs: DataFrame, keys: list[str], x: str, y: str, z: str) -> list[Column]:
@@ -259,7 +259,7 @@ def plane_fit(pairs: DataFrame, keys: list[str], x: str, y: str, z: str) -> list
     sxx, syy, sxy = F.var_pop(x), F.var_pop(y), F.covar_pop(x, y)
     sxz, syz = F.covar_pop(x, z), F.covar_pop(y, z)
     det = sxx * syy - sxy * sxy
-    a, b = (sxz * syy - syz * sxy) / det, (syz * sxx - sxz * sxy) / det
+    a, b = ratio(sxz * syy - syz * sxy, det), ratio(syz * sxx - sxz * sxy, det)
     return [a, b, F.avg(z) - a * F.avg(x) - b * F.avg(y)]
 
 

@@ -27,8 +27,8 @@ def upsert_last_wins(existing: DataFrame, new: DataFrame, keys: list[str], arriv
 
 
 def update_cells(base: DataFrame, patch: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Base table with the non-null cells of a patch table put over it."""
-    renamed = patch.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    """Base table with the non-null cells of a patch table put over it; of several values for a cell the largest."""
+    renamed = patch.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in columns])
     joined = base.join(renamed, key, "left")
     return joined.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns])
 

@@ -13,11 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions import sky
-from skyloom.operators.skew import hot_limit, pick_first
+from skyloom.operators.skew import pick_first
 from skyloom.session import cut_lineage
 
 # Copies of the smaller side one cell may hold before the cell is split.
 HOT_CELL_ROWS = 20_000
+CELL_CONF = "skyloom.hotCellRows"
 CELL = ["_zone", "_cell"]
 
 
@@ -65,7 +66,7 @@ PIXEL = Metric("x", "y", False)
 
 
 def _cell_limit(df: DataFrame) -> int:
-    return hot_limit(df.sparkSession, HOT_CELL_ROWS)
+    return int(df.sparkSession.conf.get(CELL_CONF, str(HOT_CELL_ROWS)))
 
 
 def _may_be_crowded(df: DataFrame, metric: Metric, radius: float, limit: int) -> bool:

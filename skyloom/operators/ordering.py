@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from skyloom.operators.skew import join_groups
 from skyloom.session import cut_lineage
 
 # monotonically_increasing_id keeps the row number within the partition in the low 33 bits.
@@ -31,7 +32,7 @@ def with_group_index(df: DataFrame, keys: list[str], order: list, index: str = "
     """0-based numbers that restart for every key."""
     numbered = with_row_index(df, [*keys, *order], "_global")
     first = numbered.groupBy(*keys).agg(F.min("_global").alias("_first"))
-    return numbered.join(first, keys).select(*df.columns, (F.col("_global") - F.col("_first")).alias(index))
+    return join_groups(numbered, first, keys).select(*df.columns, (F.col("_global") - F.col("_first")).alias(index))
 
 
 CHUNK_ROWS = 50_000

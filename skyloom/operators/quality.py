@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyloom.functions import sky
-from skyloom.functions.common import num, quadrature
+from skyloom.functions.common import num, quadrature, ratio
 from skyloom.functions.phot import max_expected_error
 from skyloom.operators import stats
 from skyloom.operators.quantiles import aggregate_with_quantiles
@@ -66,9 +66,9 @@ def assess_images(df: DataFrame, limits: Limits = Limits()) -> DataFrame:
         return F.when(any_bad, 0).otherwise(1)
 
     reasons = [
-        (none, "No stars detected in frame"), (wide, "FWHM exceeds threshold"), (negative, "FWHM negative"),
-        (bright, "Sky background exceeds threshold for photometry"), (bright_ref, "Sky background exceeds threshold for reference"),
-        (lost, "Telescope pointing error exceeds threshold"),
+        (none, "frame without stars"), (wide, "FWHM above its limit"), (negative, "FWHM below zero"),
+        (bright, "Sky too bright for photometry"), (bright_ref, "Sky too bright for a reference"),
+        (lost, "pointing off the target"),
     ]
     text = F.array_join(F.array_compact(F.array(*[F.when(c, r) for c, r in reasons])), ", ")
     return df.select(
@@ -110,12 +110,12 @@ def reference_rank(images: DataFrame, group: list[str], image: str, n_best: int,
     zero_rate, target, aperture = 1.47371235e9, 19.0, 0.67
     signal = num(zero_rate * 10.0 ** (-0.4 * target) * gain) * F.col("exposure")
     n_pixels = num(3.141592653589793 * pixel_scale) * (num(aperture) * F.col("fwhm")) * (num(aperture) * F.col("fwhm"))
-    snr = signal / F.sqrt(signal + n_pixels * (F.col("sky") * gain + read_noise**2))
+    snr = ratio(signal, F.sqrt(signal + n_pixels * (F.col("sky") * gain + read_noise**2)))
     good = (
         (F.col("use_ref") == 1) & (F.col("nstars") > 34) & (F.col("fwhm") * pixel_scale < 3.0) & (moon_class("moon_fraction", "moon_distance") != "bright")
     )
     scored = images.select(
-        *group, image, F.when(good, 0).otherwise(1).alias("tier"), F.when(good, snr).otherwise(F.col("nstars") / F.col("sky")).alias("score")
+        *group, image, F.when(good, 0).otherwise(1).alias("tier"), F.when(good, snr).otherwise(ratio(F.col("nstars"), F.col("sky"))).alias("score")
     )
     # the group limit is pushed below the shuffle, so each task sends at most n_best rows per dataset
     order = Window.partitionBy(*group).orderBy("tier", F.col("score").desc(), image)
@@ -131,8 +131,8 @@ def sort_with_defaults(images: DataFrame, metrics: DataFrame, image: str, column
 
 
 def scale_per_exposure(scale, exposure, reference_exposure) -> Column:
-    """pscale × reference exposure / exposure; null where the scale is 0 (not measured)."""
-    return F.when(F.col(scale) != 0, F.col(scale) * reference_exposure / F.col(exposure))
+    """pscale × reference exposure / exposure; null where the scale is 0 (not measured) or the exposure is 0."""
+    return F.when(F.col(scale) != 0, ratio(F.col(scale) * reference_exposure, F.col(exposure)))
 
 
 def warp_outlier(array: str, limit: float) -> Column:

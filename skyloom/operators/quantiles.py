@@ -6,10 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyloom.operators.skew import hot_groups, hot_limit
+from skyloom.operators.skew import hot_groups, hot_limit, join_groups
 from skyloom.session import cut_lineage
 
 BINS = 4096
+FINAL_ROWS = 100_000  # rows of a bin that are sorted rather than divided again
+BROADCAST_BOXES = 100_000
+
+
+def _value(column: str) -> Column:
+    """The value as double; NaN is missing, as null is, on every path."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
 def aggregate_with_quantiles(
@@ -27,7 +34,7 @@ def aggregate_with_quantiles(
     spark = df.sparkSession
     limit = hot_limit(spark)
     plain = [
-        F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs])).alias(name)
+        F.percentile(_value(c), F.array(*[F.lit(float(p)) for p in probs])).alias(name)
         for name, (c, probs) in quantiles.items()
     ]
     if not keys:
@@ -38,11 +45,11 @@ def aggregate_with_quantiles(
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*aggregates, *plain)
     hot = cut_lineage(hot)
-    cold = df.join(hot, keys, "left_anti").groupBy(*keys).agg(*aggregates, *plain)
-    rows = df.join(hot, keys, "left_semi")
+    cold = join_groups(df, hot, keys, "left_anti").groupBy(*keys).agg(*aggregates, *plain)
+    rows = join_groups(df, hot, keys, "left_semi")
     parts = [rows.groupBy(*keys).agg(*aggregates)] if aggregates else [hot]
     parts += [hot_quantiles(rows, keys, c, probs, name) for name, (c, probs) in quantiles.items()]
-    warm = reduce(lambda a, b: a.join(b, keys, "left"), parts)
+    warm = reduce(lambda a, b: join_groups(a, b, keys, "left"), parts)
     return cold.unionByName(warm)
 
 
@@ -50,14 +57,14 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     return aggregate_with_quantiles(df, keys, [], {name: (value, probs)})
 
 
-def hot_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], name: str, levels: int = 2) -> DataFrame:
+def hot_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], name: str) -> DataFrame:
     """Exact quantiles by repeated histograms.
 
     Each level counts rows per (key, bin), finds the bin of every wanted rank by a running sum
-    over at most ``BINS`` rows and keeps only rows of those bins. What is left is counted per
-    distinct value, so repeated values cost one row.
+    over at most ``BINS`` rows and keeps only rows of those bins, until every wanted bin holds at
+    most ``FINAL_ROWS`` rows or a single value. What is left is counted per distinct value.
     """
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = df.select(*keys, _value(value).alias("_v")).where(F.col("_v").isNotNull())
     span = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     wanted = span.select(
         *keys, "_n", "_lo", "_hi", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_pos", "_p")
@@ -68,13 +75,15 @@ def hot_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]
         *keys, "_lo", "_hi", "_pos", "_at", F.col("_rank").alias("_target"), F.col("_rank")
     )
     targets = cut_lineage(targets)
-    for _ in range(levels):
+    # a box for each hot group and probability: sent to the tasks unless there are very many hot groups
+    send = F.broadcast if targets.count() <= BROADCAST_BOXES else lambda x: x
+    while True:
         box = [*keys, "_lo", "_hi"]
         boxes = targets.select(*box).distinct()
         width = (F.col("_hi") - F.col("_lo")) / BINS
         bin_no = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(BINS - 1))).otherwise(0)
         inside = (
-            rows.join(boxes, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).withColumn("_bin", bin_no)
+            join_groups(rows, send(boxes), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).withColumn("_bin", bin_no)
         )
         counts = inside.groupBy(*box, "_bin").agg(
             F.count("*").alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")
@@ -82,23 +91,27 @@ def hot_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]
         before = Window.partitionBy(*box).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_below", F.coalesce(F.sum("_c").over(before), F.lit(0)))
         targets = cut_lineage(
-            targets.join(counts, box)
+            join_groups(targets, counts, box)
             .where((F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_c")))
             .select(
                 *keys, F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), "_pos", "_at", "_target",
-                (F.col("_rank") - F.col("_below")).alias("_rank"),
+                (F.col("_rank") - F.col("_below")).alias("_rank"), "_c",
             )
         )
+        wide = targets.where((F.col("_c") > FINAL_ROWS) & (F.col("_lo") < F.col("_hi")))
+        targets = targets.drop("_c")
+        if wide.isEmpty():
+            break
     box = [*keys, "_lo", "_hi"]
     boxes = targets.select(*box).distinct()
     distinct_values = (
-        rows.join(boxes, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        join_groups(rows, send(boxes), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         .groupBy(*box, "_v").agg(F.count("*").alias("_c"))
     )
     upto = Window.partitionBy(*box).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = distinct_values.withColumn("_upto", F.sum("_c").over(upto))
     hits = (
-        targets.join(ranked, box)
+        join_groups(targets, ranked, box)
         .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
         .groupBy(*keys, "_pos", "_at")
         .agg(F.min_by("_v", "_target").alias("_a"), F.max_by("_v", "_target").alias("_b"))

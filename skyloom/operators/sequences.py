@@ -16,13 +16,14 @@ from skyloom.session import stored
 def image_trios(images: DataFrame, max_fwhm: float, max_sky: float) -> DataFrame:
     """Three images in a row by name: same date, numbers n, n+1, n+2, three filters, all good.
 
-    Names are ``telescope-camera-date-number-…``; the two following rows are found by row number.
+    Names are ``telescope-camera-date-number-…``; the two following rows are found by row number;
+    a name without date and number belongs to no trio.
     """
     parts = F.split("name", "-")
     good = (F.col("fwhm_x") <= max_fwhm) & (F.col("fwhm_y") <= max_fwhm) & (F.col("sky") <= max_sky)
     clean = ~F.isnan("fwhm_x") & ~F.isnan("fwhm_y") & ~F.isnan("sky")
     base = images.select(
-        "name", "filter", parts[2].cast("bigint").alias("date"), parts[3].cast("bigint").alias("number"), F.coalesce(good & clean, F.lit(False)).alias("good")
+        "name", "filter", F.get(parts, F.lit(2)).try_cast("bigint").alias("date"), F.get(parts, F.lit(3)).try_cast("bigint").alias("number"), F.coalesce(good & clean, F.lit(False)).alias("good")
     )
     cols = ["name", "filter", "date", "number", "good"]
     rows = with_following(with_row_index(base, ["name"]), cols, 2)
@@ -70,13 +71,14 @@ def nearest_isochrone(targets: DataFrame, rows: DataFrame, target_id: str, toler
 
     Rows within ``tolerance`` of the smallest colour distance count. Equal target colours are
     looked up once. The smallest distance is searched by cells of growing size, so no target
-    meets the whole table; then one radius join at that distance plus the tolerance finds the rows.
+    meets the whole table; targets without both colours come back with null results; then one radius join at that distance plus the tolerance finds the rows.
     """
     plane = Metric("gr", "ri", False)
     if min_age is not None:
         rows = rows.where(F.col("age") > min_age)
     numbered = stored(rows.withColumn("row_id", F.xxhash64(*rows.columns)).withColumn("teff", F.pow(num(10.0), "log_teff")))
-    colours = stored(targets.select("gr", "ri").distinct().withColumn("colour_id", F.xxhash64("gr", "ri")))
+    known = targets.where(~F.isnan("gr") & ~F.isnan("ri"))
+    colours = stored(known.select("gr", "ri").where("gr is not null and ri is not null").distinct().withColumn("colour_id", F.xxhash64("gr", "ri")))
     todo, found, radius = colours, None, 4 * tolerance
     while not todo.isEmpty():
         best = nearest_within(todo, numbered, radius, "colour_id", "row_id", plane, strict=False).select(
@@ -105,4 +107,4 @@ def nearest_isochrone(targets: DataFrame, rows: DataFrame, target_id: str, toler
         "gr", "ri", "n", F.col("_m")[1].alias("mass"), half("_m").alias("mass_err"), F.col("_t")[1].alias("teff"),
         F.greatest(half("_t"), num(min_teff_err)).alias("teff_err"), F.col("_g")[1].alias("logg"), half("_g").alias("logg_err"),
     )
-    return targets.join(stats, ["gr", "ri"])
+    return targets.join(stats, ["gr", "ri"], "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows one task may hold for one key before the key is treated as hot.
@@ -18,6 +20,13 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null, so that the group without a key is kept like any other."""
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def pick_first(df: DataFrame, keys: list[str], order: list[Column], columns: list[str] | None = None) -> DataFrame:
     """Row with the smallest ``order`` per key.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions import weights as w
-from skyloom.functions.common import as_column, num
+from skyloom.functions.common import as_column, num, ratio
 from skyloom.operators.ordering import with_following, with_group_index, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
+from skyloom.operators.skew import join_groups
 from skyloom.session import cut_lineage
 
 # (magnitude, error) column names per photometry kind
@@ -54,7 +55,7 @@ def residuals(df: DataFrame, keys: list[str], mag: str = "mag", err: str = "mag_
     good = valid_rows(df, mag, err)
     means = good.groupBy(*keys).agg(w.weighted_mean(mag, err).alias("_m"), w.weighted_error(err).alias("_e"))
     return (
-        good.join(means, keys)
+        join_groups(good, means, keys)
         .withColumn("residual", F.col(mag) - F.col("_m"))
         .withColumn("residual_err", F.sqrt(F.col(err) * F.col(err) + F.col("_e") * F.col("_e")))
         .drop("_m", "_e")
@@ -77,7 +78,7 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, nsigma: float, rounds
     measures = [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count("*").alias("n")]
     stats = df.groupBy(*keys).agg(*measures)
     for _ in range(rounds):
-        inside = df.join(stats.drop("n"), keys).where(F.abs(F.col(value) - F.col("mean")) <= nsigma * F.col("std"))
+        inside = join_groups(df, stats.drop("n"), keys).where(F.abs(F.col(value) - F.col("mean")) <= nsigma * F.col("std"))
         stats = inside.groupBy(*keys).agg(*measures)
     return stats
 
@@ -85,9 +86,9 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, nsigma: float, rounds
 def median_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Median and median absolute deviation per group."""
     med = grouped_quantiles(df, keys, value, [0.5], "_q").select(*keys, F.col("_q")[0].alias("median"))
-    dev = df.join(med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("median")))
+    dev = join_groups(df, med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("median")))
     mad = grouped_quantiles(dev, keys, "_dev", [0.5], "_q").select(*keys, F.col("_q")[0].alias("mad"))
-    return med.join(mad, keys)
+    return join_groups(med, mad, keys)
 
 
 def within_mad(df: DataFrame, keys: list[str], value: str, factor: float = 3.0) -> DataFrame:
@@ -133,9 +134,9 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 def background_peak(df: DataFrame, keys: list[str], value: str, bins: int = 100) -> DataFrame:
     """Lower edge of the fullest histogram bin among values up to twice the median, per group."""
     med = grouped_quantiles(df, keys, value, [0.5], "_q").select(*keys, F.col("_q")[0].alias("median"))
-    low = df.join(med, keys).where(F.col(value) <= 2 * F.col("median"))
+    low = join_groups(df, med, keys).where(F.col(value) <= 2 * F.col("median"))
     span = low.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    binned = low.select(*keys, value).join(span, keys).withColumn("_bin", bin_number(value, "lo", "hi", bins))
+    binned = join_groups(low.select(*keys, value), span, keys).withColumn("_bin", bin_number(value, "lo", "hi", bins))
     counts = binned.groupBy(*keys, "_bin", "lo", "hi").agg(F.count("*").alias("_n"))
     edge = F.col("lo") + F.col("_bin") * (F.col("hi") - F.col("lo")) / bins
     top = F.min_by(F.struct(edge.alias("edge"), "_n"), F.struct(-F.col("_n"), F.col("_bin")))
@@ -171,10 +172,10 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
     )
     full = ordered.join(level, keys).withColumn("idx", F.col("idx") - F.col("_i0"))
     m, e, mean = F.col(mag), F.col(err), F.col("mean_mag")
-    z = (m - mean) / F.col("rms")
-    bias = F.sqrt(F.col("n") / (F.col("n") - 1.0))
-    delta = bias * (m - F.col("_wm")) / e
-    delta1 = bias * (F.col("_m1") - F.col("_wm")) / F.col("_e1")
+    z = ratio(m - mean, F.col("rms"))
+    bias = F.sqrt(ratio(F.col("n"), F.col("n") - 1.0))
+    delta = ratio(bias * (m - F.col("_wm")), e)
+    delta1 = ratio(bias * (F.col("_m1") - F.col("_wm")), F.col("_e1"))
     step = F.col("_m1") - m
 
     def count_if(c: Column) -> Column:
@@ -184,11 +185,11 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
     feats = full.groupBy(*keys).agg(
         n.alias("n"), F.max("mean_mag").alias("mean_mag"), F.max("rms").alias("rms"), F.max("median_mag").alias("median_mag"),
         ((F.max("_max") - F.max("_min")) / 2).alias("amplitude"),
-        (F.max("rms") / F.max("mean_mag")).alias("std_over_mean"),
+        ratio(F.max("rms"), F.max("mean_mag")).alias("std_over_mean"),
         F.avg(z * z * z).alias("skewness"), (F.avg(z * z * z * z) - 3.0).alias("kurtosis"),
-        (F.sum(step * step) / (n - 1) / F.max(F.col("rms") * F.col("rms"))).alias("von_neumann"),
-        (F.sum(F.signum(delta * delta1) * F.sqrt(F.abs(delta * delta1))) / (n - 1)).alias("stetson_j"),
-        (F.avg(F.abs(delta)) / F.sqrt(F.avg(delta * delta))).alias("stetson_k"),
+        ratio(ratio(F.sum(step * step), n - 1), F.max(F.col("rms") * F.col("rms"))).alias("von_neumann"),
+        ratio(F.sum(F.signum(delta * delta1) * F.sqrt(F.abs(delta * delta1))), n - 1).alias("stetson_j"),
+        ratio(F.avg(F.abs(delta)), F.sqrt(F.avg(delta * delta))).alias("stetson_k"),
         count_if(m > mean + F.col("rms")).alias("above1"), count_if(m > mean + 3 * F.col("rms")).alias("above3"),
         count_if(m > mean + 5 * F.col("rms")).alias("above5"), count_if(m < mean - F.col("rms")).alias("below1"),
         count_if(m < mean - 3 * F.col("rms")).alias("below3"), count_if(m < mean - 5 * F.col("rms")).alias("below5"),
@@ -199,7 +200,7 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
         F.avg((F.col("_m2") - 2 * F.col("_m1") + m) / 2).alias("mean_second_derivative"),
         F.avg(F.col("_m2") * F.col("_m1") * m).alias("c3"),
         F.avg(F.col("_m2") * F.col("_m2") * F.col("_m1") - F.col("_m1") * m * m).alias("time_reversal_asymmetry"),
-        (F.sum((m - mean) * (F.col("_m1") - mean)) / (n - 1) / F.max(F.col("rms") * F.col("rms"))).alias("auto_corr"),
+        ratio(ratio(F.sum((m - mean) * (F.col("_m1") - mean)), n - 1), F.max(F.col("rms") * F.col("rms"))).alias("auto_corr"),
         F.sum((F.col("_m1") + m) / 2 * (F.col("_t1") - F.col(time))).alias("integral"),
         (F.min(F.when(m == F.col("_max"), F.col("idx"))) / n).alias("first_loc_max"),
         (F.min(F.when(m == F.col("_min"), F.col("idx"))) / n).alias("first_loc_min"),

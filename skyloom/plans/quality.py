@@ -26,8 +26,8 @@ ASSESS = """a AS (SELECT image_id, nstars, fwhm - 15e-1 AS sx, fwhm - 12e-1 AS s
 
 
 @query("assess_image", with_views("images", extra=ASSESS) + """SELECT image_id, CAST(NOT (c1 OR c2 OR c3 OR c4 OR c6) AS int) AS use_phot, CAST(NOT (c1 OR c2 OR c3 OR c5 OR c6) AS int) AS use_ref, CAST(NOT (c1 OR c3 OR c6) AS int) AS use_image,
-    CASE WHEN c1 OR c2 OR c3 OR c4 OR c5 OR c6 THEN concat_ws(', ', CASE WHEN c1 THEN 'No stars detected in frame' END, CASE WHEN c2 THEN 'FWHM exceeds threshold' END, CASE WHEN c3 THEN 'FWHM negative' END,
-    CASE WHEN c4 THEN 'Sky background exceeds threshold for photometry' END, CASE WHEN c5 THEN 'Sky background exceeds threshold for reference' END, CASE WHEN c6 THEN 'Telescope pointing error exceeds threshold' END) ELSE 'OK' END AS report FROM f""")
+    CASE WHEN c1 OR c2 OR c3 OR c4 OR c5 OR c6 THEN concat_ws(', ', CASE WHEN c1 THEN 'frame without stars' END, CASE WHEN c2 THEN 'FWHM above its limit' END, CASE WHEN c3 THEN 'FWHM below zero' END,
+    CASE WHEN c4 THEN 'Sky too bright for photometry' END, CASE WHEN c5 THEN 'Sky too bright for a reference' END, CASE WHEN c6 THEN 'pointing off the target' END) ELSE 'OK' END AS report FROM f""")
 def assess_image(t: Tables):
     d = t.images.select("image_id", "nstars", (F.col("fwhm") - 1.5).alias("sigma_x"), (F.col("fwhm") - 1.2).alias("sigma_y"), "sky", (F.col("image_id") % 37 != 0).alias("pointing_ok"))
     return quality.assess_images(d, quality.Limits(max_sigma=1.2)).select("image_id", "use_phot", "use_ref", "use_image", "report")

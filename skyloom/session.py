@@ -32,9 +32,11 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = getattr(spark, "_skyloom_folder", None)
+        # a folder set by setCheckpointDir() before, or the one made for this local session
+        folder = spark.sparkContext.getCheckpointDir() or getattr(spark, "_skyloom_folder", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="skyloom-")
         spark._skyloom_folder = folder

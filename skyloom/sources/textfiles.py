@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from skyloom.operators.ordering import with_group_index
 from skyloom.session import scratch_path
 
+# stands for null in written tables, so that every field keeps its place
+NULL_TOKEN = "None"
 TRUE_WORDS = ["true", "1", "yes"]
 
 
@@ -14,11 +16,20 @@ def split_fields(line: str = "value") -> Column:
     return F.split(F.trim(F.col(line)), r"\s+")
 
 
+def joined_fields(columns: list[Column]) -> Column:
+    """One line of text with a token for nulls."""
+    return F.concat_ws(" ", *[F.coalesce(c.cast("string"), F.lit(NULL_TOKEN)) for c in columns])
+
+
+def _word(n: Column) -> Column:
+    return F.when(n != NULL_TOKEN, n)
+
+
 def read_whitespace_table(spark: SparkSession, path: str, columns: dict[str, tuple[int, str]], comment: str = "#") -> DataFrame:
     """Named and typed columns by position; comment and empty lines fall out, bad numbers are null."""
     lines = spark.read.text(path).where(~F.trim("value").startswith(comment) & (F.trim("value") != ""))
     fields = split_fields()
-    return lines.select(*[F.get(fields, F.lit(n)).try_cast(kind).alias(name) for name, (n, kind) in columns.items()])
+    return lines.select(*[_word(F.get(fields, F.lit(n))).try_cast(kind).alias(name) for name, (n, kind) in columns.items()])
 
 
 # fixed values: columns of an exported light curve file
@@ -41,7 +52,7 @@ def read_lightcurves(spark: SparkSession, path: str, skip_empty_time: bool = Tru
         star = F.regexp_extract("_file", r"star_id=(\d+)", 1).try_cast("bigint")
         dataset = F.regexp_extract("_file", r"dataset=([^/]+)", 1)
     else:
-        shift, star, dataset = 2, F.get(fields, F.lit(0)).try_cast("bigint"), F.get(fields, F.lit(1))
+        shift, star, dataset = 2, F.get(fields, F.lit(0)).try_cast("bigint"), _word(F.get(fields, F.lit(1)))
     rows = lines.where(~F.trim("value").startswith("#") & (F.trim("value") != "")).select(
         star.alias("star_id"), dataset.alias("dataset"),
         *[F.get(fields, F.lit(n + shift)).try_cast(kind).alias(name) for name, (n, kind) in LIGHTCURVE_FIELDS.items()],
@@ -61,9 +72,8 @@ def write_lightcurves(rows: DataFrame, path: str, fmt: str = "dat", per_star: bo
     if fmt == "csv":
         out = placed.select(*ids, F.col("hjd").alias("time"), "filter", F.col("cal_mag").alias("magnitude"), F.col("cal_mag_err").alias("error"))
     else:
-        fields = [F.col(c).cast("string") for c in LIGHTCURVE_FIELDS]
-        named = [] if per_star else [F.col(c).cast("string") for c in ids]
-        out = placed.select(*(ids if per_star else []), F.concat_ws(" ", *named, *fields).alias("value"))
+        names = [*([] if per_star else ids), *LIGHTCURVE_FIELDS]
+        out = placed.select(*(ids if per_star else []), joined_fields([F.col(c) for c in names]).alias("value"))
     writer = out.write.partitionBy(*ids) if per_star else out.write
     (writer.option("header", True).csv(path) if fmt == "csv" else writer.text(path))
     return path
@@ -116,7 +126,7 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
 def write_calibrations(coefficients: DataFrame) -> str:
     """Coefficients and covariance of every dataset as a text table."""
     path = scratch_path(coefficients.sparkSession, "calibrations")
-    coefficients.select(F.concat_ws(" ", "dataset", *[F.col(c).cast("string") for c in ("a", "b", "c00", "c01", "c11")]).alias("value")).write.text(path)
+    coefficients.select(joined_fields([F.col(c) for c in ("dataset", "a", "b", "c00", "c01", "c11")]).alias("value")).write.text(path)
     return path
 
 

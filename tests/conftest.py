@@ -6,6 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from skyloom.operators.match import CELL_CONF
 from skyloom.operators.skew import HOT_CONF
 from skyloom.session import build_session
 
@@ -20,14 +21,16 @@ def spark():
 
 @pytest.fixture
 def hot(spark):
-    """Context in which groups above the given size are treated as hot."""
+    """Context in which groups above the given size are and cells above the given size are treated as hot."""
 
     @contextmanager
     def limit(rows: int):
-        spark.conf.set(HOT_CONF, str(rows))
+        for conf in (HOT_CONF, CELL_CONF):
+            spark.conf.set(conf, str(rows))
         try:
             yield
         finally:
-            spark.conf.unset(HOT_CONF)
+            for conf in (HOT_CONF, CELL_CONF):
+                spark.conf.unset(conf)
 
     return limit
