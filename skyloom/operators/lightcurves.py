@@ -47,17 +47,22 @@ def extract_lightcurve(
     phot: DataFrame, stars: DataFrame, ra: float, dec: float, radius: float, neighbours: bool = False,
     max_error: float = 10.0, min_scale: float = 0.8,
 ) -> DataFrame:
-    """Time series of the nearest star (or all stars) around a position, valid points only."""
+    """Time series of the nearest star (or all stars) around a position, valid points only.
+
+    The id of a single star is a scalar subquery, so that it reaches the scan of the photometry and
+    the statistics of sorted files leave most of them unread.
+    """
     near = cone(stars, ra, dec, radius).select("star_id", "sep")
     if not neighbours:
         best = near.agg(F.min_by(F.struct("star_id", "sep"), F.struct("sep", "star_id")).alias("b"))
         near = best.where("b is not null").select("b.star_id", "b.sep")
+        phot = phot.where(F.col("star_id") == best.select("b.star_id").scalar())
     return phot.where(usable(max_error, min_scale)).join(near, "star_id")
 
 
 def extract_many(phot: DataFrame, stars: DataFrame, targets: DataFrame, radius: float, target_id: str, max_error: float = 10.0, min_scale: float = 0.8) -> DataFrame:
-    """The same for a list of targets in one pass over the photometry."""
-    hits = pairs_within(targets, stars, radius).select(F.col(f"l.{target_id}").alias(target_id), F.col("r.star_id").alias("star_id"), "sep")
+    """The same for a list of targets in one pass over the photometry; the short list is copied to the cells, not the catalogue."""
+    hits = pairs_within(stars, targets, radius).select(F.col(f"r.{target_id}").alias(target_id), F.col("l.star_id").alias("star_id"), "sep")
     nearest = pick_first(hits, [target_id], [F.col("sep"), F.col("star_id")])
     return phot.where(usable(max_error, min_scale)).join(nearest, "star_id")
 

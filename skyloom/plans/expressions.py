@@ -143,12 +143,11 @@ def extinction_correct(t: Tables):
     return rounded(t.star_mags, ["star_id"], cols)
 
 
-@query("set_delta", with_views("valid") + f"""SELECT image_id, seq, star_id, {r6("mag + CASE filter WHEN 'gp' THEN 12e-2 WHEN 'rp' THEN -5e-2 END")} AS mag FROM valid
-    WHERE filter IN ('gp', 'rp')""")
+@query("set_delta", with_views("valid") + f"""SELECT image_id, seq, star_id, {r6("mag + CASE filter WHEN 'gp' THEN 12e-2 WHEN 'rp' THEN -5e-2 ELSE 0e0 END")} AS mag FROM valid""")
 def set_delta(t: Tables):
-    """Per-filter corrections; a filter without one gives null and is dropped."""
+    """Per-filter corrections; rows of a filter without one stay as they are."""
     delta = phot.per_filter("filter", {"gp": 0.12, "rp": -0.05})
-    return t.valid.withColumn("d", delta).where("d is not null").select("image_id", "seq", "star_id", settled(F.col("mag") + F.col("d")).alias("mag"))
+    return t.valid.withColumn("d", F.coalesce(delta, F.lit(0.0))).select("image_id", "seq", "star_id", settled(F.col("mag") + F.col("d")).alias("mag"))
 
 
 GAL_SQL = """gal AS (SELECT star_id, radians(fmod(122.93192e0 - degrees(atan2(cos(radians(dec))*sin(radians(ra-192.85948e0)),

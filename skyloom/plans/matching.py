@@ -43,9 +43,9 @@ BULK = f"p AS (SELECT l.target_id, r.star_id, {SEP} AS sep FROM targets l, stars
 @query("bulk_cone_search", with_views("targets", "stars", extra=BULK) + f"""SELECT target_id, count(*) AS n_hits, arg_min(star_id, (sep, star_id)) AS closest, {r6('min(sep)*3600')} AS sep_arcsec
     FROM p WHERE sep <= {TWO} GROUP BY target_id""")
 def bulk_cone_search(t: Tables):
-    hits = pairs_within(t.targets, t.stars, 2 * ARCSEC)
-    return hits.groupBy(F.col("l.target_id").alias("target_id")).agg(
-        F.count("*").alias("n_hits"), F.min_by("r.star_id", F.struct("sep", "r.star_id")).alias("closest"), settled(F.min("sep") * 3600).alias("sep_arcsec")
+    hits = pairs_within(t.stars, t.targets, 2 * ARCSEC)
+    return hits.groupBy(F.col("r.target_id").alias("target_id")).agg(
+        F.count("*").alias("n_hits"), F.min_by("l.star_id", F.struct("sep", "l.star_id")).alias("closest"), settled(F.min("sep") * 3600).alias("sep_arcsec")
     )
 
 

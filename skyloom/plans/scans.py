@@ -175,7 +175,7 @@ def sink_append(t: Tables):
     + f"SELECT target_id, star_id, {r6('sep*3600')} AS sep_arcsec FROM p WHERE sep <= {TWO}")
 def sink_search_results(t: Tables):
     """JSON lines with the stars of each target, read back and unfolded."""
-    hits = pairs_within(t.targets, t.stars, 2 * ARCSEC).select(F.col("l.target_id").alias("target_id"), F.col("r.star_id").alias("star_id"), "sep")
+    hits = pairs_within(t.stars, t.targets, 2 * ARCSEC).select(F.col("r.target_id").alias("target_id"), F.col("l.star_id").alias("star_id"), "sep")
     path = textfiles.write_search_results(hits, t.targets, "target_id", scratch_path(t.spark, "search"))
     read = t.spark.read.schema("target_id bigint, chunk bigint, target_data struct<ra:double,dec:double>, stars array<struct<sep:double,star_id:bigint>>").json(path)
     return read.select("target_id", F.inline("stars")).select("target_id", "star_id", settled(F.col("sep") * 3600).alias("sep_arcsec"))

@@ -99,3 +99,16 @@ def test_several_patches_for_a_cell(spark):
     base = spark.createDataFrame([(1, 5), (2, 6)], "k long, v long")
     patch = spark.createDataFrame([(1, 7), (1, 9), (1, None)], "k long, v long")
     assert sorted(catalog.update_cells(base, patch, ["k"], ["v"]).collect()) == [(1, 9), (2, 6)]
+
+
+def test_the_id_of_one_star_reaches_the_scan(spark, tmp_path):
+    rows = [(s, float(t), 15.0, 0.01, 1.0) for s in range(50) for t in range(4)]
+    spark.createDataFrame(rows, "star_id long, hjd double, mag double, mag_err double, pscale double").write.parquet(str(tmp_path / "phot"))
+    spark.createDataFrame([(s, 267.0 + s / 100, -30.0) for s in range(50)], "star_id long, ra double, dec double").write.parquet(str(tmp_path / "stars"))
+    phot, stars = spark.read.parquet(str(tmp_path / "phot")), spark.read.parquet(str(tmp_path / "stars"))
+    from skyloom.operators.lightcurves import extract_lightcurve
+
+    out = extract_lightcurve(phot, stars, 267.1, -30.0, 0.004)
+    assert {r.star_id for r in out.collect()} == {10} and out.count() == 4
+    assert "ubquery" in out._jdf.queryExecution().toString()
+    assert extract_lightcurve(phot, stars, 10.0, 10.0, 0.004).count() == 0
