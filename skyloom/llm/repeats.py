@@ -86,10 +86,10 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _tied(docs: DataFrame) -> DataFrame:
     """doc (null ids first of all), tie, text. ``tie`` is 0 unless some doc_id names different texts."""
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), text_of().alias("text"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), text_of().alias("text"))
     h = F.xxhash64("text")
     clash = rows.groupBy("doc").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a != b")
-    return rows.withColumn("tie", F.lit(0).cast("long") if clash.isEmpty() else h)
+    return rows.select("doc", (F.lit(0).cast("long") if clash.isEmpty() else h).alias("tie"), "text")
 
 
 def _numbered(rows: list[np.ndarray]) -> np.ndarray:
@@ -146,13 +146,13 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
 
 def later_windows(rows: DataFrame) -> DataFrame:
-    """(doc, tie, gone): runs (lo, hi) of starts whose windows also start earlier.
+    """(doc, tie, gone): runs (lo, hi) of starts whose windows also start earlier; hi is -1 in rows still to be judged.
 
     Windows whose anchor repeats are hashed. Each batch keeps the first of its equal windows for the
     exchange and reports the others at once, so a passage that very many documents share sends one
     row for each batch; of those the first in the corpus stays.
     """
-    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("late", pa.bool_())])
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def flush(doc: list, tie: list, starts: list[np.ndarray], hashes: list[np.ndarray]) -> pa.RecordBatch:
         who, start, value = _numbered(starts), np.concatenate(starts), np.concatenate(hashes)
@@ -170,10 +170,11 @@ def later_windows(rows: DataFrame) -> DataFrame:
         lo = np.flatnonzero(fresh)
         hi = np.append(lo[1:], len(d)) - 1 if len(d) else lo
         own = _mix(_mix(d[lo].view(np.uint64)) ^ s[lo].astype(np.uint64))
+        # in the order of the documents, in which the exchange packs them best
+        value, doc_of, tie_of, start = (x[new][np.lexsort((start[new], tie_of[new], doc_of[new]))] for x in (value, doc_of, tie_of, start))
         columns = [
-            np.concatenate([value[new], own]).view(np.int64), np.concatenate([doc_of[new], d[lo]]), np.concatenate([tie_of[new], t[lo]]),
-            np.concatenate([start[new], s[lo]]).astype(np.int32), np.concatenate([start[new], s[hi]]).astype(np.int32),
-            np.repeat([False, True], [int(new.sum()), len(lo)]),
+            np.concatenate([value, own]).view(np.int64), np.concatenate([doc_of, d[lo]]), np.concatenate([tie_of, t[lo]]),
+            np.concatenate([start, s[lo]]).astype(np.int32), np.concatenate([np.full(len(value), -1), s[hi]]).astype(np.int32),
         ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
@@ -201,11 +202,11 @@ def later_windows(rows: DataFrame) -> DataFrame:
             yield flush(doc, tie, starts, hashes)
 
     joined = rows.select("doc", "tie", "text").join(repeated_anchors(rows), ["doc", "tie"])
-    windows = joined.mapInArrow(run, "key long, doc long, tie long, lo int, hi int, late boolean")
-    place = F.rank().over(Window.partitionBy("key", "late").orderBy("doc", "tie", "lo"))
-    late = windows.withColumn("place", place).where(F.col("late") | (F.col("place") > 1))
+    windows = joined.mapInArrow(run, "key long, doc long, tie long, lo int, hi int")
+    place = F.rank().over(Window.partitionBy("key", F.col("hi") < 0).orderBy("doc", "tie", "lo"))
+    late = windows.withColumn("place", place).where((F.col("hi") >= 0) | (F.col("place") > 1))
     # as many as the document has windows
-    return late.groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
+    return late.groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", F.greatest("lo", "hi").alias("hi"))).alias("gone"))
 
 
 def cut_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -227,7 +228,7 @@ def cut_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         for batch in batches:
             out: list[list] = [[] for _ in names]
             spans = batch.column("gone")
-            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
+            for i, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist())):
                 words = words_of(text)
                 n = len(words)
                 if spans[i].is_valid:
@@ -237,13 +238,14 @@ def cut_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                     np.add.at(edge, runs.field("hi").to_numpy() + WINDOW, -1)
                     words = [w for w, c in zip(words, np.cumsum(edge[:-1]).tolist()) if not c]
                 kept = b" ".join(words)
-                row = (doc_id, n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace"))
+                row = (None if doc == NO_ID else doc, n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace"))
                 for column, value in zip(out, row):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    joined = rows.join(gone, ["doc", "tie"], "left").select("doc_id", "text", "gone")
+    # the same exchange of the texts as in later_windows
+    joined = rows.join(gone, ["doc", "tie"], "left").select("doc", "text", "gone")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
 
 
