@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyloom.functions.common import num
 from skyloom.operators.match import Metric, nearest_within, pairs_within
@@ -40,6 +40,12 @@ def image_trios(images: DataFrame, max_fwhm: float, max_sky: float) -> DataFrame
     return rows.where(trio).select(*[named(f).alias(f"{f}_image") for f in "gri"])
 
 
+def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of every group with their rank from 1; the limit also holds before the shuffle, so no group is gathered whole."""
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("long"))
+
+
 def rank_slice(df: DataFrame, order: list, low: float, high: float) -> DataFrame:
     """Rows whose rank is in [low·n, high·n); the rank is a distributed row number."""
     indexed = with_row_index(df, order)

@@ -45,6 +45,14 @@ def rank_top_n(t: Tables):
     return out.select("star_id", F.col("idx").alias("brightness_rank"), settled("flux").alias("flux"))
 
 
+@query("top_n_per_group", with_views("valid") + f"""SELECT star_id, filter, image_id, seq, {r6('mag')} AS mag, row_number() OVER (PARTITION BY star_id, filter ORDER BY mag, image_id, seq) AS rank FROM valid
+    QUALIFY rank <= 3""")
+def top_n_per_group(t: Tables):
+    """The three brightest measurements of every star and filter."""
+    out = seq.top_per_group(t.valid, ["star_id", "filter"], [F.col("mag"), F.col("image_id"), F.col("seq")], 3)
+    return rounded(out, ["star_id", "filter", "image_id", "seq", "rank"], {"mag": "mag"})
+
+
 @query("dedupe_window", with_views("valid") + f"SELECT star_id, filter, image_id, seq, {r6('mag_err')} AS mag_err FROM valid QUALIFY row_number() OVER (PARTITION BY star_id, filter ORDER BY mag_err, image_id, seq) = 1")
 def dedupe_window(t: Tables):
     """Best measurement per star and filter, as an aggregate that combines before the shuffle."""
