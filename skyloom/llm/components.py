@@ -15,11 +15,12 @@ def components(links: DataFrame) -> DataFrame:
     before the shuffle; a node with very many links is only a long group of partial minima. State is
     a written table.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = stored(both.where("a != b").distinct())
-    labels = stored(edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("comp")))
+    one, other = F.col("a").alias("node"), F.col("b").alias("beside")
+    edges = links.select(one, other).union(links.select(F.col("b").alias("node"), F.col("a").alias("beside")))
+    edges = stored(edges.where("node != beside").distinct())
+    labels = stored(edges.groupBy("node").agg(F.min("beside").alias("comp")).select("node", F.least("node", "comp").alias("comp")))
     while True:
-        near = edges.join(labels.select(F.col("node").alias("b"), "comp"), "b").select(F.col("a").alias("node"), "comp")
+        near = edges.join(labels.withColumnRenamed("node", "beside"), "beside").select("node", "comp")
         least = near.union(labels).groupBy("node").agg(F.min("comp").alias("comp"))
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
         jumped = least.join(up, "comp").select("node", F.least("comp", "next").alias("comp"))
@@ -27,3 +28,15 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.drop("old")
         if moved.where("comp != old").isEmpty():
             return labels
+
+
+def extended(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only the components that the new links touch are joined anew."""
+    mine = lambda end: comps.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+    ends = links.join(mine("a"), "a", "left").join(mine("b"), "b", "left")
+    ends = stored(ends.select("a", "b", F.coalesce("comp_a", "a").alias("comp_a"), F.coalesce("comp_b", "b").alias("comp_b")))
+    roots = components(ends.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+    new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(comps, "node", "left_anti")
+    known = comps.unionByName(new.withColumn("comp", F.col("node")))
+    moved = known.join(roots.select(F.col("node").alias("comp"), F.col("comp").alias("root")), "comp", "left")
+    return stored(moved.select("node", F.coalesce("root", "comp").alias("comp")))

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from skyloom.llm.common import read_table, register, rows_that_stay, text_digest, text_of
-from skyloom.llm.components import components
+from skyloom.llm.components import components, extended
 from skyloom.session import stored
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 COMPONENTS = BANDS * ROWS
-HUB_GROWTH = 8
+AGREEING = 58  # equal places of 80 for a pair beyond the first hubs: at a similarity of 0.8, 96 of 100 pairs have them
+HUB_GROWTH = 16
 DOCS_AT_ONCE = 512
 
 _U = np.uint64
@@ -132,8 +133,8 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(doc_id, digest, bands, codes) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -142,17 +143,18 @@ def _signed(docs: DataFrame) -> DataFrame:
                 own = {}
                 places = [own.setdefault(t, len(own)) for t in batch.column("text").to_pylist()]
                 bags = [shingles(t) for t in own]
-                keys = band_keys(bag_minhash(bags)).tolist()
-                bands = [keys[p] if len(bags[p]) else [] for p in places]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(bands, schema.types[2])], schema=schema)
+                signatures = bag_minhash(bags)
+                keys, marks = band_keys(signatures).tolist(), signatures.view(np.int32).tolist()
+                bands, codes = ([x[p] if len(bags[p]) else [] for p in places] for x in (keys, marks))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(bands, schema.types[2]), pa.array(codes, schema.types[3])], schema=schema)
 
     rows = docs.select("doc_id", text_digest().alias("digest"), text_of().alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, digest binary, bands array<long>")
+    return rows.mapInArrow(sign, "doc_id long, digest binary, bands array<long>, codes array<int>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of digests whose texts reach the similarity, compared shingle by shingle."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Similarity of each pair (a, b) of digests, from all shingles of both texts."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("sim", pa.float64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, bag = None, None
@@ -162,13 +164,12 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             for a, b, text_a, text_b in rows:
                 if a != hub:
                     hub, bag = a, shingles(text_a)
-                if weighted_jaccard(bag, shingles(text_b)) >= similarity:
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], schema=schema)
+                out.append((a, b, weighted_jaccard(bag, shingles(text_b))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], schema.types[i]) for i in range(3)], schema=schema)
 
     left = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(compare, "a binary, b binary")
+    return pairs.join(right, "b").join(left, "a").mapInArrow(compare, "a binary, b binary, sim double")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -176,51 +177,67 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Equal texts are one node. Two nodes are linked if their multisets of five-word shingles (words
     by white space, lower-cased) have a weighted Jaccard similarity of ``similarity`` or more and
-    their signatures share a band; classes are the connected components. In every bucket of
-    a band all members are first compared with one hub. Buckets that still hold several components
-    go on with more hubs, eight times as many in each round and chosen anew per bucket, and only
-    against members of other components, until no such pair is untested: no link that joins
-    two classes is lost, and copies of one text are never paired. n_links counts the links found
-    at the row's text.
+    their signatures make them candidates; classes are the connected components. In every bucket of
+    a band all members are first compared with one hub, the member that meets most others in its
+    buckets: of copies of one original, the one nearest to it. Buckets that still hold several
+    components go on with the next hubs in that order, ``HUB_GROWTH`` times as many in each round, against members
+    of other components whose signatures agree in ``AGREEING`` places, until no such pair is
+    untested. So copies of one text are never paired, nor are members of a class that already hangs
+    together, and no pair of candidates that would join two classes is left out. n_links counts the
+    links found at the row's text.
 
     Null text is empty; empty texts are equal to each other and to nothing else. Texts below five
     words are one shingle. Null doc_ids are larger than any other; of rows that repeat a doc_id and a
     text one is kept. An empty table gives an empty result; other columns are not read.
     """
     rows = stored(_signed(docs))
-    nodes = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands")))
-    banded = stored(nodes.select("digest", F.explode("bands").alias("band")))
-    first = F.min(F.struct(F.xxhash64("digest").alias("h"), "digest"))
-    buckets = banded.groupBy("band").agg(F.count("*").alias("n"), first.alias("hub")).where("n > 1")
-    members = stored(banded.join(buckets.select("band", F.col("hub.digest").alias("hub")), "band"))
+    nodes = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("codes").alias("codes")))
+    banded = nodes.select("digest", F.posexplode("bands").alias("at", "band"))
+    several = banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1")
+    shared = stored(banded.join(several, "band"))
+    degree = shared.groupBy("digest").agg(F.sum("met").alias("met"))
+    most = F.min(F.struct((-F.col("met")).alias("o"), F.xxhash64("digest").alias("h"), "digest"))
+    shared = shared.drop("met").join(degree, "digest")
+    members = stored(shared.join(shared.groupBy("band").agg(most.alias("hub")).select("band", F.col("hub.digest").alias("hub")), "band"))
     wanted = members.select("digest").distinct().join(nodes.select("digest", "least"), "digest")
     own = docs.select(text_digest().alias("digest"), text_of().alias("text"), "doc_id")
     texts = own.join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("digest").agg(F.min("text").alias("text"))
     texts = stored(texts)
 
     pairs = stored(members.where("hub != digest").select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct())
-    links = stored(verified(pairs, texts, similarity))
-    tested, hubs = pairs, 1
-    order = Window.partitionBy("band").orderBy(F.xxhash64("band", "digest"), "digest")
-    left = stored(members.select("band", "digest"))
+    first = stored(compared(pairs, texts))
+    links = first.where(F.col("sim") >= similarity).select("a", "b")
+    members = members.join(first.select(F.col("a").alias("hub"), F.col("b").alias("digest"), "sim"), ["hub", "digest"], "left")
+    members = stored(members.select("band", "at", "digest", "met", F.coalesce("sim", F.lit(1.0)).alias("sim")))
+    tested, hubs, comps = pairs, 1, components(links)
+    order = Window.partitionBy("band").orderBy(F.desc("met"), F.xxhash64("digest"), "digest")
+    left = members
     while True:
-        comps = components(links)
-        placed = left.select("band", "digest").join(comps.withColumnRenamed("node", "digest"), "digest", "left")
+        placed = left.select("band", "at", "digest", "met", "sim").join(comps.withColumnRenamed("node", "digest"), "digest", "left")
         placed = placed.withColumn("comp", F.coalesce("comp", "digest"))
         mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
         mixed = mixed.where((F.col("lo") != F.col("hi")) & (F.col("n") > hubs))
         left = stored(placed.join(mixed.select("band"), "band", "left_semi"))
         if left.isEmpty():
             break
-        hubs *= HUB_GROWTH
-        heads = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
-        heads = heads.select("band", F.col("digest").alias("hub"), F.col("comp").alias("hub_comp"))
-        more = left.join(heads, "band").where("comp != hub_comp")
+        old, hubs = hubs, hubs * HUB_GROWTH
+        full = stored(left.join(nodes.select("digest", "bands", "codes"), "digest").withColumn("rank", F.row_number().over(order)))
+        # members before the new hubs have met everyone already
+        heads = full.where((F.col("rank") > old) & (F.col("rank") <= hubs))
+        heads = heads.select("band", *[F.col(c).alias(f"hub_{c}") for c in ("digest", "comp", "bands", "codes", "sim", "rank")])
+        # a pair counts in the first of its common bands only
+        same = lambda c: F.zip_with(c, f"hub_{c}", lambda x, y: (x == y).cast("int"))
+        agree = F.aggregate(same("codes"), F.lit(0), lambda n, x: n + x) >= AGREEING
+        near = F.abs(F.col("sim") - F.col("hub_sim")) <= 1 - similarity + 1e-9
+        more = full.join(heads, "band").where((F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp")) & near & agree & (F.array_position(same("bands"), 1) == F.col("at") + 1))
+        more = more.withColumnRenamed("hub_digest", "hub")
         more = more.select(F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct()
         done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         more = stored(more.join(done, ["a", "b"], "left_anti"))
         tested = tested.unionByName(more)
-        links = stored(links.unionByName(verified(more, texts, similarity)))
+        fresh = stored(compared(more, texts).where(F.col("sim") >= similarity).select("a", "b"))
+        links = links.unionByName(fresh)
+        comps = extended(comps, fresh)
 
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("n_links"))
     known = nodes.select("digest", "least", "n").join(comps.withColumnRenamed("node", "digest"), "digest", "left").join(ends, "digest", "left")
