@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 COMPONENTS = BANDS * ROWS
-AGREEING = 58  # equal places of 80 for a pair beyond the first hubs: at a similarity of 0.8, 96 of 100 pairs have them
+PARITY_WORDS = 16  # 64-bit words of the parities that bound a pair's difference from below
 HUB_GROWTH = 16
 DOCS_AT_ONCE = 512
 
@@ -132,9 +134,22 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parities(bags: list[np.ndarray]) -> np.ndarray:
+    """One bit for each of 64 * PARITY_WORDS bins of every bag: whether the bin holds an odd number of shingles.
+
+    A bin whose bits differ has a shingle that only one of two bags holds, so no fewer shingles
+    differ than bits.
+    """
+    bins = 64 * PARITY_WORDS
+    doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    place = (np.concatenate(bags) % _U(bins)).astype(np.int64) if bags else np.zeros(0, np.int64)
+    odd = (np.bincount(doc * bins + place, minlength=len(bags) * bins) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(bags), PARITY_WORDS)
+
+
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands, codes) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
+    """(doc_id, digest, bands, size, parity) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("size", pa.int64()), ("parity", pa.list_(pa.int64()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -143,13 +158,13 @@ def _signed(docs: DataFrame) -> DataFrame:
                 own = {}
                 places = [own.setdefault(t, len(own)) for t in batch.column("text").to_pylist()]
                 bags = [shingles(t) for t in own]
-                signatures = bag_minhash(bags)
-                keys, marks = band_keys(signatures).tolist(), signatures.view(np.int32).tolist()
-                bands, codes = ([x[p] if len(bags[p]) else [] for p in places] for x in (keys, marks))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(bands, schema.types[2]), pa.array(codes, schema.types[3])], schema=schema)
+                keys, odd = band_keys(bag_minhash(bags)).tolist(), parities(bags).tolist()
+                bands, parity = ([x[p] if len(bags[p]) else [] for p in places] for x in (keys, odd))
+                sizes = [len(bags[p]) for p in places]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *(pa.array(x, k) for x, k in zip((bands, sizes, parity), schema.types[2:]))], schema=schema)
 
     rows = docs.select("doc_id", text_digest().alias("digest"), text_of().alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, digest binary, bands array<long>, codes array<int>")
+    return rows.mapInArrow(sign, "doc_id long, digest binary, bands array<long>, size long, parity array<long>")
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -177,21 +192,22 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Equal texts are one node. Two nodes are linked if their multisets of five-word shingles (words
     by white space, lower-cased) have a weighted Jaccard similarity of ``similarity`` or more and
-    their signatures make them candidates; classes are the connected components. In every bucket of
+    their signatures share a band; classes are the connected components. In every bucket of
     a band all members are first compared with one hub, the member that meets most others in its
     buckets: of copies of one original, the one nearest to it. Buckets that still hold several
     components go on with the next hubs in that order, ``HUB_GROWTH`` times as many in each round, against members
-    of other components whose signatures agree in ``AGREEING`` places, until no such pair is
-    untested. So copies of one text are never paired, nor are members of a class that already hangs
-    together, and no pair of candidates that would join two classes is left out. n_links counts the
-    links found at the row's text.
+    of other components, until no such pair is untested. Pairs are left out only where a bound shows
+    that they are below ``similarity``: the triangle inequality with the hub, the sizes of the bags
+    and the bins whose parities differ. So copies of one text are never paired, nor are members of a
+    class that already hangs together, and no pair that shares a band and would join two classes is
+    left out. n_links counts the links found at the row's text.
 
     Null text is empty; empty texts are equal to each other and to nothing else. Texts below five
     words are one shingle. Null doc_ids are larger than any other; of rows that repeat a doc_id and a
     text one is kept. An empty table gives an empty result; other columns are not read.
     """
     rows = stored(_signed(docs))
-    nodes = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("codes").alias("codes")))
+    nodes = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("bands", "size", "parity")]))
     banded = nodes.select("digest", F.posexplode("bands").alias("at", "band"))
     several = banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1")
     shared = stored(banded.join(several, "band"))
@@ -221,15 +237,18 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if left.isEmpty():
             break
         old, hubs = hubs, hubs * HUB_GROWTH
-        full = stored(left.join(nodes.select("digest", "bands", "codes"), "digest").withColumn("rank", F.row_number().over(order)))
+        full = stored(left.join(nodes.select("digest", "bands", "size", "parity"), "digest").withColumn("rank", F.row_number().over(order)))
         # members before the new hubs have met everyone already
         heads = full.where((F.col("rank") > old) & (F.col("rank") <= hubs))
-        heads = heads.select("band", *[F.col(c).alias(f"hub_{c}") for c in ("digest", "comp", "bands", "codes", "sim", "rank")])
+        heads = heads.select("band", *[F.col(c).alias(f"hub_{c}") for c in ("digest", "comp", "bands", "size", "parity", "sim", "rank")])
         # a pair counts in the first of its common bands only
-        same = lambda c: F.zip_with(c, f"hub_{c}", lambda x, y: (x == y).cast("int"))
-        agree = F.aggregate(same("codes"), F.lit(0), lambda n, x: n + x) >= AGREEING
+        same = F.zip_with("bands", "hub_bands", lambda x, y: (x == y).cast("int"))
         near = F.abs(F.col("sim") - F.col("hub_sim")) <= 1 - similarity + 1e-9
-        more = full.join(heads, "band").where((F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp")) & near & agree & (F.array_position(same("bands"), 1) == F.col("at") + 1))
+        near &= F.least("size", "hub_size") >= F.greatest("size", "hub_size") * similarity - 1e-6
+        # of n shingles in both bags, no more than n * (1 - similarity) / (1 + similarity) differ in a link
+        odd = reduce(add, (F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("hub_parity", F.lit(i)))) for i in range(PARITY_WORDS)))
+        near &= odd <= (F.col("size") + F.col("hub_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+        more = full.join(heads, "band").where((F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp")) & near & (F.array_position(same, 1) == F.col("at") + 1))
         more = more.withColumnRenamed("hub_digest", "hub")
         more = more.select(F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct()
         done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

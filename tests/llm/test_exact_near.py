@@ -120,6 +120,51 @@ def test_near_classes_are_those_of_all_pairs(spark, monkeypatch, growth):
     assert sum(r.kept for r in got) == len({r.class_id for r in got})
 
 
+def borderline_groups():
+    """Texts in groups: two at a similarity of 0.80 that meet only in buckets of a third, which is linked to neither but to many others.
+
+    Kept are groups whose two texts agree in fewer than 58 places of their signatures.
+    """
+    def edited(text, name, *places):
+        return [f"{name}{i}" if i in places else w for i, w in enumerate(text)]
+
+    groups = []
+    for g in range(2_500):
+        base = [f"g{g}w{i}" for i in range(95)]
+        hub = edited(base, f"g{g}h", 22, 72)
+        groups.append([edited(base, f"g{g}a", 20), edited(base, f"g{g}b", 70), hub, *(edited(hub, f"g{g}s{i}", 45) for i in range(9))])
+    groups = [[" ".join(t) for t in texts] for texts in groups]
+    marks = near.bag_minhash([near.shingles(t) for texts in groups for t in texts[:3]]).reshape(-1, 3, near.COMPONENTS)
+    bands = near.band_keys(marks.reshape(-1, near.COMPONENTS)).reshape(-1, 3, near.BANDS)
+    a, b, hub = bands[:, 0], bands[:, 1], bands[:, 2]
+    weak = (marks[:, 0] == marks[:, 1]).sum(axis=1) < 58
+    meets = (a == b).any(axis=1) & ((a != b) | (a == hub)).all(axis=1)
+    return [groups[i] for i in np.flatnonzero(weak & meets)]
+
+
+def test_borderline_pairs_under_a_foreign_hub_are_linked(spark):
+    groups = borderline_groups()
+    assert len(groups) > 5
+    for a, b, hub, *_ in groups:
+        sims = [near.weighted_jaccard(near.shingles(x), near.shingles(y)) for x, y in ((a, b), (a, hub), (b, hub))]
+        assert 0.8 <= sims[0] < 0.83 and max(sims[1:]) < 0.8
+    rows = [(12 * g + i, t) for g, texts in enumerate(groups) for i, t in enumerate(texts)]
+    classes = {r.doc_id: r.class_id for r in near.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(classes[12 * g] == classes[12 * g + 1] == 12 * g for g in range(len(groups)))
+
+
+def test_parities_never_show_more_than_the_difference():
+    rng = np.random.default_rng(8)
+    for size in (1, 60, 5_000):
+        bag = rng.integers(0, 2**63, size).astype(np.uint64)[rng.integers(0, size, 2 * size)]
+        other = np.concatenate([bag[size // 5:], rng.integers(0, 2**63, size // 4).astype(np.uint64)])
+        a, b = near.parities([bag, other]).view(np.uint64)
+        keys, where = np.unique(np.concatenate([bag, other]), return_inverse=True)
+        differ = np.abs(np.bincount(where[:len(bag)], minlength=len(keys)) - np.bincount(where[len(bag):], minlength=len(keys))).sum()
+        assert 0 <= np.bitwise_count(a ^ b).sum() <= differ
+        assert not (near.parities([bag])[0] ^ near.parities([bag[::-1]])[0]).any()
+
+
 def test_near_classes_of_one_large_group(spark):
     words = [f"v{i}" for i in range(90)]
     rows = [(i, " ".join(words[:40] + [f"x{i}"] + words[40:])) for i in range(300)]
