@@ -13,7 +13,7 @@ from skyloom.llm.common import parts_for, read_table, register, text_of, unused
 
 EDITS = 0.2  # edits allowed for each word of an item: similarity of 0.8 or more
 WALKS, SAMPLES, COORDINATES = 8, 6, 4
-STEPS = 64
+STEPS = 64  # of the longest walk; it covers about half as many words
 SHARD_CHARS = 8_000_000  # benchmark text that one broadcast holds
 MARKS = ".,;:!?|()\"'"
 WORDS_AT_ONCE = 200_000
@@ -54,8 +54,17 @@ def shared(counts: Counter, part: np.ndarray) -> int:
     return n
 
 
+def segments(n: int) -> tuple[int, list[int]]:
+    """Length and offsets of the pieces that are embedded of an item of n words; together they hold every word.
+
+    Edits that gather in one place spoil the pieces there and leave the others.
+    """
+    least = min(STEPS // 2, 1 << (n.bit_length() - 1))
+    return least, sorted({*range(0, n - least + 1, least), n - least})
+
+
 class Index:
-    """Items of one shard: their vocabulary, walks and hash tables by size class."""
+    """Items of one shard: their vocabulary, and walks and hash tables of their segments by length."""
 
     def __init__(self, items: list[tuple[int, str]], seed: int = 7):
         listed = [(item_id, words_of(text or "")) for item_id, text in items]
@@ -74,12 +83,15 @@ class Index:
         self.factors = rng.integers(1, 2**62, COORDINATES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         self.classes = defaultdict(list)
         for number, x in enumerate(self.items):
-            self.classes[min(STEPS // 2, 1 << (len(x).bit_length() - 1))].append(number)
+            least, offsets = segments(len(x))
+            self.classes[least] += [(number, offset) for offset in offsets]
         self.places = {least: rng.integers(0, 2 * least, (WALKS, SAMPLES, COORDINATES)) for least in sorted(self.classes)}
         self.tables = {}
         for least, members in self.classes.items():
-            joined = np.concatenate([np.append(self.items[n], np.zeros(STEPS, np.int64)) for n in members])
-            starts = np.cumsum([0] + [len(self.items[n]) + STEPS for n in members[:-1]])
+            numbers = sorted({n for n, _ in members})
+            joined = np.concatenate([np.append(self.items[n], np.zeros(STEPS, np.int64)) for n in numbers])
+            begins = dict(zip(numbers, np.cumsum([0] + [len(self.items[n]) + STEPS for n in numbers[:-1]]).tolist()))
+            starts = np.array([begins[n] + offset for n, offset in members])
             for walk, sample, codes in self.codes(joined, starts, least):
                 order = np.argsort(codes, kind="stable")
                 self.tables[least, walk, sample] = codes[order], np.array(members)[order]
@@ -101,20 +113,22 @@ class Index:
                     code ^= code >> np.uint64(31)
                 yield walk, sample, code
 
-    def candidates(self, words: np.ndarray, usable: np.ndarray) -> set[tuple[int, int]]:
-        """(start, item) pairs whose embeddings agree on some sample.
+    def candidates(self, words: np.ndarray, usable: np.ndarray, begins: np.ndarray) -> set[tuple[int, int, int]]:
+        """(start, item, document) where the embedding of a segment agrees on some sample; start is the place of the whole item.
 
-        A run within the allowed edits of an item of n words has n less the edits of the item's words
-        among its first n. Starts that lack so many words of any item are left out first; that
-        loses nothing.
+        Documents begin at ``begins``, with room for any item before and after them. A run within the allowed edits of an item of n words has n less the edits of the item's words
+        among its first n, and so do its parts before and after the start of a segment. Starts whose
+        item would lack so many words are left out first; that loses nothing.
         """
         known = np.concatenate([[0], np.cumsum(words > 0)]).astype(np.int32)
         out = set()
         for least, members in self.classes.items():
             good = np.zeros(len(words), bool)
-            for n in {len(self.items[m]) for m in members}:
+            for n in {len(self.items[m]) for m, _ in members}:
                 reach = np.minimum(np.arange(n, n + len(words)), len(words))
-                good |= known[reach] - known[:-1] >= n - int(EDITS * n)
+                enough = known[reach] - known[:-1] >= n - int(EDITS * n)
+                for offset in segments(n)[1]:
+                    good[offset:] |= enough[:len(words) - offset]
             starts = np.flatnonzero(good & usable)
             if not len(starts):
                 continue
@@ -123,25 +137,34 @@ class Index:
                 low = np.searchsorted(keys, codes)
                 hits = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == codes)
                 high = np.searchsorted(keys, codes[hits], "right")
-                for s, a, b in zip(starts[hits].tolist(), low[hits].tolist(), high.tolist()):
-                    out.update((s, int(k)) for k in who[a:b])
+                docs = np.searchsorted(begins, starts[hits], "right") - 1
+                for s, d, a, b in zip(starts[hits].tolist(), docs.tolist(), low[hits].tolist(), high.tolist()):
+                    out.update((s - offset, number, d) for number, offset in who[a:b].tolist())
         return out
 
-    def matches(self, words: np.ndarray, usable: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, first, end, distance) of verified runs, disjoint for each item."""
+    def matches(self, words: np.ndarray, usable: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(document, item, first, end, distance) of verified runs, disjoint for each item."""
         out, covered = [], defaultdict(int)
-        for start, number in sorted(self.candidates(words, usable)):
+        for start, number, d in sorted(self.candidates(words, usable, begins)):
             item = self.items[number]
             n, edits = len(item), int(EDITS * len(item))
-            if start < covered[number]:
+            # edits before a segment shift the start by their number at most
+            if start + edits < covered[number]:
                 continue
-            low = max(covered[number], start - edits)
-            part = words[low:start + n + edits]
+            low = max(covered[number], start - edits, int(begins[d]))
+            part = words[low:min(start + n + edits, int(ends[d]))]
             if shared(self.counts[number], part) < n - edits:
                 continue
             distance, first, end = best_match(item, part)
+            while 0 < distance <= edits:
+                # the place was an estimate: look on around the run until nothing nearer is found
+                around = max(covered[number], low + first - edits, int(begins[d]))
+                again = best_match(item, words[around:min(low + end + edits, int(ends[d]))])
+                if again[0] >= distance:
+                    break
+                low, (distance, first, end) = around, again
             if distance <= edits:
-                out.append((number, low + first, low + end, distance))
+                out.append((d, number, low + first, low + end, distance))
                 covered[number] = low + end
         return out
 
@@ -193,16 +216,18 @@ def _searcher(index):
         if not ix.items:
             return
         ids = _Ids(ix.vocabulary)
-        pad = np.zeros(STEPS + ix.sizes[-1], np.int64)
+        pad = np.zeros(STEPS + 2 * ix.sizes[-1], np.int64)
 
         def flush(docs: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-            joined = np.concatenate([x for _, words in docs for x in (words, pad)])
-            usable = np.concatenate([x for _, words in docs for x in (np.ones(len(words), bool), np.zeros(len(pad), bool))])
-            begins = np.cumsum([0] + [len(w) + len(pad) for _, w in docs])
+            joined = np.concatenate([pad, *(x for _, words in docs for x in (words, pad))])
+            sizes = np.array([len(w) for _, w in docs])
+            begins = len(pad) + np.cumsum(sizes + len(pad)) - sizes - len(pad)
+            usable = np.zeros(len(joined), bool)
+            for b, n in zip(begins.tolist(), sizes.tolist()):
+                usable[b:b + n] = True
             found = []
-            for number, first, end, distance in ix.matches(joined, usable):
-                d = int(np.searchsorted(begins, first, "right")) - 1
-                found.append((docs[d][0], ix.names[number], first - int(begins[d]), min(end - int(begins[d]), len(docs[d][1])), distance, len(ix.items[number])))
+            for d, number, first, end, distance in ix.matches(joined, usable, begins, begins + sizes):
+                found.append((docs[d][0], ix.names[number], first - int(begins[d]), end - int(begins[d]), distance, len(ix.items[number])))
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(len(names))], names)
 
         held, size = [], 0

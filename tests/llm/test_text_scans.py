@@ -175,6 +175,31 @@ def test_edited_items_are_found_and_others_are_not(spark):
     assert leaks.find_leaks(table.limit(0), bench).isEmpty() and leaks.find_leaks(table, bench.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("end", ["front", "back", "both"])
+def test_long_items_with_edits_gathered_at_an_end_are_found(spark, end):
+    rnd = random.Random(10)
+    voc = [f"v{i}" for i in range(3_000)]
+    items = [(i, " ".join(rnd.choice(voc) for _ in range(100 + 5 * i))) for i in range(41)]
+    docs = []
+    for i, text in items:
+        part = text.split()
+        edits = len(part) // 5
+        at = {"front": range(edits), "back": range(len(part) - edits, len(part)), "both": [*range(edits // 2), *range(len(part) - edits // 2, len(part))]}[end]
+        for k in at:
+            part[k] = rnd.choice(voc)
+        around = [[rnd.choice(voc) for _ in range(k)] for k in ((0, 0) if i % 3 == 0 else (40, 40))]
+        docs.append((i, " ".join(around[0] + part + around[1])))
+    got = leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i, _ in items}
+    assert all(0 <= r.first_word < r.end_word <= len(docs[r.doc_id][1].split()) and r.distance <= 0.2 * r.item_words for r in got)
+
+
+def test_segments_hold_every_word():
+    for n in range(1, 400):
+        least, offsets = leaks.segments(n)
+        assert {k for o in offsets for k in range(o, o + least)} == set(range(n))
+
+
 def test_items_in_several_shards(spark, monkeypatch):
     monkeypatch.setattr(leaks, "SHARD_CHARS", 50)
     items = [(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(9)]
