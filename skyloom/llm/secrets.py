@@ -18,7 +18,9 @@ KINDS = [
 ]
 # The same matches without the runs that are too short anyway, so that prose gives no hits to list.
 QUICK = {"access": "AKIA[A-Z0-9]{14,}", "hex": "[0-9a-f]{16,}"}
-CANDIDATE = r"(?<![\p{L}\p{N}+/_=.-])[A-Za-z0-9+/_=-]{16,}(?![\p{L}\p{N}])"
+# Runs between dots, and their pieces between slashes.
+CANDIDATE = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}(?![\p{L}\p{N}])"
+PIECE = r"(?<![\p{L}\p{N}+_=-])[A-Za-z0-9+_=-]{16,}(?![\p{L}\p{N}])"
 IDENTIFIER = r"(?<![\p{L}\p{N}+/_=.-])[A-Za-z_][A-Za-z0-9_-]{7,}(?![\p{L}\p{N}+/_=-])"
 ALPHABET = "^ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 SIZE = len(ALPHABET) + 1  # 0 is any other character
@@ -123,19 +125,26 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row.
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind, joined by commas.
-    Kind markov is a run of 16 or more token characters that the models call random and that
-    touches no span of a fixed pattern. Null and empty texts have no spans (the hash is that of the
+    Kind markov is a run of 16 or more token characters between dots, or a piece of one between
+    slashes, that the models call random and that touches no span of a fixed pattern; a run stands
+    for its pieces if none of them is more random. Null and empty texts have no spans (the hash is that of the
     empty string); repeated rows are scanned alike; other columns are not read. The models are
     trained on all rows of ``docs``.
     """
     weights, threshold = train(labelled_samples(docs))
     text = text_of()
-    found = docs.select("doc_id", *[s.alias(kind) for kind, s in base_spans(text).items()], spans(text, CANDIDATE, len(KINDS), "markov").alias("_runs"))
+    found = docs.select("doc_id", *[s.alias(kind) for kind, s in base_spans(text).items()], spans(text, CANDIDATE, len(KINDS), "markov").alias("_runs"), spans(text, PIECE, len(KINDS), "markov").alias("_pieces"))
     base = F.array_sort(F.concat(*[k for k, *_ in KINDS]))
     named = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
-    joined = found.select("*", base.alias("_base")).select("*", F.filter(
-        "_runs", lambda r: (ratio(r["hit"], weights) > threshold) & ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    ).alias("_more"))
+    touch = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+    random = lambda c: F.filter(
+        F.transform(c, lambda x: F.struct(x.alias("span"), ratio(x["hit"], weights).alias("ratio"))),
+        lambda x: (x["ratio"] > threshold) & ~F.exists("_base", lambda b: touch(b, x["span"])),
+    )
+    judged = found.select("*", base.alias("_base")).select("*", random("_runs").alias("_long"), random("_pieces").alias("_short"))
+    judged = judged.withColumn("_long", F.filter("_long", lambda x: ~F.exists("_short", lambda y: touch(x["span"], y["span"]) & (y["ratio"] > x["ratio"]))))
+    judged = judged.withColumn("_short", F.filter("_short", lambda y: ~F.exists("_long", lambda x: touch(x["span"], y["span"]))))
+    joined = judged.select("*", F.transform(F.concat("_long", "_short"), lambda x: x["span"]).alias("_more"))
     return joined.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k, *_ in KINDS],
         F.sha2(F.array_join(F.transform("_base", named), ","), 256).alias("base_sha256"),

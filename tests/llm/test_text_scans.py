@@ -250,6 +250,25 @@ def test_fixed_patterns_and_random_strings(spark):
     assert secrets.find_secrets(docs.limit(0)).collect() == []
 
 
+def test_random_strings_behind_dots_and_slashes(spark):
+    rnd = random.Random(19)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    random_string = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    roots = "config init connect param background worker transact buffer stream number account service handler request monitor session table index value order".split()
+    words = [f"{a}_{b}" for a in roots for b in roots]
+    rows = [(i, f"api_key = '{random_string(24)}' {' '.join(rnd.choice(words) for _ in range(20))}") for i in range(400)]
+    a, b, c, whole = random_string(26), random_string(24), random_string(43), f"{random_string(20)}/{random_string(20)}"
+    texts = {
+        500: (f"https://example.com/d/{a}", [a]), 501: (f"https://hooks.example.com/services/T0/B0/{b}", [b]), 502: (f"key SG.{b}.{c} end", [b, c]),
+        503: (f"jwt {a}.{b}.{c}", [a, b, c]), 504: (f"see {whole} here", [whole]), 505: ("file background_worker.connect_param_index.py", []),
+        506: ("https://example.com/background_worker/connect_param_index", []),
+    }
+    docs = spark.createDataFrame(rows + [(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.find_secrets(docs).where("doc_id >= 500").collect()}
+    for i, (text, hidden) in texts.items():
+        assert spans[i] == ",".join(f"markov:{text.index(x)}:{text.index(x) + len(x)}" for x in hidden), text
+
+
 def test_secret_scan_runs_no_python(spark):
     plan = secrets.op6_secret_scan(spark, FOLDER)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
