@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions.common import as_column, num
 
@@ -66,6 +67,60 @@ def tangent_offsets_deg(ra, dec, ra0, dec0) -> tuple[Column, Column]:
     return (ra - ra0) * F.cos(F.radians(dec0)), dec - dec0
 
 
+@dataclass(frozen=True)
+class Cover:
+    """Declination range and right-ascension parts (low, high within 0 to 360) that hold a region of the sky.
+
+    The comparisons are plain ones with literals, so they reach the scan as pushed filters; with
+    the height of the zones that a stored catalogue is partitioned by, the zones come first and
+    only their folders are listed.
+    """
+
+    dec_min: float
+    dec_max: float
+    parts: tuple[tuple[float, float], ...]
+
+    def zones(self, height: float) -> tuple[int, int]:
+        return int((self.dec_min + 90.0) // height), int((self.dec_max + 90.0) // height)
+
+    def of(self, df: DataFrame, zone_height: float | None = None, zone: str = "zone") -> DataFrame:
+        if zone_height is not None:
+            df = df.where(F.col(zone).between(*self.zones(zone_height)))
+        df = df.where(F.col("dec").between(self.dec_min, self.dec_max))
+        if self.parts == ((0.0, 360.0),):
+            return df
+        inside = F.lit(False)
+        for low, high in self.parts:
+            inside = inside | F.col("ra").between(low, high)
+        return df.where(inside)
+
+
+def ra_parts(low: float, high: float) -> tuple[tuple[float, float], ...]:
+    """The way from ``low`` up to ``high`` in degrees, cut at 0 = 360; ``high`` below ``low`` goes through 0."""
+    if high - low >= 360.0:
+        return ((0.0, 360.0),)
+    low, high = low % 360.0, (high % 360.0 if high != 360.0 else 360.0)
+    if low <= high:
+        # 0 and 360 are the same place
+        return ((low, high),) + (((0.0, 0.0),) if high == 360.0 else ()) + (((360.0, 360.0),) if low == 0.0 else ())
+    return (low, 360.0), (0.0, high)
+
+
+def box_cover(ra_min: float, ra_max: float, dec_min: float, dec_max: float) -> Cover:
+    """A box; ``ra_min`` above ``ra_max``, or an end outside 0 to 360, means a box across RA 0."""
+    return Cover(max(dec_min, -90.0), min(dec_max, 90.0), ra_parts(ra_min, ra_max))
+
+
+def cone_cover(ra0: float, dec0: float, radius: float) -> Cover:
+    """A circle: its RA range widens with declination and is the whole turn where it holds a pole; a rounding step wider than exact."""
+    slack = 1e-9
+    low, high = dec0 - radius - slack, dec0 + radius + slack
+    if low <= -90.0 or high >= 90.0:
+        return Cover(max(low, -90.0), min(high, 90.0), ((0.0, 360.0),))
+    half = math.degrees(math.asin(min(1.0, math.sin(math.radians(min(radius, 90.0))) / math.cos(math.radians(dec0))))) * (1 + slack) + slack
+    return Cover(low, high, ra_parts(ra0 - half, ra0 + half))
+
+
 def sexagesimal_to_deg(text, hours: bool = False) -> Column:
     """``hh:mm:ss`` or ``dd:mm:ss`` to degrees; the sign is read from the text so that -00 keeps it, other text gives null."""
     text = F.trim(as_column(text))

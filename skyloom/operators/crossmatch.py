@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyloom.functions.common import as_column, num
-from skyloom.operators.match import PIXEL, SKY, Metric, match_one_to_one, nearest_within, pairs_within
+from skyloom.functions.common import as_column, num, ratio
+from skyloom.operators.match import SKY, match_one_to_one, nearest_within, pairs_within, pixels_of
 from skyloom.operators.ordering import with_group_index, with_row_index
 from skyloom.operators.quantiles import grouped_quantiles
-from skyloom.operators.skew import pick_first
+from skyloom.operators.skew import join_groups, pick_first
 from skyloom.operators.stats import attach_row
 from skyloom.session import stored
 
@@ -93,13 +93,26 @@ def two_pass_match(left: DataFrame, right: DataFrame, radius: float, left_id: st
     return first.unionByName(second).select(F.col(left_id).alias("left_id"), F.col("_rid").alias("right_id"), "sep", "round")
 
 
-def brightest_within(detections: DataFrame, reference: DataFrame, radius: float, det_id: str, ref_id: str, flux: str = "flux") -> DataFrame:
-    """Brightest reference star near each detection; a reference star goes to its first detection."""
-    pairs = pairs_within(detections, reference, radius, PIXEL, strict=True).select(
-        F.col(f"l.{det_id}").alias("det_id"), F.col(f"r.{ref_id}").alias("ref_id"), F.col(f"r.{flux}").alias("ref_flux"), "sep"
+def brightest_within(
+    detections: DataFrame, reference: DataFrame, radius: float, det_id: str, ref_id: str, flux: str = "flux", keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """Brightest reference star near each detection of the same image (``keys``); a reference star goes to its first detection."""
+    metric = pixels_of(*keys)
+    pairs = pairs_within(detections, reference, radius, metric, strict=True).select(
+        *[F.col(f"l.{k}").alias(k) for k in keys], F.col(f"l.{det_id}").alias("det_id"), F.col(f"r.{ref_id}").alias("ref_id"), F.col(f"r.{flux}").alias("ref_flux"), "sep"
     )
-    choice = pick_first(pairs, ["det_id"], [-F.col("ref_flux"), F.col("ref_id")])
-    return pick_first(choice, ["ref_id"], [F.col("det_id")])
+    choice = pick_first(pairs, [*keys, "det_id"], [-F.col("ref_flux"), F.col("ref_id")])
+    return pick_first(choice, [*keys, "ref_id"], [F.col("det_id")])
+
+
+def nearest_to(stars: DataFrame, positions: DataFrame, keys: list[str], star_id: str) -> DataFrame:
+    """Star nearest to the wanted place (x0, y0) of every image: one aggregate, ties to the smallest id.
+
+    ``positions`` holds one row per image; an image without stars does not appear.
+    """
+    dx, dy = F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
+    placed = join_groups(stars, positions.select(*keys, "x0", "y0"), keys).withColumn("sep", F.sqrt(dx * dx + dy * dy))
+    return pick_first(placed.where(F.col("sep").isNotNull() & ~F.isnan("sep")), keys, [F.col("sep"), F.col(star_id)], [star_id, "x", "y", "sep"])
 
 
 def assign_quadrants(field: DataFrame) -> DataFrame:
@@ -153,47 +166,54 @@ def stamp_array(width, height, size_x: int, size_y: int, overlap: int) -> Column
     return F.when((height < 2 * size_y) | (width < 2 * size_x), whole).otherwise(grid)
 
 
-def assign_stamps(stars: DataFrame, stamps: DataFrame, cell: int = 256) -> DataFrame:
-    """Stamp of every star (half-open bounds); in an overlap the last stamp wins.
+def assign_stamps(stars: DataFrame, stamps: DataFrame, cell: int = 256, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Every star with its stamp (half-open bounds); in an overlap the last stamp wins, off all stamps it is null.
 
-    Stamps are listed in the coarse cells they cover, so the range condition is checked only
-    inside one cell and the join is an equi-join.
+    The stamps of an image (``keys``) are listed once for each coarse cell they touch, a few in
+    each, so the stars meet them in one equi-join that keeps every row: equal detections stay
+    apart, and stars beyond the stamps or without a position stay too.
     """
-    cells = stamps.select(
-        "*", F.explode(F.sequence(F.floor(F.col("x_min") / cell), F.floor(F.col("x_max") / cell))).alias("_cx"),
-    ).select("*", F.explode(F.sequence(F.floor(F.col("y_min") / cell), F.floor(F.col("y_max") / cell))).alias("_cy"))
-    placed = stars.withColumn("_cx", F.floor(F.col("x") / cell)).withColumn("_cy", F.floor(F.col("y") / cell))
-    inside = (
-        (F.col("x") >= F.col("x_min")) & (F.col("x") < F.col("x_max")) & (F.col("y") >= F.col("y_min")) & (F.col("y") < F.col("y_max"))
-    )
-    hits = placed.join(cells, ["_cx", "_cy"]).where(inside)
-    return hits.groupBy(*stars.columns).agg(F.max("stamp_id").alias("stamp_id"))
+    span = lambda low, high: F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+    cells = stamps.select("*", F.explode(span("x_min", "x_max")).alias("_cx")).select("*", F.explode(span("y_min", "y_max")).alias("_cy"))
+    bounds = F.struct("stamp_id", "x_min", "x_max", "y_min", "y_max")
+    listed = cells.groupBy(F.struct(*keys, "_cx", "_cy").alias("_place")).agg(F.collect_list(bounds).alias("_stamps"))
+    place = F.struct(*keys, F.floor(F.col("x") / cell).alias("_cx"), F.floor(F.col("y") / cell).alias("_cy"))
+    x, y = F.col("x"), F.col("y")
+    inside = F.filter("_stamps", lambda s: (x >= s["x_min"]) & (x < s["x_max"]) & (y >= s["y_min"]) & (y < s["y_max"]))
+    last = F.array_max(F.transform(inside, lambda s: s["stamp_id"]))
+    return stars.withColumn("_place", place).join(listed, "_place", "left").select(*stars.columns, last.alias("stamp_id"))
 
 
 def crowding_filter(
-    stars: DataFrame, star_id: str, radius: float, flux_ratio: float, edge_percent: float = 10.0, max_stars: int | None = None, flux: str = "flux"
+    stars: DataFrame, star_id: str, radius: float, flux_ratio: float, edge_percent: float = 10.0, max_stars: int | None = None, flux: str = "flux",
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Stars without a close companion and away from the edge; with ``max_stars`` that many, faintest first.
+    """Stars without a close companion in their image (``keys``) and away from its edge; with ``max_stars`` that many, faintest first.
 
     A star falls out if its flux is at least ``flux_ratio`` times that of a neighbour: the ratio is
-    star over neighbour as defined, although the text describes the opposite.
+    star over neighbour as defined, although the text describes the opposite. A neighbour without
+    flux has no ratio and disturbs nobody. The edge is a percentile of the positions in the image.
     """
-    pairs = pairs_within(stars, stars, radius, PIXEL, strict=True)
+    pairs = pairs_within(stars, stars, radius, pixels_of(*keys), strict=True)
     crowded = pairs.where(
-        (F.col(f"l.{star_id}") != F.col(f"r.{star_id}")) & (F.col(f"l.{flux}") / F.col(f"r.{flux}") >= flux_ratio)
-    ).select(F.col(f"l.{star_id}").alias(star_id)).distinct()
+        (F.col(f"l.{star_id}") != F.col(f"r.{star_id}")) & (ratio(F.col(f"l.{flux}"), F.col(f"r.{flux}")) >= flux_ratio)
+    ).select(*[F.col(f"l.{k}").alias(k) for k in keys], F.col(f"l.{star_id}").alias(star_id)).distinct()
     p = edge_percent / 100.0
-    keyed = stars.withColumn("_all", F.lit(1))
-    bounds = grouped_quantiles(keyed, ["_all"], "x", [p, 1 - p], "_qx").join(
-        grouped_quantiles(keyed, ["_all"], "y", [p, 1 - p], "_qy"), "_all"
-    ).drop("_all")
+    groups = list(keys) or ["_all"]
+    keyed = stars if keys else stars.withColumn("_all", F.lit(1))
+    bounds = join_groups(grouped_quantiles(keyed, groups, "x", [p, 1 - p], "_qx"), grouped_quantiles(keyed, groups, "y", [p, 1 - p], "_qy"), groups)
     inner = (
         (F.col("x") > F.col("_qx")[0]) & (F.col("x") < F.col("_qx")[1]) & (F.col("y") > F.col("_qy")[0]) & (F.col("y") < F.col("_qy")[1])
     )
-    kept = attach_row(stars.join(crowded, star_id, "left_anti"), bounds).where(inner).select(*stars.columns)
+    calm = join_groups(keyed, crowded, [*keys, star_id], "left_anti")
+    kept = join_groups(calm, bounds, groups).where(inner).select(*stars.columns)
     if max_stars is None:
         return kept
-    return kept.orderBy(F.col(flux).asc(), F.col(star_id)).limit(max_stars)
+    order = [F.col(flux).asc(), F.col(star_id)]
+    if not keys:
+        return kept.orderBy(*order).limit(max_stars)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return kept.withColumn("_rank", rank).where(F.col("_rank") <= max_stars).drop("_rank")
 
 
 def isolation_filter(detections: DataFrame, image: str, det_id: str, radius: float, before: int, after: int, size: float, edge: float) -> DataFrame:

@@ -13,22 +13,43 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions import sky
-from skyloom.operators.skew import pick_first
+from skyloom.operators.skew import join_groups, pick_first
 from skyloom.session import cut_lineage
 
 # Copies of the smaller side one cell may hold before the cell is split.
 HOT_CELL_ROWS = 20_000
 CELL_CONF = "skyloom.hotCellRows"
-CELL = ["_zone", "_cell"]
 
 
 @dataclass(frozen=True)
 class Metric:
-    """Two coordinates, a distance and the cells that belong to a radius."""
+    """Two coordinates, a distance and the cells that belong to a radius.
+
+    ``keys`` name columns of both sides, such as the image of a pixel position, that partners have
+    in common. They are part of every cell, so images neither meet in a join nor add up to a hot
+    cell; rows whose key is null belong together like those of any other key.
+    """
 
     a: str
     b: str
     spherical: bool
+    keys: tuple[str, ...] = ()
+
+    @property
+    def cell(self) -> list[str]:
+        return ["_zone", "_cell", *(["_group"] if self.keys else [])]
+
+    def _grouped(self, df: DataFrame) -> DataFrame:
+        # equal structs may hold nulls, equal columns may not
+        return df.withColumn("_group", F.struct(*self.keys)) if self.keys else df
+
+    def own_keys(self, side: str) -> list[Column]:
+        """The keys of one side of a pair, under names that clash with nothing."""
+        return [F.col(f"{side}.{k}").alias(f"_key{i}") for i, k in enumerate(self.keys)]
+
+    @property
+    def key_names(self) -> list[str]:
+        return [f"_key{i}" for i in range(len(self.keys))]
 
     def distance(self, left: str, right: str) -> Column:
         la, lb, ra, rb = F.col(f"{left}.{self.a}"), F.col(f"{left}.{self.b}"), F.col(f"{right}.{self.a}"), F.col(f"{right}.{self.b}")
@@ -42,7 +63,7 @@ class Metric:
             cell = sky.ra_cell(F.col(self.a), sky.ra_cells_in_zone(zone, radius))
         else:
             zone, cell = F.floor(F.col(self.b) / radius), F.floor(F.col(self.a) / radius)
-        return df.select("*", zone.alias("_zone"), cell.alias("_cell"))
+        return self._grouped(df).select("*", zone.alias("_zone"), cell.alias("_cell"))
 
     def spread(self, df: DataFrame, radius: float) -> DataFrame:
         """One copy per cell that a point within ``radius`` could be in."""
@@ -51,7 +72,7 @@ class Metric:
             own = sky.zone_of(F.col(self.b), radius)
         else:
             own = F.floor(F.col(self.b) / radius)
-        zoned = df.select("*", F.explode(F.transform(steps, lambda s: own + s)).alias("_zone"))
+        zoned = self._grouped(df).select("*", F.explode(F.transform(steps, lambda s: own + s)).alias("_zone"))
         if self.spherical:
             cells = sky.ra_cells_in_zone(F.col("_zone"), radius)
             cell = sky.ra_cell(F.col(self.a), cells)
@@ -65,6 +86,11 @@ SKY = Metric("ra", "dec", True)
 PIXEL = Metric("x", "y", False)
 
 
+def pixels_of(*keys: str) -> Metric:
+    """Pixel positions that belong to the image (or any other keys) of their row."""
+    return Metric("x", "y", False, keys)
+
+
 def _cell_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(CELL_CONF, str(HOT_CELL_ROWS)))
 
@@ -76,7 +102,7 @@ def _may_be_crowded(df: DataFrame, metric: Metric, radius: float, limit: int) ->
     cell holds a quarter of the limit no cell can be hot. Wide cells are few, so the count
     combines before the shuffle, which a count per narrow cell would not.
     """
-    wide = metric.home(df.select(metric.a, metric.b), 64 * radius).groupBy(*CELL).agg(F.count("*").alias("_n"))
+    wide = metric.home(df.select(metric.a, metric.b, *metric.keys), 64 * radius).groupBy(*metric.cell).agg(F.count("*").alias("_n"))
     return not wide.where(F.col("_n") > limit / 4).isEmpty()
 
 
@@ -96,26 +122,26 @@ def pairs_within(
     """
     l = metric.home(left, radius)
     r = metric.spread(right, radius)
-    limit = _cell_limit(left)
-    ls = l.select(F.struct(*left.columns).alias("l"), *CELL)
-    rs = r.select(F.struct(*right.columns).alias("r"), *CELL)
-    load = l.groupBy(*CELL).agg(F.count("*").alias("_load")).where(F.col("_load") > limit)
+    limit, cell = _cell_limit(left), metric.cell
+    ls = l.select(F.struct(*left.columns).alias("l"), *cell)
+    rs = r.select(F.struct(*right.columns).alias("r"), *cell)
+    load = l.groupBy(*cell).agg(F.count("*").alias("_load")).where(F.col("_load") > limit)
     if not _may_be_crowded(left, metric, radius, limit) or load.isEmpty():
-        return _within(ls.join(rs, CELL).select("l", "r"), metric, radius, strict)
-    salts = cut_lineage(load.select(*CELL, F.ceil(F.col("_load") / limit).cast("int").alias("_salts")))
-    ls = ls.join(salts, CELL, "left").withColumn(
+        return _within(ls.join(rs, cell).select("l", "r"), metric, radius, strict)
+    salts = cut_lineage(load.select(*cell, F.ceil(F.col("_load") / limit).cast("int").alias("_salts")))
+    ls = ls.join(salts, cell, "left").withColumn(
         "_salt", F.pmod(F.xxhash64("l"), F.coalesce("_salts", F.lit(1))).cast("int")
     )
-    rs = rs.join(salts, CELL, "left").withColumn(
+    rs = rs.join(salts, cell, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    joined = ls.drop("_salts").join(rs.drop("_salts"), [*CELL, "_salt"]).select("l", "r")
+    joined = ls.drop("_salts").join(rs.drop("_salts"), [*cell, "_salt"]).select("l", "r")
     return _within(joined, metric, radius, strict)
 
 
-def _closest(pairs: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    flat = pairs.select(F.col(f"l.{left_id}").alias("_lid"), F.col(f"r.{right_id}").alias("_rid"), "l", "r", "sep")
-    best = pick_first(flat, ["_lid"], [F.col("sep"), F.col("_rid")], ["l", "r", "sep"])
+def _closest(pairs: DataFrame, left_id: str, right_id: str, metric: Metric) -> DataFrame:
+    flat = pairs.select(*metric.own_keys("l"), F.col(f"l.{left_id}").alias("_lid"), F.col(f"r.{right_id}").alias("_rid"), "l", "r", "sep")
+    best = pick_first(flat, [*metric.key_names, "_lid"], [F.col("sep"), F.col("_rid")], ["l", "r", "sep"])
     return best.select("l", "r", "sep")
 
 
@@ -134,29 +160,29 @@ def nearest_within(
     the nearest one, so only rows without one need the next larger radius. Right rows at one and
     the same position are reduced to the smallest id there, which is the one a tie selects.
     """
-    limit = _cell_limit(left)
+    limit, cell = _cell_limit(left), metric.cell
     crowded = (
-        metric.spread(right, radius).groupBy(*CELL).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+        metric.spread(right, radius).groupBy(*cell).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
         .drop("_n")
     )
     if not _may_be_crowded(right, metric, radius, limit) or crowded.isEmpty():
-        return _closest(pairs_within(left, right, radius, metric, strict), left_id, right_id)
+        return _closest(pairs_within(left, right, radius, metric, strict), left_id, right_id, metric)
     crowded = cut_lineage(crowded)
     homed = metric.home(left, radius)
-    calm = homed.join(crowded, CELL, "left_anti").drop(*CELL)
-    found = [_closest(pairs_within(calm, right, radius, metric, strict), left_id, right_id)]
-    todo = cut_lineage(homed.join(crowded, CELL, "left_semi").drop(*CELL))
+    calm = homed.join(crowded, cell, "left_anti").drop(*cell)
+    found = [_closest(pairs_within(calm, right, radius, metric, strict), left_id, right_id, metric)]
+    todo = cut_lineage(homed.join(crowded, cell, "left_semi").drop(*cell))
     single = cut_lineage(
-        pick_first(right, [metric.a, metric.b], [F.col(right_id)]).select(*right.columns)
+        pick_first(right, [*metric.keys, metric.a, metric.b], [F.col(right_id)]).select(*right.columns)
     )
     for shrink in (256, 16, 1):
         last = shrink == 1
         pairs = pairs_within(todo, single, radius / shrink, metric, strict if last else False)
-        hit = cut_lineage(_closest(pairs, left_id, right_id))
+        hit = cut_lineage(_closest(pairs, left_id, right_id, metric))
         found.append(hit)
         if not last:
-            done = hit.select(F.col(f"l.{left_id}").alias(left_id))
-            todo = cut_lineage(todo.join(done, left_id, "left_anti").select(*left.columns))
+            done = hit.select(*[F.col(f"l.{c}").alias(c) for c in [*metric.keys, left_id]])
+            todo = cut_lineage(join_groups(todo, done, [*metric.keys, left_id], "left_anti").select(*left.columns))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -171,16 +197,21 @@ def match_one_to_one(
 ) -> DataFrame:
     """Nearest match, and of several left rows that chose the same right row the closest keeps it."""
     nearest = nearest_within(left, right, radius, left_id, right_id, metric, strict)
-    flat = nearest.select(F.col(f"r.{right_id}").alias("_rid"), F.col(f"l.{left_id}").alias("_lid"), "l", "r", "sep")
-    return pick_first(flat, ["_rid"], [F.col("sep"), F.col("_lid")], ["l", "r", "sep"]).select("l", "r", "sep")
+    flat = nearest.select(*metric.own_keys("r"), F.col(f"r.{right_id}").alias("_rid"), F.col(f"l.{left_id}").alias("_lid"), "l", "r", "sep")
+    return pick_first(flat, [*metric.key_names, "_rid"], [F.col("sep"), F.col("_lid")], ["l", "r", "sep"]).select("l", "r", "sep")
 
 
-def cone(df: DataFrame, ra0: float, dec0: float, radius: float, strict: bool = False) -> DataFrame:
+def cone(df: DataFrame, ra0: float, dec0: float, radius: float, strict: bool = False, zone_height: float | None = None) -> DataFrame:
     """Rows within ``radius`` degrees of one position with their separation.
 
-    The declination band is a plain comparison that reaches the scan; the distance is computed
-    only for rows inside it.
+    The declination band and the RA range of the circle, cut at 0 = 360 and open at the poles, are
+    plain comparisons that reach the scan, as does the zone of a catalogue stored in zones; the
+    distance is computed only for rows inside them.
     """
-    band = df.where(F.col("dec").between(dec0 - radius, dec0 + radius))
-    out = band.withColumn("sep", sky.separation_deg(F.col("ra"), F.col("dec"), ra0, dec0))
+    out = sky.cone_cover(ra0, dec0, radius).of(df, zone_height).withColumn("sep", sky.separation_deg(F.col("ra"), F.col("dec"), ra0, dec0))
     return out.where((F.col("sep") < radius) if strict else (F.col("sep") <= radius))
+
+
+def box(df: DataFrame, ra_min: float, ra_max: float, dec_min: float, dec_max: float, zone_height: float | None = None) -> DataFrame:
+    """Rows in a box of the sky, which may lie across RA 0 (``ra_min`` above ``ra_max``)."""
+    return sky.box_cover(ra_min, ra_max, dec_min, dec_max).of(df, zone_height)

@@ -8,7 +8,7 @@ from skyloom.functions.common import num
 from skyloom.operators.match import Metric, nearest_within, pairs_within
 from skyloom.operators.ordering import with_following, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles
-from skyloom.operators.skew import pick_first
+from skyloom.operators.skew import join_groups
 from skyloom.operators.stats import attach_row
 from skyloom.session import stored
 
@@ -58,17 +58,21 @@ def hash_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(key).cast("string"))), key).limit(size)
 
 
-def central_region(stars: DataFrame, half_widths: list[float], fewest: int, most: int) -> DataFrame:
-    """Stars of the smallest central box with a wanted number of stars; all boxes are counted in one pass."""
-    centre = stars.agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"))
-    placed = attach_row(stars, centre).withColumn("_reach", F.greatest(F.abs(F.col("x") - F.col("_cx")), F.abs(F.col("y") - F.col("_cy"))))
-    counts = placed.agg(F.array(*[F.count_if(F.col("_reach") <= h) for h in half_widths]).alias("c"))
-    fits = F.array_min(F.filter(
-        F.transform("c", lambda n, k: F.when((n >= fewest) & (n <= most), k + 1)), lambda k: k.isNotNull()
-    ))
-    chosen = counts.select(fits.alias("box"))
+def central_region(stars: DataFrame, half_widths: list[float], fewest: int, most: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Stars of the smallest central box with a wanted number of stars, per image (``keys``); all boxes are counted in one pass.
+
+    Where no box holds ``fewest`` to ``most`` stars it is the one that misses this range by the
+    fewest stars, the smaller box of equal ones.
+    """
+    groups = list(keys) or ["_all"]
+    keyed = stars if keys else stars.withColumn("_all", F.lit(1))
+    centre = keyed.groupBy(*groups).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"))
+    placed = join_groups(keyed, centre, groups).withColumn("_reach", F.greatest(F.abs(F.col("x") - F.col("_cx")), F.abs(F.col("y") - F.col("_cy"))))
+    counts = placed.groupBy(*groups).agg(F.array(*[F.count_if(F.col("_reach") <= h) for h in half_widths]).alias("_c"))
+    missed = F.transform("_c", lambda n, k: F.struct(F.greatest(F.lit(fewest) - n, n - F.lit(most), F.lit(0)).alias("miss"), (k + 1).alias("box")))
+    chosen = counts.select(*groups, F.array_min(missed)["box"].alias("box"))
     widths = F.array(*[F.lit(float(h)) for h in half_widths])
-    out = attach_row(placed, chosen).where(F.col("_reach") <= F.try_element_at(widths, F.col("box")))
+    out = join_groups(placed, chosen, groups).where(F.col("_reach") <= F.try_element_at(widths, F.col("box")))
     return out.select(*stars.columns, "box")
 
 

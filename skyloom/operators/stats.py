@@ -244,12 +244,12 @@ def joint_information(df: DataFrame, keys: list[str], x: str, y: str) -> DataFra
     return full.groupBy(*keys).agg(F.sum(p * F.log(F.col("_c") * F.col("_n") / (F.col("_cx") * F.col("_cy")))).alias("mutual_information"))
 
 
-def offset_peak(pairs: DataFrame, dx: str, dy: str, limit: float, step: float) -> DataFrame:
-    """Shift between two catalogues: centre of the fullest cell of the pair differences."""
+def offset_peak(pairs: DataFrame, dx: str, dy: str, limit: float, step: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Shift between two catalogues of an image (``keys``): centre of the fullest cell of the pair differences."""
     cells = pairs.where((F.abs(F.col(dx)) <= limit) & (F.abs(F.col(dy)) <= limit)).groupBy(
-        F.floor(F.col(dx) / num(step)).alias("i"), F.floor(F.col(dy) / num(step)).alias("j")
+        *keys, F.floor(F.col(dx) / num(step)).alias("i"), F.floor(F.col(dy) / num(step)).alias("j")
     ).agg(F.count("*").alias("votes"))
-    best = cells.agg(F.min_by(F.struct("i", "j", "votes"), F.struct(-F.col("votes"), "i", "j")).alias("b"))
+    best = cells.groupBy(*keys).agg(F.min_by(F.struct("i", "j", "votes"), F.struct(-F.col("votes"), "i", "j")).alias("b"))
     return best.select(
-        ((F.col("b.i") + 0.5) * step).alias("offset_x"), ((F.col("b.j") + 0.5) * step).alias("offset_y"), F.col("b.votes").alias("votes")
+        *keys, ((F.col("b.i") + 0.5) * step).alias("offset_x"), ((F.col("b.j") + 0.5) * step).alias("offset_y"), F.col("b.votes").alias("votes")
     )

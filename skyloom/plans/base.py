@@ -65,6 +65,14 @@ class Tables:
             F.when(k % 4 == 0, "None").otherwise(F.concat(F.lit("G"), k.cast("string"))).alias("gaia_source_id"),
         )
 
+    @cached_property
+    def sky_stars(self) -> DataFrame:
+        """The stars in three fields: as they are, around RA 0, and around the north pole."""
+        k, s = F.col("star_id"), self.stars
+        zero = s.select((k + 1_000_000).alias("star_id"), F.pmod(F.col("ra") - 267.5, F.lit(360.0)).alias("ra"), (F.col("dec") + 29.5).alias("dec"))
+        pole = s.select((k + 2_000_000).alias("star_id"), ((F.col("ra") - 267.0) * 360.0).alias("ra"), (F.lit(90.0) - (F.col("dec") + 30.0) / 2.0).alias("dec"))
+        return s.select("star_id", "ra", "dec").unionByName(zero).unionByName(pole)
+
     @cached_property
     def star_mags(self) -> DataFrame:
         """Catalogue stars with three reference magnitudes and errors (some bands not measured: 0)."""
@@ -115,6 +123,13 @@ class Tables:
             (F.col("p_retailprice") * (1 + F.col("p_size"))).alias("flux"),
         )
 
+    @cached_property
+    def detections(self) -> DataFrame:
+        """The stars of ``star_pixels`` as detections on four images, with the size of the image."""
+        image = self.raw("part").select(F.col("p_partkey").alias("star_id"), (F.col("p_size") % 4).alias("image_id"))
+        sized = image.withColumn("width", (3600 + F.col("image_id") * 300).cast("int")).withColumn("height", (4500 - F.col("image_id") * 400).cast("int"))
+        return self.star_pixels.join(sized, "star_id").select("image_id", "star_id", "x", "y", "flux", "width", "height")
+
     @cached_property
     def images(self) -> DataFrame:
         o, c = F.col("o_orderkey"), F.col("o_custkey")
@@ -172,6 +187,8 @@ VIEWS = {
     "stars": """SELECT p_partkey AS star_id, 267e0 + ((p_partkey*7919) % 100003)/100003e0 AS ra,
         -30e0 + ((p_partkey*104729) % 99991)/99991e0 AS dec,
         CASE WHEN p_partkey % 4 = 0 THEN 'None' ELSE concat('G', CAST(p_partkey AS varchar)) END AS gaia_source_id FROM part""",
+    "sky_stars": """SELECT star_id, ra, dec FROM stars UNION ALL SELECT star_id + 1000000, CASE WHEN ra < 267.5e0 THEN ra - 267.5e0 + 360e0 ELSE ra - 267.5e0 END, dec + 29.5e0 FROM stars
+        UNION ALL SELECT star_id + 2000000, (ra - 267e0)*360e0, 90e0 - (dec + 30e0)/2e0 FROM stars""",
     "star_mags": """SELECT star_id, CASE WHEN size = 7 THEN 0e0 ELSE g0 END AS g, 5e-3 + (star_id % 13)/4e2 AS g_err,
         CASE WHEN size = 11 THEN 0e0 ELSE g0 - 3e-1 - (star_id % 17)/2e1 END AS r, 4e-3 + (star_id % 11)/5e2 AS r_err,
         CASE WHEN size = 13 THEN 0e0 ELSE g0 - 5e-1 - (star_id % 23)/2e1 END AS i, 3e-3 + (star_id % 7)/6e2 AS i_err, size
@@ -183,6 +200,8 @@ VIEWS = {
         -30e0 + ((c_custkey*104729) % 99991)/99991e0 AS dec FROM customer""",
     "star_pixels": """SELECT p_partkey AS star_id, ((p_partkey*7919) % 40960)/1e1 AS x, ((p_partkey*104729) % 40961)/1e1 AS y,
         p_retailprice * (1 + p_size) AS flux FROM part""",
+    "detections": """SELECT CAST(p_size % 4 AS int) AS image_id, star_id, x, y, flux, CAST(3600 + (p_size % 4)*300 AS int) AS width, CAST(4500 - (p_size % 4)*400 AS int) AS height
+        FROM star_pixels JOIN part ON p_partkey = star_id""",
     "images": """SELECT o_orderkey AS image_id, 1e0 + (o_custkey % 30)/1e1 AS fwhm, o_totalprice/2e1 AS sky,
         CAST(o_custkey % 200 AS int) AS nstars, (o_orderkey % 100)/1e2 AS moon_fraction,
         (o_orderkey % 180)*1e0 AS moon_distance FROM orders""",
@@ -190,7 +209,7 @@ VIEWS = {
         CAST(embedding[i] AS double)*1000 AS v FROM embeddings, range(1, 65) t(i)""",
     "ev": """SELECT event_id, ts, user_id AS star_id, event_type AS filter, value AS flux, props FROM events""",
 }
-NEEDS = {"valid": ["phot"], "dataset_phot": ["phot"], "catalog2": ["stars"]}
+NEEDS = {"valid": ["phot"], "dataset_phot": ["phot"], "catalog2": ["stars"], "detections": ["star_pixels"], "sky_stars": ["stars"]}
 
 
 def with_views(*names: str, extra: str = "") -> str:

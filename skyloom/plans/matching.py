@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.common import settled
 from skyloom.operators import crossmatch, match, stats
-from skyloom.operators.match import PIXEL, cone, match_one_to_one, nearest_within, pairs_within
+from skyloom.operators.match import cone, match_one_to_one, pairs_within, pixels_of
 from skyloom.operators.skew import pick_first
 from skyloom.plans.base import Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import rounded
@@ -22,19 +22,35 @@ def one_to_one_sql(name: str, left: str, lid: str, right: str, rid: str, radius:
     {name} AS (SELECT * FROM {name}_n QUALIFY row_number() OVER (PARTITION BY rid ORDER BY sep, lid) = 1)"""
 
 
-CONE = f"{sep_sql('ra', 'dec', '267.5e0', '-29.5e0')}"
+# field, right ascension, declination and radius: an ordinary one, one across RA 0, one beside and one around the pole
+CONES = [("plain", 267.5, -29.5, 0.2), ("zero", 359.95, 0.03, 0.2), ("beside", 130.0, 89.8, 0.15), ("pole", 40.0, 89.9, 0.25)]
+# field, RA range (low above high: across 0), declination range
+BOXES = [("plain", 267.3, 267.7, -29.6, -29.4), ("zero", 359.8, 0.2, -0.1, 0.1), ("pole", 350.0, 20.0, 89.7, 90.0)]
 
 
-@query("cone_search", with_views("stars") + f"SELECT star_id, {r6('ra')} AS ra, {r6('dec')} AS dec, {r6('sep')} AS sep FROM (SELECT *, {CONE} AS sep FROM stars) WHERE sep <= 0.2e0")
+def fields(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+CONE_ROWS = ", ".join(f"('{n}', {a}e0, {d}e0, {r}e0)" for n, a, d, r in CONES)
+BOX_ROWS = ", ".join(f"('{n}', {a}e0, {b}e0, {c}e0, {d}e0)" for n, a, b, c, d in BOXES)
+
+
+@query("cone_search", with_views("sky_stars", extra=f"c(field, ra0, dec0, radius) AS (VALUES {CONE_ROWS}), s AS (SELECT field, star_id, ra, dec, radius, {sep_sql('ra', 'dec', 'ra0', 'dec0')} AS sep FROM sky_stars, c)")
+    + f"SELECT field, star_id, {r6('ra')} AS ra, {r6('dec')} AS dec, {r6('sep')} AS sep FROM s WHERE sep <= radius")
 def cone_search(t: Tables):
-    return rounded(cone(t.stars, 267.5, -29.5, 0.2), ["star_id"], {"ra": "ra", "dec": "dec", "sep": "sep"})
+    found = fields([cone(t.sky_stars, a, d, r).withColumn("field", F.lit(n)) for n, a, d, r in CONES])
+    return rounded(found, ["field", "star_id"], {"ra": "ra", "dec": "dec", "sep": "sep"})
 
 
-@query("box_search", with_views("stars") + f"""SELECT star_id, {r6(sep_sql('ra', 'dec', '267.5e0', '-29.5e0'))} AS sep FROM stars
-    WHERE ra BETWEEN 267.5e0 - 0.2e0 AND 267.5e0 + 0.2e0 AND dec BETWEEN -29.5e0 - 0.1e0 AND -29.5e0 + 0.1e0""")
+@query("box_search", with_views("sky_stars", extra=f"b(field, a0, a1, d0, d1) AS (VALUES {BOX_ROWS})") + f"""SELECT field, star_id, {r6('ra')} AS ra, {r6('dec')} AS dec FROM sky_stars, b
+    WHERE CASE WHEN a0 <= a1 THEN ra BETWEEN a0 AND a1 ELSE ra >= a0 OR ra <= a1 END AND dec BETWEEN d0 AND d1""")
 def box_search(t: Tables):
-    box = t.stars.where(F.col("ra").between(267.3, 267.7) & F.col("dec").between(-29.6, -29.4))
-    return rounded(box, ["star_id"], {"sep": match.sky.separation_deg("ra", "dec", 267.5, -29.5)})
+    found = fields([match.box(t.sky_stars, *b).withColumn("field", F.lit(n)) for n, *b in BOXES])
+    return rounded(found, ["field", "star_id"], {"ra": "ra", "dec": "dec"})
 
 
 BULK = f"p AS (SELECT l.target_id, r.star_id, {SEP} AS sep FROM targets l, stars r WHERE abs(l.dec-r.dec) <= {TWO})"
@@ -129,34 +145,43 @@ def two_pass_match(t: Tables):
     return out.select("left_id", "right_id", settled(F.col("sep") * 3600).alias("sep_arcsec"), "round")
 
 
-SHIFT = "b AS (SELECT star_id + 1000000 AS star_id, x + ((star_id*31) % 9 - 4)*3e-1 AS x, y - (star_id % 4)*4e-1 AS y, flux FROM star_pixels)"
+SHIFT = "b AS (SELECT image_id, star_id + 1000000 AS star_id, x + ((star_id*31) % 9 - 4)*3e-1 AS x, y - (star_id % 4)*4e-1 AS y, flux FROM detections)"
 PIX = "sqrt((l.x-r.x)*(l.x-r.x) + (l.y-r.y)*(l.y-r.y))"
+IMAGE = "image_id"
 
 
 def shifted(t: Tables):
     k = F.col("star_id")
-    return t.star_pixels.select((k + 1000000).alias("star_id"), (F.col("x") + ((k * 31) % 9 - 4) * F.lit(0.3)).alias("x"), (F.col("y") - (k % 4) * F.lit(0.4)).alias("y"), "flux")
+    return t.detections.select(IMAGE, (k + 1000000).alias("star_id"), (F.col("x") + ((k * 31) % 9 - 4) * F.lit(0.3)).alias("x"), (F.col("y") - (k % 4) * F.lit(0.4)).alias("y"), "flux")
 
 
-@query("pixel_match", with_views("star_pixels", extra=SHIFT + ", " + one_to_one_sql("m", "b", "star_id", "star_pixels", "star_id", "1.5e0", PIX, "y")) + f"SELECT lid AS star1, rid AS star2, {r6('sep')} AS sep FROM m")
+@query("pixel_match", with_views("detections", extra=SHIFT + f""", p AS (SELECT image_id, l.star_id AS lid, r.star_id AS rid, {PIX} AS sep FROM b l JOIN detections r USING (image_id) WHERE abs(l.y-r.y) <= 1.5e0),
+    n AS (SELECT * FROM p WHERE sep < 1.5e0 QUALIFY row_number() OVER (PARTITION BY image_id, lid ORDER BY sep, rid) = 1),
+    m AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY image_id, rid ORDER BY sep, lid) = 1)""") + f"SELECT image_id, lid AS star1, rid AS star2, {r6('sep')} AS sep FROM m")
 def pixel_match(t: Tables):
-    m = match_one_to_one(shifted(t), t.star_pixels, 1.5, "star_id", "star_id", PIXEL)
-    return m.select(F.col("l.star_id").alias("star1"), F.col("r.star_id").alias("star2"), settled("sep").alias("sep"))
+    """Detections of an image and its catalogue stars, one to one; images never mix."""
+    m = match_one_to_one(shifted(t), t.detections, 1.5, "star_id", "star_id", pixels_of(IMAGE))
+    return m.select(F.col("l.image_id").alias(IMAGE), F.col("l.star_id").alias("star1"), F.col("r.star_id").alias("star2"), settled("sep").alias("sep"))
 
 
-@query("brightest_within", with_views("star_pixels", extra=SHIFT + f""", p AS (SELECT l.star_id AS det_id, r.star_id AS ref_id, r.flux AS ref_flux, {PIX} AS sep FROM b l, star_pixels r WHERE abs(l.y-r.y) <= 8),
-    c AS (SELECT * FROM p WHERE sep < 8 QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY ref_flux DESC, ref_id) = 1)""")
-    + f"SELECT det_id, ref_id, {r6('sep')} AS sep FROM c QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY det_id) = 1")
+@query("brightest_within", with_views("detections", extra=SHIFT + f""", p AS (SELECT image_id, l.star_id AS det_id, r.star_id AS ref_id, r.flux AS ref_flux, {PIX} AS sep FROM b l JOIN detections r USING (image_id) WHERE abs(l.y-r.y) <= 30),
+    c AS (SELECT * FROM p WHERE sep < 30 QUALIFY row_number() OVER (PARTITION BY image_id, det_id ORDER BY ref_flux DESC, ref_id) = 1)""")
+    + f"SELECT image_id, det_id, ref_id, {r6('sep')} AS sep FROM c QUALIFY row_number() OVER (PARTITION BY image_id, ref_id ORDER BY det_id) = 1")
 def brightest_within(t: Tables):
-    out = crossmatch.brightest_within(shifted(t), t.star_pixels, 8.0, "star_id", "star_id")
-    return out.select("det_id", "ref_id", settled("sep").alias("sep"))
+    out = crossmatch.brightest_within(shifted(t), t.detections, 30.0, "star_id", "star_id", keys=(IMAGE,))
+    return out.select(IMAGE, "det_id", "ref_id", settled("sep").alias("sep"))
 
 
-@query("nearest_star", with_views("star_pixels") + f"SELECT star_id, {r6('x')} AS x, {r6('y')} AS y FROM star_pixels ORDER BY (x-2000e0)*(x-2000e0)+(y-1500e0)*(y-1500e0), star_id LIMIT 1")
+PLACES = "w AS (SELECT image_id, any_value(width)/2e0 + 50*image_id AS x0, any_value(height)/2e0 AS y0 FROM detections GROUP BY image_id)"
+
+
+@query("nearest_star", with_views("detections", extra=PLACES) + f"""SELECT image_id, star_id, {r6('x')} AS x, {r6('y')} AS y, {r6('sqrt((x-x0)*(x-x0)+(y-y0)*(y-y0))')} AS sep FROM detections JOIN w USING (image_id)
+    QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY sqrt((x-x0)*(x-x0)+(y-y0)*(y-y0)), star_id) = 1""")
 def nearest_star(t: Tables):
-    d = (F.col("x") - 2000.0) * (F.col("x") - 2000.0) + (F.col("y") - 1500.0) * (F.col("y") - 1500.0)
-    best = t.star_pixels.agg(F.min_by(F.struct("star_id", "x", "y"), F.struct(d, "star_id")).alias("b"))
-    return rounded(best.select("b.*"), ["star_id"], {"x": "x", "y": "y"})
+    """The star nearest to a wanted place of every image."""
+    d = t.detections
+    places = d.groupBy(IMAGE).agg((F.max("width") / 2.0 + 50 * F.max(IMAGE)).alias("x0"), (F.max("height") / 2.0).alias("y0"))
+    return rounded(crossmatch.nearest_to(d, places, [IMAGE], "star_id"), [IMAGE, "star_id"], {"x": "x", "y": "y", "sep": "sep"})
 
 
 MATCHED = one_to_one_sql("m", "catalog2", "star_id", "stars", "star_id", TWO)
@@ -201,15 +226,21 @@ def stamp_grid(t: Tables):
 FULL_STAMPS = """st AS (SELECT CAST(i*4+j AS int) AS stamp_id, greatest(505+1010*j-505-10, 0) AS x_min, CASE WHEN j = 3 THEN 4096 ELSE 505+1010*j+505+10 END AS x_max,
     greatest(505+1010*i-505-10, 0) AS y_min, CASE WHEN i = 3 THEN 4096 ELSE 505+1010*i+505+10 END AS y_max FROM range(0, 4) a(i), range(0, 4) b(j))"""
 
+IMAGE_STAMPS = """z AS (SELECT DISTINCT image_id, width AS w, height AS h FROM detections),
+    g AS (SELECT image_id, w, h, CAST(i AS int) AS i, CAST(j AS int) AS j, CAST(ceil((w - 505)/1010e0) AS int) AS nx, CAST(ceil((h - 505)/1010e0) AS int) AS ny FROM z, range(0, 6) a(i), range(0, 6) b(j)),
+    st AS (SELECT image_id, i*nx+j AS stamp_id, greatest(1010*j-10, 0) AS x_min, CASE WHEN j = nx-1 THEN w ELSE least(1010*j+1020, w) END AS x_max,
+      greatest(1010*i-10, 0) AS y_min, CASE WHEN i = ny-1 THEN h ELSE least(1010*i+1020, h) END AS y_max FROM g WHERE i < ny AND j < nx),
+    hit AS (SELECT s.image_id, s.star_id, max(stamp_id) AS stamp_id FROM detections s JOIN st USING (image_id) WHERE s.x >= x_min AND s.x < x_max AND s.y >= y_min AND s.y < y_max GROUP BY s.image_id, s.star_id)"""
+
 
-@query("stamp_assignment", with_views("star_pixels", extra=FULL_STAMPS) + f"""SELECT star_id, {r6('any_value(x)')} AS x, {r6('any_value(y)')} AS y, max(stamp_id) AS stamp_id FROM star_pixels s, st
-    WHERE s.x >= x_min AND s.x < x_max AND s.y >= y_min AND s.y < y_max GROUP BY star_id""")
+@query("stamp_assignment", with_views("detections", extra=IMAGE_STAMPS) + f"""SELECT d.image_id, d.star_id, {r6('x')} AS x, {r6('y')} AS y, coalesce(stamp_id, -1) AS stamp_id
+    FROM detections d LEFT JOIN hit ON hit.image_id = d.image_id AND hit.star_id = d.star_id""")
 def stamp_assignment(t: Tables):
-    """Stamps of the detector, whose size is taken from the star list."""
-    size = t.star_pixels.agg((F.ceil(F.max("x") / 1024) * 1024).alias("w"), (F.ceil(F.max("y") / 1024) * 1024).alias("h"))
-    stamps = size.select(F.inline(crossmatch.stamp_array(F.least("w", F.lit(4096)), F.least("h", F.lit(4096)), 1010, 1010, 10)))
-    out = crossmatch.assign_stamps(t.star_pixels, stamps)
-    return rounded(out, ["star_id", "stamp_id"], {"x": "x", "y": "y"})
+    """Stamps of every image from its own size; a star beyond them keeps its row (-1 here, null in the operator)."""
+    sized = t.detections.select(IMAGE, "width", "height").distinct()
+    stamps = sized.select(IMAGE, F.inline(crossmatch.stamp_array("width", "height", 1010, 1010, 10)))
+    out = crossmatch.assign_stamps(t.detections, stamps, keys=(IMAGE,)).withColumn("stamp_id", F.coalesce("stamp_id", F.lit(-1)))
+    return rounded(out, [IMAGE, "star_id", "stamp_id"], {"x": "x", "y": "y"})
 
 
 @query("assign_quadrant", with_views("stars", extra="""b AS (SELECT min(ra) + (max(ra)-min(ra))/2 AS mr, min(dec) + (max(dec)-min(dec))/2 AS md FROM stars),
@@ -252,11 +283,11 @@ def dataset_star_photometry(t: Tables):
     return rounded(wide, ["star_id"], {n: F.coalesce(n, F.lit(0.0)) for n in names})
 
 
-@query("crowding_filter", with_views("star_pixels", extra=f"""cr AS (SELECT DISTINCT l.star_id FROM star_pixels l, star_pixels r WHERE abs(l.y-r.y) <= 40 AND {PIX} < 40 AND l.star_id <> r.star_id AND l.flux/r.flux >= 0.5e0),
-    b AS (SELECT quantile_cont(x, 0.1) AS x0, quantile_cont(x, 0.9) AS x1, quantile_cont(y, 0.1) AS y0, quantile_cont(y, 0.9) AS y1 FROM star_pixels)""")
-    + f"SELECT star_id, {r6('flux')} AS flux FROM star_pixels, b WHERE star_id NOT IN (SELECT star_id FROM cr) AND x > x0 AND x < x1 AND y > y0 AND y < y1")
+@query("crowding_filter", with_views("detections", extra=f"""cr AS (SELECT DISTINCT image_id, l.star_id FROM detections l JOIN detections r USING (image_id) WHERE abs(l.y-r.y) <= 40 AND {PIX} < 40 AND l.star_id <> r.star_id AND l.flux/nullif(r.flux, 0) >= 0.5e0),
+    b AS (SELECT image_id, quantile_cont(x, 0.1) AS x0, quantile_cont(x, 0.9) AS x1, quantile_cont(y, 0.1) AS y0, quantile_cont(y, 0.9) AS y1 FROM detections GROUP BY image_id)""")
+    + f"SELECT image_id, star_id, {r6('flux')} AS flux FROM detections d JOIN b USING (image_id) WHERE NOT EXISTS (SELECT 1 FROM cr WHERE cr.image_id = d.image_id AND cr.star_id = d.star_id) AND x > x0 AND x < x1 AND y > y0 AND y < y1")
 def crowding_filter(t: Tables):
-    return rounded(crossmatch.crowding_filter(t.star_pixels, "star_id", 40.0, 0.5), ["star_id"], {"flux": "flux"})
+    return rounded(crossmatch.crowding_filter(t.detections, "star_id", 40.0, 0.5, keys=(IMAGE,)), [IMAGE, "star_id"], {"flux": "flux"})
 
 
 @query("isolation_filter", with_views("star_pixels", extra="""d AS (SELECT s.*, p_size AS image_id FROM star_pixels s JOIN part ON p_partkey = star_id),

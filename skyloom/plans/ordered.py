@@ -73,13 +73,14 @@ def random_star_sample(t: Tables):
     return seq.hash_sample(t.stars.where("gaia_source_id != 'None'").select("star_id", "gaia_source_id"), "star_id", 500, seed=42)
 
 
-@query("central_region", with_views("star_pixels", extra="""m AS (SELECT avg(x) AS cx, avg(y) AS cy FROM star_pixels), k AS (SELECT CAST(s AS int) AS box, s*200 AS half FROM range(1, 11) t(s)),
-    c AS (SELECT box, half, count(*) FILTER (WHERE abs(x-cx) <= half AND abs(y-cy) <= half) AS n FROM star_pixels, m, k GROUP BY box, half),
-    b AS (SELECT box, half FROM c WHERE n BETWEEN 100 AND 1000 ORDER BY box LIMIT 1)""") + f"SELECT star_id, box, {r6('flux')} AS flux FROM star_pixels, m, b WHERE abs(x-cx) <= half AND abs(y-cy) <= half")
+@query("central_region", with_views("detections", extra="""m AS (SELECT image_id, avg(x) AS cx, avg(y) AS cy FROM detections GROUP BY image_id), k AS (SELECT CAST(s AS int) AS box, s*200 AS half FROM range(1, 11) t(s)),
+    c AS (SELECT image_id, box, half, count(*) FILTER (WHERE abs(x-cx) <= half AND abs(y-cy) <= half) AS n FROM detections JOIN m USING (image_id), k GROUP BY image_id, box, half),
+    b AS (SELECT image_id, box, half FROM c QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY greatest(100 - n, n - 1000, 0), box) = 1)""")
+    + f"SELECT image_id, star_id, box, {r6('flux')} AS flux FROM detections JOIN m USING (image_id) JOIN b USING (image_id) WHERE abs(x-cx) <= half AND abs(y-cy) <= half")
 def central_region(t: Tables):
-    """Smallest central box that holds 100 to 1000 stars."""
-    out = seq.central_region(t.star_pixels, [200.0 * n for n in range(1, 11)], 100, 1000)
-    return out.select("star_id", "box", settled("flux").alias("flux"))
+    """Smallest central box of every image that holds 100 to 1000 stars."""
+    out = seq.central_region(t.detections, [200.0 * n for n in range(1, 11)], 100, 1000, ("image_id",))
+    return out.select("image_id", "star_id", "box", settled("flux").alias("flux"))
 
 
 ISO = """iso AS (SELECT p_partkey AS row_id, 1e8 + (p_partkey % 30)*1e8 AS age, 8e-1 + (p_partkey % 40)/2e1 AS mass, 3.5e0 + (p_partkey % 11)/2e1 AS log_teff, 1e0 + (p_partkey % 50)/1e1 AS logg, (p_partkey % 83)/5e1 AS gr, (p_partkey % 61)/5e1 AS ri FROM part),

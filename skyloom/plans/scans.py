@@ -9,7 +9,7 @@ from skyloom.operators import lightcurves as lc, skew
 from skyloom.operators.match import pairs_within
 from skyloom.plans.base import FIELD_PREFIX, TELESCOPE_SUFFIX, Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import rounded
-from skyloom.plans.matching import ARCSEC, TWO
+from skyloom.plans.matching import ARCSEC, BOXES, BOX_ROWS, CONES, CONE_ROWS, TWO, fields
 from skyloom.schemas import FIELD_BUNDLE
 from skyloom.session import scratch_path
 from skyloom.sources import tables, textfiles
@@ -88,11 +88,19 @@ def scan_source_catalog(t: Tables):
     return rounded(read, ["star_id"], {"ra": "ra", "dec": "dec", "g": "g"})
 
 
-@query("scan_catalog_region", with_views("stars") + f"SELECT star_id, {r6('ra')} AS ra, {r6('dec')} AS dec FROM stars WHERE ra BETWEEN 267.2e0 AND 267.6e0 AND dec BETWEEN -29.7e0 AND -29.3e0")
+REGION_SQL = with_views("sky_stars", extra=f"""b(field, a0, a1, d0, d1) AS (VALUES {BOX_ROWS}), c(field, ra0, dec0, radius) AS (VALUES {CONE_ROWS}),
+    s AS (SELECT field, star_id, ra, dec, radius, {sep_sql('ra', 'dec', 'ra0', 'dec0')} AS sep FROM sky_stars, c)""") + f"""SELECT concat('box ', field) AS region, star_id, {r6('ra')} AS ra, {r6('dec')} AS dec FROM sky_stars, b
+    WHERE CASE WHEN a0 <= a1 THEN ra BETWEEN a0 AND a1 ELSE ra >= a0 OR ra <= a1 END AND dec BETWEEN d0 AND d1 UNION ALL SELECT concat('cone ', field), star_id, {r6('ra')}, {r6('dec')} FROM s WHERE sep <= radius"""
+
+
+@query("scan_catalog_region", REGION_SQL)
 def scan_catalog_region(t: Tables):
-    path = tables.write_catalogue(t.stars, scratch_path(t.spark, "zones"), zone=0.25)
-    stored = t.spark.read.schema("star_id bigint, ra double, dec double, gaia_source_id string, zone int").parquet(path)
-    return rounded(tables.read_catalogue_region(stored, 267.2, 267.6, -29.7, -29.3, zone=0.25), ["star_id"], {"ra": "ra", "dec": "dec"})
+    """Boxes and circles of a catalogue stored in zones, at RA 0 and at the pole too."""
+    path = tables.write_catalogue(t.sky_stars, scratch_path(t.spark, "zones"), zone=0.25)
+    stored = t.spark.read.schema("star_id bigint, ra double, dec double, zone int").parquet(path)
+    boxes = [tables.read_catalogue_region(stored, *b, zone=0.25).withColumn("region", F.lit(f"box {n}")) for n, *b in BOXES]
+    cones = [tables.read_catalogue_cone(stored, *c, zone=0.25).drop("sep").withColumn("region", F.lit(f"cone {n}")) for n, *c in CONES]
+    return rounded(fields(boxes + cones), ["region", "star_id"], {"ra": "ra", "dec": "dec"})
 
 
 @query("standardise_catalog", with_views("stars", "star_mags") + f"SELECT CAST(star_id AS varchar) AS source_id, {r6('ra')} AS ra, {r6('dec')} AS dec, {r6('g')} AS gmag, {r6('g_err')} AS gmag_err FROM stars JOIN star_mags USING (star_id) WHERE size <> 21")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import weights as w
 from skyloom.functions.common import settled
 from skyloom.operators import stats
-from skyloom.operators.match import PIXEL, pairs_within
+from skyloom.operators.match import pairs_within, pixels_of
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
 from skyloom.plans.base import Tables, query, r6, with_views
 
@@ -164,19 +164,19 @@ def histogram_2d(t: Tables):
     return tidy(out, "xcentre", "ycentre", keep=["xbin", "ybin", "n"])
 
 
-SHIFTED_SQL = "b AS (SELECT star_id AS bid, x + 3.3e0 AS bx, y - 2.1e0 AS byy FROM star_pixels)"
+SHIFTED_SQL = "b AS (SELECT image_id, star_id AS bid, x + 3.3e0 + image_id AS bx, y - 2.1e0 AS byy FROM detections)"
 
 
-@query("offset_vote", with_views("star_pixels", extra=SHIFTED_SQL + """, p AS (SELECT bx - x AS dx, byy - y AS dy FROM star_pixels, b
+@query("offset_vote", with_views("detections", extra=SHIFTED_SQL + """, p AS (SELECT image_id, bx - x AS dx, byy - y AS dy FROM detections JOIN b USING (image_id)
     WHERE abs(bx-x) <= 10 AND abs(byy-y) <= 10 AND sqrt((bx-x)*(bx-x)+(byy-y)*(byy-y)) <= 10),
-    h AS (SELECT CAST(floor(dx/5e-1) AS bigint) AS i, CAST(floor(dy/5e-1) AS bigint) AS j, count(*) AS votes FROM p GROUP BY i, j)""")
-    + f"SELECT {r6('(i+5e-1)*5e-1')} AS offset_x, {r6('(j+5e-1)*5e-1')} AS offset_y, votes FROM h ORDER BY votes DESC, i, j LIMIT 1")
+    h AS (SELECT image_id, CAST(floor(dx/5e-1) AS bigint) AS i, CAST(floor(dy/5e-1) AS bigint) AS j, count(*) AS votes FROM p GROUP BY image_id, i, j)""")
+    + f"SELECT image_id, {r6('(i+5e-1)*5e-1')} AS offset_x, {r6('(j+5e-1)*5e-1')} AS offset_y, votes FROM h QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY votes DESC, i, j) = 1")
 def offset_vote(t: Tables):
-    """Shift planted between two star lists, found from the differences of all pairs within 10 pixels."""
-    other = t.star_pixels.select("star_id", (F.col("x") + 3.3).alias("x"), (F.col("y") - 2.1).alias("y"))
-    pairs = pairs_within(t.star_pixels, other, 10.0, PIXEL)
-    diffs = pairs.select((F.col("r.x") - F.col("l.x")).alias("dx"), (F.col("r.y") - F.col("l.y")).alias("dy"))
-    return tidy(stats.offset_peak(diffs, "dx", "dy", 10.0, 0.5), "offset_x", "offset_y", keep=["votes"])
+    """Shift planted between two star lists of every image, found from the differences of all pairs within 10 pixels."""
+    other = t.detections.select("image_id", "star_id", (F.col("x") + 3.3 + F.col("image_id")).alias("x"), (F.col("y") - 2.1).alias("y"))
+    pairs = pairs_within(t.detections, other, 10.0, pixels_of("image_id"))
+    diffs = pairs.select(F.col("l.image_id").alias("image_id"), (F.col("r.x") - F.col("l.x")).alias("dx"), (F.col("r.y") - F.col("l.y")).alias("dy"))
+    return tidy(stats.offset_peak(diffs, "dx", "dy", 10.0, 0.5, ("image_id",)), "offset_x", "offset_y", keep=["image_id", "votes"])
 
 
 @query("spatial_rms", with_views("valid", "stars", extra="""s AS (SELECT star_id, stddev_pop(mag) AS sd FROM valid GROUP BY star_id),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skyloom.functions import sky
+from skyloom.operators.match import box, cone
 from skyloom.schemas import CATALOGUE_COLUMNS, struct
 from skyloom.session import scratch_path
 
@@ -77,18 +79,22 @@ def write_catalogue(catalogue: DataFrame, path: str, zone: float = CATALOGUE_ZON
 
 
 def read_catalogue_region(catalogue: DataFrame, ra_min: float, ra_max: float, dec_min: float, dec_max: float, zone: float = CATALOGUE_ZONE) -> DataFrame:
-    """Stars in a box: zones that overlap it are the partitions read, the box is a pushed filter."""
-    first, last = int((dec_min + 90.0) // zone), int((dec_max + 90.0) // zone)
-    return catalogue.where(
-        F.col("zone").between(first, last) & F.col("ra").between(ra_min, ra_max) & F.col("dec").between(dec_min, dec_max)
-    ).drop("zone")
+    """Stars in a box, also across RA 0: zones that overlap it are the partitions read, the box is a pushed filter."""
+    return box(catalogue, ra_min, ra_max, dec_min, dec_max, zone).drop("zone")
+
+
+def read_catalogue_cone(catalogue: DataFrame, ra: float, dec: float, radius: float, zone: float = CATALOGUE_ZONE) -> DataFrame:
+    """Stars within ``radius`` degrees of a position with their ``sep``: only the zones of the circle are read."""
+    return cone(catalogue, ra, dec, radius, zone_height=zone).drop("zone")
 
 
 def overlapping_tables(extents: DataFrame, ra_min: float, ra_max: float, dec_min: float, dec_max: float) -> DataFrame:
-    """Catalogue tables whose header extents overlap a box in both axes."""
-    return extents.where(
-        (F.col("ra_min") <= ra_max) & (F.col("ra_max") >= ra_min) & (F.col("dec_min") <= dec_max) & (F.col("dec_max") >= dec_min)
-    )
+    """Catalogue tables whose header extents overlap a box in both axes; the box may lie across RA 0."""
+    wanted = sky.box_cover(ra_min, ra_max, dec_min, dec_max)
+    meets = F.lit(False)
+    for low, high in wanted.parts:
+        meets = meets | ((F.col("ra_min") <= high) & (F.col("ra_max") >= low))
+    return extents.where(meets & (F.col("dec_min") <= wanted.dec_max) & (F.col("dec_max") >= wanted.dec_min))
 
 
 def standardise_catalogue(raw: DataFrame, release: str) -> DataFrame:
