@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyloom.functions.common import as_column, num, ratio
 from skyloom.operators.match import SKY, match_one_to_one, nearest_within, pairs_within, pixels_of
@@ -12,49 +12,79 @@ from skyloom.operators.ordering import with_group_index, with_row_index
 from skyloom.operators.quantiles import grouped_quantiles
 from skyloom.operators.skew import join_groups, pick_first
 from skyloom.operators.stats import attach_row
-from skyloom.session import stored
+from skyloom.session import scratch_path, stored
+from skyloom.sources.versions import Spec, TableSet
+
+
+FIELD_ZONE = 0.5
+FIELD_TABLES = {
+    "stars": Spec("field_id bigint, ra double, dec double, zone int", parts=("zone",), number="field_id"),
+    "members": Spec("field_id bigint, dataset string, dataset_star_id bigint, separation double"),
+}
 
 
 @dataclass
 class FieldIndex:
-    """``stars``: field_id, ra, dec. ``members``: field_id, dataset, dataset_star_id, separation."""
+    """``stars``: field_id, ra, dec. ``members``: field_id, dataset, dataset_star_id, separation.
+
+    The index only grows: each dataset adds one folder of new field stars, in declination zones,
+    and one of members, and both appear with one manifest. What a dataset costs depends on the dataset
+    and on the field stars in the zones it touches, not on what earlier datasets wrote; adding a
+    dataset again changes nothing.
+    """
+
+    tables: TableSet
 
-    stars: DataFrame
-    members: DataFrame
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> FieldIndex:
+        return cls(TableSet(spark, path, FIELD_TABLES))
 
     @classmethod
-    def start(cls, primary: DataFrame, code: str) -> FieldIndex:
+    def start(cls, primary: DataFrame, code: str, path: str | None = None) -> FieldIndex:
         """The primary dataset's own star ids become the field ids."""
-        stars = primary.select(F.col("star_id").alias("field_id"), "ra", "dec")
+        index = cls.open(primary.sparkSession, path or scratch_path(primary.sparkSession, "field-index"))
+        stars = primary.select(F.col("star_id").alias("field_id"), "ra", "dec", cls._zone())
         members = primary.select(
             F.col("star_id").alias("field_id"), F.lit(code).alias("dataset"), F.col("star_id").alias("dataset_star_id"), num(0.0).alias("separation")
         )
-        return cls(stars, members)
+        index.tables.commit(code, {"stars": stars, "members": members})
+        return index
+
+    @staticmethod
+    def _zone(shift: float = 0.0) -> Column:
+        return F.floor((F.col("dec") + (90.0 + shift)) / FIELD_ZONE).cast("int").alias("zone")
+
+    @property
+    def stars(self) -> DataFrame:
+        return self.tables.read("stars").drop("zone")
+
+    @property
+    def members(self) -> DataFrame:
+        return self.tables.read("members")
 
     def add_dataset(self, stars: DataFrame, code: str, radius: float) -> FieldIndex:
         """Matched stars join their field star; the others become new field stars.
 
         New ids go on after the highest id in dataset order, so the order of datasets is part of
-        the result. The state is written out after each dataset: a fold over tens of datasets
-        must not grow one plan.
+        the result.
         """
-        pairs = match_one_to_one(stars, self.stars, radius, "star_id", "field_id")
+        if self.tables.done(code):
+            return self
+        # a zone number for each half degree of the sky at most
+        near = stars.select(F.explode(F.sequence(self._zone(-radius), self._zone(radius))).alias("zone")).distinct()
+        zones = [r["zone"] for r in near.where("zone is not null").collect()]
+        field = self.tables.read("stars").where(F.col("zone").isin(zones)).select("field_id", "ra", "dec")
+        pairs = match_one_to_one(stars.select("star_id", "ra", "dec"), field, radius, "star_id", "field_id", copy="left")
         matched = stored(
             pairs.select(F.col("r.field_id").alias("field_id"), F.col("l.star_id").alias("dataset_star_id"), F.col("sep").alias("separation"))
         )
         orphans = stars.join(matched.select(F.col("dataset_star_id").alias("star_id")), "star_id", "left_anti")
-        highest = self.stars.agg(F.coalesce(F.max("field_id"), F.lit(0)).alias("highest"))
-        numbered = stored(
-            attach_row(with_row_index(orphans.select("star_id", "ra", "dec"), ["star_id"]), highest)
-            .select((F.col("highest") + 1 + F.col("idx")).alias("field_id"), "star_id", "ra", "dec")
-        )
-        new_members = matched.select("field_id", F.lit(code).alias("dataset"), "dataset_star_id", "separation").unionByName(
-            numbered.select("field_id", F.lit(code).alias("dataset"), F.col("star_id").alias("dataset_star_id"), F.lit(-1.0).alias("separation"))
-        )
-        return FieldIndex(
-            stored(self.stars.unionByName(numbered.select("field_id", "ra", "dec"))),
-            stored(self.members.unionByName(new_members)),
-        )
+        numbered = self.tables.numbered("stars", orphans.select("star_id", "ra", "dec"), ["star_id"])
+        new = matched.select("field_id", "dataset_star_id", "separation").unionByName(
+            numbered.select("field_id", F.col("star_id").alias("dataset_star_id"), F.lit(-1.0).alias("separation"))
+        ).withColumn("dataset", F.lit(code))
+        self.tables.commit(code, {"stars": numbered.select("field_id", "ra", "dec", self._zone()), "members": new})
+        return self
 
 
 def attach_catalogue(field: DataFrame, catalogue: DataFrame, columns: list[str], radius: float, field_id: str, source_id: str) -> DataFrame:

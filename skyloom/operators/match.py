@@ -153,9 +153,12 @@ def nearest_within(
     right_id: str,
     metric: Metric = SKY,
     strict: bool = True,
+    copy: str = "right",
 ) -> DataFrame:
     """The nearest right row of every left row (ties: smallest id), as ``l``, ``r``, ``sep``.
 
+    ``copy`` names the side that is copied into the neighbouring cells: the smaller one.
+
     Left rows in crowded cells go through finer cells first: a match found at a small radius is
     the nearest one, so only rows without one need the next larger radius. Right rows at one and
     the same position are reduced to the smallest id there, which is the one a tie selects.
@@ -166,7 +169,11 @@ def nearest_within(
         .drop("_n")
     )
     if not _may_be_crowded(right, metric, radius, limit) or crowded.isEmpty():
-        return _closest(pairs_within(left, right, radius, metric, strict), left_id, right_id, metric)
+        if copy == "left":
+            pairs = pairs_within(right, left, radius, metric, strict).select(F.col("r").alias("l"), F.col("l").alias("r"), "sep")
+        else:
+            pairs = pairs_within(left, right, radius, metric, strict)
+        return _closest(pairs, left_id, right_id, metric)
     crowded = cut_lineage(crowded)
     homed = metric.home(left, radius)
     calm = homed.join(crowded, cell, "left_anti").drop(*cell)
@@ -194,9 +201,10 @@ def match_one_to_one(
     right_id: str,
     metric: Metric = SKY,
     strict: bool = True,
+    copy: str = "right",
 ) -> DataFrame:
     """Nearest match, and of several left rows that chose the same right row the closest keeps it."""
-    nearest = nearest_within(left, right, radius, left_id, right_id, metric, strict)
+    nearest = nearest_within(left, right, radius, left_id, right_id, metric, strict, copy)
     flat = nearest.select(*metric.own_keys("r"), F.col(f"r.{right_id}").alias("_rid"), F.col(f"l.{left_id}").alias("_lid"), "l", "r", "sep")
     return pick_first(flat, [*metric.key_names, "_rid"], [F.col("sep"), F.col("_lid")], ["l", "r", "sep"]).select("l", "r", "sep")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import phot as p, stellar, weights as w
 from skyloom.functions.common import settled
-from skyloom.operators import calibrate as cal, catalog, crossmatch, lightcurves as lc, stats
+from skyloom.operators import ingest, calibrate as cal, catalog, crossmatch, lightcurves as lc, stats
 from skyloom.operators.ordering import with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles
 from skyloom.operators.skew import pick_first
@@ -299,16 +299,34 @@ def affine_fit(t: Tables):
     return f.select("dataset", "n_pairs", *[settled(c).alias(c) for c in ("a11", "a12", "a21", "a22")], settled("a13", 4).alias("a13"), settled("a23", 4).alias("a23"))
 
 
-@query("ingest_reference", with_views("catalog2", "valid", extra=one_to_one_sql("m", "catalog2", "star_id", "stars", "star_id", TWO)
-    + """, kn AS (SELECT DISTINCT site FROM valid), dm AS (SELECT site, row_number() OVER (ORDER BY site) AS facility_id FROM kn),
-    vv AS (SELECT lid AS dataset_star, rid AS field_id, image_id, filter, site, seq, mag FROM valid JOIN m ON valid.star_id = m.rid)""")
-    + f"SELECT field_id, image_id, filter, facility_id, {r6('arg_max(mag, (seq, mag))')} AS mag, count(*) AS n_versions FROM vv JOIN dm USING (site) GROUP BY field_id, image_id, filter, facility_id")
+INGEST = one_to_one_sql("m", "catalog2", "star_id", "stars", "star_id", TWO) + """,
+    k AS (SELECT star_id, row_number() OVER (ORDER BY star_id) AS number FROM stars),
+    p1 AS (SELECT 1 AS refimg_id, number AS star_id, image_id, arg_max(mag, (seq, mag)) AS mag FROM valid JOIN k USING (star_id) WHERE site = 'lsc-doma' AND filter = 'ip' GROUP BY number, image_id),
+    p2 AS (SELECT 3 AS refimg_id, number AS star_id, image_id, arg_max(mag, (seq, mag)) AS mag FROM valid JOIN m ON valid.star_id + 10000000000 = m.lid JOIN k ON k.star_id = m.rid WHERE site = 'cpt-doma' AND filter = 'gp' GROUP BY number, image_id),
+    p AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)"""
+
+
+@query("ingest_reference", with_views("catalog2", "valid", extra=INGEST)
+    + f"""SELECT CASE refimg_id WHEN 1 THEN 'lsc-doma' ELSE 'cpt-doma' END AS facility_code, CASE refimg_id WHEN 1 THEN 'ip' ELSE 'gp' END AS filter_name, CASE refimg_id WHEN 1 THEN '1.0' ELSE '1.1' END AS version,
+    refimg_id, CAST(CASE refimg_id WHEN 1 THEN 1 ELSE 3 END AS bigint) AS component_id, CAST(4 AS bigint) AS n_stamps, star_id, image_id, {r6('mag')} AS mag FROM p""")
 def ingest_reference(t: Tables):
-    """One dataset into the database: dimensions, match against the primary, photometry of matched stars, last version wins."""
-    sites = with_row_index(t.valid.select("site").distinct(), ["site"]).select("site", (F.col("idx") + 1).alias("site_id"))
-    pairs = crossmatch.two_pass_match(t.catalog2, t.stars, 2 * ARCSEC, "star_id", "star_id")
-    dataset = t.valid.join(pairs.select(F.col("right_id").alias("star_id"), F.col("left_id").alias("dataset_star")), "star_id")
-    rows = catalog.resolve_names(dataset.select(F.col("star_id").alias("field_id"), "image_id", "filter", "site", "seq", "mag"), {"site": sites})
-    keys = ["field_id", "image_id", "filter", "site_id"]
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n_versions"), F.max_by("mag", F.struct("seq", "mag")).alias("mag"))
-    return counts.select("field_id", "image_id", "filter", F.col("site_id").alias("facility_id"), settled("mag").alias("mag"), "n_versions")
+    """A primary and a second dataset into the stored database, the second twice with a better reference image; every attempt is repeated.
+
+    Shown is the stored photometry that is in sight, with what the dimensions, components and stamps hold for it.
+    """
+    db = ingest.open_database(t.spark)
+    sized = t.spark.createDataFrame([(900, 900)], "w int, h int")
+    stamps = sized.select(F.inline(crossmatch.stamp_array("w", "h", 450, 450, 10)))
+    columns = ["star_id", "image_id", "seq", "mag", "mag_err"]
+    first = t.valid.where("site = 'lsc-doma' AND filter = 'ip'").select(*columns)
+    second = t.valid.where("site = 'cpt-doma' AND filter = 'gp'").withColumn("star_id", F.col("star_id") + 10_000_000_000).select(*columns)
+    for name, site, band, version, stars, phot, primary in [
+        ("primary", "lsc-doma", "ip", "1.0", t.stars, first, True), ("second", "cpt-doma", "gp", "1.0", t.catalog2, second, False), ("second again", "cpt-doma", "gp", "1.1", t.catalog2, second, False),
+    ]:
+        params = {"facility_code": site, "filter_name": band, "code_name": "stage3", "version": version, "ref_filename": f"{name}.fits", "filename": f"{site}-{band}.fits"}
+        for _ in range(2):
+            ingest.ingest_reference(db, name, params, stars, phot, stamps, primary, 2 * ARCSEC)
+    counts = ingest.live(db, "stamps").groupBy("refimg_id").agg(F.count("*").alias("n_stamps"))
+    shown = ingest.live(db, "phot").join(db.read("reference_images"), "refimg_id").join(db.read("facilities"), "facility_id").join(db.read("filters"), "filter_id")
+    shown = shown.join(db.read("software"), "code_id").join(ingest.live(db, "reference_components").select("component_id", "refimg_id"), "refimg_id").join(counts, "refimg_id")
+    return shown.select("facility_code", "filter_name", "version", F.col("refimg_id").cast("int").alias("refimg_id"), "component_id", "n_stamps", "star_id", "image_id", settled("mag").alias("mag"))

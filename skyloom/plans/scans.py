@@ -13,6 +13,7 @@ from skyloom.plans.matching import ARCSEC, BOXES, BOX_ROWS, CONES, CONE_ROWS, TW
 from skyloom.schemas import FIELD_BUNDLE
 from skyloom.session import scratch_path
 from skyloom.sources import tables, textfiles
+from skyloom.sources.versions import Spec, TableSet
 
 STORED = "star_id bigint, image_id bigint, seq int, site string, hjd double, mag double, mag_err double, pscale double, quadrant int, filter string"
 
@@ -171,12 +172,18 @@ def table_bundle(t: Tables):
     return out
 
 
-@query("sink_append", with_views("images") + f"SELECT image_id, {r6('fwhm')} AS fwhm, nstars FROM images UNION ALL SELECT s_suppkey + 1000000000, {r6('s_acctbal')}, 0 FROM supplier")
+@query("sink_append", with_views("images") + f"""SELECT image_id, {r6('CASE WHEN image_id % 3 = 0 THEN fwhm + 1e0 ELSE fwhm END')} AS fwhm, CASE WHEN image_id % 3 = 0 THEN -nstars ELSE nstars END AS nstars FROM images
+    UNION ALL SELECT s_suppkey + 1000000000, {r6('s_acctbal')}, 0 FROM supplier""")
 def sink_append(t: Tables):
-    path = scratch_path(t.spark, "append")
-    tables.append_rows(t.images.select("image_id", "fwhm", "nstars"), path)
-    tables.append_rows(t.raw("supplier").select((F.col("s_suppkey") + 1000000000).alias("image_id"), F.col("s_acctbal").alias("fwhm"), F.lit(0).alias("nstars")), path)
-    return rounded(t.spark.read.schema("image_id bigint, fwhm double, nstars int").parquet(path), ["image_id", "nstars"], {"fwhm": "fwhm"})
+    """Rows appended by batch; one batch replaces every third row by its key, and each batch is written twice to no effect."""
+    table = TableSet(t.spark, scratch_path(t.spark, "append"), {"images": Spec("image_id bigint, fwhm double, nstars int", ("image_id",))})
+    first = t.images.select("image_id", "fwhm", "nstars")
+    more = t.raw("supplier").select((F.col("s_suppkey") + 1000000000).alias("image_id"), F.col("s_acctbal").alias("fwhm"), F.lit(0).alias("nstars"))
+    third = first.where("image_id % 3 = 0").select("image_id", (F.col("fwhm") + 1).alias("fwhm"), (-F.col("nstars")).alias("nstars"))
+    for batch, rows in (("images", first), ("suppliers", more), ("better", third)):
+        for _ in range(2):
+            table.commit(batch, {"images": rows})
+    return rounded(table.read("images"), ["image_id", "nstars"], {"fwhm": "fwhm"})
 
 
 @query("sink_search_results", with_views("targets", "stars", extra=f"p AS (SELECT l.target_id, r.star_id, {sep_sql('l.ra', 'l.dec', 'r.ra', 'r.dec')} AS sep FROM targets l, stars r WHERE abs(l.dec-r.dec) <= {TWO})")

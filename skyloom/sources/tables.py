@@ -67,10 +67,6 @@ def read_normalizations_wide(spark: SparkSession, path: str, datasets: list[str]
     return spark.read.schema(schema).parquet(path).groupBy("reference", "star_id", "filter").pivot("site", datasets).agg(F.first("delta_mag"))
 
 
-def append_rows(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
-
-
 def write_catalogue(catalogue: DataFrame, path: str, zone: float = CATALOGUE_ZONE) -> str:
     """Catalogue partitioned by declination zone."""
     zoned = catalogue.withColumn("zone", F.floor((F.col("dec") + 90.0) / zone).cast("int"))
