@@ -63,9 +63,9 @@ def appended(t: Tables, build: Callable[[DataFrame], DataFrame], schema: str, **
 
 def updated(t: Tables, build: Callable[[DataFrame], DataFrame], schema: str, keys: list[str], mode: str, order: list | None = None, **how) -> DataFrame:
     """Current state of the updates of a stream over the replayed events."""
-    out = scratch_path(t.spark, "updates")
-    replay(t, lambda folder, state: runs.run_batches(build(runs.file_stream(t.spark, folder)), runs.batch_writer(out), mode, state), **how)
-    return runs.latest(t.spark, out, schema, keys, order)
+    table = runs.update_table(t.spark, scratch_path(t.spark, "updates"), schema, keys, order)
+    replay(t, lambda folder, state: runs.run_batches(build(runs.file_stream(t.spark, folder)), runs.batch_writer(table), mode, state), **how)
+    return runs.latest(table)
 
 
 @query("stream_new_images", with_views("ev") + f"SELECT event_id, star_id, {r6('flux')} AS flux FROM ev")
@@ -91,7 +91,7 @@ def stream_upsert(t: Tables):
     def keyed(d: DataFrame) -> DataFrame:
         return d.select("star_id", "filter", shown("ts", SHOW).alias("day"), "event_id", "flux", "ts")
 
-    now = updated(t, keyed, schema, ["star_id", "filter", "day"], "append", [F.col("ts"), F.col("event_id")])
+    now = updated(t, keyed, schema, ["star_id", "filter", "day"], "append", ["ts", "event_id"])
     return now.select("star_id", "filter", "day", "event_id", settled("flux").alias("flux"))
 
 

@@ -15,10 +15,14 @@ from skyloom.schemas import struct
 
 @dataclass(frozen=True)
 class Spec:
-    """Columns of a table as DDL text; ``keys`` make a later row replace an earlier one, ``parts`` are folders, ``number`` is an id that is given out."""
+    """Columns of a table as DDL text; ``keys`` make a later row replace an earlier one, ``parts`` are folders, ``number`` is an id that is given out.
+
+    Of rows of one batch with equal keys the last by ``order`` stays (without it the largest by all other columns).
+    """
 
     schema: str
     keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
     parts: tuple[str, ...] = ()
     number: str | None = None
 
@@ -51,12 +55,14 @@ class TableSet:
         place, fs = self._files(f"{self.path}/manifest")
         names = sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
         names = [n for n in names if n.endswith(".json")]
-        self.state = {"version": 0, "batches": [], "folders": {}, "next": {}}
+        self.state = {"version": 0, "batches": [], "streams": {}, "folders": {}, "levels": {}, "next": {}}
         if names:
-            text = "\n".join(r.value for r in self.spark.read.text(f"{self.path}/manifest/{names[-1]}", wholetext=True).collect())
-            self.state = json.loads(text)
+            self.state = json.loads(self._text(names[-1]))
         return self
 
+    def _text(self, name: str) -> str:
+        return self.spark.read.text(f"{self.path}/manifest/{name}", wholetext=True).first()["value"]
+
     def done(self, batch: str) -> bool:
         return batch in self.state["batches"]
 
@@ -85,39 +91,54 @@ class TableSet:
     def next_number(self, name: str) -> int:
         return self.state["next"].get(name, 1)
 
-    def commit(self, batch: str, rows: dict[str, DataFrame], instead: dict[str, DataFrame] | None = None) -> bool:
+    def _typed(self, table: str, df: DataFrame) -> DataFrame:
+        spec, columns = self.specs[table], struct(self.specs[table].schema)
+        cells = [(F.col(c.name) if c.name in df.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in columns]
+        typed = df.select(*cells)
+        if not spec.keys:
+            return typed
+        others = [c.name for c in columns if c.name not in spec.keys]
+        last = [F.col(c) for c in spec.order] or [F.struct(*others)]
+        return pick_last(typed, list(spec.keys), last, others).select(*columns.names)
+
+    def _write(self, table: str, rows: DataFrame, name: str) -> str:
+        spec, columns = self.specs[table], struct(self.specs[table].schema).names
+        target = f"{self.path}/{table}/commit={name}"
+        if spec.parts:
+            sorting = [*spec.parts, *[c for c in ("ra", spec.number) if c in columns]]
+            rows = rows.repartitionByRange(*sorting).sortWithinPartitions(*sorting)
+        rows.write.partitionBy(*spec.parts).parquet(target)
+        return target
+
+    def _new_name(self) -> str:
+        return f"{self.state['version'] + 1:08d}-{uuid.uuid4().hex[:12]}"
+
+    def commit(self, batch: str, rows: dict[str, DataFrame], instead: dict[str, DataFrame] | None = None, stream: tuple[str, int] | None = None) -> bool:
         """Appends ``rows`` to their tables, and puts the tables of ``instead`` in place of their old rows, as one step.
 
-        Of rows of one batch with equal keys the largest by all columns stays. False if the batch
-        is known already: then nothing is written.
+        False if the batch is known already: then nothing is written. A ``stream`` (its name and
+        the rising number of its batch) is remembered by its last number instead of by the names of all its batches.
         """
-        if self.done(batch):
+        if self.done(batch) or (stream and self.state["streams"].get(stream[0], -1) >= stream[1]):
             return False
-        name = f"{self.state['version'] + 1:08d}-{uuid.uuid4().hex[:12]}"
-        folders = {k: list(v) for k, v in self.state["folders"].items()}
-        following = dict(self.state["next"])
+        name, state = self._new_name(), json.loads(json.dumps(self.state))
         for table, df in {**rows, **(instead or {})}.items():
-            spec = self.specs[table]
-            columns = struct(spec.schema)
-            cells = [(F.col(c.name) if c.name in df.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in columns]
-            typed = df.select(*cells)
-            if spec.keys:
-                others = [c.name for c in columns if c.name not in spec.keys]
-                typed = pick_last(typed, list(spec.keys), [F.struct(*others)] if others else [F.lit(0)], others).select(*columns.names)
-            target = f"{self.path}/{table}/commit={name}"
-            writer = typed
-            if spec.parts:
-                sorting = [*spec.parts, *[c for c in ("ra", spec.number) if c in columns.names]]
-                writer = typed.repartitionByRange(*sorting).sortWithinPartitions(*sorting)
-            writer.write.partitionBy(*spec.parts).parquet(target)
-            folders[table] = [name] if table in (instead or {}) else [*folders.get(table, []), name]
+            spec, whole = self.specs[table], table in (instead or {})
+            target = self._write(table, self._typed(table, df), name)
+            state["folders"][table] = [name] if whole else [*state["folders"].get(table, []), name]
+            state["levels"][table] = [0] if whole else [*state["levels"].get(table, []), 0]
             if spec.number:
                 top = self.spark.read.schema(f"{spec.number} bigint").parquet(target).agg(F.max(spec.number)).first()[0]
-                following[table] = max(following.get(table, 1), (top or 0) + 1)
-        self._publish({"version": self.state["version"] + 1, "batches": [*self.state["batches"], batch], "folders": folders, "next": following})
+                state["next"][table] = max(state["next"].get(table, 1), (top or 0) + 1)
+        if stream:
+            state["streams"][stream[0]] = stream[1]
+        else:
+            state["batches"].append(batch)
+        self._publish(state)
         return True
 
     def _publish(self, state: dict) -> None:
+        state["version"] += 1
         target = f"{self.path}/manifest/{state['version']:08d}.json"
         draft, fs = self._files(f"{self.path}/manifest-drafts/{uuid.uuid4().hex}")
         place, _ = self._files(target)
@@ -132,7 +153,50 @@ class TableSet:
         hadoop.FileContext.getFileContext(place.toUri(), self.spark._jsc.hadoopConfiguration()).rename(draft, place, how)
         self.state = state
 
-    def compacted(self, name: str) -> bool:
-        """One folder in place of all folders of a table, without the rows that later ones replaced."""
-        batch = f"compact {name} {self.state['version']}"
-        return len(self.folders(name)) > 1 and self.commit(batch, {}, {name: self.read(name)})
+    def merged(self, table: str, last: int) -> bool:
+        """The last folders of a table as one, without the rows that later ones replaced; earlier folders stay as they are."""
+        kept = self.state["folders"].get(table, [])
+        if last < 2 or len(kept) < last:
+            return False
+        name, state = self._new_name(), json.loads(json.dumps(self.state))
+        old = self.rows(table).where(F.col("commit").isin(kept[-last:]))
+        spec, columns = self.specs[table], struct(self.specs[table].schema).names
+        rows = pick_last(old, list(spec.keys), [F.col("commit")]).select(*columns) if spec.keys else old.select(*columns)
+        self._write(table, rows, name)
+        level = max(self.state["levels"][table][-last:]) + 1
+        state["folders"][table], state["levels"][table] = [*kept[:-last], name], [*self.state["levels"][table][:-last], level]
+        self._publish(state)
+        return True
+
+    def compacted(self, table: str) -> bool:
+        """All folders of a table as one."""
+        return self.merged(table, len(self.state["folders"].get(table, [])))
+
+    def tidied(self, table: str, every: int) -> None:
+        """Merges whenever ``every`` folders of one level stand at the end, so n batches leave folders in the order of log n.
+
+        A row is written again once for each level, not with every batch.
+        """
+        while True:
+            levels = self.state["levels"].get(table, [])
+            run = next((i for i, x in enumerate(reversed(levels)) if x != levels[-1]), len(levels))
+            if run < every or not self.merged(table, run):
+                return
+
+    def expire(self, keep: int = 3) -> int:
+        """Removes manifests before the last ``keep`` and the folders that only they name; returns how many folders went.
+
+        A reader that still works with a removed version fails and has to begin again.
+        """
+        place, fs = self._files(f"{self.path}/manifest")
+        names = sorted(n for n in (x.getPath().getName() for x in fs.listStatus(place)) if n.endswith(".json"))
+        old, new = ([json.loads(self._text(n))["folders"] for n in part] for part in (names[:-keep], names[-keep:]))
+        listed = lambda states: {(t, c) for s in states for t, cs in s.items() for c in cs}
+        gone = listed(old) - listed(new)
+        for table, name in gone:
+            folder, _ = self._files(f"{self.path}/{table}/commit={name}")
+            fs.delete(folder, True)
+        for name in names[:-keep]:
+            file, _ = self._files(f"{self.path}/manifest/{name}")
+            fs.delete(file, False)
+        return len(gone)

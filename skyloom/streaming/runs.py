@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.operators.skew import pick_last
 from skyloom.session import scratch_path
+from skyloom.sources.versions import Spec, TableSet
 
 EVENTS = "event_id bigint, ts timestamp, star_id bigint, filter string, flux double, props string"
 
@@ -38,22 +38,32 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], mod
     query.awaitTermination()
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Each micro-batch goes to its own folder; a repeated batch overwrites itself, so a retry changes nothing."""
+TABLE = "updates"
+MERGE_EVERY = 8
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return write
+def update_table(spark: SparkSession, path: str, schema: str, keys: list[str], order: list[str] | None = None) -> TableSet:
+    """A table of updates: the last batch per key counts, and within a batch the last row by ``order``."""
+    return TableSet(spark, path, {TABLE: Spec(schema, tuple(keys), tuple(order or ()))})
 
 
-def latest(spark: SparkSession, path: str, schema: str, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """Current state of a table of updates: the last batch per key wins."""
-    rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
-    return pick_last(rows, keys, [F.col("batch_id"), *(order or [])]).drop("batch_id")
+def batch_writer(table: TableSet, every: int = MERGE_EVERY, stream: str = "stream") -> Callable[[DataFrame, int], None]:
+    """Handler of micro-batches: each becomes a folder of its own, and full levels of folders are merged inside the stream.
 
+    A repeated batch is known by its number and changes nothing; a merge that was cut off is made up
+    for with the next batch. Readers meet a number of folders in the order of the logarithm of the batches.
+    """
 
-def compact(current: DataFrame, path: str) -> str:
-    """The merged state as batch 0 of a new table, from time to time, so that reads stay short."""
-    current.write.mode("overwrite").parquet(f"{path}/batch_id=0")
-    return path
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.refresh().commit(f"{stream} {batch_id}", {TABLE: batch}, stream=(stream, batch_id))
+        before = table.state["version"]
+        table.tidied(TABLE, every)
+        if table.state["version"] != before:
+            table.expire()
+
+    return write
+
+
+def latest(table: TableSet) -> DataFrame:
+    """Current state of a table of updates."""
+    return table.refresh().read(TABLE)

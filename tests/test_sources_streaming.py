@@ -1,6 +1,7 @@
 """Reading, writing and streams."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -93,16 +94,33 @@ def test_search_results_are_chunked(spark, tmp_path):
 
 
 def test_repeated_batch_changes_nothing(spark):
-    path = scratch_path(spark, "u")
-    write = runs.batch_writer(path)
-    first = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
-    second = spark.createDataFrame([(2, 5.0)], "k int, v double")
-    for batch, number in ((first, 0), (second, 1), (second, 1)):
+    table = runs.update_table(spark, scratch_path(spark, "u"), "k int, v double, at int", ["k"], ["at"])
+    write = runs.batch_writer(table)
+    first = spark.createDataFrame([(1, 1.0, 1), (2, 2.0, 1)], "k int, v double, at int")
+    second = spark.createDataFrame([(2, 9.0, 1), (2, 5.0, 2)], "k int, v double, at int")
+    for batch, number in ((first, 0), (second, 1), (second, 1), (first, 0)):
         write(batch, number)
-    now = runs.latest(spark, path, "k int, v double", ["k"])
-    assert {tuple(r) for r in now.collect()} == {(1, 1.0), (2, 5.0)}
-    packed = runs.compact(now, scratch_path(spark, "u"))
-    assert {tuple(r) for r in runs.latest(spark, packed, "k int, v double", ["k"]).collect()} == {(1, 1.0), (2, 5.0)}
+    assert {(r["k"], r["v"]) for r in runs.latest(table).collect()} == {(1, 1.0), (2, 5.0)}
+    assert len(table.folders("updates")) == 2
+
+
+def test_fifty_batches_leave_few_folders(spark):
+    table = runs.update_table(spark, scratch_path(spark, "u"), "k int, v int", ["k"])
+    write, most = runs.batch_writer(table, every=4), 0
+    for n in range(50):
+        write(spark.createDataFrame([(n % 7, n), (100 + n, n)], "k int, v int").coalesce(1), n)
+        most = max(most, len(table.folders("updates")))
+        if n == 20:
+            # a retry of an old batch, and a new session that goes on
+            write(spark.createDataFrame([(0, -1)], "k int, v int"), 11)
+            table = runs.update_table(spark, table.path, "k int, v int", ["k"])
+            write = runs.batch_writer(table, every=4)
+    # three or fewer of each of the levels 0, 1, 2
+    assert most <= 9 and len(table.folders("updates")) == 5
+    got = {r["k"]: r["v"] for r in runs.latest(table).collect()}
+    assert got == {n % 7: n for n in range(50)} | {100 + n: n for n in range(50)}
+    on_disk = [f for f in os.listdir(os.path.join(table.path, "updates")) if f.startswith("commit=")]
+    assert len(on_disk) <= 15
 
 
 def test_stream_restart_reads_only_new_files(spark):
