@@ -1,8 +1,11 @@
 """Toxicity, repeats, leaks, secrets, urls and licences: brute force, held-out accuracy and edge cases."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
+from collections import Counter
 import zlib
 
 import numpy as np
@@ -330,6 +333,73 @@ def test_bayes_learns_the_rules_from_other_urls(spark):
     assert np.mean([(r.verdict == "block") == bool(r.page_id % 2) for r in got]) > 0.95
 
 
+def brute_split(name, counts, total):
+    """All splits of a short name, the most probable first."""
+    best = (-math.inf, [])
+    for cuts in itertools.product([False, True], repeat=len(name) - 1):
+        ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(name)]
+        words = [name[a:b] for a, b in zip([0, *ends], ends)]
+        value = sum(math.log(counts[w] / total) if w in counts else -math.log(1e4) - len(w) * math.log(10) for w in words)
+        best = max(best, (value, words), key=lambda x: x[0])
+    return best
+
+
+def test_verdicts_are_those_of_a_plain_bayes(spark):
+    rnd = random.Random(12)
+    words = ["ring", "sun", "the", "cash", "win", "spam", "sing", "there"]
+    text = {i: " ".join(rnd.choice(words) for _ in range(30)) + " longertailword" for i in range(900)}
+    rows = []
+    for i in range(900):
+        # one allowed url for eight blocked ones; the path's first part tells nothing
+        block = i % 9 != 0
+        host = "".join(rnd.choice(words[3:] if block else words[:4]) for _ in range(2))
+        end = rnd.choice([("org", "es"), ("com", "en")]) if block else ("net", "de")
+        rows.append((i % 880, f"http://shop.{host}.{end[0]}/{end[1]}/item/{rnd.randint(1, 9999)}", text[i]))
+    rows += [(2_000 + i, f"http://shop.{''.join(rnd.choice(words) for _ in range(2))}.xyz/zz/item/{rnd.randint(1, 9999)}", None) for i in range(300)]
+    rows += [(3_000 + i, "http://longertailword.xyz/new/part", None) for i in range(3)]
+    got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    counts = Counter(w for _, _, t in rows for w in re.findall("[a-z]+", t or ""))
+    total, tokens, split = sum(counts.values()), [], {}
+    for _, url, _ in rows:
+        host, path = brute_parts(url)
+        own = []
+        for label in host.split("."):
+            if label not in split:
+                split[label] = brute_split(label, counts, total)[1] if len(label) < 14 else [label]
+            own += [f"h:{w}" for w in split[label]]
+        own += [f"p:{len(x)} digits" if x.isdigit() else f"p:{x}" for x in re.findall("[a-z0-9]+", path)]
+        tokens.append((host, path, brute_rule(host, path)[1], own))
+    seen = {k: Counter(t for *_, said, own in tokens if said == k for t in own) for k in ("block", "allow")}
+    both = seen["block"] + seen["allow"]
+    size = {k: sum(c.values()) for k, c in seen.items()}
+
+    def weight(t):
+        if t not in both:
+            return 0.0
+        prior = len(both) * both[t] / sum(both.values())
+        return math.log((seen["block"][t] + prior) / (size["block"] + len(both))) - math.log((seen["allow"][t] + prior) / (size["allow"] + len(both)))
+
+    want = {(host, path): sum(map(weight, own)) for host, path, _, own in tokens}
+    assert size["block"] > 7 * size["allow"] and abs(weight("h:shop")) < 0.02 and abs(weight("p:item")) < 0.02
+    for r in got:
+        assert r.block_odds == pytest.approx(want[r.host, r.path], abs=1e-9)
+        assert r.verdict == (brute_rule(r.host, r.path)[1] or ("block" if r.block_odds > 0 else "allow"))
+    undecided = [r for r in got if r.rule is None and r.page_id < 3_000]
+    assert 0.2 < np.mean([r.verdict == "block" for r in undecided]) < 0.95
+    assert {r.block_odds for r in got if r.page_id >= 3_000} == {0.0} and {r.verdict for r in got if r.page_id >= 3_000} == {"allow"}
+
+
+def test_of_equally_long_rules_one_is_taken_and_hosts_of_any_size_are_split(spark, monkeypatch):
+    monkeypatch.setattr(urls, "URLS_PER_SALT", 3)
+    monkeypatch.setattr(urls, "HOSTS_AT_ONCE", 2)
+    rows = [(i, "http://thering.com/a", "the ring") for i in range(20)] + [(i, f"http://h{i}ring.com/a", None) for i in range(20)]
+    rules = [("com", "/a", "block"), ("com", "/a", "block"), ("ring.com", "/b", "allow")]
+    got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()
+    assert sorted(r.page_id for r in got) == sorted(r[0] for r in rows) and {r.rule for r in got} == {"com/a"} and {r.verdict for r in got} == {"block"}
+    assert {r.block_odds for r in got} == {0.0}
+
+
 # --- licences ------------------------------------------------------------------------------
 
 
