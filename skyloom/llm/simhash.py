@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyloom.llm import golay
-from skyloom.llm.common import read_table, register, text_of
+from skyloom.llm.common import parts_for, read_table, register, text_of
 from skyloom.llm.components import components, extended
 from skyloom.session import stored
 
@@ -21,6 +20,7 @@ BITS, DISTANCE = 64, 3
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 CHUNK = 1_024  # members of a bucket that are compared with each other at once
 HASHES_AT_ONCE = 1 << 16
+FINGERPRINTS_PER_PART = 20_000
 
 _U = np.uint64
 
@@ -109,33 +109,19 @@ def keyed(nodes: DataFrame) -> DataFrame:
     return nodes.select("fp").mapInArrow(spread, "key long, fp long")
 
 
-def _links_between(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links between components among the members of two chunks of one bucket: one for each pair of components."""
-    i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    left, right = frame[frame["chunk"] == i], frame[frame["chunk"] == j]
-    a, b = (x["fp"].to_numpy().view(np.uint64) for x in (left, right))
-    groups = [x["comp"].to_numpy() for x in (left, right)]
-    found = []
-    for at in range(0, len(a), 256):
-        near = np.bitwise_count(a[at:at + 256, None] ^ b[None, :]) <= DISTANCE
-        near &= groups[0][at:at + 256, None] != groups[1][None, :]
-        x, y = np.nonzero(near)
-        found.append(pd.DataFrame({"a": groups[0][at:at + 256][x], "b": groups[1][y]}).drop_duplicates())
-    return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-
 def linked_fingerprints(nodes: DataFrame) -> DataFrame:
     """(node, comp) of all fingerprints ``fp`` that have a link; comp is the smallest fingerprint of the component.
 
     In each bucket every member is compared with the least fingerprint there, so a bucket of close
     copies hangs together after one linear step. Buckets that still hold several components are cut
-    into chunks by hash, and every two chunks meet in a group of bounded size, where only members
-    of different components are compared. No pair of at most three differing bits that could join
+    into chunks by hash, and every two chunks meet under a key of their own, so the work of a bucket
+    is shared out; there only members of different components are compared. No pair of at most three differing bits that could join
     two components is left out.
     """
-    rows = stored(keyed(nodes))
+    # one shuffle by key serves the counts and the join with them
+    rows = keyed(nodes).repartition("key")
     several = rows.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("top"), F.count("*").alias("n")).where("hub < top")
-    members = stored(rows.join(several.select("key", "hub", "n"), "key"))
+    members = stored(rows.join(several.select("key", "hub", "n").hint("shuffle_hash"), "key"))
     near = F.bit_count(F.col("hub").bitwiseXOR(F.col("fp"))) <= DISTANCE
     links = stored(members.where((F.col("hub") != F.col("fp")) & near).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct())
     comps = components(links)
@@ -145,10 +131,11 @@ def linked_fingerprints(nodes: DataFrame) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     left = placed.join(mixed, "key").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     left = left.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    meets = left.select("key", "fp", "comp", "chunk", other.alias("other")).select(
-        "key", "fp", "comp", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    more = stored(meets.groupBy("key", "i", "j").applyInPandas(_links_between, "a long, b long").distinct())
+    left = stored(left.select("key", "fp", "comp", "chunk", "chunks"))
+    upto = left.select("key", F.col("fp").alias("fp_b"), F.col("comp").alias("comp_b"), F.col("chunk").alias("j"), F.explode(F.sequence(F.lit(0), "chunk")).alias("i"))
+    onward = left.select("key", F.col("fp").alias("fp_a"), F.col("comp").alias("comp_a"), F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("j"))
+    meets = onward.join(upto, ["key", "i", "j"]).where((F.col("comp_a") != F.col("comp_b")) & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= DISTANCE))
+    more = stored(meets.select(F.least("comp_a", "comp_b").alias("a"), F.greatest("comp_a", "comp_b").alias("b")).distinct())
     return comps if more.isEmpty() else extended(comps, more)
 
 
@@ -166,7 +153,8 @@ def simhash_classes(docs: DataFrame) -> DataFrame:
     """
     rows = stored(with_fingerprints(docs))
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    comps = linked_fingerprints(nodes)
+    # a narrow row becomes some 80 keys, so the parts are smaller than their bytes would make them
+    comps = linked_fingerprints(nodes.repartition(parts_for(nodes.count(), FINGERPRINTS_PER_PART), "fp"))
     known = nodes.join(comps.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     known = stored(known)
     classes = known.groupBy("comp").agg(F.min("least").alias("component_id"), (F.sum("n") > 1).alias("linked"))
