@@ -91,8 +91,11 @@ FEATURES = 1 << 16
 NEGATIVES = 2_000  # ordinary paragraphs that the model is trained on, at most
 NEGATIVE_CHARS = 400
 VARIANTS = 40  # altered copies of each template
+EMBEDDED = 20  # copies of each template inside ordinary text
 LONGEST, STRIDE = 24, 8  # words of a piece of a long paragraph, and the step between pieces
 SURE, LIKE = 0.7, 0.5  # probability of a family, and share of a template's word pairs that confirms it
+PLAIN_LIKE = 0.8  # share from which a template's place is licence language whatever the model says of ordinary text
+SAMPLED = 4_000  # documents whose lines the ordinary paragraphs come from, about
 MARKS = ".,;:!?|()\"'"
 FOUND = "doc_id long, first_word int, end_word int, family string, probability double, likeness double"
 
@@ -117,9 +120,53 @@ _WORDS = _Words()
 
 def features(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed bins of every word and of every pair of neighbours."""
+    return words % (FEATURES // 2), _pair_bins(words[:-1], words[1:])
+
+
+def _pair_bins(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     half = FEATURES // 2
-    pairs = (words[:-1] * 40_503 + words[1:] * 31_321) >> 7
-    return words % half, half + pairs % half
+    return half + ((first * 40_503 + second * 31_321) >> 7) % half
+
+
+def pair_codes(words: np.ndarray) -> np.ndarray:
+    return words[:-1] << 32 | words[1:]
+
+
+@dataclass
+class Template:
+    """Word pairs of a notice with the place of each in it."""
+
+    family: str
+    length: int
+    codes: np.ndarray  # sorted
+    places: np.ndarray
+
+    @classmethod
+    def of(cls, family: str, text: str) -> Template:
+        words = _WORDS.of(text.replace("{name}", "").replace("{number}", "").split())
+        codes, places = np.unique(pair_codes(words), return_index=True)
+        return cls(family, len(words), codes, places)
+
+    def likeness(self, words: np.ndarray) -> float:
+        """Share of the notice's word pairs that stand in ``words``."""
+        return len(np.intersect1d(self.codes, pair_codes(words))) / max(len(self.codes), 1)
+
+    def spots(self, codes: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+        """Where enough of the pairs stand close together: pairs ``codes`` occur at the places ``at``."""
+        mine = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        hit = self.codes[mine] == codes
+        at, mine = at[hit], self.places[mine[hit]]
+        need = max(1, int(np.ceil(LIKE * len(self.codes))))
+        if len(at) < need:
+            return []
+        last = np.searchsorted(at, at + self.length + 2) - 1
+        starts = np.flatnonzero(last - np.arange(len(at)) + 1 >= need)
+        out: list[tuple[int, int]] = []
+        for i in starts.tolist():
+            spot = (int(at[i] - mine[i]), int(at[last[i]] - mine[last[i]] + self.length))
+            if not out or spot[0] >= out[-1][1]:
+                out.append(spot)
+        return out
 
 
 @dataclass
@@ -128,7 +175,33 @@ class Model:
     weights: np.ndarray  # (FEATURES, classes)
     bias: np.ndarray
     temperature: float
-    templates: dict[str, list[frozenset]]
+    templates: list[Template]
+
+    def __post_init__(self):
+        self.codes = np.unique(np.concatenate([t.codes for t in self.templates]))
+        self.bins = np.zeros(FEATURES, bool)
+        first, second = self.codes >> 32, self.codes & 0xFFFFFFFF
+        self.bins[_pair_bins(first, second)] = True
+
+    def proposals(self, words: np.ndarray, pairs: np.ndarray, paragraphs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Pieces where a template stands, however short and wherever in its paragraph."""
+        at = np.flatnonzero(self.bins[pairs])
+        if not len(at):
+            return []
+        codes = words[at] << 32 | words[at + 1]
+        known = self.codes[np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)] == codes
+        at, codes = at[known], codes[known]
+        if not len(at):
+            return []
+        ends = np.array([b for _, b in paragraphs])
+        out = []
+        for t in self.templates:
+            for a, b in t.spots(codes, at):
+                # a piece does not leave the paragraph in which most of it lies
+                low, high = paragraphs[min(int(np.searchsorted(ends, (a + b) // 2, side="right")), len(ends) - 1)]
+                if max(a, low) < min(b, high):
+                    out.append((max(a, low), min(b, high)))
+        return out
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -152,28 +225,51 @@ class Model:
         pair = np.zeros((len(words), len(self.classes)))
         np.cumsum(self.weights[two], axis=0, out=pair[1:])
         pieces = self.pieces(words, paragraphs)
-        a, b = np.array(pieces).T
+        offered = self.proposals(words, two, paragraphs)
+        a, b = np.array(pieces + offered).T
         n = np.maximum(2 * (b - a) - 1, 1)
         logits = (total[b] - total[a] + pair[np.maximum(b - 1, 0)] - pair[a]) / np.sqrt(n)[:, None] + self.bias
         p = self.probabilities(logits)
-        out: list[tuple[int, int, str, float, float]] = []
-        for i in np.flatnonzero(p[:, self.classes.index(NONE)] < 0.5).tolist():
-            family, likeness = self.confirmed(p[i], words[a[i]:b[i]])
-            hit = (int(a[i]), int(b[i]), family, float(p[i].max() if family == OTHER else p[i, self.classes.index(family)]), likeness)
-            if out and out[-1][2] == family and out[-1][1] > hit[0]:
-                last = out.pop()
-                hit = (last[0], hit[1], family, max(last[3], hit[3]), max(last[4], hit[4]))
-            out.append(hit)
-        return out
+        none = self.classes.index(NONE)
+        looked = p[:, none] < 0.5
+        looked[len(pieces):] = True
+        hits = []
+        for i in np.flatnonzero(looked).tolist():
+            piece, q = words[a[i]:b[i]], p[i]
+            if q[none] >= 0.5:
+                # the templates have a word before the piece is dismissed
+                if max((t.likeness(piece) for t in self.templates), default=0.0) < PLAIN_LIKE:
+                    continue
+                q = np.where(np.arange(len(q)) == none, 0.0, q) / max(1.0 - q[none], 1e-12)
+            family, likeness = self.confirmed(q, piece)
+            if family == OTHER and not np.isin(pair_codes(piece), self.codes).any():
+                continue  # not two words together that any notice has
+            hits.append((int(a[i]), int(b[i]), family, float(q.max() if family == OTHER else q[self.classes.index(family)]), likeness))
+        return _joined(hits)
 
     def confirmed(self, p: np.ndarray, words: np.ndarray) -> tuple[str, float]:
         """The family if it is sure and one of its templates is there, else unknown."""
         best = self.classes[int(p.argmax())]
-        own = frozenset(zip(words[:-1].tolist(), words[1:].tolist()))
-        like = max((len(own & t) / len(t) for t in self.templates.get(best, [])), default=0.0)
+        like = max((t.likeness(words) for t in self.templates if t.family == best), default=0.0)
         return (best, like) if best not in (NONE, OTHER) and p.max() >= SURE and like >= LIKE else (OTHER, like)
 
 
+def _joined(hits: list[tuple[int, int, str, float, float]]) -> list[tuple[int, int, str, float, float]]:
+    """Overlapping hits of one family as one, in order; an unknown one gives way to a named one that it overlaps."""
+    out: dict[str, list] = {}
+    for hit in sorted(hits):
+        own = out.setdefault(hit[2], [])
+        if own and own[-1][1] > hit[0]:
+            last = own.pop()
+            hit = (last[0], max(last[1], hit[1]), hit[2], max(last[3], hit[3]), max(last[4], hit[4]))
+        own.append(hit)
+    named = sorted(h for f, own in out.items() if f != OTHER for h in own)
+    ends = np.maximum.accumulate([h[1] for h in named]) if named else np.zeros(0)
+    starts = np.array([h[0] for h in named])
+    free = [h for h in out.get(OTHER, []) if not (k := int(np.searchsorted(starts, h[1]))) or ends[k - 1] <= h[0]]
+    return sorted(named + free)
+
+
 def _altered(text: str, rng: np.random.Generator, names: list[str]) -> list[str]:
     """A template with words lost or put in, as found in the wild."""
     text = text.replace("{name}", " ".join(rng.choice(names, rng.integers(1, 3)))).replace("{number}", str(rng.integers(1, 9)))
@@ -195,6 +291,14 @@ def train(negatives: list[str], seed: int = 11) -> Model:
     for c, (family, texts) in enumerate(TEMPLATES.items()):
         rows += [(_altered(t, rng, names), c) for t in texts for _ in range(VARIANTS)]
     rows += [(_altered(t, rng, names), len(classes) - 2) for t in UNKNOWN for _ in range(VARIANTS)]
+    prose = [w for w in (t.split() for t in negatives) if len(w) >= 4]
+    if prose:
+        # notices inside ordinary text, as a piece of a long paragraph shows them
+        for words, c in [r for n, r in enumerate(list(rows)) if n % VARIANTS < EMBEDDED]:
+            before, after = (prose[int(rng.integers(len(prose)))] for _ in range(2))
+            room = max(0, LONGEST - len(words))
+            k = int(rng.integers(0, room + 1))
+            rows.append((([*before[-k:]] if k else []) + words + after[:room - k], c))
     for t in negatives:
         words = t.split()[:LONGEST]
         # beside the paragraph a short piece of words that no one has seen: what is unknown is ordinary
@@ -229,8 +333,8 @@ def train(negatives: list[str], seed: int = 11) -> Model:
         bias -= 2.0 * error.sum(axis=0)
     full = np.zeros((FEATURES, len(classes)))
     full[used] = w
-    words = {f: [_WORDS.of(t.replace("{name}", "").split()) for t in ts] for f, ts in TEMPLATES.items()}
-    model = Model(classes, full, bias, 1.0, {f: [frozenset(zip(t[:-1].tolist(), t[1:].tolist())) for t in ts] for f, ts in words.items()})
+    templates = [Template.of(f, t) for f, ts in [*TEMPLATES.items(), (OTHER, UNKNOWN)] for t in ts]
+    model = Model(classes, full, bias, 1.0, [t for t in templates if len(t.codes)])
     z = logits()[held]
     if len(z):
         def loss(temperature: float) -> float:
@@ -242,19 +346,26 @@ def train(negatives: list[str], seed: int = 11) -> Model:
 
 
 def sample_paragraphs(docs: DataFrame) -> list[str]:
-    """At most ``NEGATIVES`` lines without licence language, by hash, at most ``NEGATIVE_CHARS`` characters of each."""
-    lines = docs.select(F.explode(F.split(text_of(), "\n")).alias("line")).where(F.trim("line") != "")
+    """At most ``NEGATIVES`` lines without licence language of about ``SAMPLED`` documents, by hash, at most ``NEGATIVE_CHARS`` characters of each.
+
+    The share of documents is taken from their number, so the lines that tasks offer to the driver
+    do not grow with the table.
+    """
+    share = min(1.0, SAMPLED / max(docs.count(), 1))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", text_of()), F.lit(1 << 30)) < int(share * (1 << 30)))
+    lines = chosen.select(F.explode(F.split(text_of(), "\n")).alias("line")).where(F.trim("line") != "")
     plain = lines.where(~F.lower("line").rlike("licen[cs]|copyright|permi(t|ss)|public domain|rights reserved"))
-    short = plain.select(F.substring("line", 1, NEGATIVE_CHARS).alias("line"))
+    short = plain.select(F.substring("line", 1, NEGATIVE_CHARS).alias("line")).distinct()
     return [r["line"] for r in short.orderBy(F.xxhash64("line"), "line").limit(NEGATIVES).collect()]
 
 
 def find_licences(docs: DataFrame) -> DataFrame:
     """One row for each licence notice: doc_id, first_word, end_word, family, probability, likeness.
 
-    Paragraphs are lines; those above ``LONGEST`` words are judged in overlapping pieces, and
-    neighbouring pieces of one family are one notice. A family needs its probability and a template
-    that confirms it; licence language without both is ``unknown``. Null and empty texts have
+    Paragraphs are lines; those above ``LONGEST`` words are judged in overlapping pieces, and so is
+    every place where enough of a template's word pairs stand together, however short. Overlapping
+    pieces of one family are one notice. A family needs its probability and a template
+    that confirms it; licence language without both is ``unknown``, unless a named notice overlaps it. Null and empty texts have
     no notices; repeated rows are scanned alike; an empty table gives no rows; other columns are not
     read. The ordinary paragraphs that the model learns from are a bounded sample; every paragraph is
     judged.

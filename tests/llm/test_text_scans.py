@@ -432,3 +432,58 @@ def test_altered_notices_of_every_family_held_out():
                 right += any(h[2] == family for h in hits)
                 total += 1
     assert right / total > 0.85
+
+
+@pytest.fixture(scope="module")
+def licence_model():
+    """Trained on half of the plain lines of the delivered texts; the words of the other half are for the tests."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{FOLDER}/documents.parquet", columns=["text"]).column("text").to_pylist()
+    plain = [x for t in texts for x in (t or "").split("\n") if x.strip() and not re.search("licen[cs]|copyright|permi(t|ss)|public domain|rights reserved", x.lower())]
+    random.Random(4).shuffle(plain)
+    return licences.train([x[:400] for x in plain[:1_500]]), plain[1_500:5_000]
+
+
+def licence_hits(model, words):
+    return model.scan(licences._WORDS.of(words), [(0, len(words))])
+
+
+def test_every_template_is_found_inside_a_long_line(licence_model):
+    model, plain = licence_model
+    rnd, prose = random.Random(6), [w for x in plain for w in x.split()]
+    for family, texts in [*licences.TEMPLATES.items(), ("unknown", licences.UNKNOWN)]:
+        for text in texts:
+            found = 0
+            for _ in range(40):
+                notice = text.replace("{name}", rnd.choice(["Acme", "Northwind Traders"])).replace("{number}", "2").split()
+                at = rnd.randrange(len(prose) - 60)
+                words = prose[at:at + 30] + notice + prose[at + 30:at + 60]
+                hits = [h for h in licence_hits(model, words) if h[2] == family]
+                found += any(h[0] < 30 + len(notice) and h[1] > 30 for h in hits)
+            assert found >= 38, (family, text, found)
+
+
+def test_plain_lines_have_no_notices(licence_model):
+    model, plain = licence_model
+    flagged = [x for x in plain if licence_hits(model, x.split())]
+    assert len(flagged) <= 0.005 * len(plain)
+    # nor have runs of one word, and a named notice takes the place of an unknown one that it overlaps
+    assert licence_hits(model, ["under"] * 500) == []
+    hits = licence_hits(model, "All of this is Licensed under the Acme License. Licensed under the Mozilla Public License, version 2.0.".split())
+    assert "mpl-2.0" in {h[2] for h in hits} and all(a[1] <= b[0] for a, b in zip(hits, hits[1:]))
+
+
+def test_spots_of_templates_match_a_plain_search():
+    rnd = random.Random(2)
+    template = licences.Template.of("x", "a b c d e f")
+    for _ in range(200):
+        words = [rnd.choice("abcdefz") for _ in range(rnd.randint(1, 40))]
+        hashed = licences._WORDS.of(words)
+        codes = licences.pair_codes(hashed)
+        got = template.spots(codes, np.arange(len(codes)))
+        places = [i for i, p in enumerate(zip(words, words[1:])) if "".join(p) in "abcdef"]
+        # three of the five pairs within eight places
+        near = any(sum(i <= j < i + 8 for j in places) >= 3 for i in places)
+        assert bool(got) == near
+        assert template.likeness(hashed) == len({"".join(p) for p in zip(words, words[1:]) if "".join(p) in "abcdef"}) / 5
