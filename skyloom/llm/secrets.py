@@ -24,6 +24,9 @@ PIECE = r"(?<![\p{L}\p{N}+_=-])[A-Za-z0-9+_=-]{16,}(?![\p{L}\p{N}])"
 IDENTIFIER = r"(?<![\p{L}\p{N}+/_=.-])[A-Za-z_][A-Za-z0-9_-]{7,}(?![\p{L}\p{N}+/_=-])"
 ALPHABET = "^ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 SIZE = len(ALPHABET) + 1  # 0 is any other character
+# Kinds of characters of an identifier; the others separate words and tell nothing about them.
+GROUPS = {"start": "^", "lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "low line": "_", "hyphen": "-"}
+SHARE, PSEUDO, GROUP_PSEUDO = 0.2, 100.0, 20.0  # weight of a row's fallback: a share of its count and a constant; and of the fallback's own
 POSTERIOR = 0.99
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,hit:string>>"
 
@@ -91,25 +94,61 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     return tokens.groupBy("random", "token").agg(F.count("*").alias("n")).where("random or n > 1").drop("n")
 
 
+def chain_weights(counts: dict[bool, dict[tuple[str, str], int]]) -> dict[tuple[str, str], float]:
+    """Log likelihood ratio, random against ordinary, of every pair of characters of identifiers.
+
+    Both classes are first-order chains. A pair's probability falls back on the pair of kinds of
+    characters (lower case after digit, ...), spread evenly over the kind, by a weight that grows
+    with the row's count; the pairs of kinds fall back on their share in both classes together. So a pair
+    that neither class has seen weighs what its kinds weigh, however unequally the classes are trained.
+    """
+    group = {c: g for g, cs in GROUPS.items() for c in cs}
+    row = {k: {} for k in counts}
+    kinds = {k: {} for k in counts}
+    after = {k: {} for k in counts}
+    for k, pairs in counts.items():
+        for (a, b), n in pairs.items():
+            row[k][a] = row[k].get(a, 0) + n
+            kinds[k][group[a], group[b]] = kinds[k].get((group[a], group[b]), 0) + n
+            after[k][group[a]] = after[k].get(group[a], 0) + n
+    both = {g: 0.5 * sum(sum(n for (_, y), n in kinds[k].items() if y == g) / max(sum(after[k].values()), 1) for k in counts) for g in GROUPS}
+
+    def probability(k: bool, a: str, b: str) -> float:
+        x, y = group[a], group[b]
+        back = (kinds[k].get((x, y), 0) + GROUP_PSEUDO * both[y]) / (after[k].get(x, 0) + GROUP_PSEUDO) / len(GROUPS[y])
+        n = row[k].get(a, 0)
+        pseudo = PSEUDO + SHARE * n
+        return (counts[k].get((a, b), 0) + pseudo * back) / (n + pseudo)
+
+    out = {}
+    for a in group:
+        for b in group:
+            p, q = probability(True, a, b), probability(False, a, b)
+            out[a, b] = math.log(p / q) if p > 0 and q > 0 else 0.0
+    return out
+
+
 def train(samples: DataFrame) -> tuple[list[float], float]:
-    """Log likelihood ratio of each pair of characters, and the sum above which a token is random.
+    """Weight of each pair of characters, and the sum above which a token is random.
 
-    Both models are first-order chains with one added count for each pair. The threshold asks for
-    ``POSTERIOR`` at the share of random strings among the samples. Without samples all ratios
-    are 0 and nothing is found.
+    Pairs with a slash, dot, plus or equals sign weigh 0: identifiers do not hold them, so they would
+    only tell that a path is no identifier. The threshold asks for ``POSTERIOR`` at the share of random
+    strings among the samples. Without samples all weights are 0 and nothing is found.
     """
     # at most two rows for each pair of the alphabet reach the driver
     pairs = samples.select("random", F.explode(_pairs(F.col("token"))).alias("pair"))
-    codes = (_at(F.substring("pair", 1, 1)) * SIZE + _at(F.substring("pair", 2, 1))).alias("code")
-    counts = pairs.select("random", codes).groupBy("random", "code").agg(F.count("*").alias("n")).collect()
-    tables = {True: [1.0] * SIZE**2, False: [1.0] * SIZE**2}
-    for r in counts:
-        tables[r["random"]][r["code"]] += r["n"]
-    rows = {k: [sum(v[a * SIZE:(a + 1) * SIZE]) for a in range(SIZE)] for k, v in tables.items()}
-    weights = [
-        math.log(tables[True][i] / rows[True][i // SIZE]) - math.log(tables[False][i] / rows[False][i // SIZE]) for i in range(SIZE**2)
-    ]
-    first = {k: sum(r["n"] for r in counts if r["random"] == k and r["code"] // SIZE == 1) for k in (True, False)}
+    found = pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()
+    known = set("".join(GROUPS.values()))
+    counts: dict[bool, dict] = {True: {}, False: {}}
+    first = {True: 0, False: 0}
+    for r in found:
+        a, b = r["pair"]
+        first[r["random"]] += r["n"] * (a == "^")
+        if a in known and b in known:
+            counts[r["random"]][a, b] = r["n"]
+    weights = [0.0] * SIZE**2
+    for (a, b), w in chain_weights(counts).items():
+        weights[(ALPHABET.index(a) + 1) * SIZE + ALPHABET.index(b) + 1] = w
     prior = math.log((first[False] + 1) / (first[True] + 1))
     return weights, max(0.0, prior) + math.log(POSTERIOR / (1 - POSTERIOR))
 

@@ -272,6 +272,53 @@ def test_random_strings_behind_dots_and_slashes(spark):
         assert spans[i] == ",".join(f"markov:{text.index(x)}:{text.index(x) + len(x)}" for x in hidden), text
 
 
+COMMON = """about account action address admin after again alert archive article author backup balance banner before between board branch bridge browser budget build button cache camera capital category center change
+chapter charge check choice class client cloud coffee collect color comment common company complete config connect contact content copy corner country course cover create credit custom daily debate default delete design
+detail device digital discount display document domain download driver early economy editor effect energy engine english error escape event example exchange export factory family feature field filter finance format forum
+frame friend function future gallery garden general global graph group growth guide handle hardware health history holiday home hotel house human image import index industry info install island item journey kernel keyboard
+knowledge label language launch layout learn library light limit local login machine magazine manage market master media member memory message method mobile model module money month morning native nature network news
+notice number object office online option order origin output owner package page panel paper parent party password patient pattern payment people perfect phone photo picture place player plugin point policy portal power
+press price privacy problem process product profile program project property provider public quality query question quick radio random range reader recent record region release remote report request research resource
+result return review river robot school science screen script search season second section select series server service session setting shadow share simple single site small software source space special speed sport
+spring square staff standard start state status stock storage store story stream street student studio style subject submit success summer support switch symbol system table target team template text theme ticket time
+title today token topic total track traffic travel trend trial trust type unique update upload user value vector version video view village visit voice volume wallet water weather web website weekly white window winter wonder word work world write young zone""".split()
+
+
+def test_urls_paths_and_names_stay_clean_and_random_strings_do_not(spark):
+    rnd = random.Random(23)
+    pick = lambda n, glue: glue.join(rnd.choice(COMMON) for _ in range(n))
+    clean = {
+        "dashed": lambda: f"https://www.example.com/{pick(4, '-')}.html", "slashed": lambda: f"https://example.org/{pick(4, '/')}/", "dated": lambda: f"https://example.org/{rnd.randint(2000, 2030)}/{rnd.randint(1, 12):02d}/{pick(4, '-')}",
+        "path": lambda: f"/usr/local/{pick(3, '/')}/{pick(2, '_')}.py", "snake": lambda: pick(4, "_"), "joined": lambda: pick(3, ""), "package": lambda: f"src/main/java/org/apache/{pick(3, '/')}/Column",
+    }
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    string = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    rows, kinds = [], {}
+    for kind, make in clean.items():
+        for _ in range(200):
+            kinds[len(rows)] = kind
+            rows.append((len(rows), f"see {make()} now"))
+    for n in (24, 32, 40):
+        for _ in range(100):
+            kinds[len(rows)] = n
+            rows.append((len(rows), f"see {string(n)} now"))
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(F.col("doc_id") + 1_000_000, "text").unionByName(
+        spark.createDataFrame(rows, "`(doc_id + 1000000)` long, text string")).toDF("doc_id", "text")
+    got = secrets.find_secrets(docs).where("doc_id < 1000000").select("doc_id", "spans").collect()
+    share = Counter(kinds[r.doc_id] for r in got if "markov" in r.spans)
+    assert all(share[k] <= 2 for k in clean), share
+    assert all(share[n] >= 97 for n in (24, 32, 40)), share
+
+
+def test_pairs_that_no_class_has_seen_weigh_little():
+    ordinary = {(a, b): 500 for a in "aeiou" for b in "bcdfgklmnprst"} | {(b, a): 400 for a in "aeiou" for b in "bcdfgklmnprst"}
+    rare = {(a, b): 1 for a, b in zip("abcdefghij0123456789", "1q2w3e4r5t6y7u8i9o0p")}
+    w = secrets.chain_weights({True: rare, False: ordinary})
+    assert w["q", "x"] < 3 and w["a", "n"] < 0 and w["a", "7"] > 3 and w["_", "-"] == pytest.approx(0, abs=0.7)
+    assert {(a, b) for a, b in w if "/" in (a, b)} == set()
+    assert set(secrets.chain_weights({True: {}, False: {}}).values()) == {0.0}
+
+
 def test_secret_scan_runs_no_python(spark):
     plan = secrets.op6_secret_scan(spark, FOLDER)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
