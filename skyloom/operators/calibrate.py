@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from skyloom.functions import phot as p, weights as w
 from skyloom.functions.common import num, quadrature, ratio
 from skyloom.operators import stats
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
+from skyloom.operators.skew import join_groups
 from skyloom.session import stored
 
 # fixed values: calibration limits per filter: brightest and faintest magnitude, largest catalogue error
@@ -111,18 +113,27 @@ def constant_stars(phot: DataFrame, star: str = "star_id", fraction: float = 0.2
 
 
 def dataset_means(phot: DataFrame) -> DataFrame:
+    """Weighted mean, error, scatter and number per star and dataset."""
     return stats.valid_rows(phot).groupBy("star_id", "dataset", "filter", "site").agg(
-        w.weighted_mean("mag", "mag_err").alias("mag"), w.weighted_error("mag_err").alias("mag_err"), F.count("*").alias("n")
+        w.weighted_mean("mag", "mag_err").alias("mag"), w.weighted_error("mag_err").alias("mag_err"), w.weighted_rms("mag", "mag_err").alias("rms"), F.count("*").alias("n")
     )
 
 
+def constant_among(means: DataFrame, site: str, band: str, fraction: float = 0.25) -> DataFrame:
+    """As :func:`constant_stars` for one dataset, from the stored means of all of them."""
+    rms = means.where((F.col("site") == site) & (F.col("filter") == band)).select("star_id", "rms")
+    span = rms.agg(F.min("rms").alias("_lo"), F.max("rms").alias("_hi"))
+    return stats.attach_row(rms, span).where(F.col("rms") <= F.col("_lo") + (F.col("_hi") - F.col("_lo")) * fraction).select("star_id", "rms")
+
+
 def normalization_fits(means: DataFrame, constant: DataFrame, reference_site: str, max_err: float = 0.05, max_diff: float = 0.5) -> DataFrame:
     """Line of every dataset against the reference dataset of its filter, over constant stars, all at once."""
     steady = means.join(constant.select("star_id"), "star_id", "left_semi")
     ref = steady.where(F.col("site") == reference_site).select("star_id", "filter", F.col("mag").alias("ref_mag"), F.col("mag_err").alias("ref_err"))
-    both = steady.where(F.col("site") != reference_site).join(ref, ["star_id", "filter"])
+    both = join_groups(steady.where(F.col("site") != reference_site), ref, ["star_id", "filter"])
     good = (F.col("mag_err") <= max_err) & (F.col("ref_err") <= max_err) & (F.abs(F.col("mag") - F.col("ref_mag")) <= max_diff)
-    return fit_line(both.where(good), ["dataset"], "mag", "ref_mag")
+    # the fit takes its moments in two steps: it reads the few steady stars, not the photometry
+    return fit_line(stored(both.where(good).select("dataset", "mag", "ref_mag")), ["dataset"], "mag", "ref_mag")
 
 
 def normalize(phot: DataFrame, fits: DataFrame, reference_site: str) -> DataFrame:
@@ -154,22 +165,20 @@ def time_bins(phot: DataFrame, keys: list[str]) -> DataFrame:
 def dataset_residuals(bins: DataFrame, references: list[str]) -> DataFrame:
     """Reference minus dataset in common bins for the references in order of preference.
 
-    A star uses the second reference only if the first one of that filter does not have it, and
-    so on. Columns of ``bins``: star_id filter site bin mag mag_err.
+    Every star and filter has one reference, the first of the list that saw it, so all references
+    are one join. The bins are written once and read three times. Columns of ``bins``: star_id filter site bin mag mag_err.
     """
-    out, earlier = None, None
-    for site in references:
-        mine = bins.where(F.col("site") == site)
-        if earlier is not None:
-            mine = mine.join(earlier, ["star_id", "filter"], "left_anti")
-        ref = mine.select("star_id", "filter", "bin", F.col("mag").alias("_m"), F.col("mag_err").alias("_e"))
-        part = bins.where(F.col("site") != site).join(ref, ["star_id", "filter", "bin"]).select(
-            F.lit(site).alias("reference"), "star_id", "filter", "site", "bin", (F.col("_m") - F.col("mag")).alias("delta"), quadrature("_e", "mag_err").alias("delta_err")
-        )
-        out = part if out is None else out.unionByName(part)
-        seen = bins.where(F.col("site") == site).select("star_id", "filter").distinct()
-        earlier = seen if earlier is None else earlier.unionByName(seen)
-    return out
+    keys = ["star_id", "filter"]
+    table = stored(bins.select(*keys, "site", "bin", "mag", "mag_err"))
+    rank = F.lit(None).cast("int")
+    for n, site in reversed(list(enumerate(references))):
+        rank = F.when(F.col("site") == site, n).otherwise(rank)
+    first = table.groupBy(*keys).agg(F.min(rank).alias("_rank")).where("_rank is not null")
+    first = first.select(*keys, F.element_at(F.array(*[F.lit(r) for r in references]), F.col("_rank") + 1).alias("reference"))
+    placed = join_groups(table, first, keys)
+    ref = placed.where(F.col("site") == F.col("reference")).select(*keys, "bin", F.col("mag").alias("_m"), F.col("mag_err").alias("_e"))
+    both = join_groups(placed.where(~F.col("site").eqNullSafe(F.col("reference"))), ref, [*keys, "bin"])
+    return both.select("reference", *keys, "site", "bin", (F.col("_m") - F.col("mag")).alias("delta"), quadrature("_e", "mag_err").alias("delta_err"))
 
 
 def star_offsets(residuals: DataFrame, keys: list[str], threshold: float = 0.1, min_bins: int = 2) -> DataFrame:
@@ -181,15 +190,15 @@ def star_offsets(residuals: DataFrame, keys: list[str], threshold: float = 0.1,
     # the residuals are read five times: write the short table instead of binning the photometry again
     rows = stored(residuals.select(*keys, "delta", "delta_err"))
     start = aggregate_with_quantiles(rows, keys, [F.count("*").alias("n_bins")], {"_q": ("delta", [0.5])})
-    state = start.select(*keys, "n_bins", F.col("_q")[0].alias("offset"))
+    state = stored(start.select(*keys, "n_bins", F.col("_q")[0].alias("offset")))
     near = F.abs(F.col("delta") - F.col("offset")) <= threshold
     for _ in range(2):
-        better = rows.join(state, keys).where(near).groupBy(*keys).agg(F.avg("delta").alias("_better"))
-        state = state.join(better, keys, "left").select(*keys, "n_bins", F.coalesce("_better", "offset").alias("offset"))
-    kept = rows.join(state, keys).where(near & (F.col("delta_err") > 0))
+        better = join_groups(rows, state, keys).where(near).groupBy(*keys).agg(F.avg("delta").alias("_better"))
+        state = stored(join_groups(state, better, keys, "left").select(*keys, "n_bins", F.coalesce("_better", "offset").alias("offset")))
+    kept = join_groups(rows, state, keys).where(near & (F.col("delta_err") > 0))
     spread = kept.groupBy(*keys).agg(w.weighted_mean(F.abs(F.col("delta") - F.col("offset")), "delta_err").alias("_spread"))
     enough = F.col("n_bins") > min_bins
-    return state.join(spread, keys, "left").select(
+    return join_groups(state, spread, keys, "left").select(
         *keys, "n_bins", F.when(enough, F.col("offset")).otherwise(num(0.0)).alias("delta_mag"),
         F.when(enough, F.coalesce("_spread", num(0.0))).otherwise(num(0.0)).alias("delta_mag_err"),
     )
@@ -210,40 +219,53 @@ def merge_offset(pairs: DataFrame, keys: list[str], rounds: int = 3) -> DataFram
     )
     state = stored(start.select(*keys, "n", "width", F.col("_q")[0].alias("offset")))
     for _ in range(rounds):
-        inside = pairs.join(state, keys).where(F.abs(F.col("delta") - F.col("offset")) <= 5.0 * F.col("width"))
+        inside = join_groups(pairs, state, keys).where(F.abs(F.col("delta") - F.col("offset")) <= 5.0 * F.col("width"))
         better = grouped_quantiles(inside, keys, "delta", [0.5], "_q").select(*keys, F.col("_q")[0].alias("_better"))
-        state = stored(state.join(better, keys, "left").select(*keys, "n", "width", F.coalesce("_better", "offset").alias("offset")))
+        state = stored(join_groups(state, better, keys, "left").select(*keys, "n", "width", F.coalesce("_better", "offset").alias("offset")))
     return state.select(*keys, "n", F.col("offset").alias("delta_mag"), (1.0 / F.col("n")).alias("delta_mag_err"))
 
 
-def line_with_two_errors(points: DataFrame, keys: list[str], x: str, y: str, x_err: str, y_err: str, rounds: int = 8) -> DataFrame:
+def line_with_two_errors(points: DataFrame, keys: list[str], x: str, y: str, x_err: str, y_err: str, rounds: int = 40, tolerance: float = 1e-10) -> DataFrame:
     """Line with errors in both coordinates per group by the iteration of York.
 
     Each round is two aggregates over the points; what is carried along is one slope per group,
-    so a group of any size is spread over all tasks.
+    so a group of any size is spread over all tasks. Groups whose slope no longer moves by more than
+    ``tolerance`` of itself stay as they are and leave the rounds; ``converged`` is false for those
+    that still move after ``rounds``. Points without a value are left out, and a slope that cannot be
+    formed is null.
     """
     rows = points.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"), F.col(x_err).alias("_sx"), F.col(y_err).alias("_sy"))
-    state = rows.groupBy(*keys).agg(F.regr_slope("_y", "_x").alias("slope"))
+    rows = stored(rows.where(reduce(lambda p, c: p & F.col(c).isNotNull(), ["_y", "_sx", "_sy"], F.col("_x").isNotNull())))
+    state = stored(rows.groupBy(*keys).agg(F.regr_slope("_y", "_x").alias("slope")))
     vx, vy = F.col("_sx") * F.col("_sx"), F.col("_sy") * F.col("_sy")
     weight = ratio(num(1.0), vy + F.col("slope") * F.col("slope") * vx)
     centre_cols = [w.centroid("_x", weight).alias("_mx"), w.centroid("_y", weight).alias("_my"), F.max("slope").alias("slope"), F.count("*").alias("n")]
-    for _ in range(rounds):
-        centre = rows.join(state, keys).groupBy(*keys).agg(*centre_cols)
-        u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
-        beta = weight * (u * vy + F.col("slope") * v * vx)
-        step = rows.join(centre, keys).groupBy(*keys).agg(ratio(F.sum(weight * beta * v), F.sum(weight * beta * u)).alias("slope"))
-        state = stored(step)
-    centre = rows.join(state, keys).groupBy(*keys).agg(*centre_cols)
     u, v = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
+    done = None
+    for n in range(rounds):
+        own = join_groups(rows, state, keys)
+        centred = join_groups(own.drop("slope"), own.groupBy(*keys).agg(*centre_cols).drop("n"), keys)
+        beta = weight * (u * vy + F.col("slope") * v * vx)
+        step = centred.groupBy(*keys).agg(F.max("slope").alias("_old"), ratio(F.sum(weight * beta * v), F.sum(weight * beta * u)).alias("slope"))
+        step = stored(step.withColumn("converged", F.coalesce(F.abs(F.col("slope") - F.col("_old")) <= tolerance * F.abs("slope"), F.col("slope").isNull())))
+        still, last = step.where(~F.col("converged")), n == rounds - 1
+        ended = (step if last else step.where("converged")).select(*keys, "slope", "converged")
+        done = ended if done is None else done.unionByName(ended)
+        state = still.select(*keys, "slope")
+        if last or state.isEmpty():
+            break
+    state = stored(done)
+    full = join_groups(rows, state, keys)
+    centre = full.groupBy(*keys).agg(*centre_cols, F.every("converged").alias("converged"))
     adjusted = F.col("_mx") + weight * (u * vy + F.col("slope") * v * vx)
-    inner = rows.join(centre, keys).groupBy(*keys).agg(
-        F.max("_mx").alias("_mx"), F.max("_my").alias("_my"), F.max("slope").alias("slope"), F.max("n").alias("n"),
+    inner = join_groups(rows, centre, keys).groupBy(*keys).agg(
+        F.max("_mx").alias("_mx"), F.max("_my").alias("_my"), F.max("slope").alias("slope"), F.max("n").alias("n"), F.every("converged").alias("converged"),
         F.sum(weight).alias("_w"), w.centroid(adjusted, weight).alias("_ax"), F.sum(weight * adjusted * adjusted).alias("_axx"),
     )
     var_slope = ratio(num(1.0), F.col("_axx") - F.col("_w") * F.col("_ax") * F.col("_ax"))
     return inner.select(
         *keys, "n", "slope", (F.col("_my") - F.col("slope") * F.col("_mx")).alias("intercept"), F.sqrt(var_slope).alias("slope_err"),
-        F.sqrt(ratio(num(1.0), F.col("_w")) + F.col("_ax") * F.col("_ax") * var_slope).alias("intercept_err"),
+        F.sqrt(ratio(num(1.0), F.col("_w")) + F.col("_ax") * F.col("_ax") * var_slope).alias("intercept_err"), "converged",
     )
 
 
@@ -286,26 +308,37 @@ def affine_fit(pairs: DataFrame, keys: list[str], max_residual: float, rounds: i
 
 
 def polynomial_fit(points: DataFrame, keys: list[str], x: str, y: str, degree: int, x_centre: float) -> DataFrame:
-    """Polynomial per group: power sums in Spark, then one batched solve of the small systems in a Pandas UDF."""
-    d = F.col(x) - x_centre
+    """Polynomial per group in powers of x - x_centre: power sums in Spark, then one batched solve of the small systems in a Pandas UDF.
+
+    The sums are taken over the group's own middle and half width, and of y about its mean, so that they
+    neither overflow nor cancel; the coefficients are turned back afterwards. A group with fewer
+    different x than coefficients gets NaN. Points without x or y are left out.
+    """
+    known = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    span = known.groupBy(*keys).agg(
+        ((F.max("_x") + F.min("_x")) / 2).alias("_mid"), F.when(F.max("_x") > F.min("_x"), (F.max("_x") - F.min("_x")) / 2).otherwise(num(1.0)).alias("_half"), F.avg("_y").alias("_level"), F.countDistinct("_x").alias("_places"))
+    d = (F.col("_x") - F.col("_mid")) / F.col("_half")
+    rest = F.col("_y") - F.col("_level")
     powers = [F.sum(F.pow(d, num(float(k)))).alias(f"_s{k}") for k in range(2 * degree + 1)]
-    mixed = [F.sum(F.col(y) * F.pow(d, num(float(k)))).alias(f"_t{k}") for k in range(degree + 1)]
-    sums = points.groupBy(*keys).agg(F.count("*").alias("n"), *powers, *mixed)
+    mixed = [F.sum(rest * F.pow(d, num(float(k)))).alias(f"_t{k}") for k in range(degree + 1)]
+    kept = [F.max(c).alias(c) for c in ("_mid", "_half", "_level", "_places")]
+    sums = join_groups(known, span, keys).groupBy(*keys).agg(F.count("*").alias("n"), *kept, *powers, *mixed)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def solve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for s, t in batches:
+    def solve(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        i = np.arange(degree + 1)
+        for s, t, mid, half, level, places in batches:
             if len(s) == 0:
                 yield pd.Series([], dtype=object)
                 continue
             s_all, t_all = np.vstack(s.to_list()), np.vstack(t.to_list())
-            i = np.arange(degree + 1)
             matrix = s_all[:, i[:, None] + i[None, :]]
-            ok = np.abs(np.linalg.det(matrix)) > 0
+            ok = (places > degree).to_numpy()
             out = np.full(t_all.shape, np.nan)
             out[ok] = np.linalg.solve(matrix[ok], t_all[ok][..., None])[..., 0]
-            yield pd.Series(list(out))
+            out[:, 0] += level.to_numpy()
+            # a polynomial in (x - mid) / half as one in x - x_centre
+            yield pd.Series([np.polynomial.Polynomial(c)(np.polynomial.Polynomial([(x_centre - m) / h, 1 / h])).coef for c, m, h in zip(out, mid, half)])
 
-    return sums.select(
-        *keys, "n", solve(F.array(*[f"_s{k}" for k in range(2 * degree + 1)]), F.array(*[f"_t{k}" for k in range(degree + 1)])).alias("coefficients")
-    )
+    columns = [F.array(*[f"_s{k}" for k in range(2 * degree + 1)]), F.array(*[f"_t{k}" for k in range(degree + 1)]), "_mid", "_half", "_level", "_places"]
+    return sums.select(*keys, "n", solve(*columns).alias("coefficients"))

@@ -14,7 +14,7 @@ from skyloom.plans.base import Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import rounded
 from skyloom.plans.matching import ARCSEC, TWO, one_to_one_sql
 from skyloom.plans.statistics import NIGHT_SQL, night
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, stored
 from skyloom.sources import tables, textfiles
 
 POINT = ["image_id", "seq", "star_id"]
@@ -95,8 +95,9 @@ NORM = CONST + f""", dm AS (SELECT star_id, site, filter, sum(mag/(mag_err*mag_e
     FROM valid v LEFT JOIN ft ON ft.site = v.site AND ft.filter = v.filter GROUP BY ALL""")
 def dataset_normalization(t: Tables):
     """Fits of all datasets against the reference site over constant stars, applied to every measurement."""
-    steady = cal.constant_stars(t.phot.where("site = 'lsc-doma' AND filter = 'ip'"), fraction=0.4)
-    fits = cal.normalization_fits(cal.dataset_means(t.dataset_phot), steady, "lsc-doma")
+    # one scan of the photometry for the means and one for the result
+    means = stored(cal.dataset_means(t.dataset_phot))
+    fits = cal.normalization_fits(means, cal.constant_among(means, "lsc-doma", "ip", fraction=0.4), "lsc-doma")
     out = cal.normalize(t.dataset_phot, fits, "lsc-doma").where("mag > 0 AND mag_err > 0")
     return out.groupBy("star_id", "site", "filter").agg(F.count("*").alias("n"), settled(F.avg("norm_mag"), 4).alias("mean_norm_mag"))
 
@@ -113,13 +114,15 @@ def time_bins(t: Tables):
 
 RESID = BINS + """, rs AS (SELECT 'lsc-doma' AS reference, a.star_id, a.filter, a.site, a.bin, r.mag-a.mag AS d, sqrt(r.err*r.err+a.err*a.err) AS e FROM bn a JOIN bn r ON r.star_id = a.star_id AND r.filter = a.filter AND r.bin = a.bin AND r.site = 'lsc-doma' WHERE a.site <> 'lsc-doma'
     UNION ALL SELECT 'cpt-doma', a.star_id, a.filter, a.site, a.bin, r.mag-a.mag, sqrt(r.err*r.err+a.err*a.err) FROM bn a JOIN bn r ON r.star_id = a.star_id AND r.filter = a.filter AND r.bin = a.bin AND r.site = 'cpt-doma' WHERE a.site <> 'cpt-doma'
-    AND NOT EXISTS (SELECT 1 FROM bn z WHERE z.site = 'lsc-doma' AND z.star_id = a.star_id AND z.filter = a.filter))"""
+    AND NOT EXISTS (SELECT 1 FROM bn z WHERE z.site = 'lsc-doma' AND z.star_id = a.star_id AND z.filter = a.filter)
+    UNION ALL SELECT 'coj-doma', a.star_id, a.filter, a.site, a.bin, r.mag-a.mag, sqrt(r.err*r.err+a.err*a.err) FROM bn a JOIN bn r ON r.star_id = a.star_id AND r.filter = a.filter AND r.bin = a.bin AND r.site = 'coj-doma' WHERE a.site <> 'coj-doma'
+    AND NOT EXISTS (SELECT 1 FROM bn z WHERE z.site IN ('lsc-doma', 'cpt-doma') AND z.star_id = a.star_id AND z.filter = a.filter))"""
 REFS = ["lsc-doma", "cpt-doma", "coj-doma"]
 
 
 @query("dataset_residuals", with_views("valid", extra=RESID) + f"SELECT reference, star_id, filter, site, bin, {r6('d')} AS delta, {r6('e')} AS delta_err FROM rs")
 def dataset_residuals(t: Tables):
-    out = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS[:2])
+    out = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS)
     return rounded(out, ["reference", "star_id", "filter", "site", "bin"], {"delta": "delta", "delta_err": "delta_err"})
 
 
@@ -132,7 +135,7 @@ OFFS = RESID + """, k0 AS (SELECT reference, star_id, filter, site, count(*) AS
 
 @query("star_offset", with_views("valid", extra=OFFS) + f"""SELECT reference, star_id, filter, site, n AS n_bins, {r6('CASE WHEN n > 2 THEN o ELSE 0e0 END', 5)} AS delta_mag, {r6('CASE WHEN n > 2 THEN coalesce(s, 0e0) ELSE 0e0 END', 5)} AS delta_mag_err FROM k3""")
 def star_offset(t: Tables):
-    res = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS[:2])
+    res = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS)
     keys = ["reference", "star_id", "filter", "site"]
     out = cal.star_offsets(res, keys)
     return out.select(*keys, "n_bins", settled("delta_mag", 5).alias("delta_mag"), settled("delta_mag_err", 5).alias("delta_mag_err"))
@@ -142,7 +145,7 @@ def star_offset(t: Tables):
     FROM k3 GROUP BY ALL""")
 def sink_normalizations(t: Tables):
     """Long table written out; wide view by pivot with a fixed list of datasets."""
-    res = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS[:2])
+    res = cal.dataset_residuals(cal.time_bins(t.phot, STAR_DATASET), REFS)
     path = tables.write_normalizations(cal.star_offsets(res, ["reference", "star_id", "filter", "site"]))
     wide = tables.read_normalizations_wide(t.spark, path, ["cpt-doma", "coj-doma"])
     zero = F.lit(0.0)

@@ -187,3 +187,78 @@ def test_calibration_star_limits(spark):
         "star_id int, g double, g_err double, gid string",
     ).withColumn("mag", F.lit(18.0)).withColumn("mag_err", F.lit(0.01))
     assert {r["star_id"] for r in cal.select_calibration_stars(d, ["g"], "gid").collect()} == {1, 2}
+
+
+def test_every_star_has_one_reference_and_the_photometry_is_not_read_again(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = []
+    for star in range(12):
+        sites = ["lsc-doma", "cpt-doma", "coj-doma"][star % 3:]
+        for site in sites:
+            rows += [(star if star else None, "gp", site, 2450000.2 + day, 15.0 + float(rng.normal(0, 0.1)), 0.02) for day in range(6) if rng.random() < 0.8]
+    spark.createDataFrame(rows, "star_id long, filter string, site string, hjd double, mag double, mag_err double").write.parquet(str(tmp_path / "phot"))
+    phot = spark.read.parquet(str(tmp_path / "phot"))
+    refs = ["lsc-doma", "cpt-doma", "coj-doma"]
+    res = cal.dataset_residuals(cal.time_bins(phot, ["star_id", "filter", "site"]), refs)
+    # what comes after the stored bins reads those alone
+    assert res.inputFiles() and not any("/phot/" in f for f in res.inputFiles())
+    mags = {(r[0], r[2], int(r[3] - 2450000.0)): r[4] for r in rows}
+    seen = {(star, site) for star, site, _ in mags}
+    want = {}
+    for (star, site, day), mag in mags.items():
+        ref = next((s for s in refs if (star, s) in seen), None)
+        if ref != site and (star, ref, day) in mags:
+            want[ref, star, site, day] = mags[star, ref, day] - mag
+    got = {(r["reference"], r["star_id"], r["site"], r["bin"]): r["delta"] for r in res.collect()}
+    assert got.keys() == want.keys() and {k[0] for k in got} > {"lsc-doma"} and any(k[1] is None for k in got)
+    assert all(got[k] == pytest.approx(v) for k, v in want.items())
+    offsets = cal.star_offsets(res, ["reference", "star_id", "filter", "site"])
+    assert not any("/phot/" in f for f in offsets.inputFiles()) and offsets.count() == len({k[:3] for k in want})
+
+
+def test_normalization_reads_the_photometry_once_for_means_and_once_for_the_result(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(s, f"d{site}", "gp", site, 15 + s / 10 + shift + float(rng.normal(0, 0.001)), 0.01) for s in range(30) for site, shift in (("lsc", 0.0), ("cpt", 0.2)) for _ in range(5)]
+    spark.createDataFrame(rows, "star_id long, dataset string, filter string, site string, mag double, mag_err double").write.parquet(str(tmp_path / "phot"))
+    phot = spark.read.parquet(str(tmp_path / "phot"))
+    means = cal.stored(cal.dataset_means(phot))
+    fits = cal.normalization_fits(means, cal.constant_among(means, "lsc", "gp", 1.0), "lsc")
+    assert not any("/phot/" in f for f in fits.inputFiles())
+    out = cal.normalize(phot, fits, "lsc")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("star_id#") and plan.count("mag_err#") and str(out._jdf.queryExecution().executedPlan()).count("/phot]") == 1
+    assert all(abs(r["norm_mag"] - 15 - r["star_id"] / 10) < 0.02 for r in out.collect())
+
+
+def test_polynomial_of_degree_four_over_years_matches_numpy(spark):
+    rng = np.random.default_rng(6)
+    x = np.sort(rng.uniform(2457000, 2460000, 400))
+    y = 17 + 1e-3 * (x - 2458000) - 3e-7 * (x - 2458000) ** 2 + rng.normal(0, 0.05, 400)
+    rows = [("long", float(a), float(b)) for a, b in zip(x, y)] + [("short", 1.0, 2.0), ("short", 1.0, 3.0), ("long", None, 1.0), (None, 1.0, 1.0)]
+    out = {r["k"]: r for r in cal.polynomial_fit(spark.createDataFrame(rows, "k string, x double, y double"), ["k"], "x", "y", 4, 2458500.0).collect()}
+    fit = np.polynomial.Polynomial.fit(x - 2458500.0, y, 4)
+    got = np.polynomial.Polynomial(out["long"]["coefficients"])
+    grid = np.linspace(-1500, 1500, 50)
+    assert np.abs(got(grid) - fit(grid)).max() < 1e-9 and out["long"]["n"] == 400
+    assert np.isnan(out["short"]["coefficients"]).all() and np.isnan(out[None]["coefficients"]).all()
+
+
+def test_two_error_fit_says_whether_it_came_to_rest(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(4):
+        x = rng.uniform(0, 10, 40)
+        rows += [(k if k else None, float(a + rng.normal(0, 0.2)), float(2 * a + 1 + rng.normal(0, 0.3)), 0.2, 0.3) for a in x]
+    rows += [(1, None, 1.0, 0.1, 0.1), (2, 1.0, 1.0, None, 0.1)]
+    d = spark.createDataFrame(rows, "k long, x double, y double, xe double, ye double")
+    full = {r["k"]: r for r in cal.line_with_two_errors(d, ["k"], "x", "y", "xe", "ye").collect()}
+    cut = {r["k"]: r for r in cal.line_with_two_errors(d, ["k"], "x", "y", "xe", "ye", rounds=1).collect()}
+    assert all(r["converged"] for r in full.values()) and not any(r["converged"] for r in cut.values()) and set(full) == {None, 1, 2, 3}
+    for k, r in full.items():
+        own = np.array([p[1:] for p in rows if p[0] == k and None not in p[1:]], float)
+        assert r["n"] == len(own)
+        # at the solution the sum of squares over both errors is least
+        def chi(b, a):
+            return (((own[:, 1] - b * own[:, 0] - a) ** 2) / (own[:, 3] ** 2 + b * b * own[:, 2] ** 2)).sum()
+        best = chi(r["slope"], r["intercept"])
+        assert all(best <= chi(r["slope"] + e, r["intercept"] + f) + 1e-9 for e in (-1e-3, 0, 1e-3) for f in (-1e-3, 0, 1e-3))
