@@ -73,17 +73,41 @@ RV_TABLE = {
     "i": [1.583, 1.698, 1.751, 1.782],
     "z": [1.211, 1.263, 1.286, 1.300],
 }
-# fixed values: intrinsic colours of giants by V−I (Bessell & Brett 1988, table 3); error 0.04
+# fixed values: intrinsic colours of giants by V−I (Bessell & Brett 1988, table 3); error 0.04. The second 0.94 is
+# put up to 0.94001, because an interpolation needs rising knots
 GIANT_VI = [0.81, 0.91, 0.94, 0.94001, 1.00, 1.08, 1.17, 1.36, 1.50, 1.63, 1.78, 1.90, 2.05, 2.25, 2.55, 3.05]
 GIANT_COLOURS = {
     "V-K": [1.75, 2.05, 2.15, 2.16, 2.31, 2.50, 2.70, 3.00, 3.26, 3.60, 3.85, 4.05, 4.30, 4.64, 5.10, 5.96],
     "J-H": [0.37, 0.47, 0.50, 0.50, 0.54, 0.58, 0.63, 0.68, 0.73, 0.79, 0.83, 0.85, 0.87, 0.90, 0.93, 0.95],
     "H-K": [0.065, 0.08, 0.085, 0.085, 0.095, 0.10, 0.115, 0.14, 0.15, 0.165, 0.19, 0.205, 0.215, 0.235, 0.245, 0.285],
     "J-K": [0.45, 0.55, 0.58, 0.58, 0.63, 0.68, 0.74, 0.82, 0.88, 0.95, 1.01, 1.05, 1.08, 1.13, 1.17, 1.23],
+    "K-L": [0.04, 0.05, 0.06, 0.06, 0.07, 0.08, 0.09, 0.10, 0.11, 0.12, 0.12, 0.13, 0.15, 0.17, 0.18, 0.20],
+    "K-L'": [0.05, 0.06, 0.07, 0.07, 0.08, 0.09, 0.10, 0.12, 0.14, 0.16, 0.17, 0.17, 0.19, 0.20, 0.21, 0.22],
+    "K-M": [0.0, -0.01, -0.02, -0.02, -0.03, -0.04, -0.05, -0.06, -0.07, -0.08, -0.09, -0.10, -0.12, -0.13, -0.14, -0.15],
 }
+# fixed values: intrinsic colours of dwarfs from B8 to M6, by V−K (Bessell & Brett 1988, table 2)
+DWARF_VK = [-0.35, 0.00, 0.14, 0.38, 0.50, 0.70, 0.82, 1.10, 1.32, 1.41, 1.46, 1.53, 1.64, 1.96, 2.22, 2.63, 2.85, 3.16, 3.65, 3.87, 4.11, 4.65, 5.26, 6.12, 7.30]
+DWARF_COLOURS = {
+    "V-I": [-0.15, 0.00, 0.06, 0.27, 0.24, 0.33, 0.40, 0.53, 0.62, 0.66, 0.68, 0.71, 0.75, 0.88, 0.98, 1.15, 1.22, 1.45, 1.80, 1.96, 2.14, 2.47, 2.86, 3.39, 4.18],
+    "J-H": [-0.05, 0.00, 0.02, 0.06, 0.09, 0.13, 0.165, 0.23, 0.285, 0.305, 0.32, 0.33, 0.37, 0.45, 0.50, 0.58, 0.61, 0.66, 0.695, 0.68, 0.665, 0.62, 0.60, 0.62, 0.66],
+    "H-K": [-0.035, 0.00, 0.005, 0.015, 0.025, 0.03, 0.035, 0.04, 0.045, 0.05, 0.052, 0.055, 0.06, 0.075, 0.09, 0.105, 0.11, 0.13, 0.165, 0.20, 0.21, 0.25, 0.275, 0.32, 0.37],
+    "J-K": [-0.09, 0.00, 0.02, 0.08, 0.11, 0.16, 0.19, 0.27, 0.34, 0.36, 0.37, 0.385, 0.43, 0.53, 0.59, 0.68, 0.72, 0.79, 0.86, 0.87, 0.87, 0.87, 0.88, 0.94, 1.03],
+    "K-L": [-0.03, 0.00, 0.01, 0.02, 0.03, 0.03, 0.03, 0.04, 0.04, 0.05, 0.05, 0.05, 0.05, 0.06, 0.07, 0.09, 0.10, 0.11, 0.14, 0.15, 0.16, 0.20, 0.23, 0.29, 0.36],
+    "K-L'": [-0.04, 0.00, 0.01, 0.02, 0.03, 0.03, 0.03, 0.04, 0.04, 0.05, 0.05, 0.05, 0.05, 0.06, 0.07, 0.10, 0.11, 0.13, 0.17, 0.21, 0.23, 0.32, 0.37, 0.42, 0.48],
+    "K-M": [-0.05, 0.00, 0.01, 0.03, 0.03, 0.03, 0.03, 0.02, 0.02, 0.01, 0.01, 0.01, 0.00, -0.01, -0.02, -0.04, None, None, None, None, None, None, None, None, None],
+}
+# the seven colours of both tables beside the one they are looked up by (V−K), as column names
+COLOUR_NAMES = {"V-I": "vi", "J-H": "jh", "H-K": "hk", "J-K": "jk", "K-L": "kl", "K-L'": "klp", "K-M": "km"}
 COLOUR_TABLE_ERROR = 0.04
 
 
+def colour_rows() -> list[tuple]:
+    """Rows (class, vk, vi, jh, hk, jk, kl, klp, km) of the built-in tables of dwarfs and giants, for a table as a DataFrame."""
+    giants = {"V-I": GIANT_VI} | GIANT_COLOURS
+    out = [("dwarf", vk, *[DWARF_COLOURS[c][n] for c in COLOUR_NAMES]) for n, vk in enumerate(DWARF_VK)]
+    return out + [("giant", vk, *[giants[c][n] for c in COLOUR_NAMES]) for n, vk in enumerate(GIANT_COLOURS["V-K"])]
+
+
 def distance_modulus(kpc) -> Column:
     return 5.0 * F.log10(as_column(kpc) * 1000.0) - 5.0
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import lens, phot, sky, stellar, text, timing, transforms
 from skyloom.functions.common import settled
 from skyloom.operators import models, stats
+from skyloom.operators.bracket import between, bracket_join
 from skyloom.operators.quantiles import aggregate_with_quantiles
 from skyloom.plans.base import Tables, query, r6, with_views
 
@@ -278,16 +279,42 @@ def _linear_pieces(knots, values):
     return [[values[n], (values[n + 1] - values[n]) / (knots[n + 1] - knots[n])] for n in range(len(knots) - 1)]
 
 
+def short(colour: str) -> str:
+    return colour.lower().replace("-", "").replace("'", "p")
+
+
 @query("colour_interpolation", with_views("star_mags", extra="c AS (SELECT star_id, 7e-1 + (star_id % 260)/1e2 AS vi, 2e0 + (size % 35)/1e1 AS rv, 1e-1 + (size % 9)/1e1 AS ebv FROM star_mags)")
-    + "SELECT star_id, " + ", ".join(f"{r6(_pieces_sql('vi', stellar.GIANT_VI, stellar.spline_pieces(stellar.GIANT_VI, v)))} AS {k.lower().replace('-', '')}" for k, v in stellar.GIANT_COLOURS.items())
+    + "SELECT star_id, " + ", ".join(f"{r6(_pieces_sql('vi', stellar.GIANT_VI, stellar.spline_pieces(stellar.GIANT_VI, v)))} AS {short(k)}" for k, v in stellar.GIANT_COLOURS.items())
     + ", " + ", ".join(f"{r6('(' + _pieces_sql('rv', stellar.RV_GRID, _linear_pieces(stellar.RV_GRID, v)) + ')*ebv')} AS a_{k}" for k, v in stellar.RV_TABLE.items()) + " FROM c")
 def colour_interpolation(t: Tables):
     c = t.star_mags.select("star_id", (F.lit(0.7) + (F.col("star_id") % 260) / 100.0).alias("vi"), (F.lit(2.0) + (F.col("size") % 35) / 10.0).alias("rv"), (F.lit(0.1) + (F.col("size") % 9) / 10.0).alias("ebv"))
-    cols = {k.lower().replace("-", ""): stellar.interpolate_spline("vi", stellar.GIANT_VI, v) for k, v in stellar.GIANT_COLOURS.items()}
+    cols = {short(k): stellar.interpolate_spline("vi", stellar.GIANT_VI, v) for k, v in stellar.GIANT_COLOURS.items()}
     cols |= {"a_" + k: stellar.band_reddening("ebv", 0.01, "rv", k)[0] for k in stellar.RV_TABLE}
     return rounded(c, ["star_id"], cols)
 
 
+COLOURS = list(stellar.COLOUR_NAMES.values())
+COLOUR_TABLE = "class string, vk double, " + ", ".join(f"{c} double" for c in COLOURS)
+TABLE_SQL = "tb(class, vk, " + ", ".join(COLOURS) + ") AS (VALUES " + ", ".join(
+    "('" + row[0] + "', " + ", ".join("NULL::double" if v is None else f"{v}::double" for v in row[1:]) + ")" for row in stellar.colour_rows()) + ")"
+COLOUR_SQL = TABLE_SQL + """, c AS (SELECT star_id, CASE WHEN star_id % 3 = 0 THEN 'dwarf' ELSE 'giant' END AS class, -5e-1 + (star_id % 801)/1e2 AS vk FROM star_mags),
+    k AS (SELECT *, lead(vk) OVER (PARTITION BY class ORDER BY vk) AS vk1, """ + ", ".join(f"lead({c}) OVER (PARTITION BY class ORDER BY vk) AS {c}1" for c in COLOURS) + """ FROM tb)"""
+
+
+def star_classes(t: Tables):
+    k = F.col("star_id")
+    return t.star_mags.select("star_id", F.when(k % 3 == 0, "dwarf").otherwise("giant").alias("class"), (F.lit(-0.5) + (k % 801) / 100.0).alias("vk"))
+
+
+@query("colour_bracket_join", with_views("star_mags", extra=COLOUR_SQL) + "SELECT star_id, c.class, " + ", ".join(
+    f"{r6(f'CASE WHEN c.vk = k.vk THEN {c} ELSE {c} + (c.vk-k.vk)/(vk1-k.vk)*({c}1-{c}) END')} AS {c}" for c in COLOURS) + " FROM c LEFT JOIN k ON k.class = c.class AND c.vk >= k.vk AND (c.vk < vk1 OR vk1 IS NULL)")
+def colour_bracket_join(t: Tables):
+    """All seven colours of dwarfs and giants from their V−K, interpolated in a table that is a DataFrame; null outside it."""
+    table = t.spark.createDataFrame(stellar.colour_rows(), COLOUR_TABLE)
+    out = bracket_join(star_classes(t), table, "vk", "vk", COLOURS, ["class"])
+    return rounded(out, ["star_id", "class"], {c: between(c, "vk", "vk") for c in COLOURS})
+
+
 @query("reference_tables", with_views("star_mags", extra="c AS (SELECT star_id, 7e-1 + (star_id % 260)/1e2 AS vi FROM star_mags), k AS (SELECT * FROM (VALUES "
     + ", ".join(f"({n}, {v}e0, {vk}e0)" for n, (v, vk) in enumerate(zip(stellar.GIANT_VI, stellar.GIANT_COLOURS["V-K"]))) + ") AS t(n, kvi, kvk))")
     + f"""SELECT star_id, {r6('arg_min(kvi, (abs(vi-kvi), n))')} AS nearest_vi, {r6('arg_min(kvk, (abs(vi-kvi), n))')} AS nearest_vk FROM c, k GROUP BY star_id""")
