@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from skyloom.operators.ordering import with_row_index
-from skyloom.operators.skew import pick_first, pick_last
+from skyloom.operators.skew import join_groups, pick_first, pick_last
+from skyloom.session import stored
 
 # fixed values: order of preference for the primary reference dataset
 APERTURE_ORDER = ["1m0", "2m0", "0m4"]
@@ -26,11 +27,23 @@ def upsert_last_wins(existing: DataFrame, new: DataFrame, keys: list[str], arriv
     return pick_last(existing.unionByName(new), keys, [F.col(arrival)])
 
 
-def update_cells(base: DataFrame, patch: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Base table with the non-null cells of a patch table put over it; of several values for a cell the largest."""
-    renamed = patch.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in columns])
-    joined = base.join(renamed, key, "left")
-    return joined.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns])
+def update_cells(base: DataFrame, patch: DataFrame, key: list[str], columns: list[str], order: list[str] | None = None, set_null: bool = False) -> DataFrame:
+    """Base table with the cells of a patch table put over it.
+
+    Of several patches of a row the last by ``order`` counts, whole: cells of different patches are
+    never mixed (without an order the largest by its columns is the last). A null cell of the patch leaves
+    the old value, or with ``set_null`` takes its place.
+    """
+    last = pick_last(patch, key, [F.col(c) for c in order or columns], columns)
+    renamed = last.select(*key, F.struct(*columns).alias("_new"))
+    joined = join_groups(base, renamed, key, "left")
+    there = F.col("_new").isNotNull()
+
+    def cell(c: str) -> Column:
+        new = F.col(f"_new.{c}")
+        return (F.when(there, new).otherwise(F.col(c)) if set_null else F.coalesce(new, F.col(c))).alias(c)
+
+    return joined.select(*[cell(c) if c in columns else F.col(c) for c in base.columns])
 
 
 def wide_to_pairs(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
@@ -55,16 +68,27 @@ def cascade_delete(tables: dict[str, tuple[DataFrame, str]], deleted: DataFrame,
 
 
 def resolve_names(facts: DataFrame, dimensions: dict[str, DataFrame], strict: bool = True) -> DataFrame:
-    """Names replaced by ids: column ``x`` becomes ``x_id`` from a dimension table (x, x_id).
+    """Names replaced by ids: column ``x`` becomes ``x_id`` from a dimension table (x, x_id), for all dimensions in one pass.
 
-    ``strict`` raises if a name is unknown, as the lookup does; the check reads one row at most.
+    Of several rows of a name the last one, with the highest id, counts. Rows without a name keep a
+    null id. ``strict`` raises if a name is unknown, as the lookup does, and the error names the first
+    unknown name of each dimension; the misses are counted while the resolved rows are written, so the facts
+    are read once. Otherwise unknown names get null ids.
     """
-    out = facts
+    out, misses = facts, []
     for name, dim in dimensions.items():
-        if strict and not facts.select(name).distinct().join(dim, name, "left_anti").isEmpty():
-            raise ValueError(f"unknown {name} in the facts")
-        out = out.join(dim, name, "left").drop(name)
-    return out
+        last = dim.groupBy(name).agg(F.max(f"{name}_id").alias(f"{name}_id"))
+        out = out.join(last, name, "left")
+        missing = F.col(name).isNotNull() & F.col(f"{name}_id").isNull()
+        misses += [F.count_if(missing).alias(f"{name}_n"), F.min(F.when(missing, F.col(name).cast("string"))).alias(f"{name}_first")]
+    if not strict or not dimensions:
+        return out.drop(*dimensions)
+    seen = Observation()
+    resolved = stored(out.observe(seen, *misses).drop(*dimensions))
+    unknown = [f"{name} {seen.get[f'{name}_first']!r} ({seen.get[f'{name}_n']} rows)" for name in dimensions if seen.get[f"{name}_n"]]
+    if unknown:
+        raise ValueError(f"unknown names in the facts: {', '.join(unknown)}")
+    return resolved
 
 
 def preference_rank(value, order: list[str]) -> Column:
@@ -94,11 +118,20 @@ def cascade_status(status: DataFrame, image: str = "image_id") -> DataFrame:
     return status.withColumn("status", F.when(F.min("status").over(upto) == -1, -1).otherwise(F.col("status")))
 
 
-def set_status(status: DataFrame, updates: DataFrame, image: str = "image_id") -> DataFrame:
-    """Status after an update table (image, stage, status), cascaded; unknown images are added with zeros."""
+def set_status(status: DataFrame, updates: DataFrame, image: str = "image_id", refuse_unknown: bool = False, order: list[str] | None = None) -> DataFrame:
+    """Status after an update table (image, stage, status), cascaded.
+
+    Unknown images are added with zeros, or refused: then the error names the first of them. Of several
+    updates of a stage the last by ``order`` counts.
+    """
     unknown = updates.select(image).distinct().join(status.select(image).distinct(), image, "left_anti")
+    if refuse_unknown:
+        first = unknown.agg(F.min(image).alias("first"), F.count("*").alias("n")).first()
+        if first["n"]:
+            raise ValueError(f"status of {first['n']} unknown images, the first is {first['first']!r}")
+        return cascade_status(update_cells(status, updates, [image, "stage"], ["status"], order), image)
     added = unknown.select(image, F.explode(F.array(*[F.lit(s) for s in STAGES])).alias("stage"), F.lit(0).alias("status"))
-    return cascade_status(update_cells(status.unionByName(added), updates, [image, "stage"], ["status"]), image)
+    return cascade_status(update_cells(status.unionByName(added), updates, [image, "stage"], ["status"], order), image)
 
 
 def pending_images(images: DataFrame, status: DataFrame, stage: int, process_missing: bool = True, rerun_all: bool = False) -> DataFrame:

@@ -11,6 +11,8 @@ from skyloom.functions.common import num, quadrature, ratio
 from skyloom.functions.phot import max_expected_error
 from skyloom.operators import stats
 from skyloom.operators.quantiles import aggregate_with_quantiles
+from skyloom.operators.skew import join_groups
+from skyloom.session import stored
 
 # fixed values: quality flag codes of a datapoint
 INVALID, BAD_IMAGE, LOW_SCALE, BAD_WARP, BAD_DIFFERENCE = 1, 2, 4, 8, 16
@@ -204,7 +206,32 @@ def bad_pixels(pixels: DataFrame, keys: list[str], value: str, nsigma: float, ro
     """Pixels outside the clipped mean ± nsigma deviations of their image."""
     limits = stats.sigma_clip(pixels, keys, value, nsigma, rounds).drop("n")
     far = F.abs(F.col(value) - F.col("mean")) > nsigma * F.col("std")
-    return pixels.join(limits, keys).select(*pixels.columns, F.when(far, 1).otherwise(0).alias("bad"))
+    return join_groups(pixels, limits, keys).select(*pixels.columns, F.when(far, 1).otherwise(0).alias("bad"))
+
+
+def level_quadrants(pixels: DataFrame, keys: list[str], value: str, middle_x: float, middle_y: float, margin: float = 0.0, nsigma: float = 3.0, rounds: int = 3) -> DataFrame:
+    """Pixels with the gains of the four readout quadrants levelled, and the ``gain`` that each was multiplied by.
+
+    Levels are clipped means of positive pixels. The right quadrant of each row of quadrants is put
+    to the level of the left one, within ``margin`` rows of neither the bottom nor the top edge; then
+    the upper half is put to the level of the lower one. A quadrant or half without a level keeps its gain.
+    """
+    right, upper = F.col("x") >= middle_x, F.col("y") >= middle_y
+    rows = pixels.withColumn("_right", right.cast("int")).withColumn("_upper", upper.cast("int"))
+    edge = rows.groupBy(*keys).agg(F.min("y").alias("_y0"), F.max("y").alias("_y1"))
+    inner = join_groups(rows, edge, keys).where((F.col("y") >= F.col("_y0") + margin) & (F.col("y") <= F.col("_y1") - margin) & (F.col(value) > 0)) if margin else rows.where(F.col(value) > 0)
+    level = stats.sigma_clip(inner.select(*keys, "_right", "_upper", value), [*keys, "_right", "_upper"], value, nsigma, rounds)
+    pick = lambda side: F.max(F.when(F.col("_right") == side, F.col("mean")))
+    gains = stored(level.groupBy(*keys, "_upper").agg(F.coalesce(ratio(pick(0), pick(1)), num(1.0)).alias("_gain")))
+    first = join_groups(rows, gains, [*keys, "_upper"], "left")
+    first = first.withColumn("gain", F.when(F.col("_right") == 1, F.coalesce("_gain", num(1.0))).otherwise(num(1.0)))
+    put = first.select(*keys, "_upper", (F.col(value) * F.col("gain")).alias("_put")).where("_put > 0")
+    half = stats.sigma_clip(put, [*keys, "_upper"], "_put", nsigma, rounds)
+    side = lambda up: F.max(F.when(F.col("_upper") == up, F.col("mean")))
+    lift = half.groupBy(*keys).agg(F.coalesce(ratio(side(0), side(1)), num(1.0)).alias("_lift"))
+    full = join_groups(first, lift, keys, "left")
+    gain = F.col("gain") * F.when(F.col("_upper") == 1, F.coalesce("_lift", num(1.0))).otherwise(num(1.0))
+    return full.withColumn("gain", gain).select(*[(F.col(c) * F.col("gain")).alias(c) if c == value else F.col(c) for c in pixels.columns], "gain")
 
 
 def overscan_rows(pixels: DataFrame, image: str, row: str, bad: str) -> DataFrame:

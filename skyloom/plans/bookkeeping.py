@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import text
 from skyloom.functions.common import settled
 from skyloom.operators import catalog, stats
+from skyloom.operators.ordering import with_row_index
 from skyloom.plans.base import FIELD_PREFIX, TELESCOPE_SUFFIX, Tables, query, r6, with_views
 
 STATUS = """status AS (SELECT o_orderkey AS image_id, CAST(s AS int) AS stage, CAST(CASE WHEN (o_custkey + s*3) % 17 = 0 THEN -1 WHEN (o_orderkey + s) % 3 = 0 THEN 0 ELSE 1 END AS int) AS status
@@ -45,10 +46,18 @@ def upsert_last_wins(t: Tables):
     return out.select(*KEYS, settled("mag").alias("mag"), F.col("arrival.seq").alias("seq"))
 
 
-@query("update_cell", with_views("images") + f"""SELECT image_id, {r6('CASE WHEN c_custkey IS NOT NULL THEN abs(c_acctbal) ELSE fwhm END')} AS fwhm, nstars FROM images LEFT JOIN customer ON c_custkey = image_id""")
+PATCH_SQL = """pt AS (SELECT c_custkey AS image_id, 1 AS turn, abs(c_acctbal) AS fwhm, CAST(c_nationkey AS int) AS nstars FROM customer
+    UNION ALL SELECT c_custkey, 2, c_acctbal/1e1, NULL FROM customer WHERE c_custkey % 3 = 0), lp AS (SELECT image_id, arg_max(struct_pack(f := fwhm, n := nstars), turn) AS p FROM pt GROUP BY image_id)"""
+
+
+@query("update_cell", with_views("images", extra=PATCH_SQL) + f"""SELECT images.image_id, {r6('CASE WHEN p IS NULL THEN fwhm ELSE p.f END')} AS fwhm, coalesce(CASE WHEN p IS NULL THEN nstars ELSE p.n END, -1) AS nstars FROM images LEFT JOIN lp ON lp.image_id = images.image_id""")
 def update_cell(t: Tables):
-    patch = t.raw("customer").select(F.col("c_custkey").alias("image_id"), F.abs("c_acctbal").alias("fwhm"))
-    return catalog.update_cells(t.images, patch, ["image_id"], ["fwhm"]).select("image_id", settled("fwhm").alias("fwhm"), "nstars")
+    """Two patches, of which the second sets a cell of every third row to null; the last one counts as a whole."""
+    c = t.raw("customer")
+    one = c.select(F.col("c_custkey").alias("image_id"), F.lit(1).alias("turn"), F.abs("c_acctbal").alias("fwhm"), F.col("c_nationkey").cast("int").alias("nstars"))
+    two = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("image_id"), F.lit(2).alias("turn"), (F.col("c_acctbal") / 10.0).alias("fwhm"), F.lit(None).cast("int").alias("nstars"))
+    out = catalog.update_cells(t.images, one.unionByName(two), ["image_id"], ["fwhm", "nstars"], ["turn"], set_null=True)
+    return out.select("image_id", settled("fwhm").alias("fwhm"), F.coalesce("nstars", F.lit(-1)).alias("nstars"))
 
 
 @query("extend_schema", with_views("images") + f"""SELECT image_id, {r6('fwhm')} AS fwhm, {r6('fwhm*0.389e0')} AS fwhm_arcsec, 'old' AS origin FROM images
@@ -88,16 +97,31 @@ def cascade_delete(t: Tables):
     return rows[0].unionByName(rows[1])
 
 
-@query("dim_lookup", """SELECT s_suppkey AS star_id, n_nationkey AS site_id, r_regionkey AS facility_id, s_acctbal AS flux FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+DIMS_SQL = """f AS (SELECT site AS name, row_number() OVER (ORDER BY site) AS id FROM (SELECT DISTINCT site FROM phot)), b AS (SELECT filter AS name, row_number() OVER (ORDER BY filter) AS id FROM (SELECT DISTINCT filter FROM phot)),
+    r AS (SELECT site, filter, row_number() OVER (ORDER BY concat(site, '-', filter)) AS id FROM (SELECT DISTINCT site, filter FROM phot))"""
+
+
+@query("dim_lookup", with_views("phot", extra=DIMS_SQL) + f"""SELECT star_id, seq, image_id, f.id AS facility_id, b.id AS band_id, CAST(CASE seq % 2 WHEN 0 THEN 3 ELSE 2 END AS bigint) AS software_id, image_id AS exposure_id, r.id AS reference_id,
+    CAST(star_id % 4 + 10 AS bigint) AS stamp_id, {r6('mag')} AS mag FROM phot JOIN f ON f.name = phot.site JOIN b ON b.name = phot.filter JOIN r ON r.site = phot.site AND r.filter = phot.filter""")
 def dim_lookup(t: Tables):
-    """Site and facility names back to ids; an unknown name raises."""
-    named = t.raw("supplier").join(t.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    facts = named.select(F.col("s_suppkey").alias("star_id"), F.col("n_name").alias("site"), F.col("r_name").alias("facility"), F.col("s_acctbal").alias("flux"))
+    """Facility, filter, software, exposure, reference image and stamp names back to ids in one pass; an unknown name raises."""
+    named = t.phot.select(
+        "star_id", "seq", "image_id", F.col("site").alias("facility"), F.col("filter").alias("band"), F.concat(F.lit("v"), F.col("seq") % 2).alias("software"),
+        F.concat(F.lit("i"), "image_id").alias("exposure"), F.concat_ws("-", "site", "filter").alias("reference"), F.concat(F.lit("stamp"), F.col("star_id") % 4).alias("stamp"), "mag",
+    )
+
+    def counted(name: str):
+        return with_row_index(named.select(name).distinct(), [name]).select(name, (F.col("idx") + 1).alias(f"{name}_id"))
+
     dims = {
-        "site": t.raw("nation").select(F.col("n_name").alias("site"), F.col("n_nationkey").alias("site_id")),
-        "facility": t.raw("region").select(F.col("r_name").alias("facility"), F.col("r_regionkey").alias("facility_id")),
+        "facility": counted("facility"), "band": counted("band"), "reference": counted("reference"),
+        # the first software row of v0 is superseded
+        "software": t.spark.createDataFrame([("v0", 1), ("v1", 2), ("v0", 3)], "software string, software_id bigint"),
+        "exposure": t.raw("orders").select(F.concat(F.lit("i"), "o_orderkey").alias("exposure"), F.col("o_orderkey").alias("exposure_id")),
+        "stamp": t.spark.createDataFrame([(f"stamp{n}", n + 10) for n in range(4)], "stamp string, stamp_id bigint"),
     }
-    return catalog.resolve_names(facts, dims).select("star_id", "site_id", "facility_id", "flux")
+    out = catalog.resolve_names(named, dims)
+    return out.select("star_id", "seq", "image_id", *[f"{d}_id" for d in ("facility", "band", "software", "exposure", "reference", "stamp")], settled("mag").alias("mag"))
 
 
 @query("facility_key", """SELECT s_suppkey AS star_id, concat('s', s_nationkey, '-doma-1m0-', CASE s_suppkey % 3 WHEN 0 THEN 'fa' WHEN 1 THEN 'fl' ELSE 'kb' END, s_suppkey % 20) AS facility,
@@ -173,7 +197,7 @@ def status_update(t: Tables):
     updates = o.where(cust % 7 == 0).select(image, F.lit(3).alias("stage"), F.lit(-1).alias("status")).unionByName(
         o.where(cust % 7 == 1).select(image, F.lit(2).alias("stage"), F.lit(1).alias("status"))
     )
-    return catalog.set_status(status_table(t), updates).select("image_id", "stage", "status")
+    return catalog.set_status(status_table(t), updates, refuse_unknown=True).select("image_id", "stage", "status")
 
 
 @query("pending_images", "WITH " + STATUS + """, i AS (SELECT o_orderkey AS image_id FROM orders UNION ALL SELECT c_custkey + 1000000000 FROM customer)

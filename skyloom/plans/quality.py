@@ -11,6 +11,7 @@ from skyloom.plans.base import Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import SEXA_SQL, rounded, sexagesimal_texts
 from skyloom.plans.matching import FULL_STAMPS
 from skyloom.plans.statistics import IMAGE_RES_SQL, NIGHT_SQL, night
+from skyloom.session import stored
 
 
 @query("valid_measurement", with_views("phot") + f"""SELECT star_id, filter, count(*) AS n_rows, count(CASE WHEN mag > 0 AND mag_err > 0 AND qc = 0 THEN mag END) AS n_valid, {r6('avg(CASE WHEN mag > 0 AND mag_err > 0 AND qc = 0 THEN mag END)')} AS mean_mag
@@ -186,18 +187,33 @@ def pixel_bitmask(t: Tables):
     return d.select("image_id", "x", "y", "code", saturated.alias("saturated"), low.alias("low"), last.alias("last"))
 
 
-BAD_SQL = """c0 AS (SELECT image_id, avg(v) AS mu, stddev_pop(v) AS sd FROM pixels GROUP BY image_id),
-    c1 AS (SELECT image_id, avg(v) AS mu, stddev_pop(v) AS sd FROM pixels JOIN c0 USING (image_id) WHERE abs(v-mu) <= 15e-1*sd GROUP BY image_id),
-    c2 AS (SELECT image_id, avg(v) AS mu, stddev_pop(v) AS sd FROM pixels JOIN c1 USING (image_id) WHERE abs(v-mu) <= 15e-1*sd GROUP BY image_id),
-    b AS (SELECT image_id, x, y, CAST(abs(v-mu) > 15e-1*sd AS int) AS bad FROM pixels JOIN c2 USING (image_id)),
+def clip_sql(name: str, rows: str, keys: str, value: str, nsigma: str, rounds: int) -> str:
+    """Clipped means and deviations as a chain of CTEs; the last one is ``name``."""
+    parts = [f"{name}_0 AS (SELECT {keys}, avg({value}) AS mu, stddev_pop({value}) AS sd FROM {rows} GROUP BY {keys})"]
+    parts += [f"{name}_{i} AS (SELECT {keys}, avg({value}) AS mu, stddev_pop({value}) AS sd FROM {rows} JOIN {name}_{i-1} USING ({keys}) WHERE abs({value}-mu) <= {nsigma}*sd GROUP BY {keys})" for i in range(1, rounds + 1)]
+    return ", ".join([*parts, f"{name} AS (SELECT * FROM {name}_{rounds})"])
+
+
+# raw values as four amplifiers with gains of their own read them
+RAW_SQL = """raw AS (SELECT image_id, x, y, CAST(x >= 4 AS int) AS rt, CAST(y >= 4 AS int) AS up, (v + 1e3)*CASE WHEN x >= 4 AND y >= 4 THEN 8e-1 WHEN x >= 4 THEN 13e-1 WHEN y >= 4 THEN 11e-1 ELSE 1e0 END AS v FROM pixels)"""
+BAD_SQL = RAW_SQL + ", rp AS (SELECT * FROM raw WHERE v > 0), " + clip_sql("q", "rp", "image_id, rt, up", "v", "3e0", 3) + """,
+    gn AS (SELECT image_id, up, max(mu) FILTER (WHERE rt = 0)/max(mu) FILTER (WHERE rt = 1) AS g FROM q GROUP BY image_id, up),
+    l1 AS (SELECT image_id, x, y, up, v*CASE WHEN rt = 1 THEN g ELSE 1e0 END AS v, CASE WHEN rt = 1 THEN g ELSE 1e0 END AS g FROM raw JOIN gn USING (image_id, up)), """ + clip_sql("h", "l1", "image_id, up", "v", "3e0", 3) + """,
+    lf AS (SELECT image_id, max(mu) FILTER (WHERE up = 0)/max(mu) FILTER (WHERE up = 1) AS f FROM h GROUP BY image_id),
+    lv AS (SELECT image_id, x, y, v*CASE WHEN up = 1 THEN f ELSE 1e0 END AS v, g*CASE WHEN up = 1 THEN f ELSE 1e0 END AS gain FROM l1 JOIN lf USING (image_id)), """ + clip_sql("c", "lv", "image_id", "v", "15e-1", 2) + """,
+    b AS (SELECT image_id, x, y, gain, CAST(abs(v-mu) > 15e-1*sd AS int) AS bad FROM lv JOIN c USING (image_id)),
     o AS (SELECT image_id, y FROM b GROUP BY image_id, y HAVING quantile_cont(bad, 0.5) = 1)"""
 
 
-@query("bad_pixel_threshold", with_views("pixels", extra=BAD_SQL) + "SELECT image_id, x, y, bad, CAST(o.y IS NOT NULL AS int) AS overscan FROM b LEFT JOIN o USING (image_id, y)")
+@query("bad_pixel_threshold", with_views("pixels", extra=BAD_SQL) + f"SELECT image_id, x, y, {r6('gain')} AS gain, bad, CAST(o.y IS NOT NULL AS int) AS overscan FROM b LEFT JOIN o USING (image_id, y)")
 def bad_pixel_threshold(t: Tables):
-    bad = quality.bad_pixels(t.pixels, ["image_id"], "v", 1.5, 2)
+    """Bad pixels of images whose four amplifiers differ in gain, after the quadrants have been levelled."""
+    right, upper = F.col("x") >= 4, F.col("y") >= 4
+    gain = F.when(right & upper, num(0.8)).when(right, num(1.3)).when(upper, num(1.1)).otherwise(num(1.0))
+    raw = t.pixels.select("image_id", "x", "y", ((F.col("v") + 1000.0) * gain).alias("v"))
+    bad = stored(quality.bad_pixels(quality.level_quadrants(raw, ["image_id"], "v", 4, 4), ["image_id"], "v", 1.5, 2))
     rows = quality.overscan_rows(bad, "image_id", "y", "bad").withColumn("overscan", F.lit(1))
-    return bad.join(rows, ["image_id", "y"], "left").select("image_id", "x", "y", "bad", F.coalesce("overscan", F.lit(0)).alias("overscan"))
+    return bad.join(rows, ["image_id", "y"], "left").select("image_id", "x", "y", settled("gain").alias("gain"), "bad", F.coalesce("overscan", F.lit(0)).alias("overscan"))
 
 
 @query("matrix_columns", "SELECT vec_id AS image_id, list_max(embedding) > 25e-2 AS warped, CAST(len(list_filter(embedding, lambda c: c > 25e-2)) AS int) AS n_large, " + r6("CAST(embedding[1] AS double)") + " AS m00 FROM embeddings")

@@ -1,5 +1,6 @@
 """Quality rules and bookkeeping, one small frame per rule."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,11 +97,65 @@ def test_preferences_and_ties(spark):
     assert got == {"f": ("c2", 1), "g": ("c4", 2)}
 
 
-def test_unknown_name_raises(spark):
-    facts = spark.createDataFrame([("lsc",), ("xyz",)], "site string")
-    dim = spark.createDataFrame([("lsc", 1)], "site string, site_id int")
-    with pytest.raises(ValueError, match="unknown site"):
-        catalog.resolve_names(facts, {"site": dim})
+def test_unknown_name_raises_and_is_named(spark):
+    facts = spark.createDataFrame([("lsc", "gp"), ("xyz", "gp"), ("abc", None), (None, "gp")], "site string, band string")
+    site = spark.createDataFrame([("lsc", 1), ("lsc", 4)], "site string, site_id int")
+    band = spark.createDataFrame([("gp", 7)], "band string, band_id int")
+    with pytest.raises(ValueError, match=r"site 'abc' \(2 rows\)") as error:
+        catalog.resolve_names(facts, {"site": site, "band": band})
+    assert "band" not in str(error.value)
+    # the last row of a name counts; without names there is nothing to miss
+    got = catalog.resolve_names(facts.where("site = 'lsc' or site is null"), {"site": site, "band": band}).collect()
+    assert sorted((r["site_id"] or 0, r["band_id"]) for r in got) == [(0, 7), (4, 7)]
+    loose = catalog.resolve_names(facts, {"site": site, "band": band}, strict=False).collect()
+    assert sorted((r["site_id"] or 0, r["band_id"] or 0) for r in loose) == [(0, 0), (0, 7), (0, 7), (4, 7)]
+
+
+def test_names_are_resolved_in_one_scan(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 3).cast("string").alias("site"), (F.col("id") % 5).cast("string").alias("band")).write.parquet(str(tmp_path / "facts"))
+    dims = {n: spark.range(m).select(F.col("id").cast("string").alias(n), F.col("id").alias(f"{n}_id")) for n, m in (("site", 3), ("band", 5))}
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    loose = catalog.resolve_names(facts, dims, strict=False)
+    assert loose._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert not any("/facts/" in f for f in catalog.resolve_names(facts, dims).inputFiles())
+
+
+def test_patches_count_whole_and_may_set_null(spark):
+    base = spark.createDataFrame([(1, 1, 1), (2, 2, 2), (None, 3, 3), (1, 4, 4)], "k int, v int, w int")
+    patch = spark.createDataFrame([(1, 1, 9, 5), (1, 2, 3, None), (None, 1, 7, 7)], "k int, turn int, v int, w int")
+    key = lambda r: [x if x is not None else -1 for x in r]
+    kept = catalog.update_cells(base, patch, ["k"], ["v", "w"], ["turn"])
+    assert sorted(map(tuple, kept.collect()), key=key) == [(None, 7, 7), (1, 3, 1), (1, 3, 4), (2, 2, 2)]
+    nulled = catalog.update_cells(base, patch, ["k"], ["v", "w"], ["turn"], set_null=True)
+    assert sorted(map(tuple, nulled.collect()), key=key) == [(None, 7, 7), (1, 3, None), (1, 3, None), (2, 2, 2)]
+
+
+def test_status_of_unknown_images_is_refused(spark):
+    status = spark.createDataFrame([("a", s, 0) for s in range(8)], "image_id string, stage int, status int")
+    updates = spark.createDataFrame([("a", 2, 1), ("zz", 1, 1), ("b", 1, 1)], "image_id string, stage int, status int")
+    with pytest.raises(ValueError, match="2 unknown images, the first is 'b'"):
+        catalog.set_status(status, updates, refuse_unknown=True)
+    got = {(r["image_id"], r["stage"]): r["status"] for r in catalog.set_status(status, updates.where("image_id = 'a'"), refuse_unknown=True).collect()}
+    assert got["a", 2] == 1 and len(got) == 8 and catalog.set_status(status, updates).count() == 24
+
+
+@pytest.mark.parametrize("lost", [None, 3])
+def test_quadrants_with_known_gains_are_levelled(spark, lost):
+    rng = np.random.default_rng(3)
+    gains = {(0, 0): 1.0, (1, 0): 1.4, (1, 1): 0.7, (0, 1): 1.2}
+    rows = []
+    for image, scale in (("a", 1.0), (None, 3.0)):
+        for x in range(20):
+            for y in range(20):
+                right, upper = int(x >= 10), int(y >= 10)
+                v = scale * 1000 * gains[right, upper] * (1 + rng.normal(0, 0.01)) + (90_000 if (x, y) == (3, 3) else 0)
+                rows.append((image, x, y, -1.0 if lost and right and upper else float(v)))
+    out = quality.level_quadrants(spark.createDataFrame(rows, "image string, x int, y int, v double"), ["image"], "v", 10, 10, margin=1).collect()
+    assert len(out) == len(rows)
+    level = {(i, r, u): np.median([p["v"] for p in out if p["image"] == i and (p["x"] >= 10) == r and (p["y"] >= 10) == u]) for i in ("a", None) for r in (0, 1) for u in (0, 1)}
+    for (i, r, u), v in level.items():
+        if not (lost and r and u):
+            assert v == pytest.approx(1000 if i else 3000, rel=0.01), (i, r, u)
 
 
 def test_cascade_delete(spark):
