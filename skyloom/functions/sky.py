@@ -61,12 +61,6 @@ def ra_cell(ra, cells: Column) -> Column:
     return F.pmod(F.floor(as_column(ra) / (num(360.0) / cells)), cells)
 
 
-def tangent_offsets_deg(ra, dec, ra0, dec0) -> tuple[Column, Column]:
-    """RA offset times cos(dec0), and Dec offset, both in degrees."""
-    ra, dec, ra0, dec0 = (as_column(c) for c in (ra, dec, ra0, dec0))
-    return (ra - ra0) * F.cos(F.radians(dec0)), dec - dec0
-
-
 @dataclass(frozen=True)
 class Cover:
     """Declination range and right-ascension parts (low, high within 0 to 360) that hold a region of the sky.

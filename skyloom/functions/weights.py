@@ -33,18 +33,6 @@ def weighted_rms(value, err, around: float = 17.0) -> Column:
     return F.sqrt(F.greatest(ratio(F.sum(w * d * d), F.sum(w)) - mean * mean, num(0.0)))
 
 
-def tls_slope(x, y) -> Column:
-    """Slope of the total-least-squares line (equal errors in x and y)."""
-    x, y = as_column(x), as_column(y)
-    sxx, syy, sxy = F.var_pop(x), F.var_pop(y), F.covar_pop(x, y)
-    d = syy - sxx
-    return F.when(F.abs(sxy) > num(1e-300), ratio(d + F.sqrt(d * d + 4 * sxy * sxy), 2 * sxy))
-
-
-def tls_intercept(x, y) -> Column:
-    return F.avg(as_column(y)) - tls_slope(x, y) * F.avg(as_column(x))
-
-
 def centroid(position, weight) -> Column:
     weight = as_column(weight)
     return ratio(F.sum(as_column(position) * weight), F.sum(weight))

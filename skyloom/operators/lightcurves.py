@@ -67,11 +67,6 @@ def extract_many(phot: DataFrame, stars: DataFrame, targets: DataFrame, radius:
     return phot.where(usable(max_error, min_scale)).join(nearest, "star_id")
 
 
-def field_lightcurves(phot: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the wanted field stars; the quadrant column prunes partitions where it is stored."""
-    return phot.join(ids.select("star_id").distinct(), "star_id", "left_semi").where((F.col("mag") > 0) & (F.col("mag_err") > 0))
-
-
 def align_on_trios(trios: DataFrame, phot: DataFrame, keys: list[str]) -> DataFrame:
     """Measurements on the list of trio images with fluxes; null where an image is missing."""
     flux, err = p.mag_to_flux("mag", "mag_err", p.MODEL_ZP)

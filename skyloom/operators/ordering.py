@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from skyloom.operators.skew import join_groups
-from skyloom.session import cut_lineage
+from skyloom.session import stored
 
 # monotonically_increasing_id keeps the row number within the partition in the low 33 bits.
 _ROW_BITS = (1 << 33) - 1
@@ -14,18 +14,20 @@ _ROW_BITS = (1 << 33) - 1
 def with_row_index(df: DataFrame, order: list, index: str = "idx") -> DataFrame:
     """Consecutive 0-based numbers in the given order.
 
-    The table is range-partitioned and sorted, then written as a checkpoint so that partition
-    numbers are stable; the start of each partition is a running sum over one row per partition.
+    The table is range-partitioned, sorted and written once, as columns, together with the number of
+    each row's partition and its place there, so the numbers cannot change afterwards and later steps
+    read only the columns they need. The start of each partition is a running sum over one row per
+    partition.
     """
-    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    tagged = placed.select(
+    numbered = df.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(_ROW_BITS).alias("_row")
     )
-    sizes = placed.groupBy(F.spark_partition_id().alias("_part")).agg(F.count("*").alias("_n"))
+    placed = stored(numbered)
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     # one row per partition of the table: bounded by the partition count, not by the data
-    return tagged.join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_start") + F.col("_row")).alias(index))
+    return placed.join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_start") + F.col("_row")).alias(index))
 
 
 def with_group_index(df: DataFrame, keys: list[str], order: list, index: str = "idx") -> DataFrame:

@@ -88,7 +88,7 @@ def nearest_isochrone(targets: DataFrame, rows: DataFrame, target_id: str, toler
         rows = rows.where(F.col("age") > min_age)
     numbered = stored(rows.withColumn("row_id", F.xxhash64(*rows.columns)).withColumn("teff", F.pow(num(10.0), "log_teff")))
     known = targets.where(~F.isnan("gr") & ~F.isnan("ri"))
-    colours = stored(known.select("gr", "ri").where("gr is not null and ri is not null").distinct().withColumn("colour_id", F.xxhash64("gr", "ri")))
+    colours = stored(known.select("gr", "ri").where("gr is not null and ri is not null").distinct().withColumn("colour_id", F.struct("gr", "ri")))
     todo, found, radius = colours, None, 4 * tolerance
     while not todo.isEmpty():
         best = nearest_within(todo, numbered, radius, "colour_id", "row_id", plane, strict=False).select(

@@ -91,13 +91,6 @@ def median_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return join_groups(med, mad, keys)
 
 
-def within_mad(df: DataFrame, keys: list[str], value: str, factor: float = 3.0) -> DataFrame:
-    """Rows within ``factor`` deviations of the group's median."""
-    limits = median_mad(df, keys, value)
-    near = F.col(value).between(F.col("median") - factor * F.col("mad"), F.col("median") + factor * F.col("mad"))
-    return df.join(limits, keys).where(near).select(*df.columns)
-
-
 def centre_and_spread(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Median, half inter-quartile range, mean and half range."""
     out = aggregate_with_quantiles(
@@ -145,12 +138,30 @@ def background_peak(df: DataFrame, keys: list[str], value: str, bins: int = 100)
     )
 
 
+def remove_all_bad(df: DataFrame, time: str = "hjd", mag: str = "mag", err: str = "mag_err") -> DataFrame:
+    """Rows whose time, magnitude and error are numbers and whose error is positive."""
+    good = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < num(float("inf")))
+    return df.where(good(time) & good(mag) & good(err) & (F.col(err) > 0))
+
+
+def normalized(df: DataFrame, keys: list[str], mag: str = "mag", err: str = "mag_err") -> DataFrame:
+    """Light curves put to the range 0 to 1, errors with them; a constant one becomes 0 with null errors."""
+    span = df.groupBy(*keys).agg(F.min(mag).alias("_lo"), (F.max(mag) - F.min(mag)).alias("_span"))
+    put = join_groups(df, span, keys)
+    cells = {mag: F.coalesce(ratio(F.col(mag) - F.col("_lo"), F.col("_span")), F.col(mag) * 0.0), err: ratio(F.col(err), F.col("_span"))}
+    return put.select(*[cells[c].alias(c) if c in cells else F.col(c) for c in df.columns])
+
+
 def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str = "mag", err: str = "mag_err") -> DataFrame:
     """Variability features per light curve from their published definitions.
 
-    Order-dependent features compare a row with the next two in the whole time-ordered table, found
-    in chunks of row numbers: no light curve has to fit into one task.
-    Sample entropy needs all pairs of a light curve and is left out.
+    Order-dependent features compare a row with the next three in the whole time-ordered table, found
+    in chunks of row numbers: no light curve has to fit into one task. ``con`` and ``con2`` count the
+    stretches of three or more points in a row that are brighter than the mean by three and two
+    deviations; the buffer ranges are the shares of points within a fifth of the amplitude of the median
+    and of those brighter than that; the median distance is that of successive points in time and
+    magnitude. A null key is a light curve like any other. Sample entropy needs all pairs of a light
+    curve and is left out.
     """
     rows = with_row_index(df.select(*keys, time, mag, err), [*keys, time, mag])
     level = cut_lineage(
@@ -162,15 +173,16 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
         ).withColumn("median_mag", F.col("_q")[0]).drop("_q")
     )
     # a following row counts only if it belongs to the same light curve
-    led = with_following(rows, [*keys, mag, err, time], 2)
-    same1, same2 = F.lit(True), F.lit(True)
-    for k in keys:
-        same1, same2 = same1 & (F.col(k) == F.col(k + "1")), same2 & (F.col(k) == F.col(k + "2"))
+    led = with_following(rows, [*keys, mag, err, time], 3)
+    same = {n: F.col(f"{mag}{n}").isNotNull() for n in (1, 2, 3)}
+    for n in same:
+        for k in keys:
+            same[n] = same[n] & F.col(k).eqNullSafe(F.col(f"{k}{n}"))
     ordered = led.select(
-        *keys, time, mag, err, "idx", F.when(same1, F.col(mag + "1")).alias("_m1"), F.when(same1, F.col(err + "1")).alias("_e1"),
-        F.when(same1, F.col(time + "1")).alias("_t1"), F.when(same2, F.col(mag + "2")).alias("_m2"),
+        *keys, time, mag, err, "idx", F.when(same[1], F.col(mag + "1")).alias("_m1"), F.when(same[1], F.col(err + "1")).alias("_e1"),
+        F.when(same[1], F.col(time + "1")).alias("_t1"), F.when(same[2], F.col(mag + "2")).alias("_m2"), F.when(same[3], F.col(mag + "3")).alias("_m3"),
     )
-    full = ordered.join(level, keys).withColumn("idx", F.col("idx") - F.col("_i0"))
+    full = join_groups(ordered, level, keys).withColumn("idx", F.col("idx") - F.col("_i0"))
     m, e, mean = F.col(mag), F.col(err), F.col("mean_mag")
     z = ratio(m - mean, F.col("rms"))
     bias = F.sqrt(ratio(F.col("n"), F.col("n") - 1.0))
@@ -181,7 +193,14 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
     def count_if(c: Column) -> Column:
         return F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
 
+    def stretches(sigmas: float) -> Column:
+        # a stretch begins at the first row of a light curve or behind a fainter one
+        bright = [F.coalesce(c < mean - sigmas * F.col("rms"), F.lit(False)) for c in (m, F.col("_m1"), F.col("_m2"), F.col("_m3"))]
+        at_once = (F.col("idx") == 0) & bright[0] & bright[1] & bright[2]
+        return count_if(at_once) + count_if(~bright[0] & bright[1] & bright[2] & bright[3])
+
     n = F.max("n")
+    buffer = (F.col("_max") - F.col("_min")) / 10
     feats = full.groupBy(*keys).agg(
         n.alias("n"), F.max("mean_mag").alias("mean_mag"), F.max("rms").alias("rms"), F.max("median_mag").alias("median_mag"),
         ((F.max("_max") - F.max("_min")) / 2).alias("amplitude"),
@@ -208,18 +227,26 @@ def star_features(df: DataFrame, keys: list[str], time: str = "hjd", mag: str =
         ((F.max(F.when(m == F.col("_min"), F.col("idx"))) + 1) / n).alias("last_loc_min"),
         (count_if(m == F.col("_max")) > 1).alias("max_duplicate"), (count_if(m == F.col("_min")) > 1).alias("min_duplicate"),
         count_if((F.col("_m1") > m) & (F.col("_m1") > F.col("_m2"))).alias("peaks"),
+        stretches(3.0).alias("con"), stretches(2.0).alias("con2"),
+        (count_if(F.abs(m - F.col("median_mag")) < buffer) / n).alias("median_buffer_range"),
+        (count_if(m < F.col("median_mag") - buffer) / n).alias("median_buffer_range2"),
     )
     repeats = rows.groupBy(*keys, mag).agg(F.count("*").alias("_c")).groupBy(*keys).agg(
         (F.max("_c") > 1).alias("has_duplicate"),
         (F.sum(F.when(F.col("_c") > 1, F.col("_c")).otherwise(0)) / F.sum("_c")).alias("ratio_recurring"),
         (F.log(F.sum("_c")) - F.sum(F.col("_c") * F.log("_c")) / F.sum("_c")).alias("shannon_entropy"),
     )
-    side = rows.join(level.select(*keys, "mean_mag"), keys).withColumn(
+    gap = F.col("_t1") - F.col(time)
+    apart = ordered.where(F.col("_m1").isNotNull()).select(*keys, F.sqrt(gap * gap + step * step).alias("_apart"))
+    distance = grouped_quantiles(apart, keys, "_apart", [0.5], "_q").select(*keys, F.col("_q")[0].alias("median_distance"))
+    side = join_groups(rows, level.select(*keys, "mean_mag"), keys).withColumn(
         "_side", F.when(m > mean, 1).when(m < mean, -1).otherwise(0)
     )
     strikes = _longest_runs(side, keys, "_side")
     spread = median_mad(rows, keys, mag).select(*keys, F.col("mad").alias("median_abs_dev"))
-    out = feats.join(repeats, keys).join(strikes, keys).join(spread, keys)
+    out = feats
+    for part, how in ((repeats, "inner"), (strikes, "inner"), (spread, "inner"), (distance, "left")):
+        out = join_groups(out, part, keys, how)
     return out.withColumn("stetson_l", F.col("stetson_j") * F.col("stetson_k") / 0.798)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyloom.functions.common import num, settled
-from skyloom.operators import lightcurves as lc, skew
+from skyloom.operators import crossmatch, lightcurves as lc
 from skyloom.operators.match import pairs_within
 from skyloom.plans.base import FIELD_PREFIX, TELESCOPE_SUFFIX, Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import rounded
@@ -186,14 +186,20 @@ def sink_append(t: Tables):
     return rounded(table.read("images"), ["image_id", "nstars"], {"fwhm": "fwhm"})
 
 
-@query("sink_search_results", with_views("targets", "stars", extra=f"p AS (SELECT l.target_id, r.star_id, {sep_sql('l.ra', 'l.dec', 'r.ra', 'r.dec')} AS sep FROM targets l, stars r WHERE abs(l.dec-r.dec) <= {TWO})")
-    + f"SELECT target_id, star_id, {r6('sep*3600')} AS sep_arcsec FROM p WHERE sep <= {TWO}")
+SEARCH_SQL = f"""p AS (SELECT l.target_id, r.star_id, r.ra, r.dec, l.ra AS target_ra, {sep_sql('l.ra', 'l.dec', 'r.ra', 'r.dec')} AS sep FROM targets l, stars r WHERE abs(l.dec-r.dec) <= {TWO}),
+    b AS (SELECT min(ra) + (max(ra)-min(ra))/2 AS mr, min(dec) + (max(dec)-min(dec))/2 AS md FROM stars)"""
+
+
+@query("sink_search_results", with_views("targets", "stars", extra=SEARCH_SQL) + f"""SELECT target_id, star_id AS field_id, {r6('target_ra')} AS target_ra, {r6('ra')} AS ra, {r6('dec')} AS dec,
+    CASE WHEN ra <= mr AND dec >= md THEN 4 WHEN ra >= mr AND dec >= md THEN 3 WHEN ra >= mr THEN 2 ELSE 1 END AS quadrant, {r6('sep*3600')} AS sep_arcsec, {r6('2e0')} AS radius_arcsec FROM p, b WHERE sep <= {TWO}""")
 def sink_search_results(t: Tables):
-    """JSON lines with the stars of each target, read back and unfolded."""
-    hits = pairs_within(t.stars, t.targets, 2 * ARCSEC).select(F.col("r.target_id").alias("target_id"), F.col("l.star_id").alias("star_id"), "sep")
-    path = textfiles.write_search_results(hits, t.targets, "target_id", scratch_path(t.spark, "search"))
-    read = t.spark.read.schema("target_id bigint, chunk bigint, target_data struct<ra:double,dec:double>, stars array<struct<sep:double,star_id:bigint>>").json(path)
-    return read.select("target_id", F.inline("stars")).select("target_id", "star_id", settled(F.col("sep") * 3600).alias("sep_arcsec"))
+    """JSON lines with the stars of each target, read back."""
+    quadrants = crossmatch.assign_quadrants(t.stars.select(F.col("star_id").alias("field_id"), "ra", "dec")).select(F.col("field_id").alias("star_id"), "ra", "dec", "quadrant")
+    hits = pairs_within(quadrants, t.targets, 2 * ARCSEC).select(F.col("r.target_id").alias("target_id"), "l.star_id", "l.ra", "l.dec", "l.quadrant", "sep")
+    path = textfiles.write_search_results(hits, t.targets, "target_id", 2 * ARCSEC, scratch_path(t.spark, "search"))
+    read = t.spark.read.schema(f"target_id bigint, target_data struct<ra:double,dec:double>, {textfiles.SEARCH_RESULT}").json(path)
+    return rounded(read, ["target_id", "field_id", "quadrant"], {
+        "target_ra": "target_data.ra", "ra": "ra", "dec": "dec", "sep_arcsec": F.col("separation_deg") * 3600, "radius_arcsec": F.col("search_radius_deg") * 3600})
 
 
 @query("sink_star_tables", with_views("star_mags", "stars") + f"SELECT star_id, {r6('ra')} AS ra, {r6('dec')} AS dec, {r6('g')} AS g, {r6('i')} AS i, CAST(g > 0 AND g_err <= 2e-2 AND i > 0 AND i_err <= 1e-2 AS int) AS selected FROM stars JOIN star_mags USING (star_id)")

@@ -260,31 +260,43 @@ def catalogue_sql(t: Tables):
     )
 
 
-FEATURE_SQL = """o AS (SELECT *, row_number() OVER (PARTITION BY star_id, filter ORDER BY hjd, mag) - 1 AS idx,
-    lead(mag, 1) OVER (PARTITION BY star_id, filter ORDER BY hjd, mag) AS m1, lead(mag, 2) OVER (PARTITION BY star_id, filter ORDER BY hjd, mag) AS m2 FROM valid),
-    l AS (SELECT star_id, filter, count(*) AS n, avg(mag) AS mu, stddev_samp(mag) AS sd, min(mag) AS lo, max(mag) AS hi, quantile_cont(mag, 0.5) AS med FROM valid GROUP BY star_id, filter),
+FEATURE_SQL = """o AS (SELECT *, row_number() OVER w - 1 AS idx, lead(mag, 1) OVER w AS m1, lead(mag, 2) OVER w AS m2, lead(mag, 3) OVER w AS m3, lead(mag_err, 1) OVER w AS e1, lead(hjd, 1) OVER w AS t1
+      FROM valid WINDOW w AS (PARTITION BY star_id, filter ORDER BY hjd, mag)),
+    l AS (SELECT star_id, filter, count(*) AS n, avg(mag) AS mu, stddev_samp(mag) AS sd, min(mag) AS lo, max(mag) AS hi, quantile_cont(mag, 0.5) AS med, sum(mag/(mag_err*mag_err))/sum(1/(mag_err*mag_err)) AS wm FROM valid GROUP BY star_id, filter),
     d AS (SELECT star_id, filter, quantile_cont(abs(mag-med), 0.5) AS mad FROM valid JOIN l USING (star_id, filter) GROUP BY star_id, filter),
-    sd AS (SELECT *, CASE WHEN mag > mu THEN 1 WHEN mag < mu THEN -1 ELSE 0 END AS side FROM o JOIN l USING (star_id, filter)),
+    sd AS (SELECT *, CASE WHEN mag > mu THEN 1 WHEN mag < mu THEN -1 ELSE 0 END AS side, (mag-mu)/nullif(sd, 0) AS z, sqrt(n/nullif(n - 1e0, 0))*(mag-wm)/mag_err AS d0, sqrt(n/nullif(n - 1e0, 0))*(m1-wm)/e1 AS d1,
+      coalesce(mag < mu - 3*sd, FALSE) AS a0, coalesce(m1 < mu - 3*sd, FALSE) AS a1, coalesce(m2 < mu - 3*sd, FALSE) AS a2, coalesce(m3 < mu - 3*sd, FALSE) AS a3,
+      coalesce(mag < mu - 2*sd, FALSE) AS b0, coalesce(m1 < mu - 2*sd, FALSE) AS b1, coalesce(m2 < mu - 2*sd, FALSE) AS b2, coalesce(m3 < mu - 2*sd, FALSE) AS b3 FROM o JOIN l USING (star_id, filter)),
     rn AS (SELECT star_id, filter, side, idx - row_number() OVER (PARTITION BY star_id, filter, side ORDER BY idx) AS g FROM sd),
     rl AS (SELECT star_id, filter, side, count(*) AS len FROM rn GROUP BY star_id, filter, side, g),
-    st AS (SELECT star_id, filter, coalesce(max(CASE WHEN side = 1 THEN len END), 0) AS up, coalesce(max(CASE WHEN side = -1 THEN len END), 0) AS down FROM rl GROUP BY star_id, filter)"""
-
-
-@query("star_features", with_views("valid", extra=FEATURE_SQL) + f"""SELECT star_id, filter, any_value(n) AS n, {r6('any_value(mu)')} AS mean_mag, {r6('any_value(sd)')} AS rms,
-    {r6('any_value(med)')} AS median_mag, {r6('any_value(mad)')} AS median_abs_dev, {r6('any_value(hi-lo)/2')} AS amplitude,
-    {r6('avg(pow((mag-mu)/sd, 3))')} AS skewness, {r6('avg(pow((mag-mu)/sd, 4)) - 3')} AS kurtosis,
-    {r6('sum((m1-mag)*(m1-mag))/(any_value(n)-1)/any_value(sd*sd)')} AS von_neumann, count(*) FILTER (WHERE mag > mu + sd) AS above1,
-    count(*) FILTER (WHERE mag < mu - sd) AS below1, {r6('sum(abs(m1-mag))')} AS abs_sum_changes, {r6('avg(m1-mag)')} AS mean_change,
-    {r6('avg((m2-2*m1+mag)/2)')} AS mean_second_derivative, {r6('avg(m2*m1*mag)')} AS c3,
-    {r6('sum((mag-mu)*(m1-mu))/(any_value(n)-1)/any_value(sd*sd)')} AS auto_corr,
-    any_value(up) AS longest_strike_above, any_value(down) AS longest_strike_below,
-    count(*) FILTER (WHERE m1 > mag AND m1 > m2) AS peaks
-    FROM sd JOIN d USING (star_id, filter) JOIN st USING (star_id, filter) GROUP BY star_id, filter""")
+    st AS (SELECT star_id, filter, coalesce(max(CASE WHEN side = 1 THEN len END), 0) AS up, coalesce(max(CASE WHEN side = -1 THEN len END), 0) AS down FROM rl GROUP BY star_id, filter),
+    vc AS (SELECT star_id, filter, mag, count(*) AS c FROM valid GROUP BY star_id, filter, mag),
+    rp AS (SELECT star_id, filter, max(c) > 1 AS dup, sum(CASE WHEN c > 1 THEN c ELSE 0 END)/sum(c) AS rec, ln(sum(c)) - sum(c*ln(c))/sum(c) AS ent FROM vc GROUP BY star_id, filter)"""
+# column, SQL over the joined tables (grouped by star and filter), whether it is rounded
+FEATURES = [
+    ("n", "any_value(n)", 0), ("mean_mag", "any_value(mu)", 1), ("rms", "any_value(sd)", 1), ("median_mag", "any_value(med)", 1), ("median_abs_dev", "any_value(mad)", 1), ("amplitude", "any_value(hi-lo)/2", 1),
+    ("std_over_mean", "any_value(sd/mu)", 1), ("skewness", "avg(z*z*z)", 1), ("kurtosis", "avg(z*z*z*z) - 3", 1), ("von_neumann", "sum((m1-mag)*(m1-mag))/nullif(any_value(n)-1, 0)/nullif(any_value(sd*sd), 0)", 1),
+    ("stetson_j", "sum(sign(d0*d1)*sqrt(abs(d0*d1)))/nullif(any_value(n)-1, 0)", 1), ("stetson_k", "avg(abs(d0))/nullif(sqrt(avg(d0*d0)), 0)", 1),
+    ("stetson_l", "sum(sign(d0*d1)*sqrt(abs(d0*d1)))/nullif(any_value(n)-1, 0)*avg(abs(d0))/nullif(sqrt(avg(d0*d0)), 0)/0.798e0", 1),
+    ("above1", "count(*) FILTER (WHERE mag > mu + sd)", 0), ("above3", "count(*) FILTER (WHERE mag > mu + 3*sd)", 0), ("above5", "count(*) FILTER (WHERE mag > mu + 5*sd)", 0),
+    ("below1", "count(*) FILTER (WHERE mag < mu - sd)", 0), ("below3", "count(*) FILTER (WHERE mag < mu - 3*sd)", 0), ("below5", "count(*) FILTER (WHERE mag < mu - 5*sd)", 0),
+    ("count_above", "count(*) FILTER (WHERE mag > mu)", 0), ("count_below", "count(*) FILTER (WHERE mag < mu)", 0), ("root_mean_squared", "sqrt(avg(mag*mag))", 1), ("abs_energy", "sum(mag*mag)", 4), ("sum_values", "sum(mag)", 4),
+    ("abs_sum_changes", "sum(abs(m1-mag))", 1), ("mean_change", "avg(m1-mag)", 1), ("mean_abs_change", "avg(abs(m1-mag))", 1), ("complexity", "sqrt(sum((m1-mag)*(m1-mag)))", 1),
+    ("mean_second_derivative", "avg((m2-2*m1+mag)/2)", 1), ("c3", "avg(m2*m1*mag)", 1), ("time_reversal_asymmetry", "avg(m2*m2*m1 - m1*mag*mag)", 4), ("auto_corr", "sum((mag-mu)*(m1-mu))/nullif(any_value(n)-1, 0)/nullif(any_value(sd*sd), 0)", 1),
+    ("integral", "sum((m1+mag)/2*(t1-hjd))", 3), ("first_loc_max", "min(idx) FILTER (WHERE mag = hi)/any_value(n)", 1), ("first_loc_min", "min(idx) FILTER (WHERE mag = lo)/any_value(n)", 1),
+    ("last_loc_max", "(max(idx) FILTER (WHERE mag = hi) + 1)/any_value(n)", 1), ("last_loc_min", "(max(idx) FILTER (WHERE mag = lo) + 1)/any_value(n)", 1),
+    ("max_duplicate", "count(*) FILTER (WHERE mag = hi) > 1", 0), ("min_duplicate", "count(*) FILTER (WHERE mag = lo) > 1", 0), ("peaks", "count(*) FILTER (WHERE m1 > mag AND m1 > m2)", 0),
+    ("con", "count(*) FILTER (WHERE idx = 0 AND a0 AND a1 AND a2) + count(*) FILTER (WHERE NOT a0 AND a1 AND a2 AND a3)", 0), ("con2", "count(*) FILTER (WHERE idx = 0 AND b0 AND b1 AND b2) + count(*) FILTER (WHERE NOT b0 AND b1 AND b2 AND b3)", 0),
+    ("median_buffer_range", "count(*) FILTER (WHERE abs(mag-med) < (hi-lo)/10)/any_value(n)", 1), ("median_buffer_range2", "count(*) FILTER (WHERE mag < med - (hi-lo)/10)/any_value(n)", 1),
+    ("has_duplicate", "any_value(dup)", 0), ("ratio_recurring", "any_value(rec)", 1), ("shannon_entropy", "any_value(ent)", 1), ("longest_strike_above", "any_value(up)", 0), ("longest_strike_below", "any_value(down)", 0),
+    ("median_distance", "quantile_cont(sqrt((t1-hjd)*(t1-hjd) + (m1-mag)*(m1-mag)), 0.5)", 1),
+]
+DIGITS = {1: 6, 3: 3, 4: 4}
+
+
+@query("star_features", with_views("valid", extra=FEATURE_SQL) + "SELECT star_id, filter, " + ", ".join(f"{r6(sql, DIGITS[kind]) if kind else sql} AS {name}" for name, sql, kind in FEATURES)
+    + " FROM sd JOIN d USING (star_id, filter) JOIN st USING (star_id, filter) JOIN rp USING (star_id, filter) GROUP BY star_id, filter")
 def star_features(t: Tables):
-    """The columns with a short SQL form are shown here; the operator returns all of them."""
-    out = stats.star_features(stats.valid_rows(t.phot), ["star_id", "filter"])
-    return tidy(
-        out, "mean_mag", "rms", "median_mag", "median_abs_dev", "amplitude", "skewness", "kurtosis", "von_neumann",
-        "abs_sum_changes", "mean_change", "mean_second_derivative", "c3", "auto_corr",
-        keep=["star_id", "filter", "n", "above1", "below1", "longest_strike_above", "longest_strike_below", "peaks"],
-    )
+    """All features of every star and filter."""
+    out = stats.star_features(stats.remove_all_bad(stats.valid_rows(t.phot)), ["star_id", "filter"])
+    return out.select("star_id", "filter", *[settled(name, DIGITS[kind]).alias(name) if kind else F.col(name) for name, _, kind in FEATURES])

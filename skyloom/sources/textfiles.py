@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from skyloom.operators.ordering import with_group_index
 from skyloom.session import scratch_path
 
 # stands for null in written tables, so that every field keeps its place
@@ -135,16 +134,20 @@ def read_calibrations(spark: SparkSession, path: str) -> DataFrame:
     return read_whitespace_table(spark, path, {"dataset": (0, "string")} | {n: (k + 1, "double") for k, n in enumerate(names)})
 
 
-def write_search_results(hits: DataFrame, targets: DataFrame, target_id: str, path: str) -> str:
-    """Search results of all targets as JSON lines: one line per target and chunk of its stars.
+SEARCH_RESULT = "separation_deg double, field_id bigint, ra double, dec double, quadrant int, search_radius_deg double"
 
-    A target with very many stars is split into chunks, so no group is gathered without bound; the
-    chunk number tells readers how the lines belong together.
+
+def write_search_results(hits: DataFrame, targets: DataFrame, target_id: str, radius_deg: float, path: str) -> str:
+    """Search results of all targets as JSON lines, one for each target and star, in order of target and distance.
+
+    ``hits``: the target's id, star_id, ra, dec, quadrant and sep in degrees. A line has the same form however many
+    stars a target has, so nothing is gathered: target, target_data, search_radius_deg and the star's
+    field_id, ra, dec, quadrant and separation_deg.
     """
-    chunk = F.floor(F.col("star_no") / 10_000)
-    numbered = with_group_index(hits, [target_id], ["sep", "star_id"], "star_no").withColumn("chunk", chunk)
-    lists = numbered.groupBy(target_id, "chunk").agg(F.array_sort(F.collect_list(F.struct("sep", "star_id"))).alias("stars"))
-    targets.join(lists, target_id).select(
-        target_id, "chunk", F.struct(*[c for c in targets.columns if c != target_id]).alias("target_data"), "stars"
-    ).write.json(path)
+    about = targets.select(target_id, F.struct(*[c for c in targets.columns if c != target_id]).alias("target_data"))
+    lines = hits.join(about, target_id).select(
+        target_id, "target_data", F.lit(float(radius_deg)).alias("search_radius_deg"), F.col("star_id").alias("field_id"), "ra", "dec", "quadrant", F.col("sep").alias("separation_deg"))
+    order = [target_id, "separation_deg", "field_id"]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).write.json(path)
     return path
+

@@ -208,3 +208,19 @@ def test_hot_groups_do_not_change_statistics(spark, hot):
         split = sorted(stats.star_statistics(d, ["star_id"]).collect())
     for a, b in zip(plain, split):
         assert a["n"] == b["n"] and a["prms"] == pytest.approx(b["prms"]) and a["wrms"] == pytest.approx(b["wrms"])
+
+
+def test_stretches_buffers_and_distances_of_light_curves(spark):
+    # two bright stretches of three and four points, one at the very start; the gap of two does not count
+    shape = [-5, -5, -5, 0, 0, -5, -5, 0, 0, 0, -5, -5, -5, -5] + [0.001 * (i % 3) for i in range(400)]
+    rows = [(None, float(i), 15.0 + 0.1 * v, 0.01) for i, v in enumerate(shape)] + [("b", 0.0, 15.0, 0.1), ("b", 1.0, 15.3, 0.1), ("b", 3.0, 15.3, 0.1)]
+    got = {r["k"]: r for r in stats.star_features(spark.createDataFrame(rows, "k string, hjd double, mag double, mag_err double"), ["k"]).collect()}
+    assert got[None]["con"] == 2 and got[None]["con2"] == 2 and got[None]["n"] == len(shape) and got[None]["longest_strike_below"] == 4
+    mags = np.array([r[2] for r in rows if r[0] is None])
+    near = np.abs(mags - np.median(mags)) < np.ptp(mags) / 10
+    assert got[None]["median_buffer_range"] == pytest.approx(near.mean()) and got[None]["median_buffer_range2"] == pytest.approx(9 / len(shape))
+    assert got["b"]["median_distance"] == pytest.approx((np.hypot(1, 0.3) + 2) / 2) and got["b"]["con"] == 0
+    odd = spark.createDataFrame(rows + [("b", 4.0, None, 0.1), ("b", 5.0, float("nan"), 0.1), ("b", 6.0, 15.0, 0.0), ("b", None, 15.0, 0.1), ("b", 7.0, float("inf"), 0.1)], "k string, hjd double, mag double, mag_err double")
+    assert stats.remove_all_bad(odd).count() == len(rows)
+    put = {(r["k"], r["hjd"]): (r["mag"], r["mag_err"]) for r in stats.normalized(spark.createDataFrame(rows + [("c", 0.0, 9.0, 0.1)], "k string, hjd double, mag double, mag_err double"), ["k"]).collect()}
+    assert put["b", 0.0] == (0.0, pytest.approx(1 / 3)) and put["b", 3.0][0] == pytest.approx(1.0) and put["c", 0.0] == (0.0, None)

@@ -84,13 +84,14 @@ def test_text_tables_and_configuration(spark, tmp_path):
     assert {tuple(r) for r in textfiles.read_dataset_list(spark, str(tmp_path / "list.txt")).collect()} == {("d1", 1), ("d2", 0)}
 
 
-def test_search_results_are_chunked(spark, tmp_path):
-    hits = spark.range(25_000).select(F.lit(1).cast("bigint").alias("target_id"), F.col("id").alias("star_id"), (F.col("id") / 1e6).alias("sep"))
-    targets = spark.createDataFrame([(1, 10.0, 20.0)], "target_id long, ra double, dec double")
-    path = textfiles.write_search_results(hits, targets, "target_id", str(tmp_path / "out"))
+def test_search_results_have_one_form(spark, tmp_path):
+    hits = spark.range(25_000).select(F.when(F.col("id") < 3, 2).otherwise(1).cast("bigint").alias("target_id"), F.col("id").alias("star_id"), F.lit(10.0).alias("ra"), F.lit(20.0).alias("dec"), F.lit(3).alias("quadrant"), (F.col("id") / 1e6).alias("sep"))
+    targets = spark.createDataFrame([(1, 10.0, 20.0, "x"), (2, 11.0, 21.0, None)], "target_id long, ra double, dec double, comment string")
+    path = textfiles.write_search_results(hits, targets, "target_id", 0.5, str(tmp_path / "out"))
     back = spark.read.json(path)
-    assert sorted(r["n"] for r in back.select(F.size("stars").alias("n")).collect()) == [5000, 10_000, 10_000]
-    assert back.select(F.explode("stars.star_id").alias("s")).distinct().count() == 25_000
+    assert back.count() == 25_000 and back.select("search_radius_deg", "quadrant").distinct().collect() == [(0.5, 3)]
+    few = back.where("target_id = 2").orderBy("field_id").collect()
+    assert [(r["field_id"], r["target_data"]["ra"], r["separation_deg"]) for r in few] == [(0, 11.0, 0.0), (1, 11.0, 1e-6), (2, 11.0, 2e-6)]
 
 
 def test_repeated_batch_changes_nothing(spark):
