@@ -70,6 +70,33 @@ def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     return max(least, -(-rows // per_part))
 
 
+HOT_SHARE, HOT_LEAST = 1_000, 64
+
+
+def hot_keys(counts: DataFrame, key: str, total: int, least: int = HOT_LEAST) -> DataFrame:
+    """(key, salts) of the keys that own more than a thousandth of ``total`` rows (and more than ``least``).
+
+    ``counts`` holds each key with its number of rows ``n``. There are fewer than ``HOT_SHARE`` such keys
+    however large the table is, so this table is broadcast. ``least`` is larger where every salt
+    gets many rows of the other side.
+    """
+    limit = max(least, total // HOT_SHARE)
+    salts = F.ceil(F.col("n") / F.lit(limit)).cast("int")
+    return stored(counts.where(F.col("n") > limit).select(key, salts.alias("salts")))
+
+
+def dealt(rows: DataFrame, key: str, hot: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with a ``salt`` that deals those of a hot key over several places, by a hash of ``by``."""
+    salts = F.coalesce("salts", F.lit(1))
+    return rows.join(F.broadcast(hot), key, "left").withColumn("salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("salts")
+
+
+def repeated(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows once for every ``salt`` of their key: the other side of :func:`dealt`."""
+    salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    return rows.join(F.broadcast(hot), key, "left").withColumn("salt", F.explode(salts)).drop("salts")
+
+
 def held_out_fold(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 3: remainder 1 is never trained on (a null id counts as the text '')."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyloom.llm import fuse
-from skyloom.llm.common import parts_for, read_table, register, rows_that_stay, text_of
+from skyloom.llm.common import dealt, hot_keys, parts_for, read_table, register, repeated, rows_that_stay, text_of
 from skyloom.session import stored
 
 KEYS_PER_FILTER = 200_000
@@ -78,11 +78,13 @@ def exact_groups(docs: DataFrame, incoming: Column, digest=default_digest) -> Da
     groups = stored(_grouped(snapshot.unionByName(known)).unionByName(fresh))
 
     several = groups.where("n > 1").select("digest", F.col("best.doc_id").alias("keep_id"))
-    texts = stored(
-        docs.select("doc_id", text.alias("text"), digest(text).alias("digest")).join(several, "digest").select("digest", "doc_id", "text", "keep_id")
-    )
+    # the copies of a frequent text are dealt over several places, and the text that stays is sent to each
+    hot = hot_keys(groups.select("digest", "n"), "digest", rows.count())
+    own = dealt(docs.select("doc_id", text.alias("text"), digest(text).alias("digest")), "digest", hot, ["doc_id"])
+    texts = stored(own.join(repeated(several, "digest", hot), ["digest", "salt"]).select("digest", "salt", "doc_id", "text", "keep_id"))
     stays = texts.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("text").alias("kept_text"))
-    clashes = stored(texts.join(stays, "digest").where(F.col("text") != F.col("kept_text")).select("digest").distinct())
+    compared = texts.join(repeated(stays, "digest", hot), ["digest", "salt"])
+    clashes = stored(compared.where(F.col("text") != F.col("kept_text")).select("digest").distinct())
     clean, out = rows, []
     if not clashes.isEmpty():
         clean = rows.join(clashes, "digest", "left_anti")
@@ -91,7 +93,8 @@ def exact_groups(docs: DataFrame, incoming: Column, digest=default_digest) -> Da
         torn = stored(torn.join(clashes, "digest", "left_semi"))
         by_text = torn.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("n"))
         out = [_shown(torn.join(by_text, ["digest", "text"]).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)))]
-    return _shown(clean.join(groups, "digest")) if not out else _shown(clean.join(groups, "digest")).unionByName(out[0])
+    shown = _shown(dealt(clean, "digest", hot, ["row"]).join(repeated(groups, "digest", hot), ["digest", "salt"]))
+    return shown if not out else shown.unionByName(out[0])
 
 
 def _shown(joined: DataFrame) -> DataFrame:
