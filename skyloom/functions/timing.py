@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
-from skyloom.functions.common import as_column, num
+from skyloom.functions.common import as_column, num, polynomial
 
 UNIX_EPOCH_JD = 2440587.5
 
@@ -38,22 +40,78 @@ def julian_date(ts) -> Column:
     return seconds_since_epoch(ts) / num(86400.0) + num(UNIX_EPOCH_JD)
 
 
-def heliocentric_jd(ts, exposure_s, ra, dec) -> Column:
-    """Heliocentric Julian date of mid-exposure.
-
-    The Sun's position is the low-precision almanac formula, so the light travel time is that of
-    the Earth's centre: against an ephemeris with the observatory position it is off by seconds.
+# fixed values: the Sun's mean longitude, mean anomaly and eccentricity, equation of the centre and the largest terms of
+# Venus, Jupiter and the Moon; degrees and astronomical units, time in centuries since 1900 January 0.5 (Newcomb's theory)
+MEAN_LONGITUDE = (279.69668, 36000.76892, 0.0003025)
+MEAN_ANOMALY = (358.47583, 35999.04975, -0.00015)
+ECCENTRICITY = (0.01675104, -0.0000418, -0.000000126)
+CENTRE = ((1.91946, -0.004789), (0.020094, -0.0001), (0.000293, 0.0))
+# phase, phase per century, cosine and sine of the longitude, cosine and sine of the distance
+PERTURBATIONS = (
+    (153.23, 22518.7541, 0.00134, 0.0, 0.0, 0.00000543),
+    (216.57, 45037.5082, 0.00154, 0.0, 0.0, 0.00001575),
+    (312.69, 32964.3577, 0.0020, 0.0, 0.0, 0.00001627),
+    (350.74, 445267.1142, 0.0, 0.00179, 0.00003076, 0.0),
+    (353.40, 65928.7155, 0.0, 0.0, 0.0, 0.00000927),
+    (231.19, 20.20, 0.0, 0.00178, 0.0, 0.0),
+)
+PRECESSION = (1.396971, 0.0003086)  # of the longitude since 2000, degrees for a century and its square
+TILT_2000 = 23.4392911
+AU_SECONDS, LIGHT_KM_S, DAY_SECONDS = 499.004784, 299792.458, 86400.0
+# fixed values: geodetic longitude east, latitude and height in metres of observatories
+SITES = {"lsc": (-70.8048, -30.1674, 2201.0), "cpt": (20.8101, -32.3806, 1760.0), "coj": (149.0612, -31.2733, 1116.0)}
+
+
+def site_vector(longitude: float, latitude: float, height_m: float) -> tuple[float, float, float]:
+    """Longitude in degrees, and distance from the axis and height above the equator plane in km (WGS 84)."""
+    phi, flattening, equator = math.radians(latitude), 1 / 298.257223563, 6378.137
+    c = 1 / math.sqrt(math.cos(phi) ** 2 + (1 - flattening) ** 2 * math.sin(phi) ** 2)
+    h = height_m / 1000.0
+    return longitude, (equator * c + h) * math.cos(phi), (equator * c * (1 - flattening) ** 2 + h) * math.sin(phi)
+
+
+def sun_place(jd) -> tuple[Column, Column]:
+    """Longitude of the Sun (degrees, mean equinox of the date, no aberration) and its distance; good to some arc seconds."""
+    t = (as_column(jd) - num(2415020.0)) / num(36525.0)
+    m = F.radians(polynomial(t, list(MEAN_ANOMALY)))
+    lon = polynomial(t, list(MEAN_LONGITUDE))
+    turn = num(0.0)
+    for n, terms in enumerate(CENTRE, 1):
+        turn = turn + polynomial(t, list(terms)) * F.sin(num(float(n)) * m)
+    e = polynomial(t, list(ECCENTRICITY))
+    dist = num(1.0000002) * (num(1.0) - e * e) / (num(1.0) + e * F.cos(m + F.radians(turn)))
+    lon = lon + turn
+    for phase, rate, lon_cos, lon_sin, dist_cos, dist_sin in PERTURBATIONS:
+        a = F.radians(num(phase) + num(rate) * t)
+        lon = lon + num(lon_cos) * F.cos(a) + num(lon_sin) * F.sin(a)
+        dist = dist + num(dist_cos) * F.cos(a) + num(dist_sin) * F.sin(a)
+    return lon, dist
+
+
+def light_seconds(jd, ra, dec, site: tuple | None = None) -> Column:
+    """How many seconds earlier a signal from an ICRS direction reaches the observer than the Sun (negative: later).
+
+    The Sun's place is a truncated series, turned back to the equinox of 2000. ``site`` is the observatory: longitude,
+    distance from the axis and height of the equator plane as in :func:`site_vector`, numbers or columns; without it
+    the observer is at the Earth's centre. The error is some hundredths of a second.
     """
-    jd = julian_date(ts) + as_column(exposure_s) / num(2.0 * 86400.0)
-    n = jd - num(2451545.0)
-    # fixed values: mean longitude, mean anomaly and ecliptic terms of the Sun (Astronomical Almanac)
-    mean_lon = num(280.460) + num(0.9856474) * n
-    anomaly = F.radians(num(357.528) + num(0.9856003) * n)
-    lon = F.radians(mean_lon + num(1.915) * F.sin(anomaly) + num(0.020) * F.sin(2 * anomaly))
-    dist = num(1.00014) - num(0.01671) * F.cos(anomaly) - num(0.00014) * F.cos(2 * anomaly)
-    tilt = F.radians(num(23.439) - num(4e-7) * n)
-    x, y, z = F.cos(lon), F.cos(tilt) * F.sin(lon), F.sin(tilt) * F.sin(lon)
+    jd = as_column(jd)
+    lon, dist = sun_place(jd)
+    since = (jd - num(2451545.0)) / num(36525.0)
+    lon = F.radians(lon - num(PRECESSION[0]) * since - num(PRECESSION[1]) * since * since)
+    tilt = math.radians(TILT_2000)
+    x, y, z = F.cos(lon), num(math.cos(tilt)) * F.sin(lon), num(math.sin(tilt)) * F.sin(lon)
     a, d = F.radians(as_column(ra)), F.radians(as_column(dec))
-    along = x * F.cos(d) * F.cos(a) + y * F.cos(d) * F.sin(a) + z * F.sin(d)
-    # light time for one astronomical unit in days
-    return jd - dist * along * num(0.0057755183)
+    nx, ny, nz = F.cos(d) * F.cos(a), F.cos(d) * F.sin(a), F.sin(d)
+    seconds = -dist * (x * nx + y * ny + z * nz) * num(AU_SECONDS)
+    if site is None:
+        return seconds
+    east, axis, height = (as_column(v) for v in site)
+    sidereal = F.radians(num(280.46061837) + num(360.98564736629) * (jd - num(2451545.0)) + east)
+    return seconds + (axis * (F.cos(sidereal) * nx + F.sin(sidereal) * ny) + height * nz) / num(LIGHT_KM_S)
+
+
+def heliocentric_jd(ts, exposure_s, ra, dec, site: tuple | None = None) -> Column:
+    """Heliocentric Julian date of mid-exposure, in the time scale of ``ts``; see :func:`light_seconds`."""
+    jd = julian_date(ts) + as_column(exposure_s) / num(2.0 * DAY_SECONDS)
+    return jd + light_seconds(jd, ra, dec, site) / num(DAY_SECONDS)

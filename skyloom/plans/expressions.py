@@ -325,16 +325,36 @@ def reference_tables(t: Tables):
     return c.select("star_id", settled(best["vi"]).alias("nearest_vi"), settled(best["vk"]).alias("nearest_vk"))
 
 
-HJD_SQL = """e AS (SELECT event_id, epoch_us(ts)/1e6/86400e0 + 2440587.5e0 + 1.5e2/86400e0 AS jd, ra, dec FROM ev JOIN stars USING (star_id)),
-    s AS (SELECT *, jd - 2451545e0 AS n, radians(357.528e0 + 0.9856003e0*(jd-2451545e0)) AS m FROM e),
-    l AS (SELECT *, radians(280.460e0 + 0.9856474e0*n + 1.915e0*sin(m) + 0.020e0*sin(2*m)) AS lon, 1.00014e0 - 0.01671e0*cos(m) - 0.00014e0*cos(2*m) AS r, radians(23.439e0 - 4e-7*n) AS eps FROM s)"""
-
-
-@query("helio_julian_date", with_views("ev", "stars", extra=HJD_SQL) + f"""SELECT event_id, {r6('jd')} AS jd,
-    {r6('jd - r*(cos(lon)*cos(radians(dec))*cos(radians(ra)) + cos(eps)*sin(lon)*cos(radians(dec))*sin(radians(ra)) + sin(eps)*sin(lon)*sin(radians(dec)))*0.0057755183e0')} AS hjd FROM l""")
+def _poly(x: str, terms) -> str:
+    out = f"({terms[-1]!r}::double)"
+    for c in reversed(terms[:-1]):
+        out = f"({out}*{x} + ({c!r}::double))"
+    return out
+
+
+SITE_VECTORS = {n: timing.site_vector(*timing.SITES[s]) for n, s in enumerate(("lsc", "cpt", "coj"))}
+SITE_ROWS = ", ".join(f"({n}, {a!r}::double, {b!r}::double, {c!r}::double)" for n, (a, b, c) in SITE_VECTORS.items())
+HJD_SQL = f"""w(k, east, axis, height) AS (VALUES {SITE_ROWS}), e AS (SELECT event_id, star_id, epoch_us(ts)/1e6/86400e0 + 2440587.5e0 + 1.5e2/86400e0 AS jd, radians(ra) AS a, radians(dec) AS d, east, axis, height FROM ev JOIN stars USING (star_id) JOIN w ON w.k = star_id % 3),
+    q AS (SELECT *, (jd - 2415020e0)/36525e0 AS t, (jd - 2451545e0)/36525e0 AS s FROM e),
+    m AS (SELECT *, radians({_poly('t', timing.MEAN_ANOMALY)}) AS m, {_poly('t', timing.ECCENTRICITY)} AS ec FROM q),
+    c AS (SELECT *, {' + '.join(f"{_poly('t', k)}*sin({n}*m)" for n, k in enumerate(timing.CENTRE, 1))} AS turn FROM m),
+    u AS (SELECT *, {_poly('t', timing.MEAN_LONGITUDE)} + turn + {' + '.join(f"({lc!r}::double)*cos(radians({ph!r}::double + {ra!r}::double*t)) + ({ls!r}::double)*sin(radians({ph!r}::double + {ra!r}::double*t))" for ph, ra, lc, ls, _, _ in timing.PERTURBATIONS)}
+      - {timing.PRECESSION[0]!r}::double*s - {timing.PRECESSION[1]!r}::double*s*s AS lon, 1.0000002e0*(1 - ec*ec)/(1 + ec*cos(m + radians(turn))) + {' + '.join(f"({dc!r}::double)*cos(radians({ph!r}::double + {ra!r}::double*t)) + ({ds!r}::double)*sin(radians({ph!r}::double + {ra!r}::double*t))" for ph, ra, _, _, dc, ds in timing.PERTURBATIONS)} AS r,
+      radians(280.46061837e0 + 360.98564736629e0*(jd - 2451545e0) + east) AS st FROM c),
+    h AS (SELECT *, -r*(cos(radians(lon))*cos(d)*cos(a) + cos(radians({timing.TILT_2000!r}::double))*sin(radians(lon))*cos(d)*sin(a) + sin(radians({timing.TILT_2000!r}::double))*sin(radians(lon))*sin(d))*{timing.AU_SECONDS!r}::double
+      + (axis*(cos(st)*cos(d)*cos(a) + sin(st)*cos(d)*sin(a)) + height*sin(d))/{timing.LIGHT_KM_S!r}::double AS seconds FROM u)"""
+
+
+@query("helio_julian_date", with_views("ev", "stars", extra=HJD_SQL) + f"SELECT event_id, {r6('jd')} AS jd, {r6('jd + seconds/86400')} AS hjd, {r6('seconds', 4)} AS seconds FROM h")
 def helio_julian_date(t: Tables):
+    """Mid-exposure dates of measurements at three sites, with the light time against the Sun in seconds."""
     d = t.events.join(t.stars.select("star_id", "ra", "dec"), "star_id")
-    return rounded(d, ["event_id"], {"jd": timing.julian_date("ts") + F.lit(150.0) / F.lit(86400.0), "hjd": timing.heliocentric_jd("ts", 300.0, "ra", "dec")})
+    sites = t.spark.createDataFrame([(n, *v) for n, v in SITE_VECTORS.items()], "k bigint, east double, axis double, height double")
+    d = d.withColumn("k", F.col("star_id") % 3).join(sites, "k")
+    jd = timing.julian_date("ts") + F.lit(150.0) / F.lit(86400.0)
+    light = timing.light_seconds(jd, "ra", "dec", ("east", "axis", "height"))
+    hjd = timing.heliocentric_jd("ts", 300.0, "ra", "dec", ("east", "axis", "height"))
+    return d.select("event_id", settled(jd).alias("jd"), settled(hjd).alias("hjd"), settled(light, 4).alias("seconds"))
 
 
 SEXA_SQL = """tx AS (SELECT o_orderkey AS image_id, printf('%02d:%02d:%02d.%02d', o_custkey % 24, o_orderkey % 60, (o_orderkey*7) % 60, o_custkey % 100) AS ra_text,

@@ -153,3 +153,35 @@ def test_sql_functions(spark):
     models.register_sql_functions(spark)
     row = spark.sql("SELECT flux_to_mag(mag_to_flux(18.2e0)) AS m, flux_to_mag(-1e0) AS z, sky_separation(0e0, 0e0, 0e0, 1e0) AS s").first()
     assert row["m"] == pytest.approx(18.2) and row["z"] == 0.0 and row["s"] == pytest.approx(1.0)
+
+
+def test_sun_is_where_almanacs_have_it(spark):
+    # published instants (UTC) of equinoxes and solstices, and the Earth's least and greatest distances
+    turns = [("2000-03-20 07:35:00", 0.0), ("2020-12-21 10:02:00", 270.0), ("2024-03-20 03:06:00", 0.0), ("2024-06-20 20:51:00", 90.0), ("2024-09-22 12:44:00", 180.0)]
+    distances = [("2020-01-05 07:48:00", 0.983244), ("2019-07-04 22:11:00", 1.016754)]
+    df = spark.createDataFrame([(a,) for a, _ in turns + distances], "ts string").withColumn("t", F.col("ts").cast("timestamp_ntz"))
+    lon, dist = timing.sun_place(timing.julian_date("t"))
+    got = {r["ts"]: r for r in df.select("ts", lon.alias("lon"), dist.alias("dist")).collect()}
+    for at, want in turns:
+        # the apparent place has aberration of -0.0057 degrees and nutation of up to 0.005 besides
+        assert abs((got[at]["lon"] - 0.0057 - want + 180) % 360 - 180) < 0.007
+    for at, want in distances:
+        assert got[at]["dist"] == pytest.approx(want, abs=1e-5)
+
+
+def test_light_time_of_sites_and_of_the_moved_equinox(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-20 03:06:00' AS t")
+    jd = timing.julian_date("t")
+    _, dist = timing.sun_place(jd)
+    # at the equinox of 2024 the Sun stands 0.3383 degrees (precession) less 0.0057 (aberration) and 0.0014 (nutation) before the
+    # equinox of 2000; the other direction is towards ecliptic longitude 90 of 2000
+    n, tilt = 0.3383 - 0.0057 - 0.0014, math.radians(23.4392911)
+    side = timing.light_seconds(jd, 90.0, math.degrees(tilt))
+    row = df.select(side.alias("s"), dist.alias("r"), timing.light_seconds(jd, 180.0 - n * math.cos(tilt), n * math.sin(tilt)).alias("away")).first()
+    assert row["s"] == pytest.approx(499.004784 * row["r"] * math.sin(math.radians(n)), abs=0.02) and row["away"] == pytest.approx(499.004784 * row["r"], abs=0.02)
+    for name, (east, north, height) in timing.SITES.items():
+        site = timing.site_vector(east, north, height)
+        sidereal = (280.46061837 + 360.98564736629 * (df.select(jd.alias("j")).first()["j"] - 2451545.0) + east) % 360
+        zenith = [timing.light_seconds(jd, sidereal, math.degrees(math.atan2(site[2], site[1])), s) for s in (site, None)]
+        up, centre = df.select(zenith[0].alias("a"), zenith[1].alias("b")).first()
+        assert up - centre == pytest.approx(math.hypot(site[1], site[2]) / 299792.458, abs=1e-9) and 6350 < math.hypot(site[1], site[2]) < 6382, name
