@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from skyloom.llm.common import dealt, hot_keys, repeated
 from skyloom.session import stored
 
 
@@ -12,15 +13,17 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a node's neighbours and then that label's own label,
     so the number of rounds grows with the logarithm of the longest chain. Labels are aggregated
-    before the shuffle; a node with very many links is only a long group of partial minima. State is
-    a written table.
+    before the shuffle; the links of a node with very many of them are dealt over several places, to
+    which its label is sent. State is a written table.
     """
     one, other = F.col("a").alias("node"), F.col("b").alias("beside")
     edges = links.select(one, other).union(links.select(F.col("b").alias("node"), F.col("a").alias("beside")))
     edges = stored(edges.where("node != beside").distinct())
+    hot = hot_keys(edges.groupBy("beside").agg(F.count("*").alias("n")), "beside", edges.count())
+    edges = stored(dealt(edges, "beside", hot, ["node"]))
     labels = stored(edges.groupBy("node").agg(F.min("beside").alias("comp")).select("node", F.least("node", "comp").alias("comp")))
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "beside"), "beside").select("node", "comp")
+        near = edges.join(repeated(labels.withColumnRenamed("node", "beside"), "beside", hot), ["beside", "salt"]).select("node", "comp")
         least = near.union(labels).groupBy("node").agg(F.min("comp").alias("comp"))
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
         jumped = least.join(up, "comp").select("node", F.least("comp", "next").alias("comp"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from skyloom.llm.common import read_table, register, rows_that_stay, text_digest, text_of
+from skyloom.llm.common import dealt, hot_keys, read_table, register, repeated, rows_that_stay, text_digest, text_of
 from skyloom.llm.components import components, extended
 from skyloom.session import stored
 
@@ -22,6 +22,7 @@ BANDS, ROWS = 16, 5
 COMPONENTS = BANDS * ROWS
 PARITY_WORDS = 16  # 64-bit words of the parities that bound a pair's difference from below
 HUB_GROWTH = 16
+HUBS_PER_SALT = 8  # members of a hot band that one salt holds, for each hub that is sent to it
 DOCS_AT_ONCE = 512
 
 _U = np.uint64
@@ -184,7 +185,10 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(compare, "a binary, b binary, sim double")
+    # the pairs of a hub are dealt over several places, and its text is sent to each
+    hot = hot_keys(pairs.groupBy("a").agg(F.count("*").alias("n")), "a", pairs.count())
+    placed = dealt(pairs.join(right, "b"), "a", hot, ["b"]).join(repeated(left, "a", hot), ["a", "salt"]).drop("salt")
+    return placed.mapInArrow(compare, "a binary, b binary, sim double")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -226,7 +230,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = members.join(first.select(F.col("a").alias("hub"), F.col("b").alias("digest"), "sim"), ["hub", "digest"], "left")
     members = stored(members.select("band", "at", "digest", "met", F.coalesce("sim", F.lit(1.0)).alias("sim")))
     tested, hubs, comps = pairs, 1, components(links)
-    order = Window.partitionBy("band").orderBy(F.desc("met"), F.xxhash64("digest"), "digest")
+    # a member's place among the hubs of its band: comparing places needs no number for each member
+    place = F.struct((-F.col("met")).alias("o"), F.xxhash64("digest").alias("h"), "digest")
+    order = Window.partitionBy("band").orderBy("place")
     left = members
     while True:
         placed = left.select("band", "at", "digest", "met", "sim").join(comps.withColumnRenamed("node", "digest"), "digest", "left")
@@ -237,10 +243,15 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if left.isEmpty():
             break
         old, hubs = hubs, hubs * HUB_GROWTH
-        full = stored(left.join(nodes.select("digest", "bands", "size", "parity"), "digest").withColumn("rank", F.row_number().over(order)))
-        # members before the new hubs have met everyone already
-        heads = full.where((F.col("rank") > old) & (F.col("rank") <= hubs))
-        heads = heads.select("band", *[F.col(c).alias(f"hub_{c}") for c in ("digest", "comp", "bands", "size", "parity", "sim", "rank")])
+        hot = hot_keys(left.groupBy("band").agg(F.count("*").alias("n")), "band", left.count(), HUBS_PER_SALT * hubs)
+        full = left.join(nodes.select("digest", "bands", "size", "parity"), "digest").withColumn("place", place)
+        full = stored(dealt(full, "band", hot, ["digest"]))
+        # the first of every salt are enough to find the first of the band; members before the new hubs have met everyone already
+        few = full.select("band", "salt", "place", "digest", "comp", "bands", "size", "parity", "sim")
+        few = few.withColumn("rank", F.row_number().over(Window.partitionBy("band", "salt").orderBy("place"))).where(F.col("rank") <= hubs)
+        heads = few.withColumn("rank", F.row_number().over(order)).where((F.col("rank") > old) & (F.col("rank") <= hubs))
+        heads = heads.select("band", *[F.col(c).alias(f"hub_{c}") for c in ("digest", "comp", "bands", "size", "parity", "sim", "place")])
+        heads = repeated(heads, "band", hot)
         # a pair counts in the first of its common bands only
         same = F.zip_with("bands", "hub_bands", lambda x, y: (x == y).cast("int"))
         near = F.abs(F.col("sim") - F.col("hub_sim")) <= 1 - similarity + 1e-9
@@ -248,7 +259,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         # of n shingles in both bags, no more than n * (1 - similarity) / (1 + similarity) differ in a link
         odd = reduce(add, (F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("hub_parity", F.lit(i)))) for i in range(PARITY_WORDS)))
         near &= odd <= (F.col("size") + F.col("hub_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-        more = full.join(heads, "band").where((F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp")) & near & (F.array_position(same, 1) == F.col("at") + 1))
+        more = full.join(heads, ["band", "salt"]).where((F.col("place") > F.col("hub_place")) & (F.col("comp") != F.col("hub_comp")) & near & (F.array_position(same, 1) == F.col("at") + 1))
         more = more.withColumnRenamed("hub_digest", "hub")
         more = more.select(F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct()
         done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

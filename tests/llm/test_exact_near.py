@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyloom.llm import exact, fuse, near
+from skyloom.llm import common, exact, fuse, near
 from skyloom.llm.common import rows_that_stay
 from skyloom.llm.components import components, extended
 
@@ -184,3 +184,31 @@ def test_components_of_chains_and_later_links(spark):
     assert {r.node: r.comp for r in comps.collect()} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
     more = extended(comps, spark.createDataFrame([(101, 40), (200, 201)], "a long, b long"))
     assert {r.node: r.comp for r in more.collect()} == {**dict.fromkeys([*range(41), 100, 101, 102], 0), 200: 200, 201: 200}
+
+
+def test_hot_keys_are_few_and_both_sides_meet(spark):
+    rows = spark.createDataFrame([("hot", i) for i in range(500)] + [("warm", i) for i in range(70)] + [(f"k{i}", i) for i in range(100)], "key string, at long")
+    hot = common.hot_keys(rows.groupBy("key").agg(F.count("*").alias("n")), "key", rows.count())
+    assert {r["key"]: r["salts"] for r in hot.collect()} == {"hot": 8, "warm": 2}
+    left, right = common.dealt(rows, "key", hot, ["at"]), common.repeated(rows.select("key").distinct(), "key", hot)
+    assert left.count() == rows.count() and right.count() == 100 + 8 + 2
+    met = left.join(right, ["key", "salt"])
+    assert met.count() == rows.count() and met.where("key = 'hot'").select("salt").distinct().count() == 8
+
+
+def test_many_copies_of_one_text(spark):
+    rows = [(i, "one text that many hold" if i % 3 else f"own text {i}") for i in range(600)] + [(None, "one text that many hold"), (7, "own text 9")]
+    got = exact.exact_groups(spark.createDataFrame(rows, "doc_id long, text string"), exact.newest_batch()).collect()
+    last, size = {}, {}
+    for i, t in rows:
+        last[t] = max(last.get(t, -1), -1 if i is None else i)
+        size[t] = size.get(t, 0) + 1
+    digest = {hashlib.sha256(t.encode()).hexdigest(): t for _, t in rows}
+    assert len(got) == len(rows) and all((r.keep_id, r.group_size) == (last[digest[r.text_sha256]], size[digest[r.text_sha256]]) for r in got)
+    assert sum(r.kept for r in got) == len(last)
+
+
+def test_labels_of_a_node_with_many_links(spark):
+    links = [("m", f"x{i:04d}") for i in range(700)] + [(f"x{i:04d}", f"y{i:04d}") for i in range(0, 700, 7)] + [("a", "y0007"), ("p", "q")]
+    comps = {r["node"]: r["comp"] for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
+    assert len(comps) == 1 + 700 + 100 + 1 + 2 and {c for n, c in comps.items() if n not in "pq"} == {"a"} and comps["q"] == "p"
