@@ -10,7 +10,8 @@ from skyloom.llm.common import read_table
 from tools.check import TABLES, normal
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = ["op1_toxicity", "op2_substring_dedup", "op3_decontamination", "op4_licence_scan", "op5_token_files", "op6_secret_scan", "op7_near_dedup", "op8_url_filter", "op9_best_fit_packing", "op10_exact_dedup"]
+NAMES = ["op1_toxicity", "op2_substring_dedup", "op3_decontamination", "op4_licence_scan", "op5_token_files", "op6_secret_scan", "op7_near_dedup", "op8_url_filter", "op9_best_fit_packing", "op10_exact_dedup",
+         "op11_whitening", "op12_ranked_search", "op13_simhash"]
 
 
 def test_every_operator_has_one_query():
@@ -27,7 +28,7 @@ def test_same_rows_as_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns) and normal(got) == normal(want)
 
 
-@pytest.mark.parametrize("name", ["op1_toxicity", "op2_substring_dedup", "op5_token_files", "op6_secret_scan", "op7_near_dedup", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_toxicity", "op2_substring_dedup", "op5_token_files", "op6_secret_scan", "op7_near_dedup", "op10_exact_dedup", "op13_simhash"])
 def test_one_row_for_each_document(spark, name):
     ids = [r.doc_id for r in entry_points.queries()[name](spark, FOLDER).select("doc_id").collect()]
     assert sorted(ids) == sorted(r.doc_id for r in read_table(spark, FOLDER, "documents").select("doc_id").collect())
