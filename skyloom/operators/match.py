@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.functions import sky
-from skyloom.operators.skew import join_groups, pick_first
+from skyloom.operators.skew import by_shuffle, join_groups, pick_first
 from skyloom.session import cut_lineage
 
 # Copies of the smaller side one cell may hold before the cell is split.
@@ -117,7 +117,8 @@ def pairs_within(
 ) -> DataFrame:
     """All pairs within ``radius`` as structs ``l`` and ``r`` plus ``sep``.
 
-    Put the smaller side on the right. Cells that hold very many copies get the left rows salted
+    Put the smaller side on the right; the sides meet by a shuffle of cells, whatever their files
+    weigh, because the copies are many times the rows. Cells that hold very many copies get the left rows salted
     and the right copies repeated per salt, so that one cell is shared out over many tasks.
     """
     l = metric.home(left, radius)
@@ -127,7 +128,7 @@ def pairs_within(
     rs = r.select(F.struct(*right.columns).alias("r"), *cell)
     load = l.groupBy(*cell).agg(F.count("*").alias("_load")).where(F.col("_load") > limit)
     if not _may_be_crowded(left, metric, radius, limit) or load.isEmpty():
-        return _within(ls.join(rs, cell).select("l", "r"), metric, radius, strict)
+        return _within(ls.join(by_shuffle(rs), cell).select("l", "r"), metric, radius, strict)
     salts = cut_lineage(load.select(*cell, F.ceil(F.col("_load") / limit).cast("int").alias("_salts")))
     ls = ls.join(salts, cell, "left").withColumn(
         "_salt", F.pmod(F.xxhash64("l"), F.coalesce("_salts", F.lit(1))).cast("int")
@@ -135,7 +136,7 @@ def pairs_within(
     rs = rs.join(salts, cell, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    joined = ls.drop("_salts").join(rs.drop("_salts"), [*cell, "_salt"]).select("l", "r")
+    joined = ls.drop("_salts").join(by_shuffle(rs.drop("_salts")), [*cell, "_salt"]).select("l", "r")
     return _within(joined, metric, radius, strict)
 
 

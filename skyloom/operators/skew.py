@@ -27,6 +27,15 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Side of an equi-join that is shuffled and merged, never sent whole to the driver and the tasks.
+
+    Catalyst takes the size of a side from compressed files and does not count the copies that ``explode``
+    makes, so it may broadcast many times what it believes to be below its threshold.
+    """
+    return df.hint("merge")
+
+
 def pick_first(df: DataFrame, keys: list[str], order: list[Column], columns: list[str] | None = None) -> DataFrame:
     """Row with the smallest ``order`` per key.
 

@@ -163,3 +163,25 @@ def test_translate_ids(spark):
     mapping = spark.createDataFrame([(1, 10), (2, 20), (2, 21)], "a long, b long")
     assert {r["a"]: r["b"] for r in crossmatch.translate_ids(rows, mapping, "a", "b").collect()} == {1: 10, 2: 20, 3: -1}
     assert [r["a"] for r in crossmatch.repeated_ids(mapping, "a").collect()] == [2]
+
+
+def test_copies_in_cells_meet_by_shuffle(spark, tmp_path):
+    """The files of a catalogue say nothing of its copies in cells: no side may be broadcast for its small files."""
+    spark.range(2000).selectExpr("id AS star_id", "267 + id % 50 / 1e3 AS ra", "-30 + id / 4e4 AS dec").write.parquet(str(tmp_path / "stars"))
+    stars = spark.read.parquet(str(tmp_path / "stars"))
+    pairs = pairs_within(stars, stars, 1e-4)
+    found = crossmatch.attach_catalogue(stars, stars.select(F.col("star_id").alias("source_id"), "ra", "dec"), [], 1e-4, "star_id", "source_id")
+    ids = crossmatch.translate_ids(stars, stars.select("star_id", F.col("star_id").alias("other_id")), "star_id", "other_id")
+    for df in (pairs, found, ids):
+        assert df.count() == 2000
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_rows_left_over_from_a_match_are_not_found_by_broadcast(spark, tmp_path, monkeypatch):
+    plans, keep = [], crossmatch.stored
+    monkeypatch.setattr(crossmatch, "stored", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1])
+    spark.range(300).selectExpr("id AS star_id", "267 + id / 1e3 AS ra", "-30D AS dec").write.parquet(str(tmp_path / "stars"))
+    stars = spark.read.parquet(str(tmp_path / "stars"))
+    assert crossmatch.two_pass_match(stars, stars, 1e-4, "star_id", "star_id").count() == 300
+    assert len(plans) == 3 and not any("BroadcastHashJoin" in p for p in plans)
