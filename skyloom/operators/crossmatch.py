@@ -10,7 +10,7 @@ from skyloom.functions.common import as_column, num, ratio
 from skyloom.operators.match import SKY, match_one_to_one, nearest_within, pairs_within, pixels_of
 from skyloom.operators.ordering import with_group_index, with_row_index
 from skyloom.operators.quantiles import grouped_quantiles
-from skyloom.operators.skew import join_groups, pick_first
+from skyloom.operators.skew import by_shuffle, join_groups, pick_first
 from skyloom.operators.stats import attach_row
 from skyloom.session import scratch_path, stored
 from skyloom.sources.versions import Spec, TableSet
@@ -78,7 +78,7 @@ class FieldIndex:
         matched = stored(
             pairs.select(F.col("r.field_id").alias("field_id"), F.col("l.star_id").alias("dataset_star_id"), F.col("sep").alias("separation"))
         )
-        orphans = stars.join(matched.select(F.col("dataset_star_id").alias("star_id")), "star_id", "left_anti")
+        orphans = stars.join(by_shuffle(matched.select(F.col("dataset_star_id").alias("star_id"))), "star_id", "left_anti")
         numbered = self.tables.numbered("stars", orphans.select("star_id", "ra", "dec"), ["star_id"])
         new = matched.select("field_id", "dataset_star_id", "separation").unionByName(
             numbered.select("field_id", F.col("star_id").alias("dataset_star_id"), F.lit(-1.0).alias("separation"))
@@ -93,7 +93,7 @@ def attach_catalogue(field: DataFrame, catalogue: DataFrame, columns: list[str],
     found = pairs.select(
         F.col(f"r.{field_id}").alias(field_id), F.col(f"l.{source_id}").alias(source_id), *[F.col(f"l.{c}").alias(c) for c in columns], "sep"
     )
-    return field.join(found, field_id, "left")
+    return field.join(by_shuffle(found), field_id, "left")
 
 
 def match_by_identifier(dataset: DataFrame, primary: DataFrame, identifier: str, missing: str = "None") -> DataFrame:
@@ -113,9 +113,9 @@ def two_pass_match(left: DataFrame, right: DataFrame, radius: float, left_id: st
         match_one_to_one(left, right, radius, left_id, right_id)
         .select(F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias("_rid"), "sep", F.lit(1).alias("round"))
     )
-    rest_left = stored(left.join(first.select(left_id), left_id, "left_anti").select(*left.columns))
+    rest_left = stored(left.join(by_shuffle(first.select(left_id)), left_id, "left_anti").select(*left.columns))
     rest_right = stored(
-        right.join(first.select(F.col("_rid").alias(right_id)), right_id, "left_anti").select(*right.columns)
+        right.join(by_shuffle(first.select(F.col("_rid").alias(right_id))), right_id, "left_anti").select(*right.columns)
     )
     second = match_one_to_one(rest_left, rest_right, radius, left_id, right_id).select(
         F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias("_rid"), "sep", F.lit(2).alias("round")
@@ -279,7 +279,7 @@ def remap_to_field(phot: DataFrame, star_map: DataFrame, image_map: DataFrame) -
 def translate_ids(rows: DataFrame, mapping: DataFrame, source: str, target: str) -> DataFrame:
     """Ids of the other catalogue, −1 where there is none; a mapping with repeated source ids is an error row count."""
     unique = pick_first(mapping.select(source, target), [source], [F.col(target)])
-    return rows.join(unique, source, "left").withColumn(target, F.coalesce(F.col(target), F.lit(-1)))
+    return rows.join(by_shuffle(unique), source, "left").withColumn(target, F.coalesce(F.col(target), F.lit(-1)))
 
 
 def repeated_ids(mapping: DataFrame, source: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.common import settled
 from skyloom.operators import crossmatch, match, stats
 from skyloom.operators.match import cone, match_one_to_one, pairs_within, pixels_of
-from skyloom.operators.skew import pick_first
+from skyloom.operators.skew import by_shuffle, pick_first
 from skyloom.plans.base import Tables, query, r6, sep_sql, with_views
 from skyloom.plans.expressions import rounded
 
@@ -95,7 +95,7 @@ def orphan_merge(t: Tables):
     FROM stars s LEFT JOIN m ON m.rid = s.star_id LEFT JOIN gaia ON gaia.source_id = m.lid""")
 def attach_gaia(t: Tables):
     extra = t.raw("customer").select(F.col("c_custkey").alias("source_id"), F.col("c_acctbal").alias("g_flux"), (F.col("c_acctbal") / 1000.0).alias("parallax"))
-    gaia = t.targets.withColumnRenamed("target_id", "source_id").join(extra, "source_id")
+    gaia = t.targets.withColumnRenamed("target_id", "source_id").join(by_shuffle(extra), "source_id")
     out = crossmatch.attach_catalogue(t.stars, gaia, ["g_flux", "parallax"], 2 * ARCSEC, "star_id", "source_id")
     return rounded(out.na.fill({"source_id": -1}), ["star_id", "source_id"], {"g_flux": "g_flux", "parallax": F.coalesce("parallax", F.lit(0.0)), "sep_arcsec": F.col("sep") * 3600})
 
