@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyloom.functions.common import num
 from skyloom.functions.weights import centroid
 from skyloom.operators.quantiles import aggregate_with_quantiles
-from skyloom.operators.skew import pick_first
+from skyloom.operators.skew import by_shuffle, pick_first
 from skyloom.session import stored
 
 
@@ -99,7 +99,7 @@ def connected_pixels(pixels: DataFrame, max_rounds: int = 40) -> DataFrame:
 
     Each round every cluster takes the smallest label next to any of its pixels as its parent, and
     parents are followed eight steps, so clusters merge many at a time and the number of rounds
-    grows with the logarithm of a cluster's length. A round is one equi-join on pixel positions;
+    grows with the logarithm of a cluster's length. A round is one shuffled equi-join on pixel positions;
     labels are written out between rounds and the loop ends when no cluster has a new parent.
     """
     steps = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (dx, dy) != (0, 0)]
@@ -113,16 +113,16 @@ def connected_pixels(pixels: DataFrame, max_rounds: int = 40) -> DataFrame:
         )
         lowest = sent.groupBy(*at).agg(F.min("near").alias("near"))
         parents = stored(
-            labels.join(lowest, at, "left").groupBy("image_id", "label")
+            labels.join(by_shuffle(lowest), at, "left").groupBy("image_id", "label")
             .agg(F.min(F.least("label", F.coalesce("near", "label"))).alias("up")).where("up != label")
         )
         if parents.isEmpty():
             break
         for _ in range(3):
             further = parents.select("image_id", F.col("label").alias("up"), F.col("up").alias("upper"))
-            parents = parents.join(further, ["image_id", "up"], "left").select("image_id", "label", F.coalesce("upper", "up").alias("up"))
+            parents = parents.join(by_shuffle(further), ["image_id", "up"], "left").select("image_id", "label", F.coalesce("upper", "up").alias("up"))
         labels = stored(
-            labels.join(parents, ["image_id", "label"], "left").select(*at, F.coalesce("up", "label").alias("label"))
+            labels.join(by_shuffle(parents), ["image_id", "label"], "left").select(*at, F.coalesce("up", "label").alias("label"))
         )
     else:
         raise RuntimeError("labels did not settle; raise max_rounds")

@@ -183,6 +183,15 @@ def test_trios_need_consecutive_numbers_and_three_filters(spark):
     assert [(r["g_image"][-6:-2], r["r_image"][-6:-2], r["i_image"][-6:-2]) for r in got] == [("0001", "0002", "0003")]
 
 
+def test_labels_of_pixels_are_never_broadcast(spark, monkeypatch):
+    plans, keep = [], px.stored
+    monkeypatch.setattr(px, "stored", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1])
+    rows = [(i, x, y) for i in range(3) for x, y in ((0, 0), (1, 1), (2, 2), (6, 6))]
+    got = px.connected_pixels(spark.createDataFrame(rows, "image_id int, x int, y int")).collect()
+    assert sorted((r.image_id, r.n_pixels) for r in got) == [(i, n) for i in range(3) for n in (1, 3)]
+    assert len(plans) > 2 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_connected_pixels_follow_a_long_snake(spark):
     snake = [(1, x, 0) for x in range(40)] + [(1, 40, y) for y in range(1, 30)] + [(1, x, 30) for x in range(39, 0, -1)] + [(1, 5, 15), (2, 0, 0)]
     got = sorted((r["image_id"], r["n_pixels"]) for r in px.connected_pixels(spark.createDataFrame(snake, "image_id int, x int, y int")).collect())
