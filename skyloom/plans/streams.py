@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.functions import timing, weights as w
-from skyloom.functions.common import settled
+from skyloom.functions.common import num, settled
 from skyloom.operators import calibrate as cal, udfs
 from skyloom.plans.base import Tables, query, r6, with_views
 from skyloom.session import scratch_path
@@ -173,7 +173,9 @@ def stream_interval_join(t: Tables):
         one = runs.file_stream(t.spark, folder).where("filter = 'click'").select(*columns)
         two = runs.file_stream(t.spark, folder).where("filter = 'purchase'").select(*columns)
         pairs = st.interval_pairs(one, two, "star_id", 60, "2 days")
-        colour = -2.5 * F.log10(F.col("flux1") / F.col("flux2"))
+        # a flux of 0 in the second filter gives the quotient of floating-point numbers, as in SQL, not an error under ANSI rules
+        quotient = F.when(F.col("flux2") == 0, F.col("flux1") * num(float("inf"))).otherwise(F.col("flux1") / F.col("flux2"))
+        colour = -2.5 * F.log10(quotient)
         runs.run_append(pairs.select(F.col("event_id1").alias("event1"), F.col("event_id2").alias("event2"), F.col("star_id1").alias("star_id"), colour.alias("colour")), out, state)
 
     replay(t, run)
