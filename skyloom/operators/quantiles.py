@@ -45,8 +45,10 @@ def aggregate_with_quantiles(
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*aggregates, *plain)
     hot = cut_lineage(hot)
-    cold = join_groups(df, hot, keys, "left_anti").groupBy(*keys).agg(*aggregates, *plain)
-    rows = join_groups(df, hot, keys, "left_semi")
+    # at most rows/limit keys; a shuffle by these keys would sort a hot group in one task
+    few = F.broadcast(hot)
+    cold = join_groups(df, few, keys, "left_anti").groupBy(*keys).agg(*aggregates, *plain)
+    rows = join_groups(df, few, keys, "left_semi")
     parts = [rows.groupBy(*keys).agg(*aggregates)] if aggregates else [hot]
     parts += [hot_quantiles(rows, keys, c, probs, name) for name, (c, probs) in quantiles.items()]
     warm = reduce(lambda a, b: join_groups(a, b, keys, "left"), parts)

@@ -6,9 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from skyloom.session import cut_lineage
+
 # Rows one task may hold for one key before the key is treated as hot.
 HOT_GROUP_ROWS = 4_000_000
 HOT_CONF = "skyloom.hotGroupRows"
+# Rows of a table with one row for each group that may be sent to the tasks.
+BROADCAST_GROUPS = 100_000
 
 
 def hot_limit(spark: SparkSession, default: int = HOT_GROUP_ROWS) -> int:
@@ -27,6 +31,18 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def attach_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """:func:`join_groups` with a table of one row for each group, worked out once.
+
+    It is counted and, unless there are very many groups, sent to the tasks: a shuffle by a few keys would
+    sort all rows of a group in one task. AQE does not broadcast a side whose few rows leave most
+    partitions empty, so this is written out.
+    """
+    groups = cut_lineage(groups)
+    few = groups.count() <= BROADCAST_GROUPS
+    return join_groups(rows, F.broadcast(groups) if few else groups, keys, how)
+
+
 def by_shuffle(df: DataFrame) -> DataFrame:
     """Side of an equi-join that is shuffled and merged, never sent whole to the driver and the tasks.
 

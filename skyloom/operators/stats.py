@@ -8,7 +8,7 @@ from skyloom.functions import weights as w
 from skyloom.functions.common import as_column, num, ratio
 from skyloom.operators.ordering import with_following, with_group_index, with_row_index
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
-from skyloom.operators.skew import join_groups
+from skyloom.operators.skew import attach_groups, join_groups
 from skyloom.session import cut_lineage
 
 # (magnitude, error) column names per photometry kind
@@ -78,7 +78,7 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, nsigma: float, rounds
     measures = [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count("*").alias("n")]
     stats = df.groupBy(*keys).agg(*measures)
     for _ in range(rounds):
-        inside = join_groups(df, stats.drop("n"), keys).where(F.abs(F.col(value) - F.col("mean")) <= nsigma * F.col("std"))
+        inside = attach_groups(df, stats.drop("n"), keys).where(F.abs(F.col(value) - F.col("mean")) <= nsigma * F.col("std"))
         stats = inside.groupBy(*keys).agg(*measures)
     return stats
 
@@ -86,7 +86,8 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, nsigma: float, rounds
 def median_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Median and median absolute deviation per group."""
     med = grouped_quantiles(df, keys, value, [0.5], "_q").select(*keys, F.col("_q")[0].alias("median"))
-    dev = join_groups(df, med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("median")))
+    med = cut_lineage(med)
+    dev = attach_groups(df, med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("median")))
     mad = grouped_quantiles(dev, keys, "_dev", [0.5], "_q").select(*keys, F.col("_q")[0].alias("mad"))
     return join_groups(med, mad, keys)
 
@@ -127,9 +128,9 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 def background_peak(df: DataFrame, keys: list[str], value: str, bins: int = 100) -> DataFrame:
     """Lower edge of the fullest histogram bin among values up to twice the median, per group."""
     med = grouped_quantiles(df, keys, value, [0.5], "_q").select(*keys, F.col("_q")[0].alias("median"))
-    low = join_groups(df, med, keys).where(F.col(value) <= 2 * F.col("median"))
+    low = attach_groups(df, med, keys).where(F.col(value) <= 2 * F.col("median"))
     span = low.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    binned = join_groups(low.select(*keys, value), span, keys).withColumn("_bin", bin_number(value, "lo", "hi", bins))
+    binned = attach_groups(low.select(*keys, value), span, keys).withColumn("_bin", bin_number(value, "lo", "hi", bins))
     counts = binned.groupBy(*keys, "_bin", "lo", "hi").agg(F.count("*").alias("_n"))
     edge = F.col("lo") + F.col("_bin") * (F.col("hi") - F.col("lo")) / bins
     top = F.min_by(F.struct(edge.alias("edge"), "_n"), F.struct(-F.col("_n"), F.col("_bin")))

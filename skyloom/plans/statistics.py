@@ -9,6 +9,7 @@ from skyloom.functions.common import settled
 from skyloom.operators import stats
 from skyloom.operators.match import pairs_within, pixels_of
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
+from skyloom.operators.skew import attach_groups
 from skyloom.plans.base import Tables, query, r6, with_views
 
 def night():
@@ -131,7 +132,7 @@ def median_mad(t: Tables):
     rows = stats.valid_rows(t.phot)
     limits = stats.median_mad(rows, ["filter"], "mag")
     kept = F.col("mag").between(F.col("median") - 3 * F.col("mad"), F.col("median") + 3 * F.col("mad"))
-    return rows.join(limits, "filter").groupBy("filter").agg(
+    return attach_groups(rows, limits, ["filter"]).groupBy("filter").agg(
         settled(F.max("median")).alias("median"), settled(F.max("mad")).alias("mad"), F.count_if(kept).alias("n_kept")
     )
 
