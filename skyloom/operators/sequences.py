@@ -89,9 +89,11 @@ def nearest_isochrone(targets: DataFrame, rows: DataFrame, target_id: str, toler
     numbered = stored(rows.withColumn("row_id", F.xxhash64(*rows.columns)).withColumn("teff", F.pow(num(10.0), "log_teff")))
     known = targets.where(~F.isnan("gr") & ~F.isnan("ri"))
     colours = stored(known.select("gr", "ri").where("gr is not null and ri is not null").distinct().withColumn("colour_id", F.struct("gr", "ri")))
+    # rows of one colour are equally far from any target: one of them stands for all in the search for the smallest distance
+    places = stored(numbered.groupBy("gr", "ri").agg(F.min("row_id").alias("row_id")))
     todo, found, radius = colours, None, 4 * tolerance
     while not todo.isEmpty():
-        best = nearest_within(todo, numbered, radius, "colour_id", "row_id", plane, strict=False).select(
+        best = nearest_within(todo, places, radius, "colour_id", "row_id", plane, strict=False).select(
             F.col("l.colour_id").alias("colour_id"), F.col("sep").alias("closest")
         )
         near = stored(best)

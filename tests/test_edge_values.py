@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import phot as p, stellar, text, transforms, weights
 from skyloom.operators import calibrate, catalog, match, quality, sequences, stats
 from skyloom.operators.quantiles import aggregate_with_quantiles, grouped_quantiles
+from skyloom.plans import base, streams  # noqa: F401
 from skyloom.sources import textfiles
 
 
@@ -112,3 +113,49 @@ def test_the_id_of_one_star_reaches_the_scan(spark, tmp_path):
     assert {r.star_id for r in out.collect()} == {10} and out.count() == 4
     assert "ubquery" in out._jdf.queryExecution().toString()
     assert extract_lightcurve(phot, stars, 10.0, 10.0, 0.004).count() == 0
+
+
+@pytest.fixture
+def no_small_tables(spark):
+    """Catalyst and AQE broadcast nothing by themselves."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def joins(df, kind):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if kind in line]
+
+
+def test_rows_of_few_groups_are_not_shuffled_by_their_group(spark, no_small_tables):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 9.0), (None, 4.0), ("b", 5.0)], "k string, v double")
+    clipped = stats.sigma_clip(df, ["k"], "v", 3.0, 1)
+    peak = stats.background_peak(df, ["k"], "v")
+    assert not joins(clipped, "SortMergeJoin") and not joins(peak, "SortMergeJoin")
+    assert {r.k: r.n_peak for r in peak.collect()} == {"a": 1, None: 1, "b": 1}
+    assert {r.k: (r.median, r.mad) for r in stats.median_mad(df, ["k"], "v").collect()} == {"a": (2.0, 1.0), None: (4.0, 0.0), "b": (5.0, 0.0)}
+
+
+def test_hot_groups_are_found_without_a_shuffle_of_their_rows(spark, hot, no_small_tables):
+    df = spark.range(300).selectExpr("IF(id % 10 = 0, 'rare', 'hot') AS k", "CAST(id AS double) AS v")
+    with hot(100):
+        out = stats.grouped_quantiles(df, ["k"], "v", [0.5])
+        assert not [line for line in joins(out, "SortMergeJoin") if "LeftAnti" in line or "LeftSemi" in line]
+        assert {r.k: r.q[0] for r in out.collect()} == {"rare": 145.0, "hot": 150.0}
+
+
+def test_one_row_of_a_colour_stands_for_all_in_the_search(spark, monkeypatch):
+    seen, search = [], sequences.nearest_within
+    monkeypatch.setattr(sequences, "nearest_within", lambda left, right, *a, **k: (seen.append(right.count()), search(left, right, *a, **k))[1])
+    rows = spark.range(60).selectExpr("2e8 AS age", "1D + id AS mass", "3.5D AS log_teff", "4D AS logg", "id % 2 / 1e1 AS gr", "0D AS ri")
+    targets = spark.createDataFrame([(1, 0.01, 0.0), (2, 0.09, 0.0)], "target long, gr double, ri double")
+    got = {r.target: (r.n, r.mass) for r in sequences.nearest_isochrone(targets, rows, "target", 0.01).collect()}
+    assert got == {1: (30, 30.0), 2: (30, 31.0)} and seen == [2]
+
+
+def test_colours_of_a_stream_with_a_flux_of_zero(spark, tmp_path):
+    rows = [(1, "10:00", 7, "click", 5.0), (2, "10:30", 7, "purchase", 0.0), (3, "10:40", 7, "purchase", 50.0), (4, "10:50", 7, "purchase", None)]
+    events = spark.createDataFrame([(e, f"2024-01-02 {at}:00", s, f, v) for e, at, s, f, v in rows], "event_id long, at string, user_id long, event_type string, value double")
+    events.selectExpr("event_id", "CAST(at AS timestamp_ntz) AS ts", "user_id", "event_type", "value", "'' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r.event1, r.event2): r.colour for r in base.QUERIES["stream_interval_join"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 2): float("-inf"), (1, 3): 2.5, (1, 4): None}
