@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from skyloom.operators.skew import by_shuffle
 from skyloom.session import scratch_path
 
 # stands for null in written tables, so that every field keeps its place
@@ -145,7 +146,7 @@ def write_search_results(hits: DataFrame, targets: DataFrame, target_id: str, ra
     field_id, ra, dec, quadrant and separation_deg.
     """
     about = targets.select(target_id, F.struct(*[c for c in targets.columns if c != target_id]).alias("target_data"))
-    lines = hits.join(about, target_id).select(
+    lines = hits.join(by_shuffle(about), target_id).select(
         target_id, "target_data", F.lit(float(radius_deg)).alias("search_radius_deg"), F.col("star_id").alias("field_id"), "ra", "dec", "quadrant", F.col("sep").alias("separation_deg"))
     order = [target_id, "separation_deg", "field_id"]
     lines.repartitionByRange(*order).sortWithinPartitions(*order).write.json(path)
