@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import array
 import functools
+import json
+import re
 import sys
 import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyloom.session import stored
@@ -126,6 +131,20 @@ def _as_bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+# letters that are the same under NFC and whose lower case and pre-tokens are those of Python and Arrow; marks are ASCII
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-įı-ſ", r"!-/:-@\[-`{-~"
+WORD_AND_MARKS = f"^(?P<word>[{LETTERS}]+)(?P<marks>[{MARKS}]*)$"
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile(f"[{LETTERS}{MARKS}0-9\t\n\r]*").fullmatch
+PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{MARKS}]+").findall
+
+
+def _cuts_words(tokenizer) -> bool:
+    """Whether pre-tokens are the matches of ``WORDS`` and the last id of each tells that it ends."""
+    steps = json.loads(tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers", [{}])
+    return steps[0].get("pattern") == {"Regex": WORDS} and bool(tokenizer.model.end_of_word_suffix)
+
+
 class WordCache(dict):
     """Ids of space-separated pieces as little-endian uint32 bytes, encoded once by the tokenizers library.
 
@@ -136,10 +155,17 @@ class WordCache(dict):
     """
 
     LIMIT = 600_000
+    WORDS_LIMIT = 400_000  # where a whole batch is encoded at once, beside its pieces
 
     def __init__(self, path: str, lead: str):
         self.tokenizer, self.lead, self.older = _tokenizer(path), lead, {}
         self.model = self.tokenizer.model
+        self.last_ids = None
+        if not lead and _cuts_words(self.tokenizer):
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.last_ids = np.zeros(1 + max(vocabulary.values()), bool)
+            self.last_ids[[i for token, i in vocabulary.items() if token.endswith(self.model.end_of_word_suffix)]] = True
+            self.bare = type(self.tokenizer)(self.model)
         self.marks = functools.lru_cache(maxsize=1_000)(self.whole)
 
     def whole(self, text: str) -> bytes:
@@ -156,6 +182,9 @@ class WordCache(dict):
             out = self.older[piece]
         elif piece.isalpha() and max(piece) < "\u0180" and "\u0130" not in piece:
             out = self.word(piece)
+        elif self.last_ids is not None and "<|" not in piece and PLAIN(piece):
+            # words, digits and marks are pre-tokens of their own
+            out = b"".join([self[p] if p[0].isalpha() else self.marks(p) for p in PARTS(piece.lower())])
         elif stem and stem != piece and stem[-1].isascii() and stem[-1].isalpha():
             # a pre-token of letters ends before punctuation, so a word and its marks are encoded apart
             out = self[stem]
@@ -178,6 +207,60 @@ class WordCache(dict):
         except TypeError:
             return self.whole(text)
 
+    def encode_all(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``end`` behind it, and the places where texts end (a 0 before them).
+
+        For vocabularies that drop white space: every distinct piece is looked up once, whichever text it is in.
+        """
+        if len(self) > self.WORDS_LIMIT:
+            self.older = dict(self)
+            self.clear()
+        texts = texts.cast(pa.large_string())
+        if self.last_ids is not None:
+            texts = pc.replace_substring(texts, "\n", " ")  # no pre-token holds either
+        pieces = pc.split_pattern(texts, " ")
+        found, edges = pieces.flatten().dictionary_encode(), pieces.offsets.to_numpy()
+        del pieces, texts  # several times the batch
+        table = self.pieces(found.dictionary, end)
+        ids = table.take(pa.array(np.insert(found.indices.to_numpy(), edges[1:], len(table) - 1)))
+        return ids.flatten().to_numpy(), ids.offsets.to_numpy()[edges + np.arange(len(edges))]
+
+    def pieces(self, pieces: pa.Array, end: int) -> pa.Array:
+        """Lists of ids of distinct pieces, and of ``end`` alone behind them."""
+        words, marks, simple = [], [], np.zeros(len(pieces), bool)
+        pairs = np.full((len(pieces) + 1, 2), -1)
+        if self.last_ids is not None:
+            cut = pc.extract_regex(pieces, WORD_AND_MARKS)
+            simple = cut.is_valid().to_numpy(zero_copy_only=False)
+            cut = cut.drop_null()
+            found = [pc.utf8_lower(cut.field("word")).dictionary_encode(), cut.field("marks").dictionary_encode()]
+            words, marks = (f.dictionary.to_numpy(zero_copy_only=False).tolist() for f in found)
+            pairs[:-1][simple] = np.stack([found[0].indices.to_numpy(), found[1].indices.to_numpy() + len(words)], axis=1)
+            self.learn([w for w in words if w not in self])
+        others = pieces.to_numpy(zero_copy_only=False)[~simple]
+        pairs[np.append(~simple, True), 0] = np.arange(len(others) + 1) + len(words) + len(marks)
+        encoded = [self[w] for w in words] + [self.marks(m) for m in marks] + [self[p] for p in others] + [_as_bytes([end]), b""]
+        pairs[pairs < 0] = len(encoded) - 1
+        places = np.cumsum([0, *map(len, encoded)]) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(places), pa.array(np.frombuffer(b"".join(encoded), "<u4")))
+        ids = lists.take(pa.array(pairs.ravel()))
+        return pa.LargeListArray.from_arrays(ids.offsets[::2], ids.flatten())
+
+    def learn(self, words: list[str]) -> None:
+        """Put words of Latin letters, in lower case, into the cache; each is one pre-token, which the model takes as it is."""
+        known = [w for w in words if w in self.older]
+        self.update((w, self.older[w]) for w in known)
+        words = [w for w in words if w not in self] if known else words
+        if not words:
+            return
+        letters = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
+        ids = np.array(self.bare.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.last_ids[ids]) + 1)
+        if len(ends) != len(words):
+            raise ValueError("the ids do not tell where words end")
+        raw, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+        self.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends.tolist()))
+
 
 @functools.lru_cache(maxsize=4)
 def word_cache(path: str, lead: str) -> WordCache:

@@ -18,7 +18,8 @@ from skyloom.session import scratch_path, stored
 
 END_ID = 2
 BITS = 16
-FILE_TOKENS = 6_000_000
+FILE_TOKENS = 3_000_000
+_ENOUGH = 1.25  # files: a rest of less than a quarter goes into the file before it
 MANIFEST = "part int, file int, path string, docs long, tokens long"
 
 
@@ -30,36 +31,39 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """Writes token files below ``folder`` (seen by all executors) and returns their manifest, a stored table.
 
     Rows are range-partitioned by doc_id and sorted, nulls first; a task writes its rows in order to
-    files of about ``FILE_TOKENS`` ids. Every attempt of a task has file names of its own and only
+    files of about ``FILE_TOKENS`` ids (up to a quarter more). Every attempt of a task has file names of its own and only
     the successful one is in the manifest, so lost executors and repeated tasks leave at most
     files that nothing refers to.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, part, attempt = word_cache(tokenizer, ""), TaskContext.get().partitionId(), uuid.uuid4().hex
-        end = np.array([end_id], "<u4").tobytes()
         system, base = _open(folder)
         system.create_dir(base, recursive=True)
         names, counts, chunks, size, number = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            path = f"part-{part:06d}-{number:04d}-{attempt}.tokens"
-            ids = np.frombuffer(b"".join(chunks), "<u4").astype(np.int64)
+            """Write the documents up to the one that fills a file, or all if what is left is no file of its own."""
+            nonlocal names, counts, chunks, size, number
+            path, docs = f"part-{part:06d}-{number:04d}-{attempt}.tokens", len(names)
+            ids, ends = np.concatenate(chunks), np.cumsum(counts)
+            if size >= _ENOUGH * FILE_TOKENS:
+                docs = min(docs, int(np.searchsorted(ends, FILE_TOKENS)) + 1)
+            tokens = int(ends[docs - 1])
             with system.open_output_stream(f"{base}/{path}") as out:
-                out.write(coder.pack(names, counts, ids, bits))
-            row = (part, number, f"{folder}/{path}", len(names), len(ids))
+                out.write(coder.pack(names[:docs], counts[:docs], ids[:tokens], bits))
+            row = (part, number, f"{folder}/{path}", docs, tokens)
+            names, counts, chunks, size, number = names[docs:], counts[docs:], [ids[tokens:].copy()], size - tokens, number + 1
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, arrow.types)], schema=arrow)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = cache.encode(text) + end
-                names.append(doc_id)
-                counts.append(len(ids) // 4)
-                chunks.append(ids)
-                size += counts[-1]
-                if size >= FILE_TOKENS:
-                    yield flush()
-                    names, counts, chunks, size, number = [], [], [], 0, number + 1
+            ids, ends = cache.encode_all(batch.column(1), end_id)
+            names += batch.column(0).to_pylist()
+            counts += np.diff(ends).tolist()
+            chunks.append(ids)
+            size += len(ids)
+            while size >= _ENOUGH * FILE_TOKENS:
+                yield flush()
         if names:
             yield flush()
 

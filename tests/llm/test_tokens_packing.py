@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,6 +29,49 @@ def test_cached_words_give_the_ids_of_the_whole_text(name, lead):
         assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_batch_of_texts_has_the_ids_of_each_and_encodes_a_word_once():
+    path = PATHS["word_bpe_49k.json"]
+    plain, cache = Tokenizer.from_file(path), WordCache(path, "")
+    cache.WORDS_LIMIT = 50
+    rnd = random.Random(3)
+    parts = ["a", "The", "word.", "x,", " ", "  ", "\n", "\t", "'s", "'", "don't", "3.14", "é", "́", "ª", "İ", "ſ", "ŉ", "ÿ", "Ÿ", "22", "<|endoftext|>", "<|", "!", "　", " ", "Σ", "_", "\r\n", "\x1c", "×", "²", "K", "Å", "ẞ", "語", "-", "~`"]
+    for size in (0, 1, 7, 400, 400, 400):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(size)]
+        ids, ends = cache.encode_all(pa.array(texts, pa.string()), 2)
+        want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        got = [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+        assert got == want and ends[0] == 0 and len(ids) == ends[-1], [t for t, g, w in zip(texts, got, want) if g != w]
+
+    cache, learned = WordCache(path, ""), []
+    cache.learn, learn = lambda words: (learned.extend(words), learn(words)), cache.learn
+    cache.whole, cache.word = None, None  # plain words are not encoded one by one
+    cache.marks = lambda mark: b""
+    cache.encode_all(pa.array(["One two, TWO; three\ntwo... one?", "two one", "three!"]), 2)
+    assert sorted(learned) == ["one", "three", "two"]
+
+
+def test_frequencies_are_learned_once_for_all_blocks_of_a_file():
+    rng = np.random.default_rng(4)
+    share = 1 / np.arange(1, 20_001)
+    ids = rng.permutation(40_000)[rng.choice(20_000, 150_000, p=share / share.sum())]
+    data = coder.pack([1], [len(ids)], ids, 16)
+    assert (coder.unpack(data)[2] == ids).all()
+    counts = np.bincount(ids)
+    counts = counts[counts > 0]
+    entropy = -(counts * np.log2(counts / len(ids))).sum() / len(ids)
+    # the coder that began every block with no frequencies took 2.7 bits more than the entropy
+    assert len(data) * 8 / len(ids) < entropy + 1.5
+
+
+@pytest.mark.parametrize("n,bits", [(200_000, 16), (200_000, 20), (70_000, 27)])
+def test_ids_too_rare_for_the_frequencies_are_kept(n, bits):
+    rng = np.random.default_rng(5)
+    ids = np.where(rng.random(n) < 0.5, 7, rng.integers(0, 1 << bits, n))
+    every = np.arange(1 << 16)[:n]
+    for own in (ids, every, np.zeros(n, np.int64), np.append(np.zeros(n, np.int64), (1 << bits) - 1)):
+        assert (coder.unpack(coder.pack([1], [len(own)], own, bits))[2] == own).all()
+
+
 @pytest.mark.parametrize("n,bits,block", [(0, 16, 64), (1, 16, 64), (63, 16, 64), (2_000, 12, 128), (3_000, 20, 256), (9_000, 16, 4096)])
 @pytest.mark.parametrize("high", [2, 50, 1 << 12])
 def test_token_file_round_trip(n, bits, block, high):
@@ -65,6 +109,17 @@ def test_files_hold_the_documents_in_order(spark, monkeypatch, most):
     assert tokenfiles.token_files(docs.limit(0), path).collect() == []
 
 
+def test_files_are_cut_where_documents_end_and_a_small_rest_makes_none(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "FILE_TOKENS", 100)
+    docs = spark.createDataFrame([(i, "the " * 29) for i in range(13)], "doc_id long, text string").coalesce(1)
+    manifest = tokenfiles.write_token_files(docs, str(tmp_path / "files"), PATHS["word_bpe_49k.json"])
+    rows = manifest.orderBy("part", "file").collect()
+    assert sum(r.docs for r in rows) == 13 and all(r.tokens == 30 * r.docs for r in rows)
+    for part in {r.part for r in rows}:
+        sizes = [r.tokens for r in rows if r.part == part]
+        assert len(sizes) == 1 or (min(sizes) >= 25 and max(sizes) <= 150)
+
+
 def brute_pieces(text, path, capacity):
     ids = Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [0]
     cut = len(ids) % capacity or capacity
